@@ -21,6 +21,7 @@ from tidemark.plans import greedy
 from tidemark.session import checkpoint_root
 from tidemark.sources.batch_log import read_batch_log, stream_batch_log, wire_lines, wire_log
 from tidemark.sources.event_log import with_arrival_seq
+from tidemark.streaming import consume as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ["event_type", "partition"]
@@ -453,6 +454,52 @@ def lease_counters(spark, sf):
     return commits.lease_counters(states)
 
 
+# --------------------------------------------------------------------------- S: streaming
+
+def stream_consume(spark, sf):
+    """The wire log as a stream -> decoded events (+ quarantine sink)."""
+    out = _scratch(spark, "stream-consume")
+    streams.stream_consume(spark, wire_log(spark, sf), out)
+    return consume.partition_summary(streams.read_events(spark, out))
+
+
+def stream_consume_with_commits(spark, sf):
+    """Commits written after each micro-batch; final checkpoint per
+    partition = high-water cursor of everything delivered."""
+    out = _scratch(spark, "stream-commits")
+    root = streams.stream_consume_with_commits(spark, wire_log(spark, sf), out)
+    t = commits.read_latest_version(spark, root)
+    return t.select(*commits.TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_id")
+
+
+def stream_high_water(spark, sf):
+    out = _scratch(spark, "stream-high-water")
+    streams.stream_high_water(spark, wire_log(spark, sf), out)
+    return streams.read_high_water(spark, out)
+
+
+def stream_republish(spark, sf):
+    out = _scratch(spark, "stream-republish")
+    streams.stream_republish(spark, wire_log(spark, sf), out, "purchase", "purchase-audit",
+                             streams.audit_transform)
+    return streams.read_published(spark, out)
+
+
+def stream_resume(spark, sf):
+    """The log lands in two parts; the stream is stopped after the first
+    and restarted on the same checkpoint: nothing is lost or repeated."""
+    src = wire_log(spark, sf)
+    stage = _scratch(spark, "stream-resume-src")
+    out = _scratch(spark, "stream-resume")
+    lines = spark.read.text(src)
+    first = F.col("event_type").isin("click", "error")
+    lines.filter(first).write.partitionBy("event_type").text(stage)
+    streams.stream_consume(spark, stage, out)
+    lines.filter(~first).write.mode("append").partitionBy("event_type").text(stage)
+    streams.stream_consume(spark, stage, out)
+    return consume.partition_summary(streams.read_events(spark, out))
+
+
 # --------------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Query] = {
@@ -515,4 +562,10 @@ QUERIES: dict[str, Query] = {
     "commit_fold": commit_fold,
     "commit_get": commit_get,
     "lease_counters": lease_counters,
+    # S: streaming (checked against their batch twins)
+    "stream_consume": stream_consume,
+    "stream_consume_with_commits": stream_consume_with_commits,
+    "stream_high_water": stream_high_water,
+    "stream_republish": stream_republish,
+    "stream_resume": stream_resume,
 }

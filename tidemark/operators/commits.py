@@ -194,3 +194,24 @@ def read_latest_version(spark: SparkSession, root: str) -> DataFrame | None:
     if not versions:
         return None
     return spark.read.parquet(f"{root}/{versions[-1]}").select(*TABLE_COLUMNS)
+
+
+def read_version_at_or_below(spark: SparkSession, root: str, version: int) -> DataFrame | None:
+    """The newest complete table version <= ``version`` (replay-safe base)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rp = jvm.org.apache.hadoop.fs.Path(root)
+    fs = rp.getFileSystem(conf)
+    if not fs.exists(rp):
+        return None
+    best = None
+    for st in fs.listStatus(rp):
+        name = st.getPath().getName()
+        if not name.startswith("v="):
+            continue
+        v = int(name[2:])
+        if v <= version and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            best = name if best is None or v > int(best[2:]) else best
+    if best is None:
+        return None
+    return spark.read.parquet(f"{root}/{best}").select(*TABLE_COLUMNS)

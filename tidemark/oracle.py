@@ -464,4 +464,14 @@ FROM requests r LEFT JOIN commits c USING (group_id, event_type, partition_id)""
     q["lease_counters"] = _with("", """SELECT lease_holder, group_id, event_type, partition_id,
        CAST(arg_max(COALESCE(lease_counter, 0), put_seq) AS BIGINT) AS counter
 FROM fold GROUP BY ALL""")
+    # -- streaming: the batch twins
+    q["stream_consume"] = _with("", _summary("valid_events"))
+    q["stream_resume"] = q["stream_consume"]
+    q["stream_high_water"] = q["high_water_offsets"]
+    q["stream_consume_with_commits"] = _with("", """
+SELECT 's2' AS group_id, event_type, "partition" AS partition_id, CAST(max(cursor_offset) AS VARCHAR) AS checkpoint_id,
+       'worker-s' AS lease_holder, 'lease-s' AS lease_id
+FROM wb WHERE fault IS NULL GROUP BY ALL""")
+    q["stream_republish"] = _with("", """SELECT md5(eid || ':audit') AS new_eid, eid AS parent_eid
+FROM valid_events WHERE event_type = 'purchase'""")
     return q
