@@ -439,7 +439,9 @@ def _fold_puts(spark, sf):
 
 
 def commit_fold(spark, sf):
-    states = commits.commit_fold(fx.commits(spark, sf), _fold_puts(spark, sf))
+    # the puts come from decoding the wire log and feed two chunked passes:
+    # decode once, checkpoint, then fold
+    states = commits.commit_fold(fx.commits(spark, sf), _fold_puts(spark, sf).checkpoint(eager=True))
     return commits.fold_final(states).select(*commits.TABLE_KEYS, "checkpoint_id", "lease_holder",
                                              "lease_counter", "lease_id")
 
@@ -450,7 +452,7 @@ def commit_get(spark, sf):
 
 
 def lease_counters(spark, sf):
-    states = commits.commit_fold(fx.commits(spark, sf), _fold_puts(spark, sf))
+    states = commits.commit_fold(fx.commits(spark, sf), _fold_puts(spark, sf).checkpoint(eager=True))
     return commits.lease_counters(states)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # are left to the timestamp cast, which rejects them.
 ISO_OFFSET_DATE_TIME = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}"
-    r"(:[0-9]{2}(\.[0-9]{1,9})?)?"
+    r"(:[0-9]{2}([.][0-9]{1,9})?)?"
     r"([Zz]|[+-][0-9]{2}:[0-9]{2}(:[0-9]{2})?)$"
 )
 
@@ -29,6 +29,13 @@ def parse_offset_datetime(text: Column | str) -> Column:
     return F.when(t.rlike(ISO_OFFSET_DATE_TIME), norm.try_cast("timestamp"))
 
 
+def parse_offset_datetime_sql(text_sql: str) -> str:
+    """SQL-text form of :func:`parse_offset_datetime` (for large expressions
+    built as one SQL string)."""
+    return (f"CASE WHEN {text_sql} RLIKE '{ISO_OFFSET_DATE_TIME}' THEN try_cast(regexp_replace(upper({text_sql}), "
+            f"'T([0-9]{{2}}):([0-9]{{2}})(Z|[+-])', 'T$1:$2:00$3') AS TIMESTAMP) END")
+
+
 def datetime_error(text: Column | str) -> Column:
     t = _c(text)
     return F.when(parse_offset_datetime(t).isNull(), F.lit("not an offset date-time"))

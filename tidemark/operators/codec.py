@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.datetime import format_offset_datetime, parse_offset_datetime
-from tidemark.functions.enums import normalise_category, normalise_data_op
-from tidemark.functions.json import (
-    is_array, is_json_null, is_object, is_string, is_string_array, vget,
+from tidemark.functions.datetime import (
+    format_offset_datetime, parse_offset_datetime, parse_offset_datetime_sql,
 )
+from tidemark.functions.enums import normalise_category, normalise_data_op
+from tidemark.functions.json import is_json_null, vget
 from tidemark.functions.offsets import offset_to_long
 
 ERROR_TYPE = T.ArrayType(T.StructType([T.StructField("path", T.StringType()),
@@ -38,72 +38,108 @@ NOT_DATETIME = "not an offset date-time"
 UNPARSEABLE = "unparseable"
 
 
-def _err(cond: Column, path: Column, reason: str) -> Column:
-    return F.when(cond, F.struct(path.alias("path"), F.lit(reason).alias("reason")))
+# The validation expression is large; it is written as one SQL string and
+# parsed once by the JVM (building it column by column from Python costs a
+# py4j round trip per node).
+
+def _vg(v: str, path: str) -> str:
+    return f"variant_get({v}, '{path}', 'variant')"
+
+
+def _is_str(x: str) -> str:
+    return f"(schema_of_variant({x}) = 'STRING')"
+
+
+def _is_obj(x: str) -> str:
+    return f"(try_variant_get({x}, '$', 'map<string,variant>') IS NOT NULL)"
 
 
-def _compact(items: list[Column]) -> Column:
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+def _is_arr(x: str) -> str:
+    return f"(try_variant_get({x}, '$', 'array<variant>') IS NOT NULL)"
 
 
-def _present(v: Column) -> Column:
+def _present_sql(x: str) -> str:
     """Key present with a non-null JSON value (optional fields)."""
-    return v.isNotNull() & ~is_json_null(v)
-
-
-def _required_string(v: Column, path: Column) -> list[Column]:
-    return [_err(v.isNull(), path, MISSING),
-            _err(v.isNotNull() & ~is_string(v), path, NOT_STRING)]
-
-
-def event_errors(e: Column, i: Column) -> Column:
-    """Validation errors of one event (VARIANT) at array index ``i``."""
-    p = F.concat(F.lit("events["), i.cast("string"), F.lit("]"))
-
-    def at(suffix: str) -> Column:
-        return F.concat(p, F.lit(suffix))
-
-    obj = is_object(e)
-    data = vget(e, "$.data")
-    dc = obj & data.isNotNull()           # a top-level "data" key makes it data-change
-    md = vget(e, "$.metadata")
-    md_obj = obj & md.isNotNull() & is_object(md)
-    eid = vget(e, "$.metadata.eid")
-    occ = vget(e, "$.metadata.occurred_at")
-    et = vget(e, "$.metadata.event_type")
-    rec = vget(e, "$.metadata.received_at")
-    parents = vget(e, "$.metadata.parent_eids")
-    flow = vget(e, "$.metadata.flow_id")
-    dt = vget(e, "$.data_type")
-    op = vget(e, "$.data_op")
-    occ_text = F.variant_get(occ, "$", "string")
-    rec_text = F.variant_get(rec, "$", "string")
+    return f"({x} IS NOT NULL AND NOT is_variant_null({x}))"
+
+
+def _err(cond: str, path: str, reason: str) -> str:
+    return f"CASE WHEN {cond} THEN named_struct('path', {path}, 'reason', '{reason}') END"
+
+
+def _compact(items: list[str]) -> str:
+    return "filter(array(" + ", ".join(items) + "), x -> x IS NOT NULL)"
+
+
+def _typed(cond: str, v: str, path: str, missing: bool = True) -> list[str]:
+    out = [_err(f"{cond} AND {v} IS NULL", path, MISSING)] if missing else []
+    return out + [_err(f"{cond} AND {v} IS NOT NULL AND NOT {_is_str(v)}", path, NOT_STRING)]
+
+
+def event_errors_sql(e: str = "e", i: str = "i") -> str:
+    """Validation errors of one event (VARIANT ``e``) at array index ``i``."""
+    p = f"concat('events[', CAST({i} AS STRING), ']')"
+
+    def at(suffix: str) -> str:
+        return f"concat('events[', CAST({i} AS STRING), ']{suffix}')"
+
+    obj = _is_obj(e)
+    data = _vg(e, "$.data")
+    dc = f"({obj} AND {data} IS NOT NULL)"   # a top-level "data" key makes it data-change
+    md = _vg(e, "$.metadata")
+    md_obj = f"({obj} AND {md} IS NOT NULL AND {_is_obj(md)})"
+    eid, occ = _vg(e, "$.metadata.eid"), _vg(e, "$.metadata.occurred_at")
+    et, rec = _vg(e, "$.metadata.event_type"), _vg(e, "$.metadata.received_at")
+    parents, flow = _vg(e, "$.metadata.parent_eids"), _vg(e, "$.metadata.flow_id")
+    dt, op = _vg(e, "$.data_type"), _vg(e, "$.data_op")
+    occ_text = f"variant_get({occ}, '$', 'string')"
+    rec_text = f"variant_get({rec}, '$', 'string')"
+    parents_arr = f"try_variant_get({parents}, '$', 'array<variant>')"
     items = [
-        _err(~obj, p, NOT_OBJECT),
-        *[_err(dc & c, at(".data_type"), r) for c, r in ((dt.isNull(), MISSING),
-                                                         (dt.isNotNull() & ~is_string(dt), NOT_STRING))],
-        *[_err(dc & c, at(".data_op"), r) for c, r in ((op.isNull(), MISSING),
-                                                       (op.isNotNull() & ~is_string(op), NOT_STRING))],
-        _err(dc & ~is_object(data), at(".data"), NOT_OBJECT),
-        _err(obj & md.isNull(), at(".metadata"), MISSING),
-        _err(obj & md.isNotNull() & ~is_object(md), at(".metadata"), NOT_OBJECT),
-        *[_err(md_obj & c, at(".metadata.eid"), r) for c, r in ((eid.isNull(), MISSING),
-                                                                (eid.isNotNull() & ~is_string(eid), NOT_STRING))],
-        _err(md_obj & occ.isNull(), at(".metadata.occurred_at"), MISSING),
-        _err(md_obj & occ.isNotNull() & ~is_string(occ), at(".metadata.occurred_at"), NOT_STRING),
-        _err(md_obj & occ.isNotNull() & is_string(occ) & parse_offset_datetime(occ_text).isNull(),
+        _err(f"NOT {obj}", p, NOT_OBJECT),
+        *_typed(dc, dt, at(".data_type")),
+        *_typed(dc, op, at(".data_op")),
+        _err(f"{dc} AND NOT {_is_obj(data)}", at(".data"), NOT_OBJECT),
+        _err(f"{obj} AND {md} IS NULL", at(".metadata"), MISSING),
+        _err(f"{obj} AND {md} IS NOT NULL AND NOT {_is_obj(md)}", at(".metadata"), NOT_OBJECT),
+        *_typed(md_obj, eid, at(".metadata.eid")),
+        *_typed(md_obj, occ, at(".metadata.occurred_at")),
+        _err(f"{md_obj} AND {occ} IS NOT NULL AND {_is_str(occ)} AND ({parse_offset_datetime_sql(occ_text)}) IS NULL",
              at(".metadata.occurred_at"), NOT_DATETIME),
-        _err(md_obj & _present(et) & ~is_string(et), at(".metadata.event_type"), NOT_STRING),
-        _err(md_obj & _present(rec) & ~is_string(rec), at(".metadata.received_at"), NOT_STRING),
-        _err(md_obj & _present(rec) & is_string(rec) & parse_offset_datetime(rec_text).isNull(),
+        *_typed(f"{md_obj} AND {_present_sql(et)}", et, at(".metadata.event_type"), missing=False),
+        *_typed(f"{md_obj} AND {_present_sql(rec)}", rec, at(".metadata.received_at"), missing=False),
+        _err(f"{md_obj} AND {_present_sql(rec)} AND {_is_str(rec)} AND ({parse_offset_datetime_sql(rec_text)}) IS NULL",
              at(".metadata.received_at"), NOT_DATETIME),
-        _err(md_obj & _present(parents) & ~is_string_array(parents), at(".metadata.parent_eids"),
-             NOT_STRING_ARRAY),
-        _err(md_obj & _present(flow) & ~is_string(flow), at(".metadata.flow_id"), NOT_STRING),
+        _err(f"{md_obj} AND {_present_sql(parents)} AND NOT ({parents_arr} IS NOT NULL AND "
+             f"forall({parents_arr}, y -> schema_of_variant(y) = 'STRING'))",
+             at(".metadata.parent_eids"), NOT_STRING_ARRAY),
+        *_typed(f"{md_obj} AND {_present_sql(flow)}", flow, at(".metadata.flow_id"), missing=False),
     ]
     return _compact(items)
 
 
+def batch_errors_sql(v: str = "_v") -> str:
+    """All validation errors of one parsed line (empty when valid)."""
+    cursor = _vg(v, "$.cursor")
+    cp, co, ev = _vg(v, "$.cursor.partition"), _vg(v, "$.cursor.offset"), _vg(v, "$.events")
+    cur_obj = f"({cursor} IS NOT NULL AND {_is_obj(cursor)})"
+    line = _compact([
+        _err(f"{cursor} IS NULL", "'cursor'", MISSING),
+        _err(f"{cursor} IS NOT NULL AND NOT {_is_obj(cursor)}", "'cursor'", NOT_OBJECT),
+        *_typed(cur_obj, cp, "'cursor.partition'"),
+        *_typed(cur_obj, co, "'cursor.offset'"),
+        _err(f"{_present_sql(ev)} AND NOT {_is_arr(ev)}", "'events'", NOT_ARRAY),
+    ])
+    per_event = (f"flatten(transform(try_variant_get({v}, '$.events', 'array<variant>'), "
+                 f"(e, i) -> {event_errors_sql('e', 'i')}))")
+    return (f"CAST(CASE WHEN {v} IS NULL THEN array(named_struct('path', '$', 'reason', '{UNPARSEABLE}')) "
+            f"ELSE concat({line}, coalesce({per_event}, array())) END "
+            f"AS array<struct<path:string,reason:string>>)")
+
+
+_BATCH_ERRORS_SQL = batch_errors_sql()
+
+
 def parse_batches(lines: DataFrame, value: str = "value") -> DataFrame:
     """B1: parse each line once and validate it.
 
@@ -111,36 +147,16 @@ def parse_batches(lines: DataFrame, value: str = "value") -> DataFrame:
     ``cursor_partition``, ``cursor_offset`` (text), ``events``
     (array<variant>, empty for keep-alives) and ``n_events``.
     """
-    v = F.try_parse_json(F.col(value))
-    parsed = lines.withColumn("_v", v)
-    j = F.col("_v")
-    cursor = vget(j, "$.cursor")
-    cp = vget(j, "$.cursor.partition")
-    co = vget(j, "$.cursor.offset")
-    ev = vget(j, "$.events")
-    cur_obj = cursor.isNotNull() & is_object(cursor)
-    events_arr = F.try_variant_get(j, "$.events", "array<variant>")
-    batch_errs = _compact([
-        _err(cursor.isNull(), F.lit("cursor"), MISSING),
-        _err(cursor.isNotNull() & ~is_object(cursor), F.lit("cursor"), NOT_OBJECT),
-        *[_err(cur_obj & c, F.lit("cursor.partition"), r)
-          for c, r in ((cp.isNull(), MISSING), (cp.isNotNull() & ~is_string(cp), NOT_STRING))],
-        *[_err(cur_obj & c, F.lit("cursor.offset"), r)
-          for c, r in ((co.isNull(), MISSING), (co.isNotNull() & ~is_string(co), NOT_STRING))],
-        _err(_present(ev) & ~is_array(ev), F.lit("events"), NOT_ARRAY),
-    ])
-    ev_errs = F.coalesce(F.flatten(F.transform(events_arr, lambda e, i: event_errors(e, i))),
-                         F.array().cast(ERROR_TYPE))
-    errors = F.when(j.isNull(), F.array(F.struct(F.lit("$").alias("path"),
-                                                 F.lit(UNPARSEABLE).alias("reason"))))\
-        .otherwise(F.concat(batch_errs, ev_errs))
-    events = F.coalesce(events_arr, F.array().cast("array<variant>"))
-    return (parsed
-            .withColumn("errors", errors.cast(ERROR_TYPE))
-            .withColumn("cursor_partition", F.when(is_string(cp), F.variant_get(cp, "$", "string")))
-            .withColumn("cursor_offset", F.when(is_string(co), F.variant_get(co, "$", "string")))
-            .withColumn("events", events)
-            .withColumn("n_events", F.size(events).cast("bigint")))
+    parsed = lines.withColumn("_v", F.try_parse_json(F.col(value)))
+    return parsed.selectExpr(
+        "*",
+        f"{_BATCH_ERRORS_SQL} AS errors",
+        "CASE WHEN schema_of_variant(variant_get(_v, '$.cursor.partition', 'variant')) = 'STRING' "
+        "THEN variant_get(_v, '$.cursor.partition', 'string') END AS cursor_partition",
+        "CASE WHEN schema_of_variant(variant_get(_v, '$.cursor.offset', 'variant')) = 'STRING' "
+        "THEN variant_get(_v, '$.cursor.offset', 'string') END AS cursor_offset",
+        "coalesce(try_variant_get(_v, '$.events', 'array<variant>'), CAST(array() AS array<variant>)) AS events",
+    ).withColumn("n_events", F.size("events").cast("bigint"))
 
 
 def decode_batches(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.numbering import chunked_running, offset_chunk
+from tidemark.plans.numbering import chunked_running, chunked_running_multi, offset_chunk
 
 TABLE_KEYS = ["group_id", "event_type", "partition_id"]
 TABLE_COLUMNS = [*TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_counter",
@@ -132,15 +132,17 @@ def commit_fold(current: DataFrame, puts: DataFrame, rows_per_chunk: int = 1 <<
                             F.col("lease_id").alias("_s_lease"), F.lit(True).alias("_stored"))
     p = puts.join(stored, TABLE_KEYS, "left")
     chunk = offset_chunk("put_seq", rows_per_chunk)
-    p = chunked_running(p, TABLE_KEYS, ["put_seq"], chunk, out="_i")
-    first_insert = F.col("_stored").isNull() & (F.col("_i") == 1)
+    lid = F.when(F.col("lease_id").isNotNull(),
+                 F.struct(F.col("put_seq").alias("s"), F.col("lease_id").alias("l")))
+    # pass 1: put index, first put of the key, last supplied lease id
+    p = chunked_running_multi(p, TABLE_KEYS, ["put_seq"], chunk,
+                              [("_i", "count", None), ("_first", "min", "put_seq"), ("_last_lid", "max", lid)])
+    first_insert = F.col("_stored").isNull() & (F.col("put_seq") == F.col("_first"))
     base = F.when(first_insert, F.lit(1).cast("bigint")) \
         .when(F.col("lease_counter").isNotNull(), F.col("lease_counter"))
-    p = p.withColumn("_reset", F.when(base.isNotNull(), F.struct(F.col("_i").alias("i"), base.alias("b"))))
-    p = p.withColumn("_lid", F.when(F.col("lease_id").isNotNull(),
-                                    F.struct(F.col("put_seq").alias("s"), F.col("lease_id").alias("l"))))
-    p = chunked_running(p, TABLE_KEYS, ["put_seq"], chunk, out="_last_reset", how="max", value="_reset")
-    p = chunked_running(p, TABLE_KEYS, ["put_seq"], chunk, out="_last_lid", how="max", value="_lid")
+    reset = F.when(base.isNotNull(), F.struct(F.col("_i").alias("i"), base.alias("b")))
+    # pass 2: the last reset at or before each put
+    p = chunked_running(p, TABLE_KEYS, ["put_seq"], chunk, out="_last_reset", how="max", value=reset)
     counter = F.when(F.col("_last_reset").isNotNull(),
                      F.col("_last_reset.b") + F.col("_i") - F.col("_last_reset.i")) \
         .otherwise(F.coalesce(F.col("_s_counter"), F.lit(0)) + F.col("_i"))

@@ -81,6 +81,9 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
     base = chunked_running(base, keys, ["_o"], chunk=offset_chunk("_o", rows_per_chunk), out="_rn")
     base = base.withColumn("_i", F.col("_rn") - 1).drop("_rn") \
         .withColumn("_c", F.floor(F.col("_i") / rows_per_chunk).cast("bigint"))
+    # The numbered rows feed two passes (candidates, assignment): write them
+    # once to the checkpoint folder instead of recomputing the numbering.
+    base = base.checkpoint(eager=True)
     key_fields = _schema_keys(df, keys)
 
     # -- 2. per chunk: exit state for every candidate number of absorbed rows

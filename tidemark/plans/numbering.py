@@ -47,26 +47,36 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     max/min and 0 for count/sum.  ``chunk`` must be non-decreasing along
     ``order`` within a key.
     """
-    per_row, per_prev, combine = _COMBINE[how]
+    return chunked_running_multi(df, keys, order, chunk, [(out, how, value)], exclusive)
+
+
+def chunked_running_multi(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                          chunk: Column, specs: Sequence[tuple[str, str, Column | str | None]],
+                          exclusive: bool = False) -> DataFrame:
+    """Several running aggregates in one pass (one window, one small prefix
+    table, one join).  ``specs`` = [(out, how, value), ...]."""
     keys = list(keys)
-    val = F.lit(1) if value is None else (F.col(value) if isinstance(value, str) else value)
     ck = "_chunk"
-    data = df.withColumn(ck, chunk).withColumn("_val", val)
+    data = df.withColumn(ck, chunk)
     part = [*keys, ck]
     w = Window.partitionBy(*part).orderBy(*order)
-    if exclusive:
-        w = w.rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    data = data.withColumn("_local", per_row(F.col("_val")).over(w))
-
-    totals = data.groupBy(*part).agg(per_row(F.col("_val")).alias("_tot"))
+    w = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
     wprev = Window.partitionBy(*keys).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(*part, per_prev(F.col("_tot")).over(wprev).alias("_prev"))
-
+    tot_aggs, prev_cols, finals = [], [], []
+    for n, (out, how, value) in enumerate(specs):
+        per_row, per_prev, combine = _COMBINE[how]
+        val = F.lit(1) if value is None else (F.col(value) if isinstance(value, str) else value)
+        data = data.withColumn(f"_val{n}", val)
+        data = data.withColumn(f"_local{n}", per_row(F.col(f"_val{n}")).over(w))
+        tot_aggs.append(per_row(F.col(f"_val{n}")).alias(f"_tot{n}"))
+        prev_cols.append(per_prev(F.col(f"_tot{n}")).over(wprev).alias(f"_prev{n}"))
+        finals.append((out, combine(F.col(f"_local{n}"), F.col(f"_prev{n}"))))
+    prefix = data.groupBy(*part).agg(*tot_aggs).select(*part, *prev_cols)
     joined = data.join(prefix, on=part, how="left")
-    return joined.withColumn(out, combine(F.col("_local"), F.col("_prev"))) \
-        .drop(ck, "_val", "_local", "_prev")
+    for out, expr in finals:
+        joined = joined.withColumn(out, expr)
+    drop = [ck] + [f"_{x}{n}" for n in range(len(specs)) for x in ("val", "local", "prev")]
+    return joined.drop(*drop)
 
 
 def offset_chunk(offset: Column | str, rows_per_chunk: int = 1 << 20) -> Column:
