@@ -76,44 +76,62 @@ def _typed(cond: str, v: str, path: str, missing: bool = True) -> list[str]:
     return out + [_err(f"{cond} AND {v} IS NOT NULL AND NOT {_is_str(v)}", path, NOT_STRING)]
 
 
-def event_errors_sql(e: str = "e", i: str = "i") -> str:
-    """Validation errors of one event (VARIANT ``e``) at array index ``i``."""
-    p = f"concat('events[', CAST({i} AS STRING), ']')"
+# One shallow cast per object level extracts every field the checks need:
+# a missing key is SQL NULL, a JSON null is VARIANT null, and a value that
+# is not an object makes the whole cast NULL.
+EVENT_FIELDS = "struct<data:variant,data_type:variant,data_op:variant,metadata:variant>"
+METADATA_FIELDS = ("struct<eid:variant,event_type:variant,occurred_at:variant,received_at:variant,"
+                   "parent_eids:variant,flow_id:variant>")
+
+
+def _obj_sql(x: str) -> str:
+    return f"(try_variant_get({x}, '$', 'struct<_:variant>') IS NOT NULL)"
+
+
+def event_facts_sql(events: str) -> str:
+    """array<variant> -> array of (i, top, md) structs, each field read once."""
+    top = f"transform({events}, (e, i) -> named_struct('i', i, 'top', try_variant_get(e, '$', '{EVENT_FIELDS}')))"
+    return (f"transform({top}, f -> named_struct('i', f.i, 'top', f.top, "
+            f"'md', try_variant_get(f.top.metadata, '$', '{METADATA_FIELDS}')))")
+
+
+def event_errors_sql(f: str = "f") -> str:
+    """Validation errors of one event from its facts struct ``f``."""
+    p = f"concat('events[', CAST({f}.i AS STRING), ']')"
 
     def at(suffix: str) -> str:
-        return f"concat('events[', CAST({i} AS STRING), ']{suffix}')"
+        return f"concat('events[', CAST({f}.i AS STRING), ']{suffix}')"
 
-    obj = _is_obj(e)
-    data = _vg(e, "$.data")
+    obj = f"({f}.top IS NOT NULL)"
+    data = f"{f}.top.data"
     dc = f"({obj} AND {data} IS NOT NULL)"   # a top-level "data" key makes it data-change
-    md = _vg(e, "$.metadata")
-    md_obj = f"({obj} AND {md} IS NOT NULL AND {_is_obj(md)})"
-    eid, occ = _vg(e, "$.metadata.eid"), _vg(e, "$.metadata.occurred_at")
-    et, rec = _vg(e, "$.metadata.event_type"), _vg(e, "$.metadata.received_at")
-    parents, flow = _vg(e, "$.metadata.parent_eids"), _vg(e, "$.metadata.flow_id")
-    dt, op = _vg(e, "$.data_type"), _vg(e, "$.data_op")
+    md = f"{f}.top.metadata"
+    md_obj = f"({f}.md IS NOT NULL)"
+    occ, rec, parents = f"{f}.md.occurred_at", f"{f}.md.received_at", f"{f}.md.parent_eids"
     occ_text = f"variant_get({occ}, '$', 'string')"
     rec_text = f"variant_get({rec}, '$', 'string')"
     parents_arr = f"try_variant_get({parents}, '$', 'array<variant>')"
     items = [
         _err(f"NOT {obj}", p, NOT_OBJECT),
-        *_typed(dc, dt, at(".data_type")),
-        *_typed(dc, op, at(".data_op")),
-        _err(f"{dc} AND NOT {_is_obj(data)}", at(".data"), NOT_OBJECT),
+        *_typed(dc, f"{f}.top.data_type", at(".data_type")),
+        *_typed(dc, f"{f}.top.data_op", at(".data_op")),
+        _err(f"{dc} AND NOT {_obj_sql(data)}", at(".data"), NOT_OBJECT),
         _err(f"{obj} AND {md} IS NULL", at(".metadata"), MISSING),
-        _err(f"{obj} AND {md} IS NOT NULL AND NOT {_is_obj(md)}", at(".metadata"), NOT_OBJECT),
-        *_typed(md_obj, eid, at(".metadata.eid")),
+        _err(f"{obj} AND {md} IS NOT NULL AND NOT {md_obj}", at(".metadata"), NOT_OBJECT),
+        *_typed(md_obj, f"{f}.md.eid", at(".metadata.eid")),
         *_typed(md_obj, occ, at(".metadata.occurred_at")),
         _err(f"{md_obj} AND {occ} IS NOT NULL AND {_is_str(occ)} AND ({parse_offset_datetime_sql(occ_text)}) IS NULL",
              at(".metadata.occurred_at"), NOT_DATETIME),
-        *_typed(f"{md_obj} AND {_present_sql(et)}", et, at(".metadata.event_type"), missing=False),
+        *_typed(f"{md_obj} AND {_present_sql(f + '.md.event_type')}", f"{f}.md.event_type",
+                at(".metadata.event_type"), missing=False),
         *_typed(f"{md_obj} AND {_present_sql(rec)}", rec, at(".metadata.received_at"), missing=False),
         _err(f"{md_obj} AND {_present_sql(rec)} AND {_is_str(rec)} AND ({parse_offset_datetime_sql(rec_text)}) IS NULL",
              at(".metadata.received_at"), NOT_DATETIME),
         _err(f"{md_obj} AND {_present_sql(parents)} AND NOT ({parents_arr} IS NOT NULL AND "
              f"forall({parents_arr}, y -> schema_of_variant(y) = 'STRING'))",
              at(".metadata.parent_eids"), NOT_STRING_ARRAY),
-        *_typed(f"{md_obj} AND {_present_sql(flow)}", flow, at(".metadata.flow_id"), missing=False),
+        *_typed(f"{md_obj} AND {_present_sql(f + '.md.flow_id')}", f"{f}.md.flow_id",
+                at(".metadata.flow_id"), missing=False),
     ]
     return _compact(items)
 
@@ -130,8 +148,8 @@ def batch_errors_sql(v: str = "_v") -> str:
         *_typed(cur_obj, co, "'cursor.offset'"),
         _err(f"{_present_sql(ev)} AND NOT {_is_arr(ev)}", "'events'", NOT_ARRAY),
     ])
-    per_event = (f"flatten(transform(try_variant_get({v}, '$.events', 'array<variant>'), "
-                 f"(e, i) -> {event_errors_sql('e', 'i')}))")
+    facts = event_facts_sql(f"try_variant_get({v}, '$.events', 'array<variant>')")
+    per_event = f"flatten(transform({facts}, f -> {event_errors_sql('f')}))"
     return (f"CAST(CASE WHEN {v} IS NULL THEN array(named_struct('path', '$', 'reason', '{UNPARSEABLE}')) "
             f"ELSE concat({line}, coalesce({per_event}, array())) END "
             f"AS array<struct<path:string,reason:string>>)")
@@ -147,7 +165,10 @@ def parse_batches(lines: DataFrame, value: str = "value") -> DataFrame:
     ``cursor_partition``, ``cursor_offset`` (text), ``events``
     (array<variant>, empty for keep-alives) and ``n_events``.
     """
-    parsed = lines.withColumn("_v", F.try_parse_json(F.col(value)))
+    # Parse behind a generator: Catalyst pushes the validity filter below a
+    # projection by inlining its expressions, which would parse every line
+    # twice (filter and projection); it cannot inline a generator's output.
+    parsed = lines.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(value)).alias("_v")))))
     return parsed.selectExpr(
         "*",
         f"{_BATCH_ERRORS_SQL} AS errors",
@@ -211,29 +232,35 @@ def classify(e: Column) -> Column:
     return F.when(vget(e, "$.data").isNotNull(), F.lit("data")).otherwise(F.lit("business"))
 
 
+DECODED_FIELDS = ("struct<data:variant,data_type:string,data_op:string,metadata:struct<eid:string,"
+                  "event_type:string,occurred_at:string,received_at:string,parent_eids:array<string>,"
+                  "flow_id:string>>")
+
+
 def decode_event_fields(events: DataFrame, event: str = "event") -> DataFrame:
-    """B5-B9 on valid events: kind, metadata struct, data-change fields and
+    """B5-B9 on valid events: kind, metadata fields, data-change fields and
     the payload (``data`` for data-change, the object minus ``metadata`` for
-    business events) as canonical JSON text."""
+    business events) as canonical JSON text.  All fields come out of one
+    variant-to-struct cast per event."""
     e = F.col(event)
-    kind = classify(e)
-    obj = F.variant_get(e, "$", "map<string,variant>")
-    business_payload = F.to_json(F.map_filter(obj, lambda k, v: k != F.lit("metadata")))
-    occ_text = F.variant_get(e, "$.metadata.occurred_at", "string")
-    rec_text = F.try_variant_get(e, "$.metadata.received_at", "string")
-    return events.select(
-        "*",
+    x = events.withColumn("_x", F.variant_get(e, "$", DECODED_FIELDS))
+    kind = F.when(F.col("_x.data").isNotNull(), F.lit("data")).otherwise(F.lit("business"))
+    business_payload = F.to_json(F.map_filter(F.variant_get(e, "$", "map<string,variant>"),
+                                              lambda k, v: k != F.lit("metadata")))
+    occ_text = F.col("_x.metadata.occurred_at")
+    return x.select(
+        *[c for c in events.columns],
         kind.alias("kind"),
-        F.variant_get(e, "$.metadata.eid", "string").alias("eid"),
-        F.try_variant_get(e, "$.metadata.event_type", "string").alias("meta_event_type"),
+        F.col("_x.metadata.eid").alias("eid"),
+        F.col("_x.metadata.event_type").alias("meta_event_type"),
         occ_text.alias("occurred_at_text"),
         parse_offset_datetime(occ_text).alias("occurred_at"),
-        parse_offset_datetime(rec_text).alias("received_at"),
-        F.try_variant_get(e, "$.metadata.parent_eids", "array<string>").alias("parent_eids"),
-        F.try_variant_get(e, "$.metadata.flow_id", "string").alias("flow_id"),
-        F.when(kind == "data", F.variant_get(e, "$.data_type", "string")).alias("data_type"),
-        F.when(kind == "data", normalise_data_op(F.variant_get(e, "$.data_op", "string"))).alias("data_op"),
-        F.when(kind == "data", F.to_json(vget(e, "$.data"))).otherwise(business_payload).alias("payload"),
+        parse_offset_datetime(F.col("_x.metadata.received_at")).alias("received_at"),
+        F.col("_x.metadata.parent_eids").alias("parent_eids"),
+        F.col("_x.metadata.flow_id").alias("flow_id"),
+        F.when(kind == "data", F.col("_x.data_type")).alias("data_type"),
+        F.when(kind == "data", normalise_data_op(F.col("_x.data_op"))).alias("data_op"),
+        F.when(kind == "data", F.to_json(F.col("_x.data"))).otherwise(business_payload).alias("payload"),
     )
 
 
