@@ -502,6 +502,24 @@ def stream_resume(spark, sf):
     return consume.partition_summary(streams.read_events(spark, out))
 
 
+S5_INTERVAL_SECONDS = 6 * 3600 + 30   # 30 s past whole minutes: no flush time ties the watermark
+
+
+def stream_flush_timer(spark, sf):
+    """Accepted registrations land as Parquet; a keyed state machine with
+    event-time timers emits the flushes.  The last open window of each key
+    is not flushed when the stream ends (no final flush)."""
+    from tidemark.streaming import flush_timer
+    stage = _scratch(spark, "registrations")
+    out = _scratch(spark, "stream-flush-timer")
+    acc = offsets.register_commits(with_arrival_seq(fx.log(spark, sf))).filter(F.col("accepted"))
+    acc = acc.select("event_type", "partition", "offset", "arrival_seq",
+                     greedy.arrival_time().alias("arrived"))
+    acc.write.parquet(stage)
+    flush_timer.stream_flush_timer(spark, stage, acc.schema, out, S5_INTERVAL_SECONDS)
+    return flush_timer.read_flushes(spark, out)
+
+
 # --------------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Query] = {
@@ -570,4 +588,5 @@ QUERIES: dict[str, Query] = {
     "stream_high_water": stream_high_water,
     "stream_republish": stream_republish,
     "stream_resume": stream_resume,
+    "stream_flush_timer": stream_flush_timer,
 }

@@ -196,8 +196,8 @@ _G1_START = """g1start AS (
 _NORM_OP = "CASE WHEN data_op IN ('C','U','D','S') THEN data_op ELSE 'UnknownValue(' || data_op || ')' END"
 
 
-def _greedy(src: str, order: str, ts: str, n: int | None, hours: int, name: str) -> str:
-    cond = f"x.{ts} < g.wts + INTERVAL {hours} HOUR"
+def _greedy(src: str, order: str, ts: str, n: int | None, hours: int, name: str, seconds: int = 0) -> str:
+    cond = f"x.{ts} < g.wts + INTERVAL {hours} HOUR + INTERVAL {seconds} SECOND"
     if n:
         cond = f"g.cnt < {n} AND " + cond
     return f"""{name}_x AS (
@@ -464,6 +464,13 @@ FROM requests r LEFT JOIN commits c USING (group_id, event_type, partition_id)""
     q["lease_counters"] = _with("", """SELECT lease_holder, group_id, event_type, partition_id,
        CAST(arg_max(COALESCE(lease_counter, 0), put_seq) AS BIGINT) AS counter
 FROM fold GROUP BY ALL""")
+    s5 = "INTERVAL 6 HOUR + INTERVAL 30 SECOND"
+    q["stream_flush_timer"] = _with(
+        _greedy("(SELECT * FROM reg_acc WHERE accepted)", "arrival_seq", "arrived", None, 6, "tw", 30),
+        f"""SELECT event_type, "partition", {iso("min(wts) + " + s5)} AS flush_at,
+       count(*) AS n_registrations, max("offset") AS flushed_offset
+FROM tw GROUP BY event_type, "partition", wstart
+HAVING min(wts) + {s5} < (SELECT max(arrived) FROM reg_acc WHERE accepted)""")
     # -- streaming: the batch twins
     q["stream_consume"] = _with("", _summary("valid_events"))
     q["stream_resume"] = q["stream_consume"]
