@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.datetime import format_offset_datetime
 from tidemark.operators.codec import batch_line, cursor_json, encode_event, metadata_struct
-from tidemark.sources.event_log import event_log, log_root, materialise
+from tidemark.sources.event_log import cached_read, event_log, log_root, materialise
 
 # Fixed values of the fixture's injected lines (FIXTURES F2).  A batch's
 # fault is picked by its first event_id; the first matching rule wins.
@@ -114,7 +114,9 @@ def write_batch_log(lines: DataFrame, path: str, mode: str = "overwrite") -> Non
 def read_batch_log(spark: SparkSession, path: str) -> DataFrame:
     """A1: lines as (event_type, value).  ``wholetext`` stays off: files are
     split at newlines by many tasks."""
-    return spark.read.text(path).select("event_type", "value")
+    return cached_read(spark, "text:" + path,
+                       lambda: spark.read.schema("value string, event_type string").text(path)
+                       .select("event_type", "value"))
 
 
 def stream_batch_log(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
@@ -135,5 +137,11 @@ def wire_log(spark: SparkSession, sf_dir: str) -> str:
     """Materialise the fixture wire log (with faults and keep-alives) once
     and return its path."""
     path = wire_log_path(spark, sf_dir)
-    materialise(spark, path, lambda p: write_batch_log(wire_lines(event_log(spark, sf_dir)), p))
+    key = (id(spark._jsparkSession), "done:" + path)
+    if key not in _DONE:
+        materialise(spark, path, lambda p: write_batch_log(wire_lines(event_log(spark, sf_dir)), p))
+        _DONE.add(key)
     return path
+
+
+_DONE: set = set()

@@ -103,9 +103,30 @@ def materialise(spark: SparkSession, path: str, write) -> None:
         write(path)
 
 
+LOG_SCHEMA = ("partition string, offset bigint, offset_text string, eid string, occurred_at timestamp, "
+              "kind string, data_type string, data_op string, flow_id string, payload string, "
+              "event_id bigint, user_id bigint, event_type string")
+
+# Reading a materialised table lists its files once per session; queries
+# that combine several views of the log reuse the same DataFrame.
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
+def cached_read(spark: SparkSession, path: str, read) -> DataFrame:
+    key = (id(spark._jsparkSession), path)
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = read()
+        _READ_CACHE[key] = df
+    return df
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canonical log, materialised once per source table version."""
     path = f"{log_root(spark, sf_dir)}/event_log"
+    key = (id(spark._jsparkSession), path)
+    if key in _READ_CACHE:
+        return _READ_CACHE[key]
 
     def build():
         ev = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -117,7 +138,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .sortWithinPartitions("event_type", "partition", "offset"))
 
     materialise(spark, path, lambda p: build().write.mode("overwrite").partitionBy("event_type").parquet(p))
-    return spark.read.parquet(path).select(*LOG_COLUMNS)
+    return cached_read(spark, path, lambda: spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS))
 
 
 def with_arrival_seq(log: DataFrame, hex_digits: int = 4) -> DataFrame:

@@ -58,7 +58,7 @@ def consume_sink(out: str, on_batch: Callable[[DataFrame, DataFrame, int], None]
     return run
 
 
-def start(spark: SparkSession, src: str, checkpoint: str, sink, max_files: int = 4,
+def start(spark: SparkSession, src: str, checkpoint: str, sink, max_files: int = 16,
           available_now: bool = True):
     w = (stream_batch_log(spark, src, max_files_per_trigger=max_files).writeStream
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
@@ -66,7 +66,7 @@ def start(spark: SparkSession, src: str, checkpoint: str, sink, max_files: int =
     return w.start()
 
 
-def stream_consume(spark: SparkSession, src: str, out: str, max_files: int = 4) -> None:
+def stream_consume(spark: SparkSession, src: str, out: str, max_files: int = 16) -> None:
     """Log -> decode / quarantine -> drop keep-alives -> events."""
     q = start(spark, src, f"{out}/_checkpoint", consume_sink(out), max_files)
     q.awaitTermination()
@@ -109,7 +109,7 @@ def commits_hook(table_root: str, group_id: str, holder: str, lease_id: str, now
 
 def stream_consume_with_commits(spark: SparkSession, src: str, out: str, group_id: str = "s2",
                                 holder: str = "worker-s", lease_id: str = "lease-s",
-                                now: str = "2024-02-01 00:00:00", max_files: int = 4) -> str:
+                                now: str = "2024-02-01 00:00:00", max_files: int = 16) -> str:
     table_root = f"{out}/commits"
     sink = consume_sink(out, commits_hook(table_root, group_id, holder, lease_id, now))
     start(spark, src, f"{out}/_checkpoint", sink, max_files).awaitTermination()
@@ -118,7 +118,7 @@ def stream_consume_with_commits(spark: SparkSession, src: str, out: str, group_i
 
 # --------------------------------------------------------------------------- S3: live high water
 
-def stream_high_water(spark: SparkSession, src: str, out: str, max_files: int = 4) -> None:
+def stream_high_water(spark: SparkSession, src: str, out: str, max_files: int = 16) -> None:
     """S3: running max cursor per partition as a stateful streaming
     aggregation (update mode); the state is one row per log partition."""
     lines = stream_batch_log(spark, src, max_files_per_trigger=max_files)
@@ -141,7 +141,7 @@ def read_high_water(spark: SparkSession, out: str) -> DataFrame:
 # --------------------------------------------------------------------------- S4: republish
 
 def stream_republish(spark: SparkSession, src: str, out: str, source_type: str, target_type: str,
-                     transform: Callable[[DataFrame], DataFrame], max_files: int = 4) -> None:
+                     transform: Callable[[DataFrame], DataFrame], max_files: int = 16) -> None:
     """Consume one event type, map it, publish each source batch as one
     message (a JSON array) to the target event type."""
     def sink(df: DataFrame, batch_id: int) -> None:
