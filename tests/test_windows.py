@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.greedy import greedy_windows
-from tidemark.plans.numbering import chunked_running, offset_chunk
+from tidemark.plans.numbering import chunked_lag, chunked_running, offset_chunk
 
 
 def test_chunked_running_equals_window(spark):
@@ -52,3 +52,12 @@ def test_greedy_windows_match_sequential(spark):
         w = greedy_windows(df, ["k"], "o", "ts", max_rows=n, max_seconds=secs, rows_per_chunk=chunk)
         got = {(r.k, r.first_offset, r.n_events) for r in w.collect()}
         assert got == brute(rows, n, secs), (n, secs, chunk)
+
+
+def test_chunked_lag_equals_window(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice("abc"), o, rnd.randrange(1000)) for o in rnd.sample(range(2000), 600)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    ref = df.select("k", "o", F.lag("v").over(Window.partitionBy("k").orderBy("o")).alias("p"))
+    got = chunked_lag(df, ["k"], "o", "v", offset_chunk("o", 50), "p").select("k", "o", "p")
+    assert sorted(tuple(r) for r in ref.collect()) == sorted(tuple(r) for r in got.collect())

@@ -3,8 +3,8 @@
 All operators take the log as a DataFrame with (event_type, partition,
 offset) and work on every partition at once.  Offsets of a log partition
 are dense (the log assigns them consecutively), so "the n-th event after a
-cursor" and "the previous event" are arithmetic on the offset: batching,
-count limits and gap detection need no per-partition window, and no
+cursor" is arithmetic on the offset: batching and count limits need no
+per-partition window.  Gap detection uses offset-range chunks.  No log
 partition ever has to fit in one task.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.offsets import BEGIN, offset_to_long
+from tidemark.plans.numbering import chunked_lag, offset_chunk
 
 KEYS = ["event_type", "partition"]
 # Cursor tables are one row per log partition (bounded by the topic's
@@ -135,16 +136,18 @@ def drop_keep_alives(messages: DataFrame) -> DataFrame:
 
 
 def detect_stalled_partitions(log: DataFrame, flush_timeout_seconds: int,
-                              ts: str = "occurred_at") -> DataFrame:
+                              ts: str = "occurred_at", rows_per_chunk: int = 1 << 20) -> DataFrame:
     """Gaps between consecutive events of a partition above 1.5 x the
     flush timeout (the point where a consumer would raise a timeout).
 
-    The previous event is offset - 1: an equi-join on the partition key and
-    offset, co-partitioned on both sides; no per-partition window."""
+    The previous event's time is a chunked ``lag`` (offset-range chunks):
+    one shuffle of the narrow (key, offset, time) projection plus a
+    one-row-per-chunk table, instead of a per-partition window or a
+    self-join that shuffles the log twice."""
     limit_us = int(flush_timeout_seconds * 1.5 * 1_000_000)
     cur = log.select(*KEYS, "offset", F.unix_micros(F.col(ts)).alias("_t"))
-    prev = cur.select(*KEYS, (F.col("offset") + 1).alias("offset"), F.col("_t").alias("_prev_t"))
-    gaps = cur.join(prev, [*KEYS, "offset"]).withColumn("gap_us", F.col("_t") - F.col("_prev_t"))
+    gaps = chunked_lag(cur, KEYS, "offset", "_t", offset_chunk("offset", rows_per_chunk), "_prev_t") \
+        .withColumn("gap_us", F.col("_t") - F.col("_prev_t"))
     return (gaps.filter(F.col("gap_us") > limit_us)
             .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_stalls"),
                                 F.floor(F.max("gap_us") / 1_000_000).cast("bigint").alias("max_gap_seconds")))

@@ -95,3 +95,26 @@ def hash_prefix_chunk(hex_col: Column | str, digits: int = 4) -> Column:
     """Chunk by the leading hex digits of a uniformly distributed hash."""
     h = F.col(hex_col) if isinstance(hex_col, str) else hex_col
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("bigint")
+
+
+def chunked_lag(df: DataFrame, keys: Sequence[str], order: str, value: str, chunk: Column,
+                out: str) -> DataFrame:
+    """``lag(value)`` per key in ``order`` without a whole key in one task.
+
+    Inside a (key, chunk) the previous row comes from a window; the first
+    row of a chunk takes the last row of the key's previous non-empty chunk,
+    found in the small one-row-per-chunk table."""
+    keys = list(keys)
+    ck = "_chunk"
+    data = df.withColumn(ck, chunk)
+    part = [*keys, ck]
+    w = Window.partitionBy(*part).orderBy(order)
+    data = data.withColumn("_in_chunk", F.lag(value).over(w))
+    last = data.groupBy(*part).agg(F.max_by(F.col(value), F.col(order)).alias("_last"))
+    wprev = Window.partitionBy(*keys).orderBy(ck)
+    prev = last.select(*part, F.lag("_last").over(wprev).alias("_prev_chunk_last"))
+    first = F.min(order).over(Window.partitionBy(*part))
+    j = data.join(prev, part, "left")
+    return (j.withColumn(out, F.when(F.col(order) == first, F.col("_prev_chunk_last"))
+                         .otherwise(F.col("_in_chunk")))
+            .drop(ck, "_in_chunk", "_prev_chunk_last"))

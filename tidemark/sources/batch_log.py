@@ -104,8 +104,10 @@ def wire_lines(log: DataFrame, batch_limit: int = 5, faults: bool = True,
 
 def write_batch_log(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Sink: one text line per batch under ``event_type=<name>/``; lines of a
-    partition are written in (offset, line) order."""
-    (lines.repartition("event_type", "partition")
+    partition are written in (offset, line) order.  Range partitioning on
+    (event_type, partition, offset) splits a hot log partition over many
+    writer tasks instead of one."""
+    (lines.repartitionByRange("event_type", "partition", "cursor_offset")
      .sortWithinPartitions("event_type", "partition", "cursor_offset", "line_seq")
      .select("event_type", "value")
      .write.mode(mode).partitionBy("event_type").text(path))

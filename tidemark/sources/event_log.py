@@ -34,7 +34,7 @@ LOG_COLUMNS = ["event_type", "partition", "offset", "offset_text", "eid", "occur
                "kind", "data_type", "data_op", "flow_id", "payload", "event_id", "user_id"]
 
 
-def derive_event_log(events: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
+def derive_event_log(events: DataFrame, chunk_seconds: int = 60) -> DataFrame:
     """F1 as a lazy plan over the raw ``events`` table."""
     eid = F.col("event_id")
     base = events.select(
