@@ -14,13 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.offsets import BEGIN, offset_to_long
+from tidemark.plans.joins import broadcast_if_small
 from tidemark.plans.numbering import chunked_lag, offset_chunk
 
 KEYS = ["event_type", "partition"]
-# Cursor tables are one row per log partition (bounded by the topic's
-# partition count, not by data volume); above this row count the join is
-# left to AQE instead of an explicit broadcast.
-MAX_BROADCAST_CURSORS = 100_000
 
 
 def cursor_start(cursor_text: Column) -> Column:
@@ -32,12 +29,6 @@ def cursor_start(cursor_text: Column) -> Column:
             .otherwise(offset_to_long(cursor_text) + 1)).cast("bigint")
 
 
-def _small(df: DataFrame, bound_rows: int | None) -> DataFrame:
-    if bound_rows is not None and bound_rows <= MAX_BROADCAST_CURSORS:
-        return F.broadcast(df)
-    return df
-
-
 def resolve_start_cursor(requests: DataFrame, commits: DataFrame) -> DataFrame:
     """A3: per (group, event type, partition): explicit offset, else the
     committed checkpoint, else no cursor (start of stream).
@@ -47,7 +38,7 @@ def resolve_start_cursor(requests: DataFrame, commits: DataFrame) -> DataFrame:
     """
     c = commits.select("group_id", "event_type", F.col("partition_id").alias("partition"),
                        F.col("checkpoint_id").alias("_committed"))
-    j = requests.join(F.broadcast(c), ["group_id", "event_type", "partition"], "left")
+    j = requests.join(broadcast_if_small(c), ["group_id", "event_type", "partition"], "left")
     return j.select("group_id", "event_type", "partition",
                     F.coalesce("explicit_offset", "_committed").alias("start_cursor"),
                     F.when(F.col("explicit_offset").isNotNull(), "explicit")
@@ -55,16 +46,15 @@ def resolve_start_cursor(requests: DataFrame, commits: DataFrame) -> DataFrame:
                     .otherwise("none").alias("cursor_source"))
 
 
-def read_from_cursor(log: DataFrame, cursors: DataFrame, cursor_col: str = "start_cursor",
-                     cursor_rows: int | None = 0) -> DataFrame:
+def read_from_cursor(log: DataFrame, cursors: DataFrame, cursor_col: str = "start_cursor") -> DataFrame:
     """A4/A5: events strictly after each partition's cursor; partitions
     without a cursor row (or with a null cursor) start at offset 0.
 
-    ``cursors`` is one row per (event_type, partition); ``cursor_rows`` is
-    its known row bound (0 = tiny).  The join key is the partition key, so
-    the log side is never reshuffled when the cursor side is broadcast."""
+    ``cursors`` is one row per (event_type, partition).  Once its size is
+    checked it is broadcast, so the log side is never shuffled for the
+    join (a partition holding a third of the log stays spread out)."""
     c = cursors.select(*KEYS, cursor_start(F.col(cursor_col)).alias("_start"))
-    j = log.join(_small(c, cursor_rows), KEYS, "left")
+    j = log.join(broadcast_if_small(c), KEYS, "left")
     return j.filter(F.col("offset") >= F.coalesce(F.col("_start"), F.lit(0))) \
         .withColumn("start_offset", F.coalesce(F.col("_start"), F.lit(0).cast("bigint"))).drop("_start")
 
@@ -116,8 +106,11 @@ def close_on_keep_alives(batches: DataFrame, keep_alive_limit: int) -> DataFrame
     A keep-alive carries the cursor of the last delivered batch (the cursor
     only moves with events), so a run of consecutive empty batches is the
     set of empty batches sharing one cursor.  Run lengths are a grouped
-    count, the closing cursor a grouped min: no ordering window.
-    ``batches``: event_type, partition, cursor_offset_long, n_events."""
+    count, the closing cursor a grouped min: no ordering window.  The
+    per-partition closing table is size-checked and broadcast, so the
+    batches are never shuffled by partition key.  ``batches`` (event_type,
+    partition, cursor_offset_long, n_events) is read twice: pass a
+    materialised table."""
     nonempty = batches.filter(F.col("n_events") > 0)
     if keep_alive_limit <= 0:
         return nonempty
@@ -125,7 +118,7 @@ def close_on_keep_alives(batches: DataFrame, keep_alive_limit: int) -> DataFrame
             .groupBy(*KEYS, "cursor_offset_long").agg(F.count(F.lit(1)).alias("_run"))
             .filter(F.col("_run") >= keep_alive_limit)
             .groupBy(*KEYS).agg(F.min("cursor_offset_long").alias("_close_at")))
-    j = nonempty.join(runs, KEYS, "left")
+    j = nonempty.join(broadcast_if_small(runs), KEYS, "left")
     return j.filter(F.col("_close_at").isNull() | (F.col("cursor_offset_long") <= F.col("_close_at"))) \
         .drop("_close_at")
 
