@@ -242,11 +242,17 @@ def round_trip_events(spark, sf):
                      F.col("event_type").alias("meta_event_type"),
                      F.to_json(F.parse_json("payload")).alias("payload"))
     right = dec.select(*cols, "payload")
-    n_left = left.exceptAll(right).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(1))
-    n_right = right.exceptAll(left).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(1))
-    n = lg.agg(F.count(F.lit(1)).alias("n_events")).withColumn("k", F.lit(1))
-    return n.join(n_left.withColumnRenamed("n", "n_only_original"), "k") \
-        .join(n_right.withColumnRenamed("n", "n_only_round_trip"), "k").drop("k")
+    # exceptAll in both directions as one tagged aggregate: per distinct row,
+    # how often it occurs on each side (one scan of each side)
+    tagged = left.withColumn("_l", F.lit(1)).withColumn("_r", F.lit(0)).unionByName(
+        right.withColumn("_l", F.lit(0)).withColumn("_r", F.lit(1)))
+    per_row = tagged.groupBy(*cols, "payload").agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+    return per_row.agg(
+        F.sum("l").cast("bigint").alias("n_events"),
+        F.coalesce(F.sum(F.greatest(F.col("l") - F.col("r"), F.lit(0))), F.lit(0)).cast("bigint")
+        .alias("n_only_original"),
+        F.coalesce(F.sum(F.greatest(F.col("r") - F.col("l"), F.lit(0))), F.lit(0)).cast("bigint")
+        .alias("n_only_round_trip"))
 
 
 def encode_cursors(spark, sf):
