@@ -162,7 +162,12 @@ def republish(spark, sf):
 
 
 def register_event_types(spark, sf):
-    return publish.latest_event_types(fx.event_type_defs(spark, sf)) \
+    """Both definition versions are appended to a registry table; the
+    registry answers with the latest per name."""
+    path = _scratch(spark, "event-type-registry")
+    defs = fx.event_type_defs(spark, sf)
+    publish.register_event_types(spark, defs.filter(F.col("version") == 1), path)
+    return publish.register_event_types(spark, defs.filter(F.col("version") == 2), path) \
         .select("name", F.col("version").cast("bigint").alias("version"), "owning_application", "category")
 
 
@@ -455,7 +460,11 @@ def commit_fold(spark, sf):
 
 
 def commit_get(spark, sf):
-    g = commits.commit_get(fx.commits(spark, sf), fx.lease_requests(spark, sf))
+    """D7 against the stored table: the fixture rows are written as a table
+    version (partitioned by event_type, group_id) and read back."""
+    root = _scratch(spark, "commits-table")
+    commits.write_table_version(spark, fx.commits(spark, sf), root, 1)
+    g = commits.commit_get(commits.read_latest_version(spark, root), fx.lease_requests(spark, sf))
     return g.select(*commits.TABLE_KEYS, "checkpoint_id", "lease_counter")
 
 

@@ -168,10 +168,16 @@ def lease_counters(states: DataFrame) -> DataFrame:
 def commit_get(table: DataFrame, requests: DataFrame) -> DataFrame:
     """The row for each requested key, or nulls when absent.  With the
     table partitioned by (event_type, group_id) the scan is pruned to the
-    requested directories."""
+    requested directories (dynamic partition pruning from the request side)."""
     return requests.join(table, TABLE_KEYS, "left")
 
 
+def commit_get_one(table: DataFrame, group_id: str, event_type: str, partition_id: str) -> DataFrame:
+    """D7 for one key: literal predicates prune the scan to one directory."""
+    return table.filter((F.col("event_type") == event_type) & (F.col("group_id") == group_id)
+                        & (F.col("partition_id") == partition_id))
+
+
 # --------------------------------------------------------------------------- storage
 
 def write_table_version(spark: SparkSession, table: DataFrame, root: str, version: int) -> str:

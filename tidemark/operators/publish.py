@@ -63,3 +63,10 @@ def latest_event_types(defs: DataFrame) -> DataFrame:
     return defs.groupBy("name").agg(F.max("version").alias("version"),
                                     F.max_by(s, "version").alias("_d")) \
         .select("name", "version", *[F.col("_d." + c).alias(c) for c in cols])
+
+
+def register_event_types(spark: SparkSession, defs: DataFrame, path: str) -> DataFrame:
+    """Append definitions to the registry table and return the latest
+    definition per name."""
+    defs.write.mode("append").parquet(path)
+    return latest_event_types(spark.read.parquet(path))
