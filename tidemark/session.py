@@ -63,6 +63,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - some deployments refuse core keys here
+            root = None
     if not root:
         key = id(sc._jsc)
         root = _LOCAL_ROOTS.get(key)
