@@ -105,7 +105,8 @@ def limit_stream_by_time(spark, sf):
 def close_on_keep_alives(spark, sf):
     # decoded once (checkpoint): the run table is derived from the same
     # messages it is joined back to
-    d = consume.close_on_keep_alives(fx.messages(spark, sf).checkpoint(eager=True), 2)
+    m = fx.messages(spark, sf).select(*KEYS, "cursor_offset_long", "n_events")
+    d = consume.close_on_keep_alives(m.checkpoint(eager=True), 2)
     return d.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_batches"),
                                 F.max("cursor_offset_long").alias("last_cursor"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.offsets import BEGIN, offset_to_long
-from tidemark.plans.joins import broadcast_if_small
+from tidemark.plans.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 from tidemark.plans.numbering import chunked_lag, offset_chunk
 
 KEYS = ["event_type", "partition"]
@@ -50,15 +50,39 @@ def read_from_cursor(log: DataFrame, cursors: DataFrame, cursor_col: str = "star
     """A4/A5: events strictly after each partition's cursor; partitions
     without a cursor row (or with a null cursor) start at offset 0.
 
-    ``cursors`` is one row per (event_type, partition).  Once its size is
-    checked it is broadcast, so the log side is never shuffled for the
-    join (a partition holding a third of the log stays spread out)."""
+    ``cursors`` is one row per (event_type, partition).  It is collected
+    once with a row bound: that proves the broadcast safe (the log side is
+    never shuffled for the join, so a partition holding a third of the log
+    stays spread out) and yields a literal predicate ``partition = p AND
+    offset >= s`` that reaches the Parquet scan, where the offset min/max
+    statistics skip row groups before the cursor.  The join still applies
+    the exact per-(event type, partition) start."""
     c = cursors.select(*KEYS, cursor_start(F.col(cursor_col)).alias("_start"))
-    j = log.join(broadcast_if_small(c), KEYS, "left")
+    rows = c.limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(rows) <= MAX_BROADCAST_ROWS:
+        log = log.filter(cursor_scan_predicate(rows))
+        c = F.broadcast(c)
+    j = log.join(c, KEYS, "left")
     return j.filter(F.col("offset") >= F.coalesce(F.col("_start"), F.lit(0))) \
         .withColumn("start_offset", F.coalesce(F.col("_start"), F.lit(0).cast("bigint"))).drop("_start")
 
 
+def cursor_scan_predicate(rows) -> Column:
+    """A superset filter on data columns only (pushable to Parquet): per
+    partition id the smallest start over event types; partition ids
+    without a cursor keep everything."""
+    starts: dict[str, int] = {}
+    for r in rows:
+        s = 0 if r["_start"] is None else int(r["_start"])
+        starts[r["partition"]] = min(s, starts.get(r["partition"], s))
+    if not starts:
+        return F.lit(True)
+    pred = ~F.col("partition").isin(*starts.keys())
+    for p, s in starts.items():
+        pred = pred | ((F.col("partition") == p) & (F.col("offset") >= F.lit(s)))
+    return pred
+
+
 def partition_summary(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Per-partition delivered count, first and last offset (partial +
     final aggregate)."""
