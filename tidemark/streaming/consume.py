@@ -42,13 +42,20 @@ def decode_micro_batch(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return msgs, events, bad
 
 
-def consume_sink(out: str, on_batch: Callable[[DataFrame, DataFrame, int], None] | None = None):
-    """S1 sink: decoded events and quarantined lines, one directory per batch."""
+def consume_sink(out: str, on_batch: Callable[[DataFrame, DataFrame, int], None] | None = None,
+                 start_cursors: DataFrame | None = None):
+    """S1 sink: decoded events and quarantined lines, one directory per batch.
+
+    ``start_cursors`` (event_type, partition, start_cursor) starts a fresh
+    checkpoint of an existing consumer group after its committed (or an
+    explicit) cursor: events at or before it are not delivered (S6)."""
     def run(df: DataFrame, batch_id: int) -> None:
         # parse each micro-batch once; both outputs and the hook read the cache
         df = df.persist()
         try:
             msgs, events, bad = decode_micro_batch(df)
+            if start_cursors is not None:
+                events = consume.read_from_cursor(events, start_cursors).drop("start_offset")
             events.select(*EVENT_COLUMNS).write.mode("overwrite").parquet(_batch_dir(f"{out}/events", batch_id))
             bad.write.mode("overwrite").parquet(_batch_dir(f"{out}/quarantine", batch_id))
             if on_batch is not None:
@@ -66,12 +73,24 @@ def start(spark: SparkSession, src: str, checkpoint: str, sink, max_files: int =
     return w.start()
 
 
-def stream_consume(spark: SparkSession, src: str, out: str, max_files: int = 16) -> None:
+def stream_consume(spark: SparkSession, src: str, out: str, max_files: int = 16,
+                   start_cursors: DataFrame | None = None) -> None:
     """Log -> decode / quarantine -> drop keep-alives -> events."""
-    q = start(spark, src, f"{out}/_checkpoint", consume_sink(out), max_files)
+    q = start(spark, src, f"{out}/_checkpoint", consume_sink(out, start_cursors=start_cursors), max_files)
     q.awaitTermination()
 
 
+def consume_for(spark: SparkSession, src: str, out: str, timeout_seconds: float,
+                max_files: int = 16) -> None:
+    """A9 on a live stream: the consumer runs with processing-time triggers
+    and is closed ``timeout_seconds`` after it was opened."""
+    q = start(spark, src, f"{out}/_checkpoint", consume_sink(out), max_files, available_now=False)
+    try:
+        q.awaitTermination(timeout_seconds)
+    finally:
+        q.stop()
+
+
 def read_events(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/events")
 
