@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.offsets import BEGIN, offset_to_long
-from tidemark.plans.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from tidemark.plans.joins import broadcast_if_small, collect_small
 from tidemark.plans.numbering import chunked_lag, offset_chunk
 
 KEYS = ["event_type", "partition"]
@@ -58,10 +58,10 @@ def read_from_cursor(log: DataFrame, cursors: DataFrame, cursor_col: str = "star
     statistics skip row groups before the cursor.  The join still applies
     the exact per-(event type, partition) start."""
     c = cursors.select(*KEYS, cursor_start(F.col(cursor_col)).alias("_start"))
-    rows = c.limit(MAX_BROADCAST_ROWS + 1).collect()
-    if len(rows) <= MAX_BROADCAST_ROWS:
+    rows = collect_small(c)
+    if rows is not None:
         log = log.filter(cursor_scan_predicate(rows))
-        c = F.broadcast(c)
+        c = F.broadcast(c.sparkSession.createDataFrame(rows, c.schema))
     j = log.join(c, KEYS, "left")
     return j.filter(F.col("offset") >= F.coalesce(F.col("_start"), F.lit(0))) \
         .withColumn("start_offset", F.coalesce(F.col("_start"), F.lit(0).cast("bigint"))).drop("_start")

@@ -11,10 +11,19 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
+def collect_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS):
+    """Rows of ``df`` if it has at most ``max_rows`` rows, else None.  The
+    check collects at most ``max_rows + 1`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows
-    (a ``limit(max_rows + 1)`` count, so the check itself stays small).
-    Larger tables are left to the planner (shuffle join, or AQE's runtime
-    broadcast)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """A broadcastable copy of ``df`` when its size is proven small (built
+    from the rows already collected for the check, so the small side is not
+    computed again), else ``df`` itself for a shuffle join or AQE's runtime
+    choice."""
+    rows = collect_small(df, max_rows)
+    if rows is None:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
