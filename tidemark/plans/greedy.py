@@ -41,6 +41,8 @@ from tidemark.functions.datetime import format_offset_datetime
 from tidemark.plans.numbering import chunked_running, offset_chunk
 
 _BIG = np.iinfo(np.int64).max // 4
+_NEG = -(1 << 62)
+_POS = 1 << 62
 
 
 def _next_starts(ts: np.ndarray, n: int | None, t_us: int | None) -> np.ndarray:
@@ -86,14 +88,13 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
     base = base.checkpoint(eager=True)
     key_fields = _schema_keys(df, keys)
 
-    # -- 2. per chunk: exit state for every candidate number of absorbed rows
+    # -- 2. per chunk: exit state for every candidate number of absorbed rows,
+    # run-length encoded (paths from different entries merge quickly, so a
+    # chunk contributes a handful of runs, not one row per candidate)
     cand_schema = T.StructType([*key_fields, T.StructField("_c", T.LongType()),
                                 T.StructField("L", T.LongType()),
-                                T.StructField("prefix_ts", T.ArrayType(T.LongType())),
-                                T.StructField("ms", T.ArrayType(T.LongType())),
-                                T.StructField("ex_start", T.ArrayType(T.LongType())),
-                                T.StructField("ex_t", T.ArrayType(T.LongType())),
-                                T.StructField("ex_cnt", T.ArrayType(T.LongType()))])
+                                *[T.StructField(f, T.ArrayType(T.LongType()))
+                                  for f in ("r_s", "r_e", "r_lo", "r_hi", "ex_start", "ex_t", "ex_cnt")]])
 
     def candidates(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_i")
@@ -107,7 +108,7 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
         if t_us:
             M = min(M, int(np.searchsorted(ts, ts[0] + t_us, side="left")))
         memo: dict[int, tuple[int, int, int]] = {}
-        out_m, out_s, out_t, out_c = [], [], [], []
+        exits = []
         for m in range(0, M + 1):
             path = []
             x = m
@@ -119,18 +120,32 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
                     break
                 x = y
             res = memo[x]
-            for p in path:
-                memo[p] = res
-            out_m.append(m)
-            out_s.append(res[0])
-            out_t.append(res[1])
-            out_c.append(res[2])
+            for q in path:
+                memo[q] = res
+            exits.append(res)
+        if M == L - 1:
+            exits.append(None)          # the whole chunk absorbed: the open window passes through
+        runs = {f: [] for f in ("r_s", "r_e", "r_lo", "r_hi", "ex_start", "ex_t", "ex_cnt")}
+        m = 0
+        while m < len(exits):
+            e = m
+            while e + 1 < len(exits) and exits[e + 1] == exits[m]:
+                e += 1
+            ex = exits[m] or (-1, -1, -1)
+            runs["r_s"].append(m)
+            runs["r_e"].append(e)
+            # absorbing m rows by time means ts[m-1] < start + t <= ts[m]
+            runs["r_lo"].append(int(ts[m - 1]) if m > 0 else _NEG)
+            runs["r_hi"].append(int(ts[e]) if e < L and e < len(exits) - 1 else _POS)
+            runs["ex_start"].append(ex[0])
+            runs["ex_t"].append(ex[1])
+            runs["ex_cnt"].append(ex[2] if exits[m] is not None else -1)
+            m = e + 1
         row = {k: pdf[k].iloc[0] for k in keys}
-        row.update(_c=int(pdf["_c"].iloc[0]), L=L, prefix_ts=[int(v) for v in ts[:M + 1]],
-                   ms=out_m, ex_start=out_s, ex_t=out_t, ex_cnt=out_c)
+        row.update(_c=int(pdf["_c"].iloc[0]), L=L, **runs)
         return pd.DataFrame([row])
 
-    # -- 4. per chunk: assign rows to windows, partial aggregates
+    # -- 4. per chunk: assign rows to windows from the entry state, partial aggregates
     part_schema = T.StructType([*key_fields, T.StructField("window_start", T.LongType()),
                                 T.StructField("n_events", T.LongType()),
                                 T.StructField("first_offset", T.LongType()),
@@ -143,8 +158,8 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
         ts = pdf["_t"].to_numpy(np.int64)
         idx = pdf["_i"].to_numpy(np.int64)
         L = len(ts)
-        m = int(pdf["m"].iloc[0])
         in_start = int(pdf["in_start"].iloc[0])
+        m = 0 if in_start < 0 else _absorbed(ts, L, n, t_us, int(pdf["in_t"].iloc[0]), int(pdf["in_cnt"].iloc[0]))
         wstart = np.empty(L, dtype=np.int64)
         wstart[:min(m, L)] = in_start
         if m < L:
@@ -167,33 +182,41 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
     # fresh (no window is open at its start), so steps 2-3 are skipped.  The
     # check reads one column of the checkpointed numbering.
     if base.agg(F.max("_c")).first()[0] in (None, 0):
-        rows = base.withColumn("m", F.lit(0).cast("bigint")).withColumn("in_start", F.lit(-1).cast("bigint"))
+        rows = (base.withColumn("in_start", F.lit(-1).cast("bigint"))
+                .withColumn("in_t", F.lit(0).cast("bigint")).withColumn("in_cnt", F.lit(0).cast("bigint")))
     else:
         cand = base.groupBy(*keys, "_c").applyInPandas(candidates, cand_schema)
 
-        # -- 3. per key: chain the chunks (small table)
+        # -- 3. per key: chain the chunks over the small run table; each
+        # chunk gets the state of the window open at its start
         entry_schema = T.StructType([*key_fields, T.StructField("_c", T.LongType()),
-                                     T.StructField("m", T.LongType()),
-                                     T.StructField("in_start", T.LongType())])
+                                     T.StructField("in_start", T.LongType()),
+                                     T.StructField("in_t", T.LongType()),
+                                     T.StructField("in_cnt", T.LongType())])
 
         def chain(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("_c")
-            state = None  # (start_idx, start_ts, count)
-            rows = []
+            state = None  # (start_idx, start_ts, rows so far)
+            out = []
             for r in pdf.to_dict("records"):
                 L = int(r["L"])
+                out.append({**{k: r[k] for k in keys}, "_c": r["_c"],
+                            "in_start": -1 if state is None else state[0],
+                            "in_t": 0 if state is None else state[1],
+                            "in_cnt": 0 if state is None else state[2]})
                 if state is None:
-                    m, in_start = 0, -1
+                    k_run = 0
                 else:
-                    m = _absorbed(np.asarray(r["prefix_ts"], dtype=np.int64), L, n, t_us, state[1], state[2])
-                    in_start = state[0]
-                rows.append({**{k: r[k] for k in keys}, "_c": r["_c"], "m": m, "in_start": in_start})
-                if m >= L:
+                    x = state[1] + t_us if t_us else _POS
+                    k_run = next(k for k in range(len(r["r_s"])) if r["r_lo"][k] < x <= r["r_hi"][k])
+                    if n and n - state[2] < r["r_s"][k_run]:
+                        m = n - state[2]
+                        k_run = next(k for k in range(len(r["r_s"])) if r["r_s"][k] <= m <= r["r_e"][k])
+                if r["ex_cnt"][k_run] < 0:      # pass-through
                     state = (state[0], state[1], state[2] + L)
                 else:
-                    j = list(r["ms"]).index(m)
-                    state = (int(r["ex_start"][j]), int(r["ex_t"][j]), int(r["ex_cnt"][j]))
-            return pd.DataFrame(rows, columns=[f.name for f in entry_schema.fields])
+                    state = (int(r["ex_start"][k_run]), int(r["ex_t"][k_run]), int(r["ex_cnt"][k_run]))
+            return pd.DataFrame(out, columns=[f.name for f in entry_schema.fields])
 
         entries = cand.groupBy(*keys).applyInPandas(chain, entry_schema)
         rows = base.join(entries, [*keys, "_c"], "inner")
