@@ -351,7 +351,7 @@ def offset_map_non_empty(spark, sf):
         .join(offsets.offset_map_diff(offsets.offset_map(cur), offsets.offset_map(committed)),
               ["key", "offset"], "left_semi")
     flags = offsets.offset_map_non_empty(diff, ["event_type"])
-    return lg.select("event_type").distinct().join(flags, "event_type", "left") \
+    return fx.partitions(spark, sf).select("event_type").distinct().join(flags, "event_type", "left") \
         .select("event_type", F.coalesce("non_empty", F.lit(False)).alias("non_empty"))
 
 

@@ -16,7 +16,7 @@ from tidemark.functions.datetime import format_offset_datetime
 from tidemark.functions.offsets import BEGIN, offset_text
 from tidemark.operators import codec, consume, offsets
 from tidemark.sources.batch_log import read_batch_log, wire_log
-from tidemark.sources.event_log import event_log
+from tidemark.sources.event_log import event_log, partition_catalog
 
 # Fixed parameters of the fixture scenarios.
 NOW = "2024-02-01 00:00:00"          # "now" for leases and commits
@@ -45,7 +45,8 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def partitions(spark: SparkSession, sf: str) -> DataFrame:
-    return log(spark, sf).select("event_type", "partition").distinct()
+    """(event_type, partition) pairs from the partition catalogue."""
+    return partition_catalog(spark, sf).select("event_type", "partition")
 
 
 def explicit_cursors(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +110,7 @@ def producer_events(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
 def event_type_defs(spark: SparkSession, sf: str) -> DataFrame:
     """Two registered versions per event type; version 2 changes the owner
     of click and view and gives view a category outside the enumeration."""
-    names = log(spark, sf).select(F.col("event_type").alias("name")).distinct()
+    names = partitions(spark, sf).select(F.col("event_type").alias("name")).distinct()
     n = F.col("name")
 
     def version(v: int) -> DataFrame:

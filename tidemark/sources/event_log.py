@@ -141,6 +141,26 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cached_read(spark, path, lambda: spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS))
 
 
+def partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic layout: one row per (event_type, partition), with its
+    event count and offset range; written once next to the log (the log's
+    metadata, so consumers never scan the log to list partitions)."""
+    path = f"{log_root(spark, sf_dir)}/partitions"
+
+    def write(p: str) -> None:
+        (event_log(spark, sf_dir).groupBy("event_type", "partition")
+         .agg(F.count(F.lit(1)).alias("n_events"), F.min("offset").alias("first_offset"),
+              F.max("offset").alias("last_offset"))
+         .coalesce(1).write.mode("overwrite").parquet(p))
+
+    key = (id(spark._jsparkSession), path)
+    if key not in _READ_CACHE:
+        materialise(spark, path, write)
+    return cached_read(spark, path, lambda: spark.read.schema(
+        "event_type string, partition string, n_events bigint, first_offset bigint, last_offset bigint")
+        .parquet(path))
+
+
 def with_arrival_seq(log: DataFrame, hex_digits: int = 4) -> DataFrame:
     """Out-of-order arrival: ``arrival_seq`` = global rank by eid (an MD5).
 
