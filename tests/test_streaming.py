@@ -75,3 +75,22 @@ def test_consume_for_stops(spark):
     # whatever was delivered before the close is a prefix of the batch result
     got = streams.read_events(spark, out).select("event_type", "partition", "offset")
     assert got.subtract(fx.events(spark, SF_SMALL).select("event_type", "partition", "offset")).count() == 0
+
+
+def test_stream_publish_markers_follow_messages(spark):
+    """A16 live: every marker belongs to a stored message of the same or an
+    earlier micro-batch; all messages are stored once."""
+    stage = _out(spark, "producer")
+    out = _out(spark, "published")
+    pe = fx.producer_events(spark, SF_SMALL)
+    marker = pe.filter(F.col("position") == 0).select("message_id", F.col("eid").alias("marker"))
+    rows = pe.join(marker, "message_id")
+    rows.repartition(4, "message_id").write.parquet(stage)
+    streams.stream_publish_with_markers(spark, stage, rows.schema, out, "audit", max_files=1)
+    msgs = spark.read.parquet(f"{out}/messages")
+    marks = spark.read.parquet(f"{out}/markers")
+    assert msgs.count() == msgs.select("message_id").distinct().count() == pe.select("message_id").distinct().count()
+    stored = msgs.select("message_id", F.col("batch_id").cast("bigint").alias("stored_in"))
+    j = marks.withColumn("acked_in", F.col("batch_id").cast("bigint")).join(stored, "message_id", "left")
+    assert marks.count() == msgs.count()
+    assert j.filter(F.col("stored_in").isNull() | (F.col("stored_in") > F.col("acked_in"))).count() == 0

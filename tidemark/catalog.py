@@ -431,7 +431,13 @@ def commit_put(spark, sf):
         F.when(F.col("partition") == "1", F.lit(5)).cast("bigint").alias("lease_counter"),
         now.alias("lease_timestamp"), F.lit(None).cast("string").alias("lease_id"))
     puts = good.unionByName(g2).unionByName(g3)
-    return _table_out(commits.commit_put(fx.commits(spark, sf), puts))
+    # the stored table is version 1; the put batch writes version 2, which
+    # readers pick up once it is complete
+    root = _scratch(spark, "commits-put")
+    commits.write_table_version(spark, fx.commits(spark, sf), root, 1)
+    current = commits.read_latest_version(spark, root)
+    commits.write_table_version(spark, commits.commit_put(current, puts), root, 2)
+    return _table_out(commits.read_latest_version(spark, root))
 
 
 def _fold_puts(spark, sf):

@@ -192,3 +192,31 @@ def read_published(spark: SparkSession, out: str) -> DataFrame:
     ev = t.select(F.explode(F.from_json("value", "array<string>")).alias("e"))
     return ev.select(F.get_json_object("e", "$.metadata.eid").alias("new_eid"),
                      F.get_json_object("e", "$.metadata.parent_eids[0]").alias("parent_eid"))
+
+
+# --------------------------------------------------------------------------- A16 live
+
+def stream_publish_with_markers(spark: SparkSession, producer_src: str, schema, out: str,
+                                target_type: str, max_files: int = 16) -> None:
+    """A16 as a stream: producer rows (message_id, position, eid, flow_id,
+    event_json, marker) land as files; each micro-batch first stores its
+    messages, then appends the markers of exactly those messages.  A marker
+    therefore never precedes its message, and a replayed batch rewrites the
+    same two directories."""
+    from tidemark.operators import publish
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            bodies = publish.publish_messages(df, target_type)
+            bodies.select("event_type", "message_id", "flow_id", "body").write.mode("overwrite") \
+                .parquet(_batch_dir(f"{out}/messages", batch_id))
+            (df.filter(F.col("position") == 0).select("message_id", "marker")
+             .write.mode("overwrite").parquet(_batch_dir(f"{out}/markers", batch_id)))
+        finally:
+            df.unpersist()
+
+    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(producer_src)
+         .writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
