@@ -71,9 +71,19 @@ def _compact(items: list[str]) -> str:
     return "filter(array(" + ", ".join(items) + "), x -> x IS NOT NULL)"
 
 
-def _typed(cond: str, v: str, path: str, missing: bool = True) -> list[str]:
-    out = [_err(f"{cond} AND {v} IS NULL", path, MISSING)] if missing else []
-    return out + [_err(f"{cond} AND {v} IS NOT NULL AND NOT {_is_str(v)}", path, NOT_STRING)]
+def _typed(cond: str, v: str, path: str, missing: bool = True) -> list[tuple[str, str, str]]:
+    out = [(f"{cond} AND {v} IS NULL", path, MISSING)] if missing else []
+    return out + [(f"{cond} AND {v} IS NOT NULL AND NOT {_is_str(v)}", path, NOT_STRING)]
+
+
+def _errors_of(checks: list[tuple[str, str, str]]) -> str:
+    """The failing checks as an array of (path, reason)."""
+    return _compact([_err(c, p, r) for c, p, r in checks])
+
+
+def _any_of(checks: list[tuple[str, str, str]]) -> str:
+    """Whether any check fails (NULL counts as passing, as in CASE WHEN)."""
+    return "(" + " OR ".join(f"coalesce({c}, false)" for c, _, _ in checks) + ")"
 
 
 # One shallow cast per object level extracts every field the checks need:
@@ -95,8 +105,9 @@ def event_facts_sql(events: str) -> str:
             f"'md', try_variant_get(f.top.metadata, '$', '{METADATA_FIELDS}')))")
 
 
-def event_errors_sql(f: str = "f") -> str:
-    """Validation errors of one event from its facts struct ``f``."""
+def event_checks(f: str = "f") -> list[tuple[str, str, str]]:
+    """Validation checks (condition, path, reason) of one event from its
+    facts struct ``f``."""
     p = f"concat('events[', CAST({f}.i AS STRING), ']')"
 
     def at(suffix: str) -> str:
@@ -111,50 +122,63 @@ def event_errors_sql(f: str = "f") -> str:
     occ_text = f"variant_get({occ}, '$', 'string')"
     rec_text = f"variant_get({rec}, '$', 'string')"
     parents_arr = f"try_variant_get({parents}, '$', 'array<variant>')"
-    items = [
-        _err(f"NOT {obj}", p, NOT_OBJECT),
+    return [
+        (f"NOT {obj}", p, NOT_OBJECT),
         *_typed(dc, f"{f}.top.data_type", at(".data_type")),
         *_typed(dc, f"{f}.top.data_op", at(".data_op")),
-        _err(f"{dc} AND NOT {_obj_sql(data)}", at(".data"), NOT_OBJECT),
-        _err(f"{obj} AND {md} IS NULL", at(".metadata"), MISSING),
-        _err(f"{obj} AND {md} IS NOT NULL AND NOT {md_obj}", at(".metadata"), NOT_OBJECT),
+        (f"{dc} AND NOT {_obj_sql(data)}", at(".data"), NOT_OBJECT),
+        (f"{obj} AND {md} IS NULL", at(".metadata"), MISSING),
+        (f"{obj} AND {md} IS NOT NULL AND NOT {md_obj}", at(".metadata"), NOT_OBJECT),
         *_typed(md_obj, f"{f}.md.eid", at(".metadata.eid")),
         *_typed(md_obj, occ, at(".metadata.occurred_at")),
-        _err(f"{md_obj} AND {occ} IS NOT NULL AND {_is_str(occ)} AND ({parse_offset_datetime_sql(occ_text)}) IS NULL",
+        (f"{md_obj} AND {occ} IS NOT NULL AND {_is_str(occ)} AND ({parse_offset_datetime_sql(occ_text)}) IS NULL",
              at(".metadata.occurred_at"), NOT_DATETIME),
         *_typed(f"{md_obj} AND {_present_sql(f + '.md.event_type')}", f"{f}.md.event_type",
                 at(".metadata.event_type"), missing=False),
         *_typed(f"{md_obj} AND {_present_sql(rec)}", rec, at(".metadata.received_at"), missing=False),
-        _err(f"{md_obj} AND {_present_sql(rec)} AND {_is_str(rec)} AND ({parse_offset_datetime_sql(rec_text)}) IS NULL",
+        (f"{md_obj} AND {_present_sql(rec)} AND {_is_str(rec)} AND ({parse_offset_datetime_sql(rec_text)}) IS NULL",
              at(".metadata.received_at"), NOT_DATETIME),
-        _err(f"{md_obj} AND {_present_sql(parents)} AND NOT ({parents_arr} IS NOT NULL AND "
+        (f"{md_obj} AND {_present_sql(parents)} AND NOT ({parents_arr} IS NOT NULL AND "
              f"forall({parents_arr}, y -> schema_of_variant(y) = 'STRING'))",
              at(".metadata.parent_eids"), NOT_STRING_ARRAY),
         *_typed(f"{md_obj} AND {_present_sql(f + '.md.flow_id')}", f"{f}.md.flow_id",
                 at(".metadata.flow_id"), missing=False),
     ]
-    return _compact(items)
 
 
-def batch_errors_sql(v: str = "_v") -> str:
-    """All validation errors of one parsed line (empty when valid)."""
+def line_checks(v: str = "_v") -> list[tuple[str, str, str]]:
     cursor = _vg(v, "$.cursor")
     cp, co, ev = _vg(v, "$.cursor.partition"), _vg(v, "$.cursor.offset"), _vg(v, "$.events")
     cur_obj = f"({cursor} IS NOT NULL AND {_is_obj(cursor)})"
-    line = _compact([
-        _err(f"{cursor} IS NULL", "'cursor'", MISSING),
-        _err(f"{cursor} IS NOT NULL AND NOT {_is_obj(cursor)}", "'cursor'", NOT_OBJECT),
+    return [
+        (f"{cursor} IS NULL", "'cursor'", MISSING),
+        (f"{cursor} IS NOT NULL AND NOT {_is_obj(cursor)}", "'cursor'", NOT_OBJECT),
         *_typed(cur_obj, cp, "'cursor.partition'"),
         *_typed(cur_obj, co, "'cursor.offset'"),
-        _err(f"{_present_sql(ev)} AND NOT {_is_arr(ev)}", "'events'", NOT_ARRAY),
-    ])
-    facts = event_facts_sql(f"try_variant_get({v}, '$.events', 'array<variant>')")
-    per_event = f"flatten(transform({facts}, f -> {event_errors_sql('f')}))"
+        (f"{_present_sql(ev)} AND NOT {_is_arr(ev)}", "'events'", NOT_ARRAY),
+    ]
+
+
+def _facts(v: str) -> str:
+    return event_facts_sql(f"try_variant_get({v}, '$.events', 'array<variant>')")
+
+
+def batch_valid_sql(v: str = "_v") -> str:
+    """Whether a parsed line is a valid batch: short-circuits on the first
+    failing check and allocates nothing (the valid path)."""
+    return (f"({v} IS NOT NULL AND NOT {_any_of(line_checks(v))} AND NOT "
+            f"coalesce(exists({_facts(v)}, f -> {_any_of(event_checks('f'))}), false))")
+
+
+def batch_errors_sql(v: str = "_v") -> str:
+    """All validation errors of one parsed line (empty when valid)."""
+    per_event = f"flatten(transform({_facts(v)}, f -> {_errors_of(event_checks('f'))}))"
     return (f"CAST(CASE WHEN {v} IS NULL THEN array(named_struct('path', '$', 'reason', '{UNPARSEABLE}')) "
-            f"ELSE concat({line}, coalesce({per_event}, array())) END "
+            f"ELSE concat({_errors_of(line_checks(v))}, coalesce({per_event}, array())) END "
             f"AS array<struct<path:string,reason:string>>)")
 
 
+_BATCH_VALID_SQL = batch_valid_sql()
 _BATCH_ERRORS_SQL = batch_errors_sql()
 
 
@@ -171,7 +195,10 @@ def parse_batches(lines: DataFrame, value: str = "value") -> DataFrame:
     parsed = lines.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(value)).alias("_v")))))
     return parsed.selectExpr(
         "*",
-        f"{_BATCH_ERRORS_SQL} AS errors",
+        f"{_BATCH_VALID_SQL} AS valid",
+        # the detailed list only for invalid lines (the quarantine path)
+        f"CASE WHEN {_BATCH_VALID_SQL} THEN CAST(array() AS array<struct<path:string,reason:string>>) "
+        f"ELSE {_BATCH_ERRORS_SQL} END AS errors",
         "CASE WHEN schema_of_variant(variant_get(_v, '$.cursor.partition', 'variant')) = 'STRING' "
         "THEN variant_get(_v, '$.cursor.partition', 'string') END AS cursor_partition",
         "CASE WHEN schema_of_variant(variant_get(_v, '$.cursor.offset', 'variant')) = 'STRING' "
@@ -183,7 +210,7 @@ def parse_batches(lines: DataFrame, value: str = "value") -> DataFrame:
 def decode_batches(lines: DataFrame, value: str = "value") -> DataFrame:
     """B1: the valid batches (cursor typed, events kept as VARIANT)."""
     p = parse_batches(lines, value)
-    return p.filter(F.size("errors") == 0).drop("_v", "errors")
+    return p.filter(F.col("valid")).drop("_v", "errors", "valid")
 
 
 def quarantine_batches(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -192,9 +219,9 @@ def quarantine_batches(lines: DataFrame, value: str = "value") -> DataFrame:
     first = F.col("errors")[0]
     reason = F.when(first["reason"] == UNPARSEABLE, F.lit(UNPARSEABLE)).otherwise(
         F.concat(first["path"], F.lit(": "), first["reason"]))
-    return (p.filter(F.size("errors") > 0)
+    return (p.filter(~F.col("valid"))
             .withColumn("reason", reason)
-            .drop("_v", "events", "n_events"))
+            .drop("_v", "events", "n_events", "valid"))
 
 
 def validation_report(quarantined: DataFrame) -> DataFrame:

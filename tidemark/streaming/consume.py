@@ -31,11 +31,11 @@ def _batch_dir(root: str, batch_id: int) -> str:
 def decode_micro_batch(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Parse once, then split: (valid messages, decoded events, quarantine)."""
     parsed = codec.parse_batches(df)
-    good = parsed.filter(F.size("errors") == 0).drop("_v", "errors")
+    good = parsed.filter(F.col("valid")).drop("_v", "errors", "valid")
     msgs = codec.to_consumer_messages(good)
     events = codec.decode_event_fields(codec.explode_events(consume.drop_keep_alives(msgs)))
     first = F.col("errors")[0]
-    bad = parsed.filter(F.size("errors") > 0).select(
+    bad = parsed.filter(~F.col("valid")).select(
         "event_type", "value", "errors",
         F.when(first["reason"] == codec.UNPARSEABLE, F.lit(codec.UNPARSEABLE))
         .otherwise(F.concat(first["path"], F.lit(": "), first["reason"])).alias("reason"))
