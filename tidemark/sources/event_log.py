@@ -31,7 +31,7 @@ BUSINESS_MOD = 3                       # business iff event_id % 3 = 0
 NO_FLOW_MOD = 5                        # no flow id iff event_id % 5 = 0
 
 LOG_COLUMNS = ["event_type", "partition", "offset", "offset_text", "eid", "occurred_at",
-               "kind", "data_type", "data_op", "flow_id", "payload", "event_id", "user_id"]
+               "kind", "data_type", "data_op", "flow_id", "payload", "event_id", "user_id", "arrival_seq"]
 
 
 def derive_event_log(events: DataFrame, chunk_seconds: int = 60) -> DataFrame:
@@ -55,9 +55,10 @@ def derive_event_log(events: DataFrame, chunk_seconds: int = 60) -> DataFrame:
     )
     numbered = chunked_running(base, ["event_type", "partition"], ["occurred_at", "event_id"],
                                chunk=time_chunk("occurred_at", chunk_seconds), out="_rn")
-    return (numbered.withColumn("offset", F.col("_rn") - 1)
-            .withColumn("offset_text", offset_text("offset"))
-            .select(*LOG_COLUMNS))
+    numbered = (numbered.withColumn("offset", F.col("_rn") - 1)
+                .withColumn("offset_text", offset_text("offset")))
+    # out-of-order arrival, precomputed once (one global order)
+    return with_arrival_seq(numbered).select(*LOG_COLUMNS)
 
 
 def _code_signature() -> str:
@@ -105,7 +106,7 @@ def materialise(spark: SparkSession, path: str, write) -> None:
 
 LOG_SCHEMA = ("partition string, offset bigint, offset_text string, eid string, occurred_at timestamp, "
               "kind string, data_type string, data_op string, flow_id string, payload string, "
-              "event_id bigint, user_id bigint, event_type string")
+              "event_id bigint, user_id bigint, arrival_seq bigint, event_type string")
 
 # Reading a materialised table lists its files once per session; queries
 # that combine several views of the log reuse the same DataFrame.
@@ -166,6 +167,8 @@ def with_arrival_seq(log: DataFrame, hex_digits: int = 4) -> DataFrame:
 
     A global row number normally means one task; here the uniform hash is
     cut into 16**hex_digits chunks by its leading digits and numbered with
-    the chunked running count."""
+    the chunked running count.  The materialised log already carries it."""
+    if "arrival_seq" in log.columns:
+        return log
     return chunked_running(log, [], ["eid", "event_id"], chunk=hash_prefix_chunk("eid", hex_digits),
                            out="arrival_seq")
