@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,13 +47,38 @@ def get_session(master: str | None = None, app: str = "tidemark",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to an existing session."""
+    """Apply the settings results depend on to an existing session, and
+    ship this package to the Python workers."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in Python workers (pandas functions,
+    stateful processors), like ``--py-files``: zip the package once per
+    SparkContext on the driver and ``addPyFile`` it."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tidemark-pkg-"), "tidemark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 _LOCAL_ROOTS: dict[int, str] = {}
 
 

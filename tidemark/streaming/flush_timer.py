@@ -14,9 +14,11 @@ State lives in the RocksDB state store, one small row per log partition.
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
@@ -78,6 +80,9 @@ def stream_flush_timer(spark: SparkSession, registrations_path: str, schema: Str
     (event_type, partition, offset, arrival_seq, arrived)."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # The processor is also instantiated by a driver-side runner that does
+    # not see files added with addPyFile: ship this small module by value.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000).parquet(registrations_path)
            .withWatermark("arrived", "0 seconds")
            .withColumn("arrived_ms", (F.unix_micros("arrived") / 1000).cast("long")))
