@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import fill_message
 from tidemark.plans.numbering import chunked_running, chunked_running_multi, offset_chunk
 
 TABLE_KEYS = ["group_id", "event_type", "partition_id"]
@@ -25,6 +26,9 @@ TABLE_COLUMNS = [*TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_counter",
                  "lease_timestamp", "lease_id"]
 STALE_LEASE_SECONDS = 300     # default lease stale delta
 
+# Fixed value: the warning for releasing a lease that has no stored row.
+NO_LEASE_MESSAGE = "No lease exists to release for group: '{group_id}' eventType: '{event_type}' partition: '{partition_id}'"
+
 
 def _ts(text: str) -> Column:
     return F.to_timestamp(F.lit(text))
@@ -60,9 +64,8 @@ def release_lease(requests: DataFrame, stored: DataFrame, now: str) -> DataFrame
     kept; no row -> a warning (no put)."""
     j = requests.join(stored, TABLE_KEYS, "left")
     exists = F.col("checkpoint_id").isNotNull()
-    warning = F.concat(F.lit("No lease exists to release for group: '"), F.col("group_id"),
-                       F.lit("' eventType: '"), F.col("event_type"), F.lit("' partition: '"),
-                       F.col("partition_id"), F.lit("'"))
+    warning = fill_message(NO_LEASE_MESSAGE, group_id="group_id", event_type="event_type",
+                       partition_id="partition_id")
     return j.select(*TABLE_KEYS, "checkpoint_id", "lease_holder",
                     F.when(exists, F.lit(0).cast("bigint")).alias("lease_counter"),
                     F.when(exists, _ts(now)).alias("lease_timestamp"), "lease_id",

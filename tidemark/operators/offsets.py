@@ -11,10 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.offsets import partition_key_hash
+from tidemark.functions.text import fill_message
 from tidemark.plans.numbering import chunked_running, offset_chunk
 
 KEYS = ["event_type", "partition"]
 
+# Fixed value: the error text for a partition missing from an offset map
+# ({partition}, {event_type} are filled in).
+MISSING_OFFSET_MESSAGE = "No offset set for given partition {partition} and event-type {event_type}"
+
 
 def with_key(df: DataFrame) -> DataFrame:
     return df.withColumn("key", partition_key_hash("event_type", "partition"))
@@ -41,8 +46,7 @@ def last_offset_required(lookups: DataFrame, omap: DataFrame) -> DataFrame:
     """C4: as C3 but a missing key is an error; found offsets as plain text."""
     lk = with_key(lookups)
     j = lk.join(omap, "key", "left")
-    err = F.concat(F.lit("No offset set for given partition "), F.col("partition"),
-                   F.lit(" and event-type "), F.col("event_type"))
+    err = fill_message(MISSING_OFFSET_MESSAGE, partition="partition", event_type="event_type")
     return j.select(*lookups.columns, F.col("offset").cast("string").alias("checkpoint"),
                     F.when(F.col("offset").isNull(), err).alias("error"))
 
