@@ -61,3 +61,11 @@ def test_chunked_lag_equals_window(spark):
     ref = df.select("k", "o", F.lag("v").over(Window.partitionBy("k").orderBy("o")).alias("p"))
     got = chunked_lag(df, ["k"], "o", "v", offset_chunk("o", 50), "p").select("k", "o", "p")
     assert sorted(tuple(r) for r in ref.collect()) == sorted(tuple(r) for r in got.collect())
+
+
+def test_greedy_rejects_decreasing_time(spark):
+    import pytest
+    rows = [("x", 0, datetime(2024, 1, 1, 0, 0, 5)), ("x", 1, datetime(2024, 1, 1, 0, 0, 1))]
+    df = spark.createDataFrame(rows, "k string, o long, ts timestamp")
+    with pytest.raises(Exception, match="does not decrease"):
+        greedy_windows(df, ["k"], "o", "ts", max_rows=2, max_seconds=10).collect()

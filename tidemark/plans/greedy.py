@@ -48,6 +48,8 @@ _POS = 1 << 62
 def _next_starts(ts: np.ndarray, n: int | None, t_us: int | None) -> np.ndarray:
     """Local index of the next window start for a window opened at each row."""
     L = len(ts)
+    if t_us and L > 1 and bool(np.any(ts[1:] < ts[:-1])):
+        raise ValueError("greedy windows need time that does not decrease along the row order")
     by_time = np.searchsorted(ts, ts + t_us, side="left") if t_us else np.full(L, _BIG)
     by_count = np.arange(L) + n if n else np.full(L, _BIG)
     return np.minimum(by_time, by_count)
