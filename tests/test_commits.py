@@ -49,6 +49,8 @@ def test_fold_equals_step_by_step(spark):
                                        "checkpoint_id string, lease_holder string, lease_counter long, "
                                        "lease_timestamp timestamp, lease_id string")
     final = {r.partition_id: r for r in commits.fold_final(commits.commit_fold(stored, puts, rows_per_chunk=8)).collect()}
+    agg = {r.partition_id: r for r in commits.commit_fold_final(stored, puts).collect()}
+    assert {p: tuple(r) for p, r in agg.items()} == {p: tuple(r) for p, r in final.items()}
     state = {"0": {"counter": 4, "lease_id": "S"}}
     last_by_holder = {}
     for g, et, p, seq, ck, holder, counter, ts, lid in rows:

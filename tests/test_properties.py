@@ -31,10 +31,12 @@ def test_fold_equals_repeated_put(spark, seq, stored):
     puts = spark.createDataFrame([("g", "t", p, i, str(i), "h", c, T0, lid) for i, (p, c, lid) in
                                   enumerate(seq, start=1)], PUTS)
     folded = commits.fold_final(commits.commit_fold(cur, puts, rows_per_chunk=3))
+    by_agg = commits.commit_fold_final(cur, puts)
     want = {r.partition_id: (r.checkpoint_id, r.lease_counter, r.lease_id) for r in table.collect()}
-    got = {r.partition_id: (r.checkpoint_id, r.lease_counter, r.lease_id) for r in folded.collect()}
-    for p in got:
-        assert got[p] == want[p], (seq, stored, p)
+    for result in (folded, by_agg):
+        got = {r.partition_id: (r.checkpoint_id, r.lease_counter, r.lease_id) for r in result.collect()}
+        for p in got:
+            assert got[p] == want[p], (seq, stored, p)
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))

@@ -459,11 +459,10 @@ def _fold_puts(spark, sf):
 
 
 def commit_fold(spark, sf):
-    # the puts come from decoding the wire log and feed two chunked passes:
-    # decode once, checkpoint, then fold
-    states = commits.commit_fold(fx.commits(spark, sf), _fold_puts(spark, sf).checkpoint(eager=True))
-    return commits.fold_final(states).select(*commits.TABLE_KEYS, "checkpoint_id", "lease_holder",
-                                             "lease_counter", "lease_id")
+    """Final table state after every delivered batch was put, by
+    grouped aggregates (the per-put states are not needed for it)."""
+    final = commits.commit_fold_final(fx.commits(spark, sf), _fold_puts(spark, sf))
+    return final.select(*commits.TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_counter", "lease_id")
 
 
 def commit_get(spark, sf):
@@ -476,6 +475,8 @@ def commit_get(spark, sf):
 
 
 def lease_counters(spark, sf):
+    # the puts come from decoding the wire log and feed two chunked passes:
+    # decode once, checkpoint, then fold
     states = commits.commit_fold(fx.commits(spark, sf), _fold_puts(spark, sf).checkpoint(eager=True))
     return commits.lease_counters(states)
 

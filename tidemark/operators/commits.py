@@ -154,6 +154,44 @@ def commit_fold(current: DataFrame, puts: DataFrame, rows_per_chunk: int = 1 <<
                     F.coalesce(F.col("_last_lid.l"), F.col("_s_lease")).alias("lease_id"))
 
 
+def commit_fold_final(current: DataFrame, puts: DataFrame) -> DataFrame:
+    """D6 final state per key with grouped aggregates only (no per-put
+    windows): partial aggregation on the map side, one key-sized join.
+
+    The last reset of a key is its latest put that supplies a counter,
+    unless that put is the very first put of a key without a stored row (an
+    insert ignores the supplied counter; base 1).  Then
+    counter = base + number of puts after the reset; with no reset at all,
+    stored counter + number of puts."""
+    stored = current.select(*TABLE_KEYS, F.col("lease_counter").alias("_s_counter"),
+                            F.col("lease_id").alias("_s_lease"), F.lit(True).alias("_stored"))
+    last = F.struct(*[F.col(c) for c in ("checkpoint_id", "lease_holder", "lease_timestamp")])
+    per_key = puts.groupBy(*TABLE_KEYS).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("put_seq").alias("_first_seq"),
+        F.max_by(last, "put_seq").alias("_last"),
+        F.max(F.when(F.col("lease_counter").isNotNull(), F.col("put_seq"))).alias("_seq_c"),
+        F.max_by(F.col("lease_counter"), F.when(F.col("lease_counter").isNotNull(), F.col("put_seq")))
+        .alias("_c"),
+        F.max_by(F.col("lease_id"), F.when(F.col("lease_id").isNotNull(), F.col("put_seq"))).alias("_lid"))
+    k = per_key.join(stored, TABLE_KEYS, "left")
+    insert_reset = F.col("_stored").isNull() & (F.col("_seq_c").isNull() | (F.col("_seq_c") == F.col("_first_seq")))
+    k = k.withColumn("_reset_seq", F.when(insert_reset, F.col("_first_seq")).otherwise(F.col("_seq_c"))) \
+        .withColumn("_base", F.when(insert_reset, F.lit(1).cast("bigint")).otherwise(F.col("_c")))
+    # puts after the reset: a second aggregate over puts joined with the
+    # one-row-per-key reset table
+    after = puts.select(*TABLE_KEYS, "put_seq").join(k.select(*TABLE_KEYS, "_reset_seq"), TABLE_KEYS) \
+        .groupBy(*TABLE_KEYS).agg(F.count_if(F.col("put_seq") > F.col("_reset_seq")).alias("_after"))
+    k = k.join(after, TABLE_KEYS, "left")
+    counter = F.when(F.col("_reset_seq").isNotNull(), F.col("_base") + F.col("_after")) \
+        .otherwise(F.coalesce(F.col("_s_counter"), F.lit(0)) + F.col("_n"))
+    return k.select(*TABLE_KEYS, F.col("_last.checkpoint_id").alias("checkpoint_id"),
+                    F.col("_last.lease_holder").alias("lease_holder"),
+                    counter.cast("bigint").alias("lease_counter"),
+                    F.col("_last.lease_timestamp").alias("lease_timestamp"),
+                    F.coalesce(F.col("_lid"), F.col("_s_lease")).alias("lease_id"))
+
+
 def fold_final(states: DataFrame) -> DataFrame:
     """Final row per key of a D6 fold (grouped ``max_by``)."""
     s = F.struct(*[F.col(c) for c in TABLE_COLUMNS[3:]])
