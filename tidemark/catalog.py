@@ -287,7 +287,9 @@ def offset_to_long_q(spark, sf):
 
 
 def partition_key_hash_q(spark, sf):
-    return fx.partitions(spark, sf).select(*KEYS, partition_key_hash("event_type", "partition").alias("key"))
+    """C2 on every log row (the key a consumer computes per message), then
+    the distinct keys."""
+    return fx.log(spark, sf).select(*KEYS, partition_key_hash("event_type", "partition").alias("key")).distinct()
 
 
 def _lookups(spark, sf):
