@@ -72,7 +72,7 @@ def _schema_keys(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
 
 def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: str,
                    max_rows: int | None = None, max_seconds: int | None = None,
-                   value_col: str | None = None, rows_per_chunk: int = 200_000) -> DataFrame:
+                   value_col: str | None = None, rows_per_chunk: int = 1_000_000) -> DataFrame:
     """Windows as rows: keys, window_start (row index), n_events,
     first_offset / last_offset (of ``order_col``), first_ts (micros) and
     max_value (max of ``value_col``, if given)."""
