@@ -72,7 +72,11 @@ def test_consume_for_stops(spark):
     t = time.time()
     streams.consume_for(spark, wire_log(spark, SF_SMALL), out, timeout_seconds=20)
     assert time.time() - t < 90
-    # whatever was delivered before the close is a prefix of the batch result
+    # whatever was delivered before the close is a subset of the batch
+    # result (possibly nothing on a slow machine)
+    from tidemark.sources.event_log import _exists
+    if not _exists(spark, f"{out}/events"):
+        return
     got = streams.read_events(spark, out).select("event_type", "partition", "offset")
     assert got.subtract(fx.events(spark, SF_SMALL).select("event_type", "partition", "offset")).count() == 0
 
