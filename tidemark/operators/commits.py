@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import fill_message
 from tidemark.plans.numbering import chunked_running, chunked_running_multi, offset_chunk
+from tidemark.settings import STALE_LEASE_SECONDS
 
 TABLE_KEYS = ["group_id", "event_type", "partition_id"]
 TABLE_COLUMNS = [*TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_counter",
                  "lease_timestamp", "lease_id"]
-STALE_LEASE_SECONDS = 300     # default lease stale delta
 
 # Fixed value: the warning for releasing a lease that has no stored row.
 NO_LEASE_MESSAGE = "No lease exists to release for group: '{group_id}' eventType: '{event_type}' partition: '{partition_id}'"

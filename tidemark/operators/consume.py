@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.offsets import BEGIN, offset_to_long
 from tidemark.plans.joins import broadcast_if_small, collect_small
 from tidemark.plans.numbering import chunked_lag, offset_chunk
+from tidemark.settings import STALL_FACTOR
 
 KEYS = ["event_type", "partition"]
 
@@ -161,7 +162,7 @@ def detect_stalled_partitions(log: DataFrame, flush_timeout_seconds: int,
     one shuffle of the narrow (key, offset, time) projection plus a
     one-row-per-chunk table, instead of a per-partition window or a
     self-join that shuffles the log twice."""
-    limit_us = int(flush_timeout_seconds * 1.5 * 1_000_000)
+    limit_us = int(flush_timeout_seconds * STALL_FACTOR * 1_000_000)
     cur = log.select(*KEYS, "offset", F.unix_micros(F.col(ts)).alias("_t"))
     gaps = chunked_lag(cur, KEYS, "offset", "_t", offset_chunk("offset", rows_per_chunk), "_prev_t") \
         .withColumn("gap_us", F.col("_t") - F.col("_prev_t"))
