@@ -56,7 +56,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -64,7 +64,7 @@ def ship_package(spark: SparkSession) -> None:
     stateful processors), like ``--py-files``: zip the package once per
     SparkContext on the driver and ``addPyFile`` it."""
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -79,7 +79,13 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of a live session for per-session caches: the application id
+    (unique per SparkContext) plus the session object."""
+    return f"{spark.sparkContext.applicationId}/{spark._jsparkSession.hashCode()}"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -95,7 +101,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - some deployments refuse core keys here
             root = None
     if not root:
-        key = id(sc._jsc)
+        key = sc.applicationId
         root = _LOCAL_ROOTS.get(key)
         if root is None:
             root = tempfile.mkdtemp(prefix="tidemark-ckpt-")

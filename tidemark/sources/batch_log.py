@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.datetime import format_offset_datetime
 from tidemark.operators.codec import batch_line, cursor_json, encode_event, metadata_struct
+from tidemark.session import session_key
 from tidemark.sources.event_log import cached_read, event_log, log_root, materialise
 
 # Fixed values of the fixture's injected lines (FIXTURES F2).  A batch's
@@ -139,7 +140,7 @@ def wire_log(spark: SparkSession, sf_dir: str) -> str:
     """Materialise the fixture wire log (with faults and keep-alives) once
     and return its path."""
     path = wire_log_path(spark, sf_dir)
-    key = (id(spark._jsparkSession), "done:" + path)
+    key = (session_key(spark), "done:" + path)
     if key not in _DONE:
         materialise(spark, path, lambda p: write_batch_log(wire_lines(event_log(spark, sf_dir)), p))
         _DONE.add(key)

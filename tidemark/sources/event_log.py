@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.offsets import offset_text
 from tidemark.plans.numbering import chunked_running, hash_prefix_chunk, time_chunk
-from tidemark.session import checkpoint_root
+from tidemark.session import checkpoint_root, session_key
 
 # Fixed values of the fixture definition.
 N_PARTITIONS = 4                       # partition = user_id % 4
@@ -110,11 +110,11 @@ LOG_SCHEMA = ("partition string, offset bigint, offset_text string, eid string,
 
 # Reading a materialised table lists its files once per session; queries
 # that combine several views of the log reuse the same DataFrame.
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+_READ_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def cached_read(spark: SparkSession, path: str, read) -> DataFrame:
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     df = _READ_CACHE.get(key)
     if df is None:
         df = read()
@@ -125,7 +125,7 @@ def cached_read(spark: SparkSession, path: str, read) -> DataFrame:
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canonical log, materialised once per source table version."""
     path = f"{log_root(spark, sf_dir)}/event_log"
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     if key in _READ_CACHE:
         return _READ_CACHE[key]
 
@@ -154,7 +154,7 @@ def partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.max("offset").alias("last_offset"))
          .coalesce(1).write.mode("overwrite").parquet(p))
 
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     if key not in _READ_CACHE:
         materialise(spark, path, write)
     return cached_read(spark, path, lambda: spark.read.schema(
