@@ -82,3 +82,10 @@ def test_stalls(spark):
     lg = spark.createDataFrame(rows, "event_type string, partition string, offset long, occurred_at timestamp")
     r = consume.detect_stalled_partitions(lg, flush_timeout_seconds=3600, rows_per_chunk=2).first()
     assert (r.n_stalls, r.max_gap_seconds) == (2, 14 * 3600)      # gaps above 1.5 h: 4 h and 14 h
+
+
+def test_cursor_predicate_keeps_rows_without_partition(spark):
+    rows = [("t", "0", 0, T0), ("t", "0", 5, T0), ("t", None, 3, T0)]
+    lg = spark.createDataFrame(rows, "event_type string, partition string, offset long, occurred_at timestamp")
+    got = consume.read_from_cursor(lg, cursors(spark, [("t", "0", "2")]))
+    assert sorted((r.partition, r.offset) for r in got.collect()) == [(None, 3), ("0", 5)]

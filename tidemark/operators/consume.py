@@ -78,7 +78,7 @@ def cursor_scan_predicate(rows) -> Column:
         starts[r["partition"]] = min(s, starts.get(r["partition"], s))
     if not starts:
         return F.lit(True)
-    pred = ~F.col("partition").isin(*starts.keys())
+    pred = F.col("partition").isNull() | ~F.col("partition").isin(*starts.keys())
     for p, s in starts.items():
         pred = pred | ((F.col("partition") == p) & (F.col("offset") >= F.lit(s)))
     return pred
