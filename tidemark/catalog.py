@@ -547,6 +547,24 @@ def stream_flush_timer(spark, sf):
     return flush_timer.read_flushes(spark, out)
 
 
+A7_STREAM_TIMEOUT_SECONDS = 6 * 3600 + 1   # 1 s past the event times' microsecond grid ties: none
+
+
+def batch_by_count_or_time_stream(spark, sf):
+    """A7 live: events after the A4 cursors land as Parquet; a keyed state
+    machine closes batches at 4 events or 6 h after their first event.
+    Batches still open when the stream ends are not emitted."""
+    from tidemark.streaming import flush_timer
+    stage = _scratch(spark, "batch-events")
+    out = _scratch(spark, "stream-batches")
+    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf))
+    ev = ev.select("event_type", "partition", "offset", "occurred_at")
+    ev.write.parquet(stage)
+    flush_timer.stream_batches(spark, stage, ev.schema, out, 4, A7_STREAM_TIMEOUT_SECONDS)
+    b = spark.read.parquet(f"{out}/batches")
+    return b.select(*KEYS, F.col("last_offset").alias("batch_cursor"), "first_offset", "n_events")
+
+
 # --------------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Query] = {
@@ -616,4 +634,5 @@ QUERIES: dict[str, Query] = {
     "stream_republish": stream_republish,
     "stream_resume": stream_resume,
     "stream_flush_timer": stream_flush_timer,
+    "batch_by_count_or_time_stream": batch_by_count_or_time_stream,
 }

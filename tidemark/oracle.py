@@ -471,6 +471,13 @@ FROM fold GROUP BY ALL""")
        count(*) AS n_registrations, max("offset") AS flushed_offset
 FROM tw GROUP BY event_type, "partition", wstart
 HAVING min(wts) + {s5} < (SELECT max(arrived) FROM reg_acc WHERE accepted)""")
+    a7 = "INTERVAL 6 HOUR + INTERVAL 1 SECOND"
+    q["batch_by_count_or_time_stream"] = _with(
+        _greedy("after_cursor", '"offset"', "occurred_at", 4, 6, "sw", 1),
+        f"""SELECT event_type, "partition", max("offset") AS batch_cursor, min("offset") AS first_offset,
+       count(*) AS n_events
+FROM sw GROUP BY event_type, "partition", wstart
+HAVING count(*) = 4 OR min(wts) + {a7} < (SELECT max(occurred_at) FROM after_cursor)""")
     # -- streaming: the batch twins
     q["stream_consume"] = _with("", _summary("valid_events"))
     q["stream_resume"] = q["stream_consume"]

@@ -30,6 +30,9 @@ from tidemark.functions.datetime import format_offset_datetime
 
 OUTPUT_SCHEMA = "event_type string, partition string, flush_ms long, n_registrations long, flushed_offset long"
 STATE_SCHEMA = "start_ms long, n long, max_offset long"
+BATCH_SCHEMA = ("event_type string, partition string, first_offset long, last_offset long, n_events long, "
+                "closed_by string")
+BATCH_STATE_SCHEMA = "start_ms long, n long, first_offset long, last_offset long"
 
 
 class FlushTimer(StatefulProcessor):
@@ -74,6 +77,81 @@ class FlushTimer(StatefulProcessor):
         pass
 
 
+class BatchWindow(StatefulProcessor):
+    """A7 live: an open batch closes at ``max_rows`` events (emitted at once)
+    or when the event-time timer at first event + timeout fires."""
+
+    def __init__(self, max_rows: int, timeout_ms: int):
+        self.max_rows, self.timeout_ms = max_rows, timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.batch = handle.getValueState("batch", BATCH_STATE_SCHEMA)
+
+    def _row(self, key, st, why) -> dict:
+        return {"event_type": key[0], "partition": key[1], "first_offset": int(st[2]),
+                "last_offset": int(st[3]), "n_events": int(st[1]), "closed_by": why}
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values("offset")
+        st = self.batch.get() if self.batch.exists() else None
+        out = []
+        for ts, off in zip(pdf["ts_ms"].tolist(), pdf["offset"].tolist()):
+            if st is not None and ts >= st[0] + self.timeout_ms:
+                out.append(self._row(key, st, "time"))
+                self.handle.deleteTimer(int(st[0]) + self.timeout_ms)
+                st = None
+            if st is None:
+                st = (int(ts), 0, int(off), int(off))
+                self.handle.registerTimer(int(ts) + self.timeout_ms)
+            st = (st[0], st[1] + 1, st[2], int(off))
+            if st[1] >= self.max_rows:
+                out.append(self._row(key, st, "count"))
+                self.handle.deleteTimer(int(st[0]) + self.timeout_ms)
+                st = None
+        if st is None:
+            self.batch.clear()
+        else:
+            self.batch.update(st)
+        yield pd.DataFrame(out, columns=["event_type", "partition", "first_offset", "last_offset", "n_events",
+                                         "closed_by"])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = []
+        if self.batch.exists():
+            out.append(self._row(key, self.batch.get(), "time"))
+            self.batch.clear()
+        yield pd.DataFrame(out, columns=["event_type", "partition", "first_offset", "last_offset", "n_events",
+                                         "closed_by"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_batches(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
+                   max_rows: int, timeout_seconds: int) -> None:
+    """A7 as a stream over landed events (event_type, partition, offset,
+    occurred_at): batches close at ``max_rows`` events or ``timeout_seconds``
+    after their first event (event time)."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000).parquet(events_path)
+           .withWatermark("occurred_at", "0 seconds")
+           .withColumn("ts_ms", (F.unix_micros("occurred_at") / 1000).cast("long")))
+    batches = (src.groupBy("event_type", "partition")
+               .transformWithStateInPandas(BatchWindow(max_rows, timeout_seconds * 1000), BATCH_SCHEMA,
+                                           "Append", "EventTime"))
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batches/batch_id={batch_id:012d}")
+
+    q = (batches.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def stream_flush_timer(spark: SparkSession, registrations_path: str, schema: StructType | str, out: str,
                        interval_seconds: int) -> None:
     """Run S5 over accepted registrations landed as Parquet files
