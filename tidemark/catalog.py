@@ -46,10 +46,10 @@ def stream_batch_log_q(spark, sf):
     out = _scratch(spark, "stream-batch-log")
 
     def sink(df: DataFrame, batch_id: int) -> None:
+        # one directory per micro-batch, overwritten on replay: idempotent
         (df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_lines"),
                                       F.sum(F.length("value")).alias("n_chars"))
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(f"{out}/data"))
+         .write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id:012d}"))
 
     q = (stream_batch_log(spark, src, max_files_per_trigger=2).writeStream
          .foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
