@@ -16,13 +16,16 @@ It is computed exactly without giving a whole key to one task:
    ``max_seconds`` of the chunk's first row).  For every candidate ``m`` the
    chunk is simulated and its exit state (open window start, start time,
    rows so far) recorded; simulations share work through a memo of window
-   starts already seen.
-3. Per key, over that small table (chunks x candidates): the true ``m`` of
-   each chunk follows from the previous chunk's exit state.
+   starts already seen.  The map candidate -> exit is stored run-length
+   encoded (paths merge quickly: a few rows per chunk).
+3. Per key, over that small table (about one row per chunk of the key): the
+   entry state of each chunk follows from the previous chunk's exit.
 4. Per (key, chunk), in parallel: rows are assigned to windows from the
-   true entry state and reduced to partial window aggregates, which a final
+   entry state and reduced to partial window aggregates, which a final
    grouped aggregate merges across chunk borders.
 
+When no key spans more than one chunk, steps 2 and 3 are skipped.
+
 Time must be non-decreasing in the row order within a key (true for the
 log's offsets, which follow event time, and for arrival order).
 """
