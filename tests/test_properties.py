@@ -48,3 +48,32 @@ def test_accepted_max_equals_high_water(spark, offs):
     a = {r.partition: r.high_water for r in offsets.high_water_offsets(acc).collect()}
     b = {r.partition: r.high_water for r in offsets.high_water_offsets(df).collect()}
     assert a == b
+
+
+gap_st = st.lists(st.sampled_from([0, 1, 2, 5, 30, 120, 600]), min_size=1, max_size=60)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(gaps=gap_st, n=st.one_of(st.none(), st.integers(1, 6)), secs=st.one_of(st.none(), st.integers(1, 400)),
+       chunk=st.integers(1, 9))
+def test_greedy_windows_property(spark, gaps, n, secs, chunk):
+    from datetime import timedelta
+    from tidemark.plans.greedy import greedy_windows
+    if n is None and secs is None:
+        n = 3
+    rows, ts = [], T0
+    for o, g in enumerate(gaps):
+        ts = ts + timedelta(seconds=g)
+        rows.append(("k", o, ts))
+    want, cur = set(), None
+    for _, o, t in rows:
+        if cur is None or (n and cur[1] >= n) or (secs and t >= cur[0] + timedelta(seconds=secs)):
+            if cur is not None:
+                want.add((cur[2], cur[1]))
+            cur = [t, 0, o]
+        cur[1] += 1
+    want.add((cur[2], cur[1]))
+    df = spark.createDataFrame(rows, "k string, o long, ts timestamp")
+    got = {(r.first_offset, r.n_events) for r in
+           greedy_windows(df, ["k"], "o", "ts", max_rows=n, max_seconds=secs, rows_per_chunk=chunk).collect()}
+    assert got == want, (gaps, n, secs, chunk)
