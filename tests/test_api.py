@@ -31,3 +31,13 @@ def test_consume_after_commits_with_limits(spark):
         assert sum(b.n_events for b in bs) <= 7
         assert min(b.first_offset for b in bs) == committed[p] + 1
         assert all(b.n_events <= 3 for b in bs)
+
+
+def test_publish_stores_one_body_per_message(spark, tmp_path):
+    import json as _json
+    from tidemark.settings import ProducerSettings
+    pe = fx.producer_events(spark, SF_SMALL)
+    stored = api.publish(spark, pe, ProducerSettings("audit"), str(tmp_path / "out"))
+    assert stored.count() == pe.select("message_id").distinct().count()
+    body = stored.orderBy("message_id").first().body
+    assert len(_json.loads(body)) == 10

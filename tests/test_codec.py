@@ -154,3 +154,13 @@ def test_encode_cursors(spark):
     df = spark.createDataFrame([("t", "1", 12), ("t", "0", 10)], "event_type string, partition string, offset long")
     assert codec.encode_cursors(df, ["event_type"]).first().cursors_json == \
         '[{"partition":"0","offset":"10"},{"partition":"1","offset":"12"}]'
+
+
+def test_event_type_round_trip(spark):
+    full = {"name": "t", "owning_application": "a", "category": "data", "partition_key_fields": ["k"],
+            "enrichment_strategies": ["metadata_enrichment"], "statistics": {"message_size": 5},
+            "data_key_fields": ["id"], "schema": {"type": "json_schema"}}
+    df = spark.createDataFrame([(json.dumps(full),)], "value string")
+    decoded = codec.decode_event_types(df)
+    again = codec.encode_event_types(decoded).first().event_type_json
+    assert json.loads(again) == full          # absent optionals stay absent
