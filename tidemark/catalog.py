@@ -565,6 +565,24 @@ def batch_by_count_or_time_stream(spark, sf):
     return b.select(*KEYS, F.col("last_offset").alias("batch_cursor"), "first_offset", "n_events")
 
 
+def detect_stalled_partitions_stream(spark, sf):
+    """A13 live: the log's events land as Parquet and stream through a
+    per-partition stall detector (event-time timers, flush timeout 1 h, stall
+    limit 1.5 h).  Per partition: stalls between events, the largest such
+    gap, and whether the partition was stalled when the stream ended."""
+    from tidemark.streaming import flush_timer
+    stage = _scratch(spark, "stall-events")
+    out = _scratch(spark, "stream-stalls")
+    ev = fx.log(spark, sf).select("event_type", "partition", "offset", "occurred_at")
+    ev.write.parquet(stage)
+    flush_timer.stream_stalls(spark, stage, ev.schema, out, flush_timeout_seconds=3600)
+    st = spark.read.parquet(f"{out}/stalls")
+    return st.groupBy(*KEYS).agg(
+        F.count_if(~F.col("trailing")).cast("bigint").alias("n_stalls"),
+        F.floor(F.max("gap_us") / 1_000_000).cast("bigint").alias("max_gap_seconds"),
+        F.max(F.col("trailing")).alias("stalled_at_end"))
+
+
 # --------------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Query] = {
@@ -635,4 +653,5 @@ QUERIES: dict[str, Query] = {
     "stream_resume": stream_resume,
     "stream_flush_timer": stream_flush_timer,
     "batch_by_count_or_time_stream": batch_by_count_or_time_stream,
+    "detect_stalled_partitions_stream": detect_stalled_partitions_stream,
 }

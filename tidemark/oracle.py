@@ -478,6 +478,17 @@ HAVING min(wts) + {s5} < (SELECT max(arrived) FROM reg_acc WHERE accepted)""")
        count(*) AS n_events
 FROM sw GROUP BY event_type, "partition", wstart
 HAVING count(*) = 4 OR min(wts) + {a7} < (SELECT max(occurred_at) FROM after_cursor)""")
+    q["detect_stalled_partitions_stream"] = _with("""gaps2 AS (
+  SELECT event_type, "partition", epoch_us(occurred_at) AS t,
+         epoch_us(occurred_at) - lag(epoch_us(occurred_at)) OVER (PARTITION BY event_type, "partition"
+                                                                  ORDER BY "offset") AS gap_us
+  FROM event_log),
+per_part AS (
+  SELECT event_type, "partition", count(*) FILTER (WHERE gap_us > 5400000000) AS n_stalls,
+         max(gap_us) FILTER (WHERE gap_us > 5400000000) // 1000000 AS max_gap_seconds,
+         (SELECT max(epoch_us(occurred_at)) FROM event_log) - max(t) > 5400000000 AS stalled_at_end
+  FROM gaps2 GROUP BY ALL)""", """SELECT event_type, "partition", n_stalls, max_gap_seconds, stalled_at_end
+FROM per_part WHERE n_stalls > 0 OR stalled_at_end""")
     # -- streaming: the batch twins
     q["stream_consume"] = _with("", _summary("valid_events"))
     q["stream_resume"] = q["stream_consume"]

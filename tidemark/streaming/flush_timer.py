@@ -129,6 +129,77 @@ class BatchWindow(StatefulProcessor):
         pass
 
 
+STALL_SCHEMA = "event_type string, partition string, last_us long, gap_us long, trailing boolean"
+STALL_STATE_SCHEMA = "last_us long"
+
+
+class StallDetector(StatefulProcessor):
+    """A13 live: no message for a partition within ``limit_ms`` after its
+    last one is a stall.  A gap seen inside a micro-batch is reported
+    directly; the timer at last message + limit reports a trailing stall
+    when the watermark passes it with no newer message."""
+
+    def __init__(self, limit_us: int):
+        self.limit_us = limit_us
+
+    def _timer_ms(self, last_us: int) -> int:
+        return -(-(last_us + self.limit_us) // 1000)     # timers are in ms; round up
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", STALL_STATE_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values("offset")
+        last = int(self.last.get()[0]) if self.last.exists() else None
+        if last is not None:
+            self.handle.deleteTimer(self._timer_ms(last))
+        out = []
+        for ts in pdf["ts_us"].tolist():
+            if last is not None and ts - last > self.limit_us:
+                out.append({"event_type": key[0], "partition": key[1], "last_us": last,
+                            "gap_us": int(ts) - last, "trailing": False})
+            last = int(ts)
+        self.handle.registerTimer(self._timer_ms(last))
+        self.last.update((last,))
+        yield pd.DataFrame(out, columns=["event_type", "partition", "last_us", "gap_us", "trailing"])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = []
+        if self.last.exists():
+            last = int(self.last.get()[0])
+            out.append({"event_type": key[0], "partition": key[1], "last_us": last, "gap_us": None,
+                        "trailing": True})
+            self.last.clear()
+        yield pd.DataFrame(out, columns=["event_type", "partition", "last_us", "gap_us", "trailing"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_stalls(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
+                  flush_timeout_seconds: int, stall_factor: float = 1.5) -> None:
+    """A13 as a stream over landed events (event_type, partition, offset,
+    occurred_at) with event-time timers."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000).parquet(events_path)
+           .withWatermark("occurred_at", "0 seconds")
+           .withColumn("ts_us", F.unix_micros("occurred_at")))
+    stalls = (src.groupBy("event_type", "partition")
+              .transformWithStateInPandas(StallDetector(int(flush_timeout_seconds * stall_factor * 1_000_000)),
+                                          STALL_SCHEMA, "Append", "EventTime"))
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/stalls/batch_id={batch_id:012d}")
+
+    q = (stalls.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def stream_batches(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
                    max_rows: int, timeout_seconds: int) -> None:
     """A7 as a stream over landed events (event_type, partition, offset,
