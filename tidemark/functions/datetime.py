@@ -23,17 +23,21 @@ def _c(x: Column | str) -> Column:
 def parse_offset_datetime(text: Column | str) -> Column:
     """TIMESTAMP (UTC instant) for valid text, else null."""
     t = _c(text)
-    # The cast wants an upper-case 'T'/'Z' and seconds; normalise first.
-    norm = F.upper(t)
-    norm = F.regexp_replace(norm, r"T([0-9]{2}):([0-9]{2})(Z|[+-])", "T$1:$2:00$3")
+    # The cast wants an upper-case 'T'/'Z' and seconds; only minute-precision
+    # text (no ':' at position 17) needs the seconds inserted.
+    up = F.upper(t)
+    norm = F.when(F.substring(t, 17, 1) == ":", up).otherwise(
+        F.regexp_replace(up, r"T([0-9]{2}):([0-9]{2})(Z|[+-])", "T$1:$2:00$3"))
     return F.when(t.rlike(ISO_OFFSET_DATE_TIME), norm.try_cast("timestamp"))
 
 
 def parse_offset_datetime_sql(text_sql: str) -> str:
     """SQL-text form of :func:`parse_offset_datetime` (for large expressions
     built as one SQL string)."""
-    return (f"CASE WHEN {text_sql} RLIKE '{ISO_OFFSET_DATE_TIME}' THEN try_cast(regexp_replace(upper({text_sql}), "
-            f"'T([0-9]{{2}}):([0-9]{{2}})(Z|[+-])', 'T$1:$2:00$3') AS TIMESTAMP) END")
+    return (f"CASE WHEN {text_sql} RLIKE '{ISO_OFFSET_DATE_TIME}' THEN try_cast("
+            f"CASE WHEN substring({text_sql}, 17, 1) = ':' THEN upper({text_sql}) "
+            f"ELSE regexp_replace(upper({text_sql}), 'T([0-9]{{2}}):([0-9]{{2}})(Z|[+-])', 'T$1:$2:00$3') END "
+            f"AS TIMESTAMP) END")
 
 
 def datetime_error(text: Column | str) -> Column:
