@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import broadcast_if_small
 from .common import table
 
 BITS = 64
@@ -61,13 +62,14 @@ def _majority(h: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """(doc_id, fp bigint) per row."""
+    """(doc_id, th, fp) per row; ``th`` is a hash of the text."""
     def run(batches):
         for batch in batches:
             fp = [_majority(_hashes(t or "", size)) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), pa.array(fp, pa.int64())],
-                                  names=["doc_id", "fp"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+            yield pa.record_batch([batch.column("doc_id"), batch.column("th"), pa.array(fp, pa.int64())],
+                                  names=["doc_id", "th", "fp"])
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text").mapInArrow(
+        run, "doc_id bigint, th bigint, fp bigint")
 
 
 # ---------------------------------------------------------------- partitions
@@ -205,16 +207,34 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) per row: component_id is the smallest doc_id
-    that is reachable over links, the document itself included."""
+    """(doc_id, th, fp, component_id, stays) per row: component_id is the
+    smallest doc_id that is reachable over links, the document itself
+    included.  ``stays`` marks each component's smallest doc_id (rows without
+    doc_id come last, then by text hash)."""
     rows = fingerprints(docs, size).checkpoint()
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("low")).checkpoint()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("low")
+    fps = rows.groupBy("fp").agg(first).checkpoint()
     roots = components(link(fps, distance))
     named = fps.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = named.select("fp", "root").join(lowest, "root").select("fp", "component_id")
-    return rows.join(of, "fp").select("doc_id", "fp", "component_id")
+    lowest = named.groupBy("root").agg(F.min("low").alias("least"))
+    of = named.select("fp", "root").join(lowest, "root").select("fp", "least")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("th") == F.col("least.th"))
+    return rows.join(of, "fp").select("doc_id", "th", "fp", F.col("least.doc_id").alias("component_id"),
+                                      stays.alias("stays"))
+
+
+def one_of_each(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
+    """One row of ``docs`` per component, with all columns."""
+    found = near_duplicates(docs, size, distance).checkpoint()
+    gone = broadcast_if_small(found.where(~F.col("stays")).select(
+        F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct())
+    th = F.xxhash64(docs["text"])
+    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_d"]) & (th == gone["_t"]), "left_anti")
+    again = found.where("stays").groupBy("doc_id", "th").count().where("count > 1")
+    if again.isEmpty():
+        return left
+    return left.withColumn("_t", F.xxhash64("text")).dropDuplicates(["doc_id", "_t"]).drop("_t")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
