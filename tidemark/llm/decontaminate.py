@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 from ..plans.joins import broadcast_if_small
 from .common import lower_ascii, table
 
-# Fixed value of the contract: a word is a run of these characters.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value of the contract: characters that no word has (after lower-casing A-Z).
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 5
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    # splitting is several times faster than extracting millions of matches
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def _run(array: Column, start: Column, n: int) -> Column:
