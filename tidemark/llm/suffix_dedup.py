@@ -44,8 +44,9 @@ from .blocks import Block, by_bucket, firsts, in_blocks, layout, pack, pack_sort
 from .common import table
 
 GRAM = 24
-SEGMENT = 1 << 21          # window starts hashed at a time; places in a segment take PLACE_BITS
-PLACE_BITS = 22
+SEGMENT = 1 << 18          # window starts hashed at a time; places in a segment take PLACE_BITS
+PLACE_BITS = 20
+SORT_ROWS = 1 << 18         # suffixes sorted at a time
 WHOLE, ASKED, BYTES = 0, 1, 2
 
 ENTRY = "bucket int, blk int, triggers binary, phrases binary, places binary"
@@ -196,20 +197,24 @@ def _suffixes(size: int):
         word = np.zeros(len(data) - 7, np.uint64)               # eight bytes from each place, high byte first
         for j in range(8):
             word = (word << np.uint64(8)) | data[j:len(data) - 7 + j]
-        keys = [word[at + j] for j in range(0, size - 7, 8)]
-        if size % 8:
-            keys.append(word[at + size - 8])                    # the last eight bytes complete the depth
-        by = np.lexsort(keys[::-1])
-        same = np.ones(len(by), bool)
-        for k in keys:
-            s = k[by]
-            same[1:] &= s[1:] == s[:-1]
-        same[:1] = False
-        head = np.flatnonzero(~same)[np.cumsum(~same) - 1] if len(by) else by
-        e, f = entry[by], entry[by[head]] if len(by) else by
-        hit = (blk[e] != blk[f]) | (doc[e] != doc[f])
-        e, place = e[hit], at[by[hit]]
-        place = start[e] + place - (np.cumsum(n) - n)[e]
+        depths = [*range(0, size - 7, 8)] + [size - 8] * (size % 8 > 0)   # the last eight bytes complete the depth
+        # suffixes that start alike stay together, so parts can be sorted one by one
+        part = (rolling.mix(word[at]) % np.uint64(len(at) // SORT_ROWS + 1)).astype(np.int32)
+        hits = []
+        for k in range(len(at) // SORT_ROWS + 1):
+            own = np.flatnonzero(part == k)
+            by = own[np.lexsort([word[at[own] + j] for j in depths[::-1]])]
+            same = np.ones(len(by), bool)
+            for j in depths:
+                w = word[at[by] + j]
+                same[1:] &= w[1:] == w[:-1]
+            same[:1] = False
+            head = by[np.flatnonzero(~same)][np.cumsum(~same) - 1] if len(by) else by
+            e, f = entry[by], entry[head]
+            hits.append(by[(blk[e] != blk[f]) | (doc[e] != doc[f])])
+        hit = np.concatenate(hits)
+        e = entry[hit]
+        place = start[e] + at[hit] - (np.cumsum(n) - n)[e]
         out = [(int(k), BYTES, bucket, pack_sorted(np.unique(place[blk[e] == k]))) for k in np.unique(blk[e])]
         return _table(ANSWER, out)
     return settle
@@ -226,7 +231,7 @@ def _keep(size: int, gram: int):
             (told if kind == WHOLE else single)[unpack_sorted(places)] = True
         whole = told[first] | (p.doc != p.doc[first])
         # an original's other occurrences in its own document share its single windows
-        some = np.concatenate([[0], np.cumsum(single)])
+        some = np.concatenate([[0], np.cumsum(single, dtype=np.int32)])
         again = np.flatnonzero(~whole & (first != np.arange(len(first))))
         again = again[some[p.b[first[again]] + 1] > some[p.a[first[again]]]]
         n = p.b[again] - p.a[again] + 1
@@ -239,7 +244,7 @@ def _keep(size: int, gram: int):
             np.add.at(edge, j, -1)
         gone = np.cumsum(edge[:len(data) + 1]) > 0
         run = gone & ~np.concatenate([[False], gone[:-1]])
-        n_gone, n_run = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, run))
+        n_gone, n_run = (np.concatenate([[0], np.cumsum(x, dtype=np.int32)]) for x in (gone, run))
         end = start + lengths
         removed, spans = n_gone[end] - n_gone[start], n_run[end] - n_run[start]
         kept = [t if not r else data[s:e][~gone[s:e]].tobytes()
