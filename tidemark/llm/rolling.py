@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_DIGIT = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+DIGIT = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -56,7 +56,7 @@ def window_hash(p: np.ndarray, size: int) -> np.ndarray:
 
 
 def byte_prefix(data: np.ndarray) -> np.ndarray:
-    return prefix(_DIGIT[data])
+    return prefix(DIGIT[data])
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

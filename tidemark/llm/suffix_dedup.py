@@ -16,7 +16,9 @@ other and share a trigger form a phrase: their bytes, neighbours overlapping by
 3. Dictionary suffixes: where a trigger has several entries, the originals
    send their bytes, and the bucket sorts the suffixes of these entries to a
    depth of ``size`` bytes (ties in corpus order).  Neighbours that agree on
-   ``size`` bytes are repeats of the first.
+   ``size`` bytes are repeats of the first.  A trigger with very many entries (a
+   line that is in a third of all documents) does not go to one bucket: each
+   block sends its distinct suffixes, dealt by the hash of their bytes.
 4. Blocks get both answers and merge the covered bytes into removal spans.
 
 Equal windows have equal triggers at equal offsets, so they always meet in one
@@ -47,7 +49,8 @@ GRAM = 24
 SEGMENT = 1 << 18          # window starts hashed at a time; places in a segment take PLACE_BITS
 PLACE_BITS = 20
 SORT_ROWS = 1 << 18         # suffixes sorted at a time
-WHOLE, ASKED, BYTES = 0, 1, 2
+HOT_ENTRIES = 1024          # distinct phrases from which a trigger's suffixes are dealt out
+WHOLE, ASKED, BYTES, HOT = 0, 1, 2, 3
 
 ENTRY = "bucket int, blk int, triggers binary, phrases binary, places binary"
 ANSWER = "blk int, kind int, bucket int, places binary"
@@ -145,30 +148,61 @@ def _dictionary(rows: pa.Table) -> pa.Table:
     new = new_t.copy()
     new[1:] |= es[1:] != es[:-1]
     of = np.cumsum(new_t) - 1
-    several = np.bincount(of, weights=new)[of] > 1
-    whole, asked = np.empty(len(t), bool), np.empty(len(t), bool)
-    whole[order], asked[order] = ~new, new & several
+    several = np.bincount(of, weights=new)[of]
+    whole, asked, hot = (np.empty(len(t), bool) for _ in range(3))
+    whole[order], hot[order] = ~new, new & (several >= HOT_ENTRIES)
+    asked[order] = new & (several > 1) & (several < HOT_ENTRIES)
     out, at = [], 0
     for blk, own, _, places in parts:
-        for kind, hit in ((WHOLE, whole), (ASKED, asked)):
+        for kind, hit in ((WHOLE, whole), (ASKED, asked), (HOT, hot)):
             if len(told := places[hit[at:at + len(own)]]):
                 out.append((blk, kind, bucket, pack_sorted(told)))
         at += len(own)
     return _table(ANSWER, out)
 
 
-def _bytes(size: int, gram: int):
+def _hot_suffixes(data: np.ndarray, p: Phrases, places: list[np.ndarray], size: int):
+    """Places, documents and hashes of the windows of a block's hot entries,
+    and for each the index of the block's first equal one."""
+    i = np.sort(np.concatenate(places))
+    n = p.b[i] - p.a[i] + 1
+    at, doc, h = _spread(p.a[i], n), np.repeat(p.doc[i], n), []
+    for lo in range(0, len(at), SEGMENT):
+        own = at[lo:lo + SEGMENT]
+        x = np.zeros(len(own), np.uint64)
+        for j in range(size):
+            x = x * np.uint64(rolling.BASE) + rolling.DIGIT[data[own + j]]
+        h.append(rolling.mix(x))
+    h = np.concatenate(h)
+    return at, doc, h, firsts(h)
+
+
+def _answers(table_: pa.Table, kind: int) -> list[np.ndarray]:
+    return [unpack_sorted(places) for k, places in zip(table_.column("kind").to_pylist(),
+                                                       table_.column("places").to_pylist()) if k == kind]
+
+
+def _bytes(bits: int, size: int, gram: int):
     def send(rows: pa.Table, asked: pa.Table) -> pa.Table:
         if not rows.num_rows or not asked.num_rows:
             return _table(TEXT, [])
         block, blk = read_block(rows), rows.column("blk")[0].as_py()
         p, (data, _, _) = _parse(block, size, gram), _joined(block)
         out = []
-        for bucket, places in zip(asked.column("bucket").to_pylist(), asked.column("places").to_pylist()):
-            i = unpack_sorted(places)
-            a, n = p.a[i], p.b[i] - p.a[i] + size
-            out.append((bucket, blk, pack_sorted(a), pack_sorted(p.doc[i]), pack(n.astype(np.uint32)),
+
+        def add(bucket: int, a: np.ndarray, n: np.ndarray, doc: np.ndarray) -> None:
+            out.append((bucket, blk, pack_sorted(a), pack_sorted(doc), pack(n.astype(np.uint32)),
                         data[_spread(a, n)].tobytes()))
+
+        for kind, bucket, places in zip(*(asked.column(c).to_pylist() for c in ("kind", "bucket", "places"))):
+            if kind == ASKED:
+                i = unpack_sorted(places)
+                add(bucket, p.a[i], p.b[i] - p.a[i] + size, p.doc[i])
+        if hot := _answers(asked, HOT):
+            at, doc, h, first = _hot_suffixes(data, p, hot, size)
+            own = np.flatnonzero(first == np.arange(len(h)))
+            for bucket, i in by_bucket(h[own], bits):
+                add(bucket, at[own[i]], np.full(len(i), size), doc[own[i]])
         return _table(TEXT, out)
     return send
 
@@ -227,8 +261,12 @@ def _keep(size: int, gram: int):
         p = _parse(block, size, gram)
         first = _first_phrase(p)
         told, single = np.zeros(len(p.a), bool), np.zeros(len(data) + 1, bool)
-        for kind, places in zip(answers.column("kind").to_pylist(), answers.column("places").to_pylist()):
-            (told if kind == WHOLE else single)[unpack_sorted(places)] = True
+        for mark, kind in ((told, WHOLE), (single, BYTES)):
+            for places in _answers(answers, kind):
+                mark[places] = True
+        if hot := _answers(answers, HOT):
+            at, doc, _, head = _hot_suffixes(data, p, hot, size)
+            single[at[(doc != doc[head]) | single[at[head]]]] = True
         whole = told[first] | (p.doc != p.doc[first])
         # an original's other occurrences in its own document share its single windows
         some = np.concatenate([[0], np.cumsum(single, dtype=np.int32)])
@@ -261,10 +299,10 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 50, gram: int = GRAM) ->
     blocks = in_blocks(docs, lay.blocks)
     entries = blocks.groupBy("blk").applyInArrow(_send(lay.bucket_bits, size, gram), ENTRY)
     answers = entries.groupBy("bucket").applyInArrow(_dictionary, ANSWER)
-    asked = answers.where(F.col("kind") == ASKED)
-    texts = blocks.groupBy("blk").cogroup(asked.groupBy("blk")).applyInArrow(_bytes(size, gram), TEXT)
+    asked = answers.where(F.col("kind").isin(ASKED, HOT))
+    texts = blocks.groupBy("blk").cogroup(asked.groupBy("blk")).applyInArrow(_bytes(lay.bucket_bits, size, gram), TEXT)
     single = texts.groupBy("bucket").applyInArrow(_suffixes(size), ANSWER)
-    told = answers.where(F.col("kind") == WHOLE).unionByName(single)
+    told = answers.where(F.col("kind").isin(WHOLE, HOT)).unionByName(single)
     return blocks.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_keep(size, gram), KEPT)
 
 
