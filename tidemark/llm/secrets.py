@@ -29,7 +29,10 @@ from .common import table
 
 # Fixed values of the contract.
 ASSIGN = ("((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
-BASE = [("assign", ASSIGN, 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32)]
+# Runs are maximal, so asking for their length in the pattern (12 after AKIA, 32)
+# finds the same spans as dropping short matches of ``+``, without the many
+# short matches; a short assignment does use up its text and is dropped after.
+BASE = [("assign", ASSIGN, 2, 8), ("access", "AKIA[A-Z0-9]{12,}+", 0, 16), ("hex", "[0-9a-f]{32,}+", 0, 32)]
 # Method parameters: kind, alphabet, bits that a window must reach.
 WINDOW = 20
 CLASSES = [
