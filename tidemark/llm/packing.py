@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,10 @@ from .common import n_blocks, table
 CONTEXT = 4096
 END_ID = 1
 #: Strings whose ids a task keeps; when full, the store starts anew.
-KEEP_STRINGS = 600_000
+KEEP_STRINGS = 1_200_000
 ROWS_PER_CHUNK = 100_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-_TABLE = str.maketrans("\n\t\r", "   ")
+_MARKS = ",.!?;:%&$*#|()[]"
 
 
 class _Encoder:
@@ -53,16 +54,49 @@ class _Encoder:
         self.kept: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.translate(_TABLE).split(" ") if t else [] for t in texts]
-        new = list(set().union(*split).difference(self.kept))
+        split = [_lower(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
+        own = set().union(*split)
+        new = own.difference(self.kept)
         if len(self.kept) + len(new) > KEEP_STRINGS:
             self.kept = {"": b""}
-            new = list(set().union(*split).difference(self.kept))
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
+            new = own
+        self._learn(new)
+        near = {s: self.kept[s] for s in own}       # a small table for the many look-ups
+        return [b"".join(map(near.__getitem__, s)) for s in split]
+
+    def _learn(self, new: set[str]) -> None:
+        """Ids of new strings.  Letters before a run of marks are encoded by
+        themselves, and so are the marks: no token spans a letter and a mark.
+        A word of a-z is one unit of the tokenizer's model."""
+        marked = []
+        for s in new:
+            word = s.rstrip(_MARKS)
+            if word != s and word.isalpha() and max(word) < "\u0100":
+                marked.append((s, word, s[len(word):]))
+        plain = new.difference(m[0] for m in marked).union(m[1] for m in marked).union(m[2] for m in marked)
+        rest = []
+        tokenize = self.tokenizer.model.tokenize
+        for s in plain.difference(self.kept):
+            if s.isascii() and s.isalpha() and s.islower():
+                self.kept[s] = array("I", [t.id for t in tokenize(s)]).tobytes()
+            else:
+                rest.append(s)
+        for at in range(0, len(rest), 10_000):
+            part = rest[at:at + 10_000]
             for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.kept[s] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.kept.__getitem__, s)) for s in split]
+                self.kept[s] = array("I", e.ids).tobytes()
+        for s, word, tail in marked:
+            self.kept[s] = self.kept[word] + self.kept[tail]
+
+
+def _lower(text: str) -> str:
+    """Lower case where that is sure to be what the tokenizer does first: in
+    Latin-1 no letter composes or changes length."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 def pieces(docs: DataFrame, tokenizer: str, context: int = CONTEXT, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -72,8 +106,8 @@ def pieces(docs: DataFrame, tokenizer: str, context: int = CONTEXT, end_id: int
     def run(batches):
         encoder, end = _Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
                 rows = []
                 for doc, ids in zip(part.column("doc_id").to_pylist(),
                                     encoder.encode([t or "" for t in part.column("text").to_pylist()])):
