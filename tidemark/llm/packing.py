@@ -166,7 +166,7 @@ def plan(counts: np.ndarray, context: int) -> np.ndarray:
     uses * need - 1 of ``length`` go, ``need`` to a sequence, to ``uses``
     sequences from ``sequence`` on, side by side from ``offset`` on."""
     left = counts.astype(np.int64).copy()
-    taken, rows, sequence = np.zeros(context + 1, np.int64), [], 0
+    taken, rows, sequence = [0] * (context + 1), array("q"), 0
     longest = context
     while True:
         while longest and not left[longest]:
@@ -190,7 +190,7 @@ def plan(counts: np.ndarray, context: int) -> np.ndarray:
         uses, offset = 1 + more, 0
         for n, k in used.items():
             left[n] -= more * k
-            rows.append((n, taken[n], uses, k, sequence, offset))
+            rows.extend((n, taken[n], uses, k, sequence, offset))
             taken[n] += uses * k
             offset += n * k
         sequence += uses

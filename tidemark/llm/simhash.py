@@ -36,7 +36,7 @@ from .common import table
 BITS = 64
 SEED = 42
 #: Fingerprints (lowest by hash) that cost estimates look at.
-SAMPLE = 4096
+SAMPLE = 2048
 #: Cost of one probe row in units of one candidate comparison.
 PROBE_COST = 20
 MAX_PROBES = 4096
@@ -122,11 +122,12 @@ def _allocate(bits: np.ndarray, groups: list[list[int]], n: int, distance: int)
     for g in groups:
         b = bits[:, g].astype(np.float32)
         differ = b.sum(1)[:, None] + b.sum(1)[None, :] - 2 * (b @ b.T)
-        seen = np.bincount(differ[np.triu_indices(len(b), 1)].astype(np.int64), minlength=need + 1)
+        seen = np.bincount(differ.astype(np.int8).ravel(), minlength=need + 1)     # every pair twice, each row once
+        seen[0] -= len(b)
         row = [0.0]
         for t in range(need):
             ball = sum(comb(len(g), j) for j in range(t + 1))
-            share = max(seen[:t + 1].sum() / pairs, ball / 2.0 ** len(g))
+            share = max(seen[:t + 1].sum() / 2 / pairs, ball / 2.0 ** len(g))
             row.append(share * n * n / 2 + PROBE_COST * n * ball if ball <= MAX_PROBES else float("inf"))
         cost.append(row)                       # by t + 1
     best = {0: (0.0, [])}

@@ -35,7 +35,7 @@ GRAMS = (4, 6)
 BUCKET_BITS = 18
 DIMENSIONS = 8
 #: Bound of the training sample: rows by label.
-PER_CLASS = {1: 1500, 0: 4000}
+PER_CLASS = {1: 1500, 0: 3000}
 EPOCHS = 6
 BATCH = 32
 LEARN, DECAY = 0.01, 1e-4
@@ -104,7 +104,8 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = PER_C
 
 
 def train(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Joint training of embeddings and softmax on (label, buckets, counts)."""
+    """Joint training of embeddings and softmax on (label, buckets, counts);
+    empties ``rows``."""
     y = np.array([r[0] for r in rows], np.int64)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.0
@@ -117,8 +118,9 @@ def train(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model:
     place = np.full(1 << BUCKET_BITS, -1, np.int32)
     place[vocabulary] = np.arange(len(vocabulary))
     rare = (SCALE * np.log(len(rows) / seen[vocabulary])).astype(np.float32)   # common n-grams say little
-    bags = []
-    for _, b, c in rows:
+    bags, count = [], len(rows)
+    while rows:                     # the driver holds each row once
+        _, b, c = rows.pop(0)
         at, share = place[b], c / np.float32(max(PAD, float(c.sum(dtype=np.int64))))
         bags.append((at[at >= 0], share[at >= 0] * rare[at[at >= 0]]))
     weight = np.array([1.0, ((y == 0).sum() / (y == 1).sum()) ** 0.5])[y]
@@ -128,9 +130,9 @@ def train(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model:
     bias = np.zeros(2, np.float32)
     params = [e, u, bias]
     mean, square, largest = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0.0
-    step, steps = 0, epochs * -(-len(rows) // BATCH)
+    step, steps = 0, epochs * -(-count // BATCH)
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(count)
         for lo in range(0, len(order), BATCH):
             part = order[lo:lo + BATCH]
             used, at = np.unique(np.concatenate([bags[i][0] for i in part]), return_inverse=True)
