@@ -91,17 +91,20 @@ def entropy_runs(text: Column, alphabet: str, threshold: float) -> Column:
     ``threshold`` bits; every character of ``text`` is in ``alphabet``."""
     most = math.floor((math.log2(WINDOW) - threshold) * WINDOW * SCALE)   # sum of c log c at the threshold
     enter = F.array(*[F.lit(_c_log_c(n + 1) - _c_log_c(n)) for n in range(WINDOW + 1)])
-    chars = F.split(text, "")
-    at = lambda i: F.instr(F.lit(alphabet), F.get(chars, i)) - 1
+    cells = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
+    # the entering and the leaving character of every step, worked out once
+    late = F.slice(F.concat(F.array_repeat(F.lit(-1), WINDOW), cells), F.lit(1), F.length(text))
+    moves = F.arrays_zip(cells.alias("new"), late.alias("out"))
 
-    def step(s: Column, i: Column) -> Column:
+    def step(s: Column, x: Column) -> Column:
         # the leaving character first, then the entering one
-        out, new = F.when(i >= WINDOW, at(i - WINDOW)).otherwise(F.lit(-1)), at(i)
-        less = F.when(i >= WINDOW, F.get(enter, F.get(s["c"], out) - 1)).otherwise(F.lit(0))
-        kept = F.transform(s["c"], lambda v, k: v - F.when(k == out, 1).otherwise(0))
-        return F.transform(F.array(F.struct(kept.alias("c"), (s["e"] - less).alias("e"), new.alias("new"))), lambda k: (
-            F.transform(F.array(k["e"] + F.get(enter, F.get(k["c"], k["new"]))), lambda e: F.struct(
-                F.transform(k["c"], lambda v, j: v + F.when(j == k["new"], 1).otherwise(0)).alias("c"),
+        i = s["i"] + 1
+        less = F.when(x["out"] >= 0, F.get(enter, F.get(s["c"], x["out"]) - 1)).otherwise(F.lit(0))
+        kept = F.transform(s["c"], lambda v, k: v - F.when(k == x["out"], 1).otherwise(0))
+        return F.transform(F.array(F.struct(kept.alias("c"), (s["e"] - less).alias("e"))), lambda k: (
+            F.transform(F.array(k["e"] + F.get(enter, F.get(k["c"], x["new"]))), lambda e: F.struct(
+                i.alias("i"),
+                F.transform(k["c"], lambda v, j: v + F.when(j == x["new"], 1).otherwise(0)).alias("c"),
                 e.alias("e"),
                 F.when((i >= WINDOW - 1) & (e <= most), F.when(s["b"] >= i - WINDOW + 1, s["a"])
                        .otherwise(i - WINDOW + 1)).otherwise(s["a"]).alias("a"),
@@ -110,11 +113,11 @@ def entropy_runs(text: Column, alphabet: str, threshold: float) -> Column:
                        F.concat(s["out"], F.array(F.struct(s["a"].alias("start"), s["b"].alias("end")))))
                 .otherwise(s["out"]).alias("out")))[0]))[0]
 
-    start = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("c"), F.lit(0).alias("e"), F.lit(-1).alias("a"),
+    start = F.struct(F.lit(-1).alias("i"), F.array_repeat(F.lit(0), len(alphabet)).alias("c"), F.lit(0).alias("e"), F.lit(-1).alias("a"),
                      F.lit(-1).alias("b"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
     done = lambda s: F.when(s["b"] >= 0, F.concat(s["out"], F.array(
         F.struct(s["a"].alias("start"), s["b"].alias("end"))))).otherwise(s["out"])
-    return F.aggregate(F.sequence(F.lit(0), F.length(text) - 1), start, step, done)
+    return F.aggregate(moves, start, step, done)
 
 
 def _class_pattern(alphabet: str) -> str:
