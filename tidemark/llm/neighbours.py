@@ -4,8 +4,8 @@ Every row block holds a forest over its own vectors: per tree a long hash
 string (signs of ``BITS`` orthogonalised random projections), kept as a sorted
 array.  A query descends each tree to the longest prefix it shares with any
 string, then all trees ascend together, one prefix bit at a time, until their
-matching ranges hold ``reach`` times the block's rows; the union of the ranges
-is scored exactly in double precision.  Vectors are extended by one coordinate
+matching ranges together hold ``reach`` times the block's rows (and their union
+``FLOOR`` * ``k`` rows, if there are so many); the union of the ranges is scored exactly in double precision.  Vectors are extended by one coordinate
 that makes all norms of a block equal, so that hashing by angle serves the
 inner product.
 
@@ -37,6 +37,8 @@ TREES = 96
 BITS = 24
 #: Ranges of all trees together, as a multiple of the block's rows.
 REACH = 0.45
+#: Least candidates of a query in a block, in multiples of k (small blocks).
+FLOOR = 30
 ROW_BLOCK = 8192
 QUERY_BLOCK = 2048
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -76,13 +78,13 @@ class Forest:
         self.order = np.argsort(h, axis=1, kind="stable")
         self.sorted = np.take_along_axis(h, self.order, axis=1)
 
-    def ranges(self, q: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    def ranges(self, q: np.ndarray, need: float) -> tuple[np.ndarray, np.ndarray]:
         """Per tree and query the range of strings that match down to the level
-        at which the trees' ranges together first hold ``reach`` rows."""
+        at which the trees' ranges together first hold ``need`` rows."""
         unit = q / np.linalg.norm(q, axis=1, keepdims=True)
         h = _strings(np.column_stack([unit, np.zeros(len(q))]), self.proj, self.trees)
         lo, hi = np.zeros(h.shape, np.int64), np.zeros(h.shape, np.int64)
-        need, open_ = reach * len(self.x), np.arange(len(q))
+        open_ = np.arange(len(q))
         # descend: the longest prefix shared with a neighbour in sorted order
         depth = np.zeros(len(q), np.int64)
         for t in range(self.trees):
@@ -107,18 +109,27 @@ class Forest:
             level -= 1
         return lo, hi
 
+    def _union(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        seen = np.zeros(len(self.x), bool)
+        for t in range(self.trees):
+            seen[self.order[t, lo[t]:hi[t]]] = True
+        return np.flatnonzero(seen)
+
     def search(self, q: np.ndarray, k: int, reach: float):
         """(rows, scores) of the best candidates of every query; all that tie
         with the k-th are among them."""
-        lo, hi = self.ranges(q, reach)
+        # a query that is a row itself is in every tree's range
+        need = reach * len(self.x) + self.trees
+        lo, hi = self.ranges(q, need)
         for i in range(len(q)):
-            seen = np.zeros(len(self.x), bool)
-            for t in range(self.trees):
-                seen[self.order[t, lo[t, i]:hi[t, i]]] = True
-            rows = np.flatnonzero(seen)
+            rows, more = self._union(lo[:, i], hi[:, i]), need
+            while len(rows) < min(len(self.x), FLOOR * k):      # ascend further
+                more *= 2
+                own = self.ranges(q[i:i + 1], more)
+                rows = self._union(own[0][:, 0], own[1][:, 0])
             score = self.x[rows] @ q[i]
             if len(rows) > 2 * k:
-                least = np.partition(score, len(score) - k)[len(score) - k]
+                least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]    # one may be the query itself
                 rows = rows[score >= least - 1e-9 * max(1.0, abs(least))]
             # the reported sum runs over the coordinates in order
             yield rows, np.cumsum(self.x[rows] * q[i], axis=1)[:, -1]
