@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import consume
@@ -37,6 +38,45 @@ def test_no_cursor_row_means_start(spark):
     assert counts == {"0": 1, "1": 4}
 
 
+def test_pairs_without_a_cursor_start_at_zero(spark):
+    """Only (click, 2) has a cursor; (view, 2) shares its partition id."""
+    rows = [(e, p, o, T0) for e in ("click", "view") for p in ("2", "3") for o in range(10)]
+    lg = spark.createDataFrame(rows, "event_type string, partition string, offset long, occurred_at timestamp")
+    c = cursors(spark, [("click", "2", "5")])
+    for types in (None, ["click", "view"]):
+        got = consume.read_from_cursor(lg, c, event_types=types)
+        n = {(r.event_type, r.partition): r.n_events for r in consume.partition_summary(got).collect()}
+        assert n == {("click", "2"): 4, ("click", "3"): 10, ("view", "2"): 10, ("view", "3"): 10}
+
+
+def test_scan_filter_reaches_parquet(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [(e, p, o) for e in ("a", "b") for p in ("0", "1") for o in range(10)]
+    spark.createDataFrame(rows, "event_type string, partition string, offset long") \
+        .write.partitionBy("event_type").parquet(path)
+    c = cursors(spark, [("a", "0", "5"), ("b", "0", "7"), ("a", "1", "3")])
+    got = consume.read_from_cursor(spark.read.parquet(path), c, event_types=["a", "b"])
+    n = {(r.event_type, r.partition): r.n_events for r in consume.partition_summary(got).collect()}
+    assert n == {("a", "0"): 4, ("b", "0"): 2, ("a", "1"): 6, ("b", "1"): 10}
+    plan = got._jdf.queryExecution().simpleString()
+    assert "GreaterThanOrEqual(offset,6)" in plan       # partition 0 only: (b, 1) has no cursor
+
+
+def test_unreadable_cursor_fails(spark):
+    with pytest.raises(Exception, match="Invalid offset value: bogus"):
+        offsets_after(spark, "bogus")
+
+
+def test_many_partition_ids(spark):
+    n = 10_000
+    lg = spark.range(2 * n).select(F.lit("t").alias("event_type"), (F.col("id") % n).cast("string").alias("partition"),
+                                   F.floor(F.col("id") / n).alias("offset"))
+    c = spark.range(n).select(F.lit("t").alias("event_type"), F.col("id").cast("string").alias("partition"),
+                              F.lit("0").alias("start_cursor"))
+    got = consume.read_from_cursor(lg, c, event_types=["t"])
+    assert got.agg(F.count(F.lit(1)), F.min("offset")).first() == (n, 1)
+
+
 def test_batch_by_count(spark):
     ev = consume.read_from_cursor(log(spark, 35), cursors(spark, [("t", "0", "9")]))
     b = sorted((r.batch_cursor, r.n_events) for r in consume.batch_by_count(ev, 10).collect())

@@ -41,7 +41,7 @@ def consume(log: DataFrame, settings: ConsumerSettings, commits: DataFrame | Non
     timeout relative to the time the stream was opened."""
     events = log.filter(F.col("event_type") == settings.event_type)
     cursors = start_cursors(log, settings, commits, partitions)
-    ev = ops.read_from_cursor(events, cursors)
+    ev = ops.read_from_cursor(events, cursors, event_types=[settings.event_type])
     ev = ops.limit_stream(ev, settings.stream_limit)
     if opened_at is not None:
         ev = ops.limit_stream_by_time(ev, opened_at, settings.stream_timeout_seconds)

@@ -69,7 +69,16 @@ def resolve_start_cursor(spark, sf):
 
 
 def read_from_cursor(spark, sf):
-    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf))
+    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
+                                  event_types=fx.event_types(spark, sf))
+    return consume.partition_summary(ev)
+
+
+def read_from_mixed_cursors(spark, sf):
+    """A4 where some (event type, partition) pairs have no cursor row: only
+    the event types before "p" have one, so a partition id holds both."""
+    c = fx.explicit_cursors(spark, sf).filter(F.col("event_type") < "p")
+    ev = consume.read_from_cursor(fx.log(spark, sf), c, event_types=fx.event_types(spark, sf))
     return consume.partition_summary(ev)
 
 
@@ -82,23 +91,27 @@ def consume_all_partitions(spark, sf):
 
 
 def batch_by_count(spark, sf):
-    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf))
+    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
+                                  event_types=fx.event_types(spark, sf))
     return consume.batch_by_count(ev, 10).select(*KEYS, "batch_cursor", "first_offset", "n_events")
 
 
 def batch_by_count_or_time(spark, sf):
-    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf))
+    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
+                                  event_types=fx.event_types(spark, sf))
     w = greedy.greedy_windows(ev, KEYS, "offset", "occurred_at", max_rows=4, max_seconds=6 * 3600)
     return w.select(*KEYS, F.col("last_offset").alias("batch_cursor"), "first_offset", "n_events")
 
 
 def limit_stream(spark, sf):
-    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf))
+    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
+                                  event_types=fx.event_types(spark, sf))
     return consume.partition_summary(consume.limit_stream(ev, 25))
 
 
 def limit_stream_by_time(spark, sf):
-    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf))
+    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
+                                  event_types=fx.event_types(spark, sf))
     return consume.partition_summary(consume.limit_stream_by_time(ev, "2024-01-10 00:00:00", 3 * 86400))
 
 
@@ -557,7 +570,8 @@ def batch_by_count_or_time_stream(spark, sf):
     from tidemark.streaming import flush_timer
     stage = _scratch(spark, "batch-events")
     out = _scratch(spark, "stream-batches")
-    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf))
+    ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
+                                  event_types=fx.event_types(spark, sf))
     ev = ev.select("event_type", "partition", "offset", "occurred_at")
     ev.write.parquet(stage)
     flush_timer.stream_batches(spark, stage, ev.schema, out, 4, A7_STREAM_TIMEOUT_SECONDS)
@@ -591,6 +605,7 @@ QUERIES: dict[str, Query] = {
     "stream_batch_log": stream_batch_log_q,
     "resolve_start_cursor": resolve_start_cursor,
     "read_from_cursor": read_from_cursor,
+    "read_from_mixed_cursors": read_from_mixed_cursors,
     "consume_all_partitions": consume_all_partitions,
     "batch_by_count": batch_by_count,
     "batch_by_count_or_time": batch_by_count_or_time,

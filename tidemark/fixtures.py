@@ -49,6 +49,11 @@ def partitions(spark: SparkSession, sf: str) -> DataFrame:
     return partition_catalog(spark, sf).select("event_type", "partition")
 
 
+def event_types(spark: SparkSession, sf: str) -> list[str]:
+    """The event types of the log: one directory each in the topic layout."""
+    return [r["event_type"] for r in partitions(spark, sf).select("event_type").distinct().collect()]
+
+
 def explicit_cursors(spark: SparkSession, sf: str) -> DataFrame:
     """A4 cursors: partition 0 -> BEGIN, 1 -> "0", 2 -> padded 100, 3 -> none."""
     p = F.col("partition")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.offsets import BEGIN, offset_to_long
+from tidemark.functions.offsets import BEGIN, require_offset
 from tidemark.plans.joins import broadcast_if_small, collect_small
 from tidemark.plans.numbering import chunked_lag, offset_chunk
 from tidemark.settings import STALL_FACTOR
@@ -24,10 +24,11 @@ KEYS = ["event_type", "partition"]
 def cursor_start(cursor_text: Column) -> Column:
     """First offset delivered after a cursor: ``BEGIN`` -> 0 (symbolic),
     ``n`` -> n + 1, no cursor -> 0.  ``BEGIN`` and ``0`` are different here
-    although both convert to 0 as numbers."""
+    although both convert to 0 as numbers.  Any other text fails the query:
+    reading it as "no cursor" would deliver the partition again."""
     return (F.when(cursor_text.isNull(), F.lit(0))
             .when(cursor_text == F.lit(BEGIN), F.lit(0))
-            .otherwise(offset_to_long(cursor_text) + 1)).cast("bigint")
+            .otherwise(require_offset(cursor_text) + 1)).cast("bigint")
 
 
 def resolve_start_cursor(requests: DataFrame, commits: DataFrame) -> DataFrame:
@@ -47,40 +48,64 @@ def resolve_start_cursor(requests: DataFrame, commits: DataFrame) -> DataFrame:
                     .otherwise("none").alias("cursor_source"))
 
 
-def read_from_cursor(log: DataFrame, cursors: DataFrame, cursor_col: str = "start_cursor") -> DataFrame:
-    """A4/A5: events strictly after each partition's cursor; partitions
-    without a cursor row (or with a null cursor) start at offset 0.
-
-    ``cursors`` is one row per (event_type, partition).  It is collected
-    once with a row bound: that proves the broadcast safe (the log side is
-    never shuffled for the join, so a partition holding a third of the log
-    stays spread out) and yields a literal predicate ``partition = p AND
-    offset >= s`` that reaches the Parquet scan, where the offset min/max
-    statistics skip row groups before the cursor.  The join still applies
-    the exact per-(event type, partition) start."""
+def start_table(cursors: DataFrame, cursor_col: str = "start_cursor") -> tuple[DataFrame, list | None]:
+    """The first offset per (event_type, partition) of ``cursors``, and its
+    rows when their number is within the broadcast bound (else None).  A
+    job that reads many times (a stream) builds it once."""
     c = cursors.select(*KEYS, cursor_start(F.col(cursor_col)).alias("_start"))
     rows = collect_small(c)
     if rows is not None:
-        log = log.filter(cursor_scan_predicate(rows))
         c = F.broadcast(c.sparkSession.createDataFrame(rows, c.schema))
-    j = log.join(c, KEYS, "left")
+    return c, rows
+
+
+def read_from_cursor(log: DataFrame, cursors: DataFrame, cursor_col: str = "start_cursor",
+                     event_types: list[str] | None = None) -> DataFrame:
+    """A4/A5: events strictly after each partition's cursor; partitions
+    without a cursor row (or with a null cursor) start at offset 0; a cursor
+    that cannot be read fails the query.
+
+    ``cursors`` has one row per (event_type, partition).  The join applies
+    the exact start.  The cursor side is broadcast only when its row count
+    is proven small, so a partition holding a third of the log is not
+    shuffled; beyond the bound it is a shuffle join with the same rows.
+
+    ``event_types`` names the event types ``log`` holds.  With them it is
+    known for which partition ids every pair has a cursor, and a filter on
+    (partition, offset) for those ids reaches the Parquet scan, where the
+    offset statistics skip row groups before the cursor."""
+    return read_from_starts(log, *start_table(cursors, cursor_col), event_types=event_types)
+
+
+def read_from_starts(log: DataFrame, starts: DataFrame, rows: list | None = None,
+                     event_types: list[str] | None = None) -> DataFrame:
+    """:func:`read_from_cursor` with a prepared :func:`start_table`."""
+    if rows and event_types:
+        log = log.filter(cursor_scan_predicate(rows, event_types))
+    j = log.join(starts, KEYS, "left")
     return j.filter(F.col("offset") >= F.coalesce(F.col("_start"), F.lit(0))) \
         .withColumn("start_offset", F.coalesce(F.col("_start"), F.lit(0).cast("bigint"))).drop("_start")
 
 
-def cursor_scan_predicate(rows) -> Column:
-    """A superset filter on data columns only (pushable to Parquet): per
-    partition id the smallest start over event types; partition ids
-    without a cursor keep everything."""
-    starts: dict[str, int] = {}
-    for r in rows:
-        s = 0 if r["_start"] is None else int(r["_start"])
-        starts[r["partition"]] = min(s, starts.get(r["partition"], s))
-    if not starts:
-        return F.lit(True)
-    pred = F.col("partition").isNull() | ~F.col("partition").isin(*starts.keys())
-    for p, s in starts.items():
-        pred = pred | ((F.col("partition") == p) & (F.col("offset") >= F.lit(s)))
+# The scan filter holds at most this many starts and partition ids; it only
+# skips rows the join would drop, so leaving ids out of it changes no result.
+SCAN_STARTS, SCAN_PARTITIONS = 16, 2_000
+
+
+def cursor_scan_predicate(rows: list, event_types: list[str]) -> Column:
+    """A superset filter on data columns only (pushable to Parquet): partition
+    ids that have a cursor for every one of ``event_types`` drop the offsets
+    below the smallest of those starts.  Starts are rounded down to at most
+    ``SCAN_STARTS`` values, each one flat condition ``partition NOT IN (...)
+    OR offset >= start``."""
+    start = {(r["event_type"], r["partition"]): r["_start"] for r in rows}
+    low = {p: min(start.get((e, p), 0) for e in event_types) for p in {p for _, p in start if p is not None}}
+    best = sorted(((s, p) for p, s in low.items() if s > 0), reverse=True)[:SCAN_PARTITIONS]
+    pred, step = F.lit(True), -(-len(best) // SCAN_STARTS) or 1
+    for k in range(0, len(best), step):
+        group = best[k:k + step]
+        pred = pred & (F.col("partition").isNull() | ~F.col("partition").isin([p for _, p in group])
+                       | (F.col("offset") >= F.lit(group[-1][0])))
     return pred
 
 

@@ -250,6 +250,9 @@ FROM (SELECT *, CASE WHEN group_id = 'g1' AND partition_id = '2' THEN 'BEGIN'
                      WHEN group_id = 'g3' AND partition_id = '1' THEN '5' END AS explicit FROM requests) r
 LEFT JOIN commits c ON c.group_id = r.group_id AND c.event_type = r.event_type AND c.partition_id = r.partition_id""")
     q["read_from_cursor"] = _with("", _summary("after_cursor"))
+    q["read_from_mixed_cursors"] = _with("", _summary("""(
+  SELECT e.* FROM event_log e JOIN xc USING (event_type, "partition")
+  WHERE e."offset" >= CASE WHEN event_type < 'p' THEN xc.start_offset ELSE 0 END) m"""))
     q["consume_all_partitions"] = _with(_G1_START, _summary(
         'valid_events v JOIN g1start s USING (event_type, "partition") WHERE v."offset" >= s.start_offset'))
     q["batch_by_count"] = _with("", """
