@@ -39,5 +39,7 @@ def test_publish_stores_one_body_per_message(spark, tmp_path):
     pe = fx.producer_events(spark, SF_SMALL)
     stored = api.publish(spark, pe, ProducerSettings("audit"), str(tmp_path / "out"))
     assert stored.count() == pe.select("message_id").distinct().count()
+    again = api.publish(spark, pe.filter(F.col("message_id") == 2), ProducerSettings("other"), str(tmp_path / "out"))
+    assert [(r.event_type, r.message_id) for r in again.collect()] == [("other", 2)]     # this call's messages only
     body = stored.orderBy("message_id").first().body
     assert len(_json.loads(body)) == 10

@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import commits
@@ -95,6 +96,36 @@ def test_release(spark):
     assert not r["1"].released and "partition: '1'" in r["1"].warning
 
 
+def test_several_puts_of_one_key(spark):
+    cur = table(spark, [("g", "t", "0", "1", "h", 3, T0, "L")])
+    two = put(spark, "0", "5").unionByName(put(spark, "0", "6"))
+    with pytest.raises(Exception, match="several puts without put_seq for g/t/0"):
+        commits.commit_put(cur, two).collect()
+    seq = put(spark, "0", "5").withColumn("put_seq", F.lit(1)) \
+        .unionByName(put(spark, "0", "6").withColumn("put_seq", F.lit(2)))
+    rows = commits.commit_put(cur, seq).collect()
+    assert [(r.checkpoint_id, r.lease_counter, r.lease_id) for r in rows] == [("6", 5, "L")]
+
+
+def test_row_without_checkpoint_exists(spark):
+    cur = table(spark, [("g", "t", "0", None, "h", 3, T0, "L")])
+    assert commits.commit_put(cur, put(spark, "0", "5")).first().lease_counter == 4
+    req = cur.select(*commits.TABLE_KEYS)
+    assert commits.release_lease(req, cur, NOW).first().released
+
+
+def test_version_guard_and_retention(spark, tmp_path):
+    root = str(tmp_path / "guarded")
+    t = put(spark, "0", "5")
+    for v in (1, 2, 3):
+        commits.write_table_version(spark, t, root, v, writer="a", keep=2)
+    commits.write_table_version(spark, t, root, 3, writer="a", keep=2)      # replay
+    assert commits.versions(spark, root) == [2, 3]
+    for other in ("b", None):
+        with pytest.raises(RuntimeError, match="belongs to writer a"):
+            commits.write_table_version(spark, t, root, 3, writer=other)
+
+
 def test_table_versions(spark, tmp_path):
     root = str(tmp_path / "commits")
     t1 = commits.commit_put(table(spark, []), put(spark, "0", "5"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import consume
+from tidemark.sources.batch_log import read_batch_log
 
 T0 = datetime(2024, 1, 1)
 
@@ -77,6 +78,15 @@ def test_many_partition_ids(spark):
     assert got.agg(F.count(F.lit(1)), F.min("offset")).first() == (n, 1)
 
 
+def test_appended_lines_are_read(spark, tmp_path):
+    path = str(tmp_path / "wire")
+    line = spark.createDataFrame([("t", "{}")], "event_type string, value string")
+    line.write.partitionBy("event_type").text(path)
+    assert read_batch_log(spark, path).count() == 1
+    line.write.mode("append").partitionBy("event_type").text(path)
+    assert read_batch_log(spark, path).count() == 2
+
+
 def test_batch_by_count(spark):
     ev = consume.read_from_cursor(log(spark, 35), cursors(spark, [("t", "0", "9")]))
     b = sorted((r.batch_cursor, r.n_events) for r in consume.batch_by_count(ev, 10).collect())

@@ -9,6 +9,8 @@ set).  Live streaming lives in :mod:`tidemark.streaming`.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +57,7 @@ def consume(log: DataFrame, settings: ConsumerSettings, commits: DataFrame | Non
 def publish(spark: SparkSession, events: DataFrame, settings: ProducerSettings, path: str) -> DataFrame:
     """Group producer rows (message_id, position, eid, flow_id,
     event_json) into one JSON array body per message and store them under
-    the target event type; returns the stored message ids."""
-    bodies = pub.publish_messages(events, settings.event_type)
-    pub.write_messages(bodies, path)
-    return pub.read_messages(spark, path)
+    the target event type; returns the messages this call stored."""
+    run = uuid.uuid4().hex
+    pub.write_messages(pub.publish_messages(events, settings.event_type), path, run)
+    return pub.read_messages(spark, path, run, settings.event_type)

@@ -159,14 +159,14 @@ def publish_flow_header(spark, sf):
 def publish_with_markers(spark, sf):
     pe = fx.producer_events(spark, sf)
     bodies = publish.publish_messages(pe, "audit")
-    markers = pe.filter(F.col("position") == 0).select("message_id", F.col("eid").alias("marker"))
-    return publish.publish_with_markers(spark, bodies, markers, _scratch(spark, "published"))
+    markers = pe.filter(F.col("position") == 0).select("message_id", F.col("eid").alias("marker"),
+                                                       F.col("message_id").alias("seq"))
+    return publish.publish_with_markers(spark, bodies, markers, _scratch(spark, "published"), "1")
 
 
 def republish(spark, sf):
-    """Consume purchase events from the start, map them to an audit
-    event (new eid, parent = source eid), publish one message per source
-    batch."""
+    """A17, the mapping alone: purchase events to audit events (new eid,
+    parent = source eid)."""
     ev = fx.events(spark, sf).filter(F.col("event_type") == "purchase")
     mapped = ev.select(
         KEYS[1], "offset", "cursor_offset",
@@ -175,6 +175,16 @@ def republish(spark, sf):
     return mapped.select("new_eid", "parent_eid", "partition", "offset")
 
 
+def republish_bodies(spark, sf):
+    """Purchase events from the start become audit events, published as
+    one message per source batch; the stored bodies."""
+    ev = fx.events(spark, sf).filter(F.col("event_type") == "purchase")
+    m = publish.republish(spark, ev, streams.audit_transform, "purchase-audit",
+                          _scratch(spark, "republished"), "1")
+    return m.select("event_type", "partition", F.col("cursor_offset").cast("bigint").alias("cursor_offset"),
+                    "n_events", F.md5("body").alias("body_md5"))
+
+
 def register_event_types(spark, sf):
     """Both definition versions are appended to a registry table; the
     registry answers with the latest per name."""
@@ -455,6 +465,20 @@ def commit_put(spark, sf):
     return _table_out(commits.read_latest_version(spark, root))
 
 
+def commit_put_twice(spark, sf):
+    """D5 with two puts per key in one batch, applied in put_seq order: for
+    group g1 (stored rows) and g3 (none)."""
+    seq = F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")))
+    puts = fx.lease_requests(spark, sf).filter(F.col("group_id") != "g2") \
+        .select("*", seq.alias("put_seq")) \
+        .select(*commits.TABLE_KEYS, "put_seq", (F.col("put_seq") + 4).cast("string").alias("checkpoint_id"),
+                F.lit("worker-d").alias("lease_holder"),
+                F.when(F.col("put_seq") == 1, F.lit(5)).cast("bigint").alias("lease_counter"),
+                F.to_timestamp(F.lit(fx.NOW)).alias("lease_timestamp"),
+                F.when(F.col("put_seq") == 1, F.lit("lease-d")).alias("lease_id"))
+    return _table_out(commits.commit_put(fx.commits(spark, sf), puts))
+
+
 def _fold_puts(spark, sf):
     """Every delivered batch of the wire log is a commit put, for group g1
     (has stored rows) and group g4 (none)."""
@@ -476,7 +500,8 @@ def _fold_puts(spark, sf):
 def commit_fold(spark, sf):
     """Final table state after every delivered batch was put, by
     grouped aggregates (the per-put states are not needed for it)."""
-    final = commits.commit_fold_final(fx.commits(spark, sf), _fold_puts(spark, sf))
+    puts = _fold_puts(spark, sf).checkpoint(eager=True)      # decoded once, read by two aggregates
+    final = commits.commit_fold_final(fx.commits(spark, sf), puts)
     return final.select(*commits.TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_counter", "lease_id")
 
 
@@ -619,6 +644,7 @@ QUERIES: dict[str, Query] = {
     "publish_flow_header": publish_flow_header,
     "publish_with_markers": publish_with_markers,
     "republish": republish,
+    "republish_bodies": republish_bodies,
     "register_event_types": register_event_types,
     # B: codec
     "decode_batches": decode_batches,
@@ -657,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "release_lease": release_lease,
     "build_commit": build_commit,
     "commit_put": commit_put,
+    "commit_put_twice": commit_put_twice,
     "commit_fold": commit_fold,
     "commit_get": commit_get,
     "lease_counters": lease_counters,

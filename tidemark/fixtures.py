@@ -16,7 +16,7 @@ from tidemark.functions.datetime import format_offset_datetime
 from tidemark.functions.offsets import BEGIN, offset_text
 from tidemark.operators import codec, consume, offsets
 from tidemark.sources.batch_log import read_batch_log, wire_log
-from tidemark.sources.event_log import event_log, partition_catalog
+from tidemark.sources.event_log import cached_read, event_log, partition_catalog
 
 # Fixed parameters of the fixture scenarios.
 NOW = "2024-02-01 00:00:00"          # "now" for leases and commits
@@ -31,7 +31,8 @@ def log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return read_batch_log(spark, wire_log(spark, sf))
+    path = wire_log(spark, sf)          # written once per session: one listing serves all queries
+    return cached_read(spark, "text:" + path, lambda: read_batch_log(spark, path))
 
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:

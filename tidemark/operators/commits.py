@@ -15,16 +15,21 @@ parameter so results are reproducible.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import fill_message
+from tidemark.plans.joins import broadcast_if_small
 from tidemark.plans.numbering import chunked_running, chunked_running_multi, offset_chunk
 from tidemark.settings import STALE_LEASE_SECONDS
 
 TABLE_KEYS = ["group_id", "event_type", "partition_id"]
 TABLE_COLUMNS = [*TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_counter",
                  "lease_timestamp", "lease_id"]
+TABLE_SCHEMA = ("partition_id string, checkpoint_id string, lease_holder string, lease_counter bigint, "
+                "lease_timestamp timestamp, lease_id string, event_type string, group_id string")
 
 # Fixed value: the warning for releasing a lease that has no stored row.
 NO_LEASE_MESSAGE = "No lease exists to release for group: '{group_id}' eventType: '{event_type}' partition: '{partition_id}'"
@@ -62,8 +67,8 @@ def request_lease(requests: DataFrame, stored: DataFrame, own_counters: DataFram
 def release_lease(requests: DataFrame, stored: DataFrame, now: str) -> DataFrame:
     """D3: existing row -> a put with timestamp now and counter 0, all else
     kept; no row -> a warning (no put)."""
-    j = requests.join(stored, TABLE_KEYS, "left")
-    exists = F.col("checkpoint_id").isNotNull()
+    j = requests.join(stored.withColumn("_stored", F.lit(True)), TABLE_KEYS, "left")
+    exists = F.col("_stored").isNotNull()
     warning = fill_message(NO_LEASE_MESSAGE, group_id="group_id", event_type="event_type",
                        partition_id="partition_id")
     return j.select(*TABLE_KEYS, "checkpoint_id", "lease_holder",
@@ -94,16 +99,27 @@ def build_commit(flushes: DataFrame, omap_found: DataFrame, lease_holder: str, l
 # --------------------------------------------------------------------------- puts
 
 def commit_put(current: DataFrame, puts: DataFrame) -> DataFrame:
-    """One put per key against the current table.
+    """Puts against the current table.
 
     Insert: counter := 1 (a supplied counter is ignored).  Update: counter
     := supplied value, else old + 1; checkpoint, holder and timestamp are
     replaced; the lease id only when one is supplied.  Unconditional - the
-    checkpoint may move back."""
-    cur = current.select(*TABLE_KEYS, *[F.col(c).alias("_o_" + c) for c in TABLE_COLUMNS[3:]])
-    j = cur.join(puts.select(*TABLE_KEYS, *TABLE_COLUMNS[3:], F.lit(True).alias("_put")),
-                 TABLE_KEYS, "full_outer")
-    has_old = F.col("_o_checkpoint_id").isNotNull()
+    checkpoint may move back.
+
+    Several puts of one key need their order: with a ``put_seq`` column they
+    are applied in it (D6), without one the query fails."""
+    if "put_seq" in puts.columns:
+        kept = current.select(*TABLE_COLUMNS).join(puts.select(*TABLE_KEYS).distinct(), TABLE_KEYS, "left_anti")
+        return kept.unionByName(commit_fold_final(current, puts))
+    cur = current.select(*TABLE_KEYS, F.lit(True).alias("_old"),
+                         *[F.col(c).alias("_o_" + c) for c in TABLE_COLUMNS[3:]])
+    one = puts.groupBy(*TABLE_KEYS).agg(F.count(F.lit(1)).alias("_n"),
+                                        F.any_value(F.struct(*TABLE_COLUMNS[3:])).alias("_p"))
+    single = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit("several puts without put_seq for "), F.concat_ws("/", *TABLE_KEYS))).cast("boolean"))
+    one = one.select(*TABLE_KEYS, F.col("_p.*"), single.alias("_put"))
+    j = cur.join(one, TABLE_KEYS, "full_outer")
+    has_old = F.col("_old").isNotNull()
     has_put = F.col("_put").isNotNull()
     counter = (F.when(~has_put, F.col("_o_lease_counter"))
                .when(~has_old, F.lit(1))
@@ -179,7 +195,9 @@ def commit_fold_final(current: DataFrame, puts: DataFrame) -> DataFrame:
     k = k.withColumn("_reset_seq", F.when(insert_reset, F.col("_first_seq")).otherwise(F.col("_seq_c"))) \
         .withColumn("_base", F.when(insert_reset, F.lit(1).cast("bigint")).otherwise(F.col("_c")))
     # puts after the reset: a second aggregate over puts joined with the
-    # one-row-per-key reset table
+    # one-row-per-key reset table, broadcast when small so that the puts of
+    # a hot key stay spread out
+    k = broadcast_if_small(k)
     after = puts.select(*TABLE_KEYS, "put_seq").join(k.select(*TABLE_KEYS, "_reset_seq"), TABLE_KEYS) \
         .groupBy(*TABLE_KEYS).agg(F.count_if(F.col("put_seq") > F.col("_reset_seq")).alias("_after"))
     k = k.join(after, TABLE_KEYS, "left")
@@ -221,46 +239,65 @@ def commit_get_one(table: DataFrame, group_id: str, event_type: str, partition_i
 
 # --------------------------------------------------------------------------- storage
 
-def write_table_version(spark: SparkSession, table: DataFrame, root: str, version: int) -> str:
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _claim_version(spark: SparkSession, root: str, version: int, writer: str) -> None:
+    """Reserve a version for one writer.  The claim file is created
+    exclusively: a second writer of the table fails instead of overwriting."""
+    fs, p = _fs(spark, f"{root}/_claims/v={version:010d}")
+    if not fs.exists(p):
+        try:
+            out = fs.create(p, False)
+            out.writeUTF(writer)
+            out.close()
+        except Exception:  # noqa: BLE001 - another writer was first: its claim is read below
+            if not fs.exists(p):
+                raise
+    src = fs.open(p)
+    owner = src.readUTF()
+    src.close()
+    if owner != writer:
+        raise RuntimeError(f"version {version} of {root} belongs to writer {owner}")
+
+
+def write_table_version(spark: SparkSession, table: DataFrame, root: str, version: int,
+                        writer: str | None = None, keep: int | None = None) -> str:
     """Write a full table version; readers switch by reading the highest
-    complete version (``_SUCCESS`` present)."""
+    complete version (``_SUCCESS`` present).
+
+    A named ``writer`` may write its own version again (a replayed
+    micro-batch), never another writer's; without a name an existing version
+    is an error.  ``keep``: number of newest versions that stay."""
+    _claim_version(spark, root, version, writer or uuid.uuid4().hex)
     path = f"{root}/v={version:010d}"
     table.select(*TABLE_COLUMNS).write.mode("overwrite") \
         .partitionBy("event_type", "group_id").parquet(path)
+    if keep:
+        for old in [v for v in versions(spark, root) if v <= version][:-keep]:
+            fs, p = _fs(spark, f"{root}/v={old:010d}")
+            fs.delete(p, True)
     return path
 
 
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """The complete versions of a table, oldest first."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(_fs(spark, f"{root}/{n}/_SUCCESS")[1]))
+
+
 def read_latest_version(spark: SparkSession, root: str) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    rp = jvm.org.apache.hadoop.fs.Path(root)
-    fs = rp.getFileSystem(conf)
-    if not fs.exists(rp):
-        return None
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(rp)
-                      if st.getPath().getName().startswith("v=")
-                      and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))
-    if not versions:
-        return None
-    return spark.read.parquet(f"{root}/{versions[-1]}").select(*TABLE_COLUMNS)
+    return read_version_at_or_below(spark, root, 1 << 62)
 
 
 def read_version_at_or_below(spark: SparkSession, root: str, version: int) -> DataFrame | None:
     """The newest complete table version <= ``version`` (replay-safe base)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    rp = jvm.org.apache.hadoop.fs.Path(root)
-    fs = rp.getFileSystem(conf)
-    if not fs.exists(rp):
-        return None
-    best = None
-    for st in fs.listStatus(rp):
-        name = st.getPath().getName()
-        if not name.startswith("v="):
-            continue
-        v = int(name[2:])
-        if v <= version and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            best = name if best is None or v > int(best[2:]) else best
-    if best is None:
+    found = [v for v in versions(spark, root) if v <= version]
+    if not found:
         return None
-    return spark.read.parquet(f"{root}/{best}").select(*TABLE_COLUMNS)
+    return spark.read.schema(TABLE_SCHEMA).parquet(f"{root}/v={found[-1]:010d}").select(*TABLE_COLUMNS)

@@ -30,30 +30,61 @@ def publish_messages(events: DataFrame, target_event_type: str) -> DataFrame:
                              F.lit("]")).alias("body")))
 
 
-def write_messages(bodies: DataFrame, path: str) -> None:
-    """Sink: one JSON array per line under ``event_type=<target>/``."""
-    (bodies.select("event_type", F.to_json(F.struct("message_id", "flow_id")).alias("_h"), "body")
-     .select("event_type", F.concat_ws("\t", "_h", "body").alias("value"))
-     .write.mode("append").partitionBy("event_type").text(path))
+def batch_bodies(events: DataFrame, target_event_type: str) -> DataFrame:
+    """One body per source batch, its events in offset order.
+    ``events``: partition, cursor_offset, offset, event_json."""
+    return (events.groupBy("partition", "cursor_offset")
+            .agg(F.sort_array(F.collect_list(F.struct("offset", "event_json"))).alias("_evs"))
+            .select(F.lit(target_event_type).alias("event_type"), "partition", "cursor_offset",
+                    F.size("_evs").cast("bigint").alias("n_events"),
+                    F.concat(F.lit("["), F.array_join(F.transform("_evs", lambda x: x["event_json"]), ","),
+                             F.lit("]")).alias("body")))
+
+
+def run_path(path: str, run: str) -> str:
+    return f"{path}/run={run}"
+
+
+def write_messages(bodies: DataFrame, path: str, run: str) -> None:
+    """Sink: one JSON array per line under ``run=<run>/event_type=<target>/``,
+    behind a header of the other columns.  A run owns its directory, so a
+    repeated attempt replaces its own output."""
+    head = F.to_json(F.struct(*[c for c in bodies.columns if c not in ("event_type", "body")]))
+    (bodies.select("event_type", F.concat_ws("\t", head, "body").alias("value"))
+     .write.mode("overwrite").partitionBy("event_type").text(run_path(path, run)))
 
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    t = spark.read.text(path)
+def read_messages(spark: SparkSession, path: str, run: str, event_type: str | None = None,
+                  header: str = "message_id bigint, flow_id string") -> DataFrame:
+    """The messages one run stored (for one target event type)."""
+    t = spark.read.schema("value string, event_type string").text(run_path(path, run))
+    if event_type is not None:
+        t = t.filter(F.col("event_type") == event_type)
     parts = F.split(F.col("value"), "\t", 2)
-    return t.select("event_type",
-                    F.get_json_object(parts[0], "$.message_id").cast("bigint").alias("message_id"),
-                    parts[1].alias("body"))
+    return t.select("event_type", F.from_json(parts[0], header).alias("_h"), parts[1].alias("body")) \
+        .select("event_type", "_h.*", "body")
 
 
 def publish_with_markers(spark: SparkSession, bodies: DataFrame, markers: DataFrame,
-                         path: str) -> DataFrame:
-    """A marker is emitted only once its message is stored, in input
-    order.  Batch twin of the streaming sink: write, read back, semi-join.
-
-    ``markers``: message_id, marker."""
-    write_messages(bodies, path)
-    stored = read_messages(spark, path).select("message_id").distinct()
-    return markers.join(stored, "message_id", "left_semi")
+                         path: str, run: str) -> DataFrame:
+    """A marker is emitted only once its message is stored by this run,
+    in input order.  Batch twin of the streaming sink: write, read back,
+    semi-join, sort.
+
+    ``markers``: message_id, marker, seq (the place in the input)."""
+    write_messages(bodies, path, run)
+    stored = read_messages(spark, path, run).select("message_id").distinct()
+    return markers.join(stored, "message_id", "left_semi").orderBy("seq")
+
+
+def republish(spark: SparkSession, events: DataFrame, transform, target_event_type: str,
+              path: str, run: str) -> DataFrame:
+    """Map decoded events (``transform`` adds event_json), publish each
+    source batch as one message to the target event type, and return what
+    was stored: event_type, partition, cursor_offset, n_events, body."""
+    write_messages(batch_bodies(transform(events), target_event_type), path, run)
+    return read_messages(spark, path, run, target_event_type,
+                         "partition string, cursor_offset string, n_events bigint")
 
 
 def latest_event_types(defs: DataFrame) -> DataFrame:

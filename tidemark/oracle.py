@@ -295,11 +295,26 @@ SELECT 'v0' AS variant, event_id // 10 AS message_id, first(flow_id ORDER BY eve
 FROM event_log GROUP BY 2
 UNION ALL
 SELECT 'v3', (event_id + 3) // 10, first(flow_id ORDER BY (event_id + 3) % 10) FROM event_log GROUP BY 2""")
-    q["publish_with_markers"] = _with("", "SELECT event_id // 10 AS message_id, eid AS marker FROM event_log "
-                                          "WHERE event_id % 10 = 0")
+    q["publish_with_markers"] = _with("", "SELECT event_id // 10 AS message_id, eid AS marker, "
+                                          "event_id // 10 AS seq FROM event_log WHERE event_id % 10 = 0")
     q["republish"] = _with("", """
 SELECT md5(eid || ':audit') AS new_eid, eid AS parent_eid, "partition", "offset"
 FROM valid_events WHERE event_type = 'purchase'""")
+    q["republish_bodies"] = _with("""audit_md AS (
+  SELECT *, '"eid":"' || md5(eid || ':audit') || '","event_type":"purchase-audit"' AS head,
+         '"occurred_at":"' || """ + iso("occurred_at") + """ || '"' AS occ,
+         '"parent_eids":["' || eid || '"]' AS parents, ',"flow_id":"' || flow_id || '"' AS flow,
+         CAST(json(payload) AS VARCHAR) AS pj
+  FROM valid_events WHERE event_type = 'purchase'),
+audit AS (
+  SELECT *, CASE WHEN kind = 'data' THEN
+      '{"data_type":"' || data_type || '","data_op":"' || CASE WHEN data_op = 'X' THEN 'UnknownValue(X)' ELSE data_op END
+      || '","data":' || pj || ',"metadata":{' || head || ',' || occ || ',' || parents || COALESCE(flow, '') || '}}'
+    ELSE '{"metadata":{' || head || COALESCE(flow, '') || ',' || occ || ',' || parents || '},' || substr(pj, 2) END AS ej
+  FROM audit_md)""", """
+SELECT 'purchase-audit' AS event_type, "partition", max("offset") AS cursor_offset, count(*) AS n_events,
+       md5('[' || string_agg(ej, ',' ORDER BY "offset") || ']') AS body_md5
+FROM audit GROUP BY "partition", "offset" // 5""")
     q["register_event_types"] = _with("", """
 SELECT event_type AS name, CAST(2 AS BIGINT) AS version,
        CASE WHEN event_type IN ('click', 'view') THEN 'team-' ELSE 'app-' END || event_type AS owning_application,
@@ -437,6 +452,14 @@ FROM requests r LEFT JOIN commits c USING (group_id, event_type, partition_id)
 WHERE r.partition_id IN ('0', '3')""")
     q["build_commit"] = _with(_FLUSH, f"""SELECT group_id, event_type, partition_id, checkpoint_id, lease_holder,
        {iso('lease_timestamp')} AS lease_timestamp, lease_id, error FROM flush""")
+    q["commit_put_twice"] = _with("""put2 AS (
+  SELECT * FROM commits WHERE group_id = 'g2'
+  UNION ALL
+  SELECT r.group_id, r.event_type, r.partition_id, '6', 'worker-d', CASE WHEN c.group_id IS NULL THEN 2 ELSE 6 END,
+         TIMESTAMP '2024-02-01 00:00:00', 'lease-d'
+  FROM requests r LEFT JOIN commits c
+    ON c.group_id = r.group_id AND c.event_type = r.event_type AND c.partition_id = r.partition_id
+  WHERE r.group_id <> 'g2')""", _table_out("put2"))
     q["commit_put"] = _with(_FLUSH + """,
 puts AS (
   SELECT group_id, event_type, partition_id, checkpoint_id, lease_holder, lease_counter, lease_timestamp, lease_id

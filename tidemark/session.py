@@ -101,6 +101,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - some deployments refuse core keys here
             root = None
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder "
+                             "that the driver and all executors share")
         key = sc.applicationId
         root = _LOCAL_ROOTS.get(key)
         if root is None:

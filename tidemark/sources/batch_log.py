@@ -8,13 +8,15 @@ line boundaries, so one large file is still read by many tasks.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.datetime import format_offset_datetime
 from tidemark.operators.codec import batch_line, cursor_json, encode_event, metadata_struct
 from tidemark.session import session_key
-from tidemark.sources.event_log import cached_read, event_log, log_root, materialise
+from tidemark.sources.event_log import event_log, log_root, materialise
 
 # Fixed values of the fixture's injected lines (FIXTURES F2).  A batch's
 # fault is picked by its first event_id; the first matching rule wins.
@@ -116,19 +118,23 @@ def write_batch_log(lines: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 def read_batch_log(spark: SparkSession, path: str) -> DataFrame:
     """A1: lines as (event_type, value).  ``wholetext`` stays off: files are
-    split at newlines by many tasks."""
-    return cached_read(spark, "text:" + path,
-                       lambda: spark.read.schema("value string, event_type string").text(path)
-                       .select("event_type", "value"))
+    split at newlines by many tasks.  Every call lists the files anew, so
+    lines appended since the last one are read."""
+    return spark.read.schema("value string, event_type string").text(path).select("event_type", "value")
 
 
-def stream_batch_log(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
+def stream_batch_log(spark: SparkSession, path: str, max_files_per_trigger: int = 64,
+                     event_type: str | None = None) -> DataFrame:
     """A2: the unbounded version; new files are picked up as they land, at
-    most ``max_files_per_trigger`` per micro-batch (backpressure)."""
+    most ``max_files_per_trigger`` per micro-batch (backpressure).  Lines
+    arrive in the order of file times, not of offsets.  With ``event_type``
+    only that type's directory is listed."""
+    # always a glob: a plain directory would lose its partition value
+    types = "*" if event_type is None else "{" + re.sub(r"([\\{}\[\]*?,])", r"\\\1", event_type) + "}"
     return (spark.readStream.format("text")
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .option("basePath", path)
-            .load(path + "/event_type=*")
+            .load(f"{path}/event_type={types}")
             .select("event_type", "value"))
 
 

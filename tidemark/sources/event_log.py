@@ -76,21 +76,22 @@ def _code_signature() -> str:
     return h.hexdigest()
 
 
-def _source_tag(sf_dir: str) -> str:
-    path = os.path.join(sf_dir, "events.parquet")
-    try:
-        st = os.stat(path)
-        sig = f"{os.path.abspath(path)}|{st.st_size}|{int(st.st_mtime)}"
-    except OSError:
-        sig = path
+def _source_tag(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the source table: path, size and newest file of
+    ``events.parquet`` (a file or a folder) on whatever store holds it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = max((st.getModificationTime() for st in fs.listStatus(p)), default=0)
+    sig = f"{fs.makeQualified(p)}|{fs.getContentSummary(p).getLength()}|{newest}"
     return hashlib.sha1((sig + "|" + _code_signature()).encode()).hexdigest()[:16]
 
 
 def log_root(spark: SparkSession, sf_dir: str) -> str:
-    return f"{checkpoint_root(spark)}/tidemark-logs/{_source_tag(sf_dir)}"
+    return f"{checkpoint_root(spark)}/tidemark-logs/{_source_tag(spark, sf_dir)}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -100,7 +101,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def materialise(spark: SparkSession, path: str, write) -> None:
     """Run ``write(path)`` once; the ``_SUCCESS`` marker of a completed
     Spark write means done (a failed or half-written attempt is redone)."""
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    if not exists(spark, f"{path}/_SUCCESS"):
         write(path)
 
 
@@ -152,7 +153,7 @@ def partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         (event_log(spark, sf_dir).groupBy("event_type", "partition")
          .agg(F.count(F.lit(1)).alias("n_events"), F.min("offset").alias("first_offset"),
               F.max("offset").alias("last_offset"))
-         .coalesce(1).write.mode("overwrite").parquet(p))
+         .write.mode("overwrite").parquet(p))
 
     key = (session_key(spark), path)
     if key not in _READ_CACHE:

@@ -14,24 +14,29 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import codec, commits, consume, offsets
+from tidemark.functions.offsets import offset_to_long, require_offset
+from tidemark.operators import codec, commits, consume, offsets, publish
 from tidemark.sources.batch_log import stream_batch_log
+from tidemark.sources.event_log import exists as _exists
 
 EVENT_COLUMNS = ["event_type", "partition", "offset", "pos", "cursor_offset", "eid", "kind",
                  "occurred_at", "flow_id", "data_type", "data_op", "payload"]
 
 
+START_SCHEMA = "version bigint, event_type string, partition string, start_cursor string"
+
+
 def _batch_dir(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id:012d}"
 
 
-def decode_micro_batch(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Parse once, then split: (valid messages, decoded events, quarantine)."""
-    parsed = codec.parse_batches(df)
-    good = parsed.filter(F.col("valid")).drop("_v", "errors", "valid")
+def decode_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Split parsed lines: (valid messages, decoded events, quarantine)."""
+    good = parsed.filter(F.col("valid")).drop("errors", "valid")
     msgs = codec.to_consumer_messages(good)
     events = codec.decode_event_fields(codec.explode_events(consume.drop_keep_alives(msgs)))
     first = F.col("errors")[0]
@@ -48,26 +53,30 @@ def consume_sink(out: str, on_batch: Callable[[DataFrame, DataFrame, int], None]
 
     ``start_cursors`` (event_type, partition, start_cursor) starts a fresh
     checkpoint of an existing consumer group after its committed (or an
-    explicit) cursor: events at or before it are not delivered (S6)."""
+    explicit) cursor: events at or before it are not delivered (S6).  They
+    are resolved once, when the sink is made."""
+    starts = None if start_cursors is None else consume.start_table(start_cursors)[0]
+
     def run(df: DataFrame, batch_id: int) -> None:
-        # parse each micro-batch once; both outputs and the hook read the cache
-        df = df.persist()
+        # parse each micro-batch once; both outputs and the hook read the
+        # parsed lines
+        parsed = codec.parse_batches(df).drop("_v").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            msgs, events, bad = decode_micro_batch(df)
-            if start_cursors is not None:
-                events = consume.read_from_cursor(events, start_cursors).drop("start_offset")
+            msgs, events, bad = decode_parsed(parsed)
+            if starts is not None:
+                events = consume.read_from_starts(events, starts).drop("start_offset")
             events.select(*EVENT_COLUMNS).write.mode("overwrite").parquet(_batch_dir(f"{out}/events", batch_id))
             bad.write.mode("overwrite").parquet(_batch_dir(f"{out}/quarantine", batch_id))
             if on_batch is not None:
                 on_batch(msgs, events, batch_id)
         finally:
-            df.unpersist()
+            parsed.unpersist()
     return run
 
 
 def start(spark: SparkSession, src: str, checkpoint: str, sink, max_files: int = 16,
-          available_now: bool = True):
-    w = (stream_batch_log(spark, src, max_files_per_trigger=max_files).writeStream
+          available_now: bool = True, event_type: str | None = None):
+    w = (stream_batch_log(spark, src, max_files_per_trigger=max_files, event_type=event_type).writeStream
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
@@ -101,13 +110,19 @@ def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- S2: commits
 
-def commits_hook(table_root: str, group_id: str, holder: str, lease_id: str, now: str):
+def commits_hook(table_root: str, group_id: str, holder: str, lease_id: str, now: str,
+                 base_version: int = 0, writer: str | None = None, keep: int = 10):
     """After a micro-batch is processed, its high-water offsets become
-    puts (D4/D5).  Version ``batch_id + 1`` is derived from the newest
-    version at or below ``batch_id``, so a replay rewrites the same version
-    from the same base and the counters are bumped once."""
+    puts (D4/D5) - only those larger than the stored checkpoint, so files
+    that land out of offset order never move a checkpoint back.
+
+    Version ``base_version + batch_id + 1`` is derived from the newest
+    version below it, so a replay rewrites the same version from the same
+    base and the counters are bumped once.  ``writer`` names this consumer:
+    a second one on the same table fails.  The ``keep`` newest versions stay."""
     def on_batch(msgs: DataFrame, events: DataFrame, batch_id: int) -> None:
         spark = msgs.sparkSession
+        version = base_version + batch_id + 1
         hw = offsets.high_water_offsets(consume.drop_keep_alives(msgs), "cursor_offset_long")
         puts = hw.select(F.lit(group_id).alias("group_id"), "event_type",
                          F.col("partition").alias("partition_id"),
@@ -117,21 +132,49 @@ def commits_hook(table_root: str, group_id: str, holder: str, lease_id: str, now
                          (F.to_timestamp(F.lit(now)) + F.make_dt_interval(secs=F.lit(commits.STALE_LEASE_SECONDS)))
                          .alias("lease_timestamp"),
                          F.lit(lease_id).alias("lease_id"))
-        base = commits.read_version_at_or_below(spark, table_root, batch_id)
+        base = commits.read_version_at_or_below(spark, table_root, version - 1)
         if base is None:
             base = spark.createDataFrame([], puts.schema)
-        # a partition's checkpoint only moves forward within one consumer
+        stored = base.select(*commits.TABLE_KEYS, F.col("checkpoint_id").alias("_stored"))
+        ahead = F.col("_stored").isNull() | (offset_to_long("checkpoint_id") > require_offset("_stored"))
+        puts = puts.join(stored, commits.TABLE_KEYS, "left").filter(ahead).drop("_stored")
         nxt = commits.commit_put(base, puts)
-        commits.write_table_version(spark, nxt, table_root, batch_id + 1)
+        commits.write_table_version(spark, nxt, table_root, version,
+                                    writer=writer or f"{holder}/{lease_id}", keep=keep)
     return on_batch
 
 
+def group_start(spark: SparkSession, out: str, table_root: str, group_id: str) -> tuple[int, DataFrame]:
+    """Where a consumer with checkpoint folder ``out`` began: the version of
+    the commits table at that time and the group's cursors in it.  Written
+    on the first start and read on every restart, so a restarted consumer
+    keeps its numbering and delivers nothing again."""
+    path = f"{out}/_start"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        version = max(commits.versions(spark, table_root), default=0)
+        # the first row carries the version when the group has no commits
+        rows = spark.createDataFrame([(version, None, None, None)], START_SCHEMA)
+        table = commits.read_version_at_or_below(spark, table_root, version)
+        if table is not None:
+            rows = rows.unionByName(table.filter(F.col("group_id") == group_id).select(
+                F.lit(version).cast("bigint").alias("version"), "event_type",
+                F.col("partition_id").alias("partition"), F.col("checkpoint_id").alias("start_cursor")))
+        rows.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(START_SCHEMA).parquet(path)
+    return rows.first()["version"], rows.filter(F.col("partition").isNotNull()).drop("version")
+
+
 def stream_consume_with_commits(spark: SparkSession, src: str, out: str, group_id: str = "s2",
                                 holder: str = "worker-s", lease_id: str = "lease-s",
-                                now: str = "2024-02-01 00:00:00", max_files: int = 16) -> str:
-    table_root = f"{out}/commits"
-    sink = consume_sink(out, commits_hook(table_root, group_id, holder, lease_id, now))
-    start(spark, src, f"{out}/_checkpoint", sink, max_files).awaitTermination()
+                                now: str = "2024-02-01 00:00:00", max_files: int = 16,
+                                table_root: str | None = None) -> str:
+    """Consume, committing after each micro-batch.  ``table_root`` is the
+    group's commits table (``out/commits`` by default): a consumer with a
+    fresh ``out`` starts after the cursors the group has committed there."""
+    table_root = table_root or f"{out}/commits"
+    base_version, cursors = group_start(spark, out, table_root, group_id)
+    hook = commits_hook(table_root, group_id, holder, lease_id, now, base_version, writer=out)
+    start(spark, src, f"{out}/_checkpoint", consume_sink(out, hook, cursors), max_files).awaitTermination()
     return table_root
 
 
@@ -162,18 +205,14 @@ def read_high_water(spark: SparkSession, out: str) -> DataFrame:
 def stream_republish(spark: SparkSession, src: str, out: str, source_type: str, target_type: str,
                      transform: Callable[[DataFrame], DataFrame], max_files: int = 16) -> None:
     """Consume one event type, map it, publish each source batch as one
-    message (a JSON array) to the target event type."""
+    message (a JSON array) to the target event type.  Only the source type's
+    directory is listed and read."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        _, events, _ = decode_micro_batch(df.filter(F.col("event_type") == source_type))
-        mapped = transform(events)
-        bodies = (mapped.groupBy("partition", "cursor_offset")
-                  .agg(F.sort_array(F.collect_list(F.struct("offset", "event_json"))).alias("_e"))
-                  .select(F.lit(target_type).alias("event_type"),
-                          F.concat(F.lit("["), F.array_join(F.transform("_e", lambda x: x["event_json"]), ","),
-                                   F.lit("]")).alias("value")))
+        _, events, _ = decode_parsed(codec.parse_batches(df))
+        bodies = publish.batch_bodies(transform(events), target_type).select("event_type", F.col("body").alias("value"))
         bodies.write.mode("overwrite").partitionBy("event_type").text(_batch_dir(f"{out}/published", batch_id))
 
-    start(spark, src, f"{out}/_checkpoint", sink, max_files).awaitTermination()
+    start(spark, src, f"{out}/_checkpoint", sink, max_files, event_type=source_type).awaitTermination()
 
 
 def audit_transform(events: DataFrame) -> DataFrame:
@@ -203,8 +242,6 @@ def stream_publish_with_markers(spark: SparkSession, producer_src: str, schema,
     messages, then appends the markers of exactly those messages.  A marker
     therefore never precedes its message, and a replayed batch rewrites the
     same two directories."""
-    from tidemark.operators import publish
-
     def sink(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
