@@ -81,6 +81,28 @@ def test_checkpoints_never_move_back_and_a_fresh_consumer_resumes(spark):
     assert streams.read_events(spark, b).count() == 4
 
 
+def test_live_batches_and_stalls_do_not_depend_on_the_trigger(spark):
+    from tidemark import catalog
+    for query in (catalog.batch_by_count_or_time_stream, catalog.detect_stalled_partitions_stream):
+        one, all_files = (sorted(map(tuple, query(spark, SF_SMALL, max_files=n).collect())) for n in (1, 100))
+        assert one == all_files and one
+
+
+def test_late_events_go_to_the_side_output(spark):
+    """Offsets 0, 1, 4 land first, then 2, 3 and 5: 2 and 3 are late."""
+    from datetime import datetime, timedelta
+    from tidemark.streaming import flush_timer
+    stage, out = _out(spark, "late-stage"), _out(spark, "late")
+    schema = "event_type string, partition string, offset long, occurred_at timestamp"
+    for offsets in ((0, 1, 4), (2, 3, 5)):
+        rows = [("t", "0", o, datetime(2024, 1, 1) + timedelta(seconds=o)) for o in offsets]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(stage)
+        flush_timer.stream_batches(spark, stage, schema, out, 4, 3600)
+    got = [tuple(r) for r in spark.read.parquet(f"{out}/batches").select("first_offset", "last_offset", "n_events").collect()]
+    assert got == [(0, 5, 4)]
+    assert sorted(r.first_offset for r in spark.read.parquet(f"{out}/late").collect()) == [2, 3]
+
+
 def test_republish_reads_only_its_source_type(spark):
     from tidemark import catalog
     out = _out(spark, "s4")

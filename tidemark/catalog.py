@@ -588,9 +588,21 @@ def stream_flush_timer(spark, sf):
 A7_STREAM_TIMEOUT_SECONDS = 6 * 3600 + 1   # 1 s past the event times' microsecond grid ties: none
 
 
-def batch_by_count_or_time_stream(spark, sf):
+def _land_in_time_order(spark, ev: DataFrame, path: str, files: int = 8) -> None:
+    """Events as files that landed one after another: ranges of event time,
+    file times in that order."""
+    ev.repartitionByRange(files, "occurred_at").write.parquet(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((s.getPath().getName(), s) for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
+    for k, (_, st) in enumerate(parts):
+        fs.setTimes(st.getPath(), st.getModificationTime() - 1000 * (len(parts) - k), -1)
+
+
+def batch_by_count_or_time_stream(spark, sf, max_files: int = 2):
     """A7 live: events after the A4 cursors land as Parquet; a keyed state
-    machine closes batches at 4 events or 6 h after their first event.
+    machine closes batches at 4 events or 6 h after their first event,
+    over several micro-batches.
     Batches still open when the stream ends are not emitted."""
     from tidemark.streaming import flush_timer
     stage = _scratch(spark, "batch-events")
@@ -598,13 +610,13 @@ def batch_by_count_or_time_stream(spark, sf):
     ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
                                   event_types=fx.event_types(spark, sf))
     ev = ev.select("event_type", "partition", "offset", "occurred_at")
-    ev.write.parquet(stage)
-    flush_timer.stream_batches(spark, stage, ev.schema, out, 4, A7_STREAM_TIMEOUT_SECONDS)
+    _land_in_time_order(spark, ev, stage)
+    flush_timer.stream_batches(spark, stage, ev.schema, out, 4, A7_STREAM_TIMEOUT_SECONDS, max_files)
     b = spark.read.parquet(f"{out}/batches")
     return b.select(*KEYS, F.col("last_offset").alias("batch_cursor"), "first_offset", "n_events")
 
 
-def detect_stalled_partitions_stream(spark, sf):
+def detect_stalled_partitions_stream(spark, sf, max_files: int = 2):
     """A13 live: the log's events land as Parquet and stream through a
     per-partition stall detector (event-time timers, flush timeout 1 h, stall
     limit 1.5 h).  Per partition: stalls between events, the largest such
@@ -613,13 +625,16 @@ def detect_stalled_partitions_stream(spark, sf):
     stage = _scratch(spark, "stall-events")
     out = _scratch(spark, "stream-stalls")
     ev = fx.log(spark, sf).select("event_type", "partition", "offset", "occurred_at")
-    ev.write.parquet(stage)
-    flush_timer.stream_stalls(spark, stage, ev.schema, out, flush_timeout_seconds=3600)
+    _land_in_time_order(spark, ev, stage)
+    flush_timer.stream_stalls(spark, stage, ev.schema, out, flush_timeout_seconds=3600, max_files=max_files)
     st = spark.read.parquet(f"{out}/stalls")
+    gap, last = F.col("kind") == "gap", F.col("offset")
+    # an open stall is over once the message after the same offset came
     return st.groupBy(*KEYS).agg(
-        F.count_if(~F.col("trailing")).cast("bigint").alias("n_stalls"),
+        F.count_if(gap).cast("bigint").alias("n_stalls"),
         F.floor(F.max("gap_us") / 1_000_000).cast("bigint").alias("max_gap_seconds"),
-        F.max(F.col("trailing")).alias("stalled_at_end"))
+        (F.coalesce(F.max(F.when(~gap, last)), F.lit(-1)) > F.coalesce(F.max(F.when(gap, last)), F.lit(-1)))
+        .alias("stalled_at_end"))
 
 
 # --------------------------------------------------------------------------- registry

@@ -17,9 +17,10 @@ from __future__ import annotations
 import sys
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
@@ -32,7 +33,7 @@ OUTPUT_SCHEMA = "event_type string, partition string, flush_ms long, n_registrat
 STATE_SCHEMA = "start_ms long, n long, max_offset long"
 BATCH_SCHEMA = ("event_type string, partition string, first_offset long, last_offset long, n_events long, "
                 "closed_by string")
-BATCH_STATE_SCHEMA = "start_ms long, n long, first_offset long, last_offset long"
+BATCH_STATE_SCHEMA = "start_ms long, n long, first_offset long, last_offset long, clock_ms long"
 
 
 class FlushTimer(StatefulProcessor):
@@ -77,9 +78,23 @@ class FlushTimer(StatefulProcessor):
         pass
 
 
+def _in_order(rows: Iterator[pd.DataFrame], last_offset: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The key's rows of one micro-batch by offset, and those at or before
+    the last offset already processed (late).  A micro-batch is bounded by
+    its number of files, so a hot key holds at most that much of one task."""
+    pdf = pd.concat(list(rows)).sort_values("offset")
+    late = pdf["offset"] <= last_offset
+    return pdf[~late], pdf[late]
+
+
 class BatchWindow(StatefulProcessor):
     """A7 live: an open batch closes at ``max_rows`` events (emitted at once)
-    or when the event-time timer at first event + timeout fires."""
+    or when the event-time timer at first event + timeout fires.
+
+    Rows are taken in offset order, their clock is the running maximum of
+    the event times (producers' clocks are not monotone in the offset).  A
+    row below the last processed offset is emitted as ``late``.  The loop
+    runs once per batch, not per row."""
 
     def __init__(self, max_rows: int, timeout_ms: int):
         self.max_rows, self.timeout_ms = max_rows, timeout_ms
@@ -88,139 +103,165 @@ class BatchWindow(StatefulProcessor):
         self.handle = handle
         self.batch = handle.getValueState("batch", BATCH_STATE_SCHEMA)
 
-    def _row(self, key, st, why) -> dict:
-        return {"event_type": key[0], "partition": key[1], "first_offset": int(st[2]),
-                "last_offset": int(st[3]), "n_events": int(st[1]), "closed_by": why}
+    def _state(self) -> tuple:
+        """(start_ms, n, first_offset, last_offset, clock_ms); n = 0: none open."""
+        return tuple(self.batch.get()) if self.batch.exists() else (0, 0, -1, -1, -(1 << 62))
+
+    @staticmethod
+    def _frame(key, rows: list) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["first_offset", "last_offset", "n_events", "closed_by"])
+        out.insert(0, "partition", key[1])
+        out.insert(0, "event_type", key[0])
+        return out
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("offset")
-        st = self.batch.get() if self.batch.exists() else None
-        out = []
-        for ts, off in zip(pdf["ts_ms"].tolist(), pdf["offset"].tolist()):
-            if st is not None and ts >= st[0] + self.timeout_ms:
-                out.append(self._row(key, st, "time"))
-                self.handle.deleteTimer(int(st[0]) + self.timeout_ms)
-                st = None
-            if st is None:
-                st = (int(ts), 0, int(off), int(off))
-                self.handle.registerTimer(int(ts) + self.timeout_ms)
-            st = (st[0], st[1] + 1, st[2], int(off))
-            if st[1] >= self.max_rows:
-                out.append(self._row(key, st, "count"))
-                self.handle.deleteTimer(int(st[0]) + self.timeout_ms)
-                st = None
-        if st is None:
-            self.batch.clear()
-        else:
-            self.batch.update(st)
-        yield pd.DataFrame(out, columns=["event_type", "partition", "first_offset", "last_offset", "n_events",
-                                         "closed_by"])
+        start, n, first, last, clock = self._state()
+        pdf, late = _in_order(rows, last)
+        out = [(int(o), int(o), 1, "late") for o in late["offset"]]
+        off = pdf["offset"].to_numpy()
+        ts = np.maximum(np.maximum.accumulate(pdf["ts_ms"].to_numpy()), clock) if len(pdf) else off
+        armed, i = n > 0, 0
+        while i < len(off):
+            if n == 0:
+                start, first = int(ts[i]), int(off[i])
+            by_time = int(np.searchsorted(ts, start + self.timeout_ms, "left"))
+            end = min(max(by_time, i), i + self.max_rows - n)
+            if end > i:
+                n, last = n + end - i, int(off[end - 1])
+            if n >= self.max_rows or end < len(off):
+                out.append((first, last, n, "count" if n >= self.max_rows else "time"))
+                if armed:
+                    self.handle.deleteTimer(start + self.timeout_ms)
+                armed, n = False, 0
+            i = end
+        if n > 0 and not armed:
+            self.handle.registerTimer(start + self.timeout_ms)
+        if len(off):
+            self.batch.update((start, n, first, last, int(ts[-1])))
+        yield self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        start, n, first, last, clock = self._state()
         out = []
-        if self.batch.exists():
-            out.append(self._row(key, self.batch.get(), "time"))
-            self.batch.clear()
-        yield pd.DataFrame(out, columns=["event_type", "partition", "first_offset", "last_offset", "n_events",
-                                         "closed_by"])
+        if n > 0:
+            out.append((first, last, n, "time"))
+            self.batch.update((start, 0, first, last, clock))
+        yield self._frame(key, out)
 
     def close(self) -> None:
         pass
 
 
-STALL_SCHEMA = "event_type string, partition string, last_us long, gap_us long, trailing boolean"
-STALL_STATE_SCHEMA = "last_us long"
+STALL_SCHEMA = "event_type string, partition string, offset long, last_us long, gap_us long, kind string"
+STALL_STATE_SCHEMA = "offset long, last_us long"
 
 
 class StallDetector(StatefulProcessor):
-    """A13 live: no message for a partition within ``limit_ms`` after its
-    last one is a stall.  A gap seen inside a micro-batch is reported
-    directly; the timer at last message + limit reports a trailing stall
-    when the watermark passes it with no newer message."""
+    """A13 live: no message for a partition within ``limit_us`` after its
+    last one is a stall.  The timer behind last message + limit reports it
+    (``open``) when the watermark passes with no newer message; the next
+    message reports its length (``gap``), in the same or a later
+    micro-batch, as the last message stays in the state.  Rows below the
+    last processed offset are emitted as ``late``."""
 
     def __init__(self, limit_us: int):
         self.limit_us = limit_us
 
     def _timer_ms(self, last_us: int) -> int:
-        return -(-(last_us + self.limit_us) // 1000)     # timers are in ms; round up
+        return (last_us + self.limit_us) // 1000 + 1     # first ms past the limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", STALL_STATE_SCHEMA)
 
+    @staticmethod
+    def _frame(key, offset, last_us, gap_us, kind) -> pd.DataFrame:
+        out = pd.DataFrame({"offset": offset, "last_us": last_us}, dtype="int64")
+        out["gap_us"] = pd.array(gap_us, dtype="Int64")
+        out["kind"] = kind
+        out.insert(0, "partition", key[1])
+        out.insert(0, "event_type", key[0])
+        return out
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("offset")
-        last = int(self.last.get()[0]) if self.last.exists() else None
-        if last is not None:
+        known = self.last.exists()
+        seen, last = self.last.get() if known else (-1, 0)
+        pdf, late = _in_order(rows, seen)
+        if len(late):
+            yield self._frame(key, late["offset"].to_numpy(), late["ts_us"].to_numpy(), [None] * len(late), "late")
+        if not len(pdf):
+            return
+        off, ts = pdf["offset"].to_numpy(), pdf["ts_us"].to_numpy()
+        if known:
             self.handle.deleteTimer(self._timer_ms(last))
-        out = []
-        for ts in pdf["ts_us"].tolist():
-            if last is not None and ts - last > self.limit_us:
-                out.append({"event_type": key[0], "partition": key[1], "last_us": last,
-                            "gap_us": int(ts) - last, "trailing": False})
-            last = int(ts)
-        self.handle.registerTimer(self._timer_ms(last))
-        self.last.update((last,))
-        yield pd.DataFrame(out, columns=["event_type", "partition", "last_us", "gap_us", "trailing"])
+            off, ts = np.r_[seen, off], np.r_[last, ts]
+        gap = np.diff(ts)
+        at = np.flatnonzero(gap > self.limit_us)
+        self.handle.registerTimer(self._timer_ms(int(ts[-1])))
+        self.last.update((int(off[-1]), int(ts[-1])))
+        yield self._frame(key, off[at], ts[at], gap[at], "gap")
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = []
         if self.last.exists():
-            last = int(self.last.get()[0])
-            out.append({"event_type": key[0], "partition": key[1], "last_us": last, "gap_us": None,
-                        "trailing": True})
-            self.last.clear()
-        yield pd.DataFrame(out, columns=["event_type", "partition", "last_us", "gap_us", "trailing"])
+            off, last = self.last.get()
+            yield self._frame(key, [off], [last], [None], "open")
 
     def close(self) -> None:
         pass
 
 
-def stream_stalls(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
-                  flush_timeout_seconds: int, stall_factor: float = 1.5) -> None:
-    """A13 as a stream over landed events (event_type, partition, offset,
-    occurred_at) with event-time timers."""
+def _run(spark: SparkSession, events_path: str, schema: StructType | str, ts: Column, processor, output: str,
+         is_late: Column, out: str, name: str, max_files: int, watermark_delay: str) -> None:
+    """Run a keyed processor over landed events (event_type, partition,
+    offset, occurred_at): results under ``out/name``, late rows under
+    ``out/late``, one directory per micro-batch.
+
+    Timers follow the watermark, the latest event time of all partitions
+    minus ``watermark_delay``: set it to how far files may land out of event
+    time order.  The event-time column ends at the watermark, so Spark drops
+    no row behind it; the processor decides by offset."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # The processor is also instantiated by a driver-side runner that does
+    # not see files added with addPyFile: ship this small module by value.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000).parquet(events_path)
-           .withWatermark("occurred_at", "0 seconds")
-           .withColumn("ts_us", F.unix_micros("occurred_at")))
-    stalls = (src.groupBy("event_type", "partition")
-              .transformWithStateInPandas(StallDetector(int(flush_timeout_seconds * stall_factor * 1_000_000)),
-                                          STALL_SCHEMA, "Append", "EventTime"))
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(events_path)
+           .withWatermark("occurred_at", watermark_delay)
+           .select("event_type", "partition", "offset", ts))
+    res = src.groupBy("event_type", "partition").transformWithStateInPandas(processor, output, "Append", "EventTime")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{out}/stalls/batch_id={batch_id:012d}")
+        df = df.persist()
+        try:
+            for folder, rows in ((name, df.filter(~is_late)), ("late", df.filter(is_late))):
+                rows.write.mode("overwrite").parquet(f"{out}/{folder}/batch_id={batch_id:012d}")
+        finally:
+            df.unpersist()
 
-    q = (stalls.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    (res.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
 
 
-def stream_batches(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
-                   max_rows: int, timeout_seconds: int) -> None:
-    """A7 as a stream over landed events (event_type, partition, offset,
-    occurred_at): batches close at ``max_rows`` events or ``timeout_seconds``
-    after their first event (event time)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000).parquet(events_path)
-           .withWatermark("occurred_at", "0 seconds")
-           .withColumn("ts_ms", (F.unix_micros("occurred_at") / 1000).cast("long")))
-    batches = (src.groupBy("event_type", "partition")
-               .transformWithStateInPandas(BatchWindow(max_rows, timeout_seconds * 1000), BATCH_SCHEMA,
-                                           "Append", "EventTime"))
+def stream_stalls(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
+                  flush_timeout_seconds: int, stall_factor: float = 1.5, max_files: int = 64,
+                  watermark_delay: str = "0 seconds") -> None:
+    """A13 as a stream: ``out/stalls`` and ``out/late``."""
+    _run(spark, events_path, schema, F.unix_micros("occurred_at").alias("ts_us"),
+         StallDetector(int(flush_timeout_seconds * stall_factor * 1_000_000)), STALL_SCHEMA,
+         F.col("kind") == "late", out, "stalls", max_files, watermark_delay)
 
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{out}/batches/batch_id={batch_id:012d}")
 
-    q = (batches.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def stream_batches(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
+                   max_rows: int, timeout_seconds: int, max_files: int = 64,
+                   watermark_delay: str = "0 seconds") -> None:
+    """A7 as a stream: batches close at ``max_rows`` events or
+    ``timeout_seconds`` after their first event (event time); ``out/batches``
+    and ``out/late``."""
+    _run(spark, events_path, schema, (F.unix_micros("occurred_at") / 1000).cast("long").alias("ts_ms"),
+         BatchWindow(max_rows, timeout_seconds * 1000), BATCH_SCHEMA,
+         F.col("closed_by") == "late", out, "batches", max_files, watermark_delay)
 
 
 def stream_flush_timer(spark: SparkSession, registrations_path: str, schema: StructType | str, out: str,
