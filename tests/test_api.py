@@ -33,6 +33,14 @@ def test_consume_after_commits_with_limits(spark):
         assert all(b.n_events <= 3 for b in bs)
 
 
+def test_consume_accepts_event_times_that_step_back(spark):
+    from datetime import datetime, timedelta
+    rows = [("t", "0", o, datetime(2024, 1, 1) + timedelta(seconds=s)) for o, s in enumerate((0, 50, 10, 70, 65))]
+    log = spark.createDataFrame(rows, "event_type string, partition string, offset long, occurred_at timestamp")
+    s = ConsumerSettings("t", "g", batch_limit=10, batch_flush_timeout_seconds=60).read_from_start_of_stream()
+    assert sorted(tuple(r)[2:] for r in api.consume(log, s).collect()) == [(2, 0, 3), (4, 3, 2)]
+
+
 def test_publish_stores_one_body_per_message(spark, tmp_path):
     import json as _json
     from tidemark.settings import ProducerSettings

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.datetime import format_offset_datetime, parse_offset_datetime, zone_offset
 from tidemark.operators import codec
 
 META = {"eid": "e1", "occurred_at": "2016-03-15T23:47:15+01:00"}
@@ -150,6 +151,26 @@ def test_event_type_definitions(spark):
     assert not b.valid and b.missing_fields == ["owning_application"]
 
 
+def test_event_type_wrong_json_types(spark):
+    ok = {"name": "t", "owning_application": "a", "category": "data", "partition_key_fields": [],
+          "enrichment_strategies": [], "statistics": {"message_size": 5}, "data_key_fields": None}
+    cases = [({}, []), ({"name": 5}, ["name"]), ({"enrichment_strategies": "oops"}, ["enrichment_strategies"]),
+             ({"partition_key_fields": [1]}, ["partition_key_fields"]), ({"statistics": [1]}, ["statistics"]),
+             ({"statistics": {"message_size": "5"}}, ["statistics.message_size"]),
+             ({"statistics": {"message_size": 1.5}}, ["statistics.message_size"])]
+    df = spark.createDataFrame([(i, json.dumps({**ok, **c})) for i, (c, _) in enumerate(cases)], "i int, value string")
+    for r in codec.decode_event_types(df).collect():
+        assert (r.mistyped_fields, r.valid) == (cases[r.i][1], not cases[r.i][1])
+
+
+def test_zone_offsets_are_kept(spark):
+    texts = ["2024-01-01T00:30:00+01:00", "2024-01-01T00:30:00.123456-05:30", "2024-01-01T00:30:00Z",
+             "2024-01-01T00:30:00.5+00:00:30"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    again = df.select(format_offset_datetime(parse_offset_datetime("t"), zone_offset("t")).alias("x")).collect()
+    assert [r.x for r in again] == texts
+
+
 def test_encode_cursors(spark):
     df = spark.createDataFrame([("t", "1", 12), ("t", "0", 10)], "event_type string, partition string, offset long")
     assert codec.encode_cursors(df, ["event_type"]).first().cursors_json == \

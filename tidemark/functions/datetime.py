@@ -45,9 +45,23 @@ def datetime_error(text: Column | str) -> Column:
     return F.when(parse_offset_datetime(t).isNull(), F.lit("not an offset date-time"))
 
 
-def format_offset_datetime(ts: Column | str) -> Column:
-    """ISO offset date-time in UTC: seconds always, the fraction only as
-    long as needed, ``Z`` for the zero offset."""
+def zone_offset(text: Column | str) -> Column:
+    """The zone offset of a valid date-time text: ``Z`` or ``+hh:mm[:ss]``."""
+    t = _c(text)
+    return F.when(t.rlike(ISO_OFFSET_DATE_TIME), F.upper(F.regexp_extract(t, r"([Zz]|[+-][0-9:]+)$", 1)))
+
+
+def format_offset_datetime(ts: Column | str, offset: Column | None = None) -> Column:
+    """ISO offset date-time: seconds always, the fraction only as long as
+    needed (microseconds at most).  In UTC with ``Z``, or as local time with
+    the given :func:`zone_offset` (``Z`` where it is null or zero)."""
+    if offset is not None:
+        part = lambda k: F.coalesce(F.try_element_at(F.split(offset, ":"), F.lit(k)).try_cast("int"), F.lit(0))
+        zero = offset.isNull() | (offset == "Z") | offset.rlike("^[+-]00:00(:00)?$")
+        sign = F.when(offset.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+        secs = F.abs(part(1)) * 3600 + part(2) * 60 + part(3)
+        local = format_offset_datetime(_c(ts) + F.make_dt_interval(secs=(sign * secs).cast("decimal(18,6)")))
+        return F.when(zero, format_offset_datetime(ts)).otherwise(F.concat(F.regexp_replace(local, "Z$", ""), offset))
     t = _c(ts)
     frac = F.regexp_replace(F.date_format(t, "SSSSSS"), "0+$", "")
     return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"),

@@ -32,6 +32,12 @@ def is_array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
+def is_integral(v: Column) -> Column:
+    """A JSON number within 64 bits and without a fraction."""
+    n = F.try_variant_get(v, "$", "decimal(38,9)")
+    return (vtype(v) == F.lit("BIGINT")) | (vtype(v).startswith("DECIMAL") & (n == F.try_variant_get(v, "$", "bigint")))
+
+
 def is_string_array(v: Column) -> Column:
     arr = F.try_variant_get(v, "$", "array<variant>")
     return arr.isNotNull() & F.forall(arr, lambda x: vtype(x) == F.lit("STRING"))

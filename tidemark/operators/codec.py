@@ -22,7 +22,7 @@ from tidemark.functions.datetime import (
     format_offset_datetime, parse_offset_datetime, parse_offset_datetime_sql,
 )
 from tidemark.functions.enums import normalise_category, normalise_data_op
-from tidemark.functions.json import is_json_null, vget
+from tidemark.functions.json import is_integral, is_json_null, is_object, is_string, is_string_array, vget
 from tidemark.functions.offsets import offset_to_long
 
 ERROR_TYPE = T.ArrayType(T.StructType([T.StructField("path", T.StringType()),
@@ -376,18 +376,34 @@ REQUIRED_EVENT_TYPE_FIELDS = ["name", "partition_key_fields", "owning_applicatio
                               "enrichment_strategies"]
 
 
+STRING_FIELDS = ["name", "owning_application", "category"]
+STRING_LIST_FIELDS = ["partition_key_fields", "data_key_fields", "validation_strategies", "enrichment_strategies"]
+STATISTICS_FIELDS = ["expected_write_rate", "message_size", "read_parallelism", "write_parallelism"]
+
+
 def decode_event_types(texts: DataFrame, value: str = "value") -> DataFrame:
-    """Event-type definitions; rows lacking a required field get
-    ``valid = false`` and the list of missing fields."""
+    """Event-type definitions; rows lacking a required field, or with a
+    field of another JSON type, get ``valid = false`` and the lists of
+    missing and mistyped fields (absent and null optionals are fine)."""
     v = F.try_parse_json(F.col(value))
+
+    def mistyped(path: str, test) -> Column:
+        x = vget(v, f"$.{path}")
+        return F.when(x.isNotNull() & ~is_json_null(x) & ~test(x), F.lit(path))
+
+    wrong = F.array_compact(F.array(
+        *[mistyped(f, is_string) for f in STRING_FIELDS],
+        *[mistyped(f, is_string_array) for f in STRING_LIST_FIELDS],
+        mistyped("statistics", is_object), *[mistyped(f"statistics.{f}", is_integral) for f in STATISTICS_FIELDS]))
     missing = F.filter(F.array(*[F.when(vget(v, f"$.{f}").isNull() | is_json_null(vget(v, f"$.{f}")),
                                         F.lit(f)) for f in REQUIRED_EVENT_TYPE_FIELDS]),
                        lambda x: x.isNotNull())
     typed = F.from_json(F.col(value), EVENT_TYPE_SCHEMA)
-    out = texts.select("*", typed.alias("et"), missing.alias("missing_fields"))
+    out = texts.select("*", typed.alias("et"), missing.alias("missing_fields"),
+                       F.coalesce(wrong, F.array().cast("array<string>")).alias("mistyped_fields"))
     return (out.select("*", *[F.col(f"et.{f.name}").alias(f.name) for f in EVENT_TYPE_SCHEMA.fields])
             .withColumn("category", normalise_category("category"))
-            .withColumn("valid", F.size("missing_fields") == 0)
+            .withColumn("valid", (F.size("missing_fields") == 0) & (F.size("mistyped_fields") == 0))
             .drop("et"))
 
 

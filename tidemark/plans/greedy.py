@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.datetime import format_offset_datetime
-from tidemark.plans.numbering import chunked_running, offset_chunk
+from tidemark.plans.numbering import chunked_running_multi, offset_chunk
 
 _BIG = np.iinfo(np.int64).max // 4
 _NEG = -(1 << 62)
@@ -51,8 +51,6 @@ _POS = 1 << 62
 def _next_starts(ts: np.ndarray, n: int | None, t_us: int | None) -> np.ndarray:
     """Local index of the next window start for a window opened at each row."""
     L = len(ts)
-    if t_us and L > 1 and bool(np.any(ts[1:] < ts[:-1])):
-        raise ValueError("greedy windows need time that does not decrease along the row order")
     by_time = np.searchsorted(ts, ts + t_us, side="left") if t_us else np.full(L, _BIG)
     by_count = np.arange(L) + n if n else np.full(L, _BIG)
     return np.minimum(by_time, by_count)
@@ -78,15 +76,18 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
                    value_col: str | None = None, rows_per_chunk: int = 1_000_000) -> DataFrame:
     """Windows as rows: keys, window_start (row index), n_events,
     first_offset / last_offset (of ``order_col``), first_ts (micros) and
-    max_value (max of ``value_col``, if given)."""
+    max_value (max of ``value_col``, if given).  Time is the running maximum
+    of ``ts_col`` along the row order, so it may step back in the input."""
     keys = list(keys)
     n = max_rows if max_rows and max_rows > 0 else None
     t_us = int(max_seconds * 1_000_000) if max_seconds and max_seconds > 0 else None
     val = F.col(value_col).cast("bigint") if value_col else F.lit(0).cast("bigint")
     base = df.select(*keys, F.col(order_col).alias("_o"), F.unix_micros(F.col(ts_col)).alias("_t"),
                      val.alias("_v"))
-    base = chunked_running(base, keys, ["_o"], chunk=offset_chunk("_o", rows_per_chunk), out="_rn")
-    base = base.withColumn("_i", F.col("_rn") - 1).drop("_rn") \
+    # the clock is the running maximum: producers' event times may step back
+    base = chunked_running_multi(base, keys, ["_o"], offset_chunk("_o", rows_per_chunk),
+                                 [("_rn", "count", None), ("_clock", "max", "_t")])
+    base = base.withColumn("_i", F.col("_rn") - 1).drop("_rn", "_t").withColumnRenamed("_clock", "_t") \
         .withColumn("_c", F.floor(F.col("_i") / rows_per_chunk).cast("bigint"))
     # The numbered rows feed two passes (candidates, assignment): write them
     # once to the checkpoint folder instead of recomputing the numbering.
@@ -238,7 +239,7 @@ ARRIVAL_BASE = "2024-02-01 00:00:00"   # fixture: message k arrives k minutes af
 
 
 def arrival_time(arrival_seq: str = "arrival_seq"):
-    return F.to_timestamp(F.lit(ARRIVAL_BASE)) + F.make_dt_interval(mins=F.col(arrival_seq).cast("int"))
+    return F.timestamp_seconds(F.unix_timestamp(F.lit(ARRIVAL_BASE)) + F.col(arrival_seq).cast("bigint") * 60)
 
 
 def flush_timeline(registrations: DataFrame, keys: Sequence[str], interval_seconds: int) -> DataFrame:
