@@ -52,11 +52,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in a sequence of at most 4096 tokens."""
+    """Token pieces, ids included, with their place in a sequence of at most 4096 tokens."""
     import public_tokenizers
     configure(spark)
-    parts = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(parts.checkpoint())
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -178,6 +178,32 @@ def test_packing(odd, none):
     assert packing.pack(packing.pieces(none, path)).count() == 0
 
 
+def token_pieces(rows, context=4096):
+    """(doc_id, piece, start, ids as bytes) of (doc_id, text) rows by the tokenizer itself."""
+    tokens = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokens.encode_special_tokens = True
+    out = collections.Counter()
+    for i, t in rows:
+        ids = np.array(tokens.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
+        for k in range(0, len(ids), context):
+            out[(i, k // context, k, ids[k:k + context].tobytes())] += 1
+    return out
+
+
+def test_packing_keeps_the_ids(odd, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 2000)       # several chunks of one length
+    rows = packing.packed(odd, path).collect()
+    want = token_pieces([(r["doc_id"], r["text"]) for r in odd.collect()])
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], bytes(r["ids"])) for r in rows) == want
+    sequences = collections.defaultdict(bytes)
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] * 4 == len(sequences[r["sequence_id"]])
+        sequences[r["sequence_id"]] += bytes(r["ids"])
+    assert all(len(s) <= 4 * 4096 for s in sequences.values())
+    assert sum(map(len, sequences.values())) == sum(len(k[3]) * n for k, n in want.items())
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_packing_plan_uses_every_piece_once(seed):
     counts = np.random.default_rng(seed).integers(0, 40, 65) * (np.random.default_rng(seed + 9).random(65) < 0.5)
@@ -310,6 +336,14 @@ def test_sharding(spark, odd, none):
     assert sharding.shard(none).count() == 0
 
 
+def test_sharding_carries_the_text(odd):
+    rows = sharding.shard(odd).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in rows) == collections.Counter(
+        (r["doc_id"], r["text"]) for r in odd.collect())
+    for r in rows:
+        assert r["text_crc32"] == zlib.crc32((r["text"] or "").encode())
+
+
 # --------------------------------------------------------------- classifiers
 
 def test_toxicity_on_held_out_rows(spark, none):
@@ -399,3 +433,11 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in left.collect()} == {i for i, h in hit.items() if not h[1]}
     out = p.run(spark, SF).collect()
     assert out and {r["doc_id"] for r in out} <= {r["doc_id"] for r in left.collect()}
+
+
+def test_pipeline_ends_in_token_ids(spark):
+    import corpus_pipeline as p
+    d = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    rows = p.pack(spark, d, SF).collect()
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], bytes(r["ids"])) for r in rows) == token_pieces(
+        [(r["doc_id"], r["text"]) for r in d.collect()])

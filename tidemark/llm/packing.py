@@ -9,7 +9,9 @@
    often as the counts allow, so the plan is a bounded table of patterns, not
    of pieces: every use brings a length below what the pattern needs of it.
 3. Number the pieces of each length (chunk by chunk, no length in one task)
-   and look up each number's pattern, sequence and offset in the plan.
+   and look up each number's pattern, sequence and offset in the plan.  The
+   token ids travel with their piece, so the rows of a sequence, ordered by
+   offset, are the packed sequence itself.
 
 Tokens come from the tokenizer; texts are split at white space first and
 tasks keep the ids of the strings between, since no token spans white space.
@@ -22,7 +24,9 @@ are ignored.
 
 from __future__ import annotations
 
+import functools
 import os
+import uuid
 import zlib
 from array import array
 
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.numbering import chunked_running
+from ..session import scratch_path
 from .common import n_blocks, table
 
 CONTEXT = 4096
@@ -39,6 +44,8 @@ END_ID = 1
 #: Strings whose ids a task keeps; when full, the store starts anew.
 KEEP_STRINGS = 1_200_000
 ROWS_PER_CHUNK = 100_000
+#: Bound of the ids that one chunk of a length holds.
+CHUNK_BYTES = 8 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _MARKS = ",.!?;:%&$*#|()[]"
 
@@ -89,6 +96,12 @@ class _Encoder:
             self.kept[s] = self.kept[word] + self.kept[tail]
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """One encoder for all tasks of a worker process, so strings are learnt once."""
+    return _Encoder(path)
+
+
 def _lower(text: str) -> str:
     """Lower case where that is sure to be what the tokenizer does first: in
     Latin-1 no letter composes or changes length."""
@@ -99,12 +112,12 @@ def _lower(text: str) -> str:
     return text.lower()
 
 
-def pieces(docs: DataFrame, tokenizer: str, context: int = CONTEXT, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids, little-endian 32 bits)."""
+def pieces(docs: DataFrame, tokenizer: str, context: int = CONTEXT, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and (unless told not to) ids, little-endian 32 bits."""
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def run(batches):
-        encoder, end = _Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = _encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
@@ -198,7 +211,8 @@ def plan(counts: np.ndarray, context: int) -> np.ndarray:
 
 
 def pack(parts: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """``parts`` (doc_id, piece, length, ...) with sequence_id and offset."""
+    """``parts`` (doc_id, piece, length, ...) with sequence_id and offset; all
+    columns of ``parts`` go along, the ids among them."""
     spark = parts.sparkSession
     counts = np.zeros(context + 1, np.int64)
     for r in parts.groupBy("length").count().collect():
@@ -206,9 +220,13 @@ def pack(parts: DataFrame, context: int = CONTEXT) -> DataFrame:
     rows = plan(counts, context)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     shared = spark.sparkContext.broadcast(rows)
-    chunks = n_blocks(int(counts.sum()), ROWS_PER_CHUNK)
-    ranked = chunked_running(parts, ["length"], ["doc_id", "piece", "ids_crc32"],
-                             F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)), "_rank").select(*parts.columns, "_rank")
+    chunks, order = F.lit(n_blocks(int(counts.sum()), ROWS_PER_CHUNK)), ["doc_id", "piece", "ids_crc32"]
+    if "ids" in parts.columns:      # chunks by length: few for most, more where many long pieces meet
+        own = [n_blocks(4 * n * int(c), CHUNK_BYTES) for n, c in enumerate(counts)]
+        own = F.split(F.lit(",".join(map(str, own))), ",").cast("array<bigint>")     # one constant
+        chunks = F.greatest(chunks.cast("bigint"), F.get(own, F.col("length").cast("int")))
+        order.append("ids")
+    ranked = chunked_running(parts, ["length"], order, F.pmod(F.xxhash64("doc_id", "piece"), chunks), "_rank").select(*parts.columns, "_rank")
 
     def place(batches):
         t = shared.value
@@ -226,7 +244,17 @@ def pack(parts: DataFrame, context: int = CONTEXT) -> DataFrame:
     return ranked.mapInArrow(place, ddl)
 
 
+def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """Pieces of ``docs`` with their ids and places.  The pieces are written
+    once, under the shared checkpoint folder and by column: counting and
+    numbering them does not read the ids."""
+    parts = pieces(docs, tokenizer)
+    out = scratch_path(docs.sparkSession, "packing", uuid.uuid4().hex)
+    parts.write.option("compression", "zstd").parquet(out)
+    return pack(docs.sparkSession.read.schema(parts.schema).parquet(out))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    parts = pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).checkpoint()
-    return pack(parts)
+    rows = packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

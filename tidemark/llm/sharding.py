@@ -61,20 +61,21 @@ def jump_hash(key: Column, shards: int) -> Column:
 
 
 def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard per row.
+    """doc_id, text, size, text_crc32, law, shard, slot, grown_shard per row.
 
-    Slots number each shard's rows from 0 without a gap, chunk by chunk: the
+    The text goes along to its shard and slot, a null as null.  Slots number each shard's rows from 0 without a gap, chunk by chunk: the
     rows of a shard never meet in one task, only its chunk totals do."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
-        "doc_id", (F.octet_length(text).cast("bigint") + 1).alias("size"), F.crc32(text).alias("text_crc32"),
+        "doc_id", "text", (F.octet_length(text).cast("bigint") + 1).alias("size"), F.crc32(text).alias("text_crc32"),
         F.lit("key").alias("law"), jump_hash(F.col("doc_id"), shards).alias("shard"),
         jump_hash(F.col("doc_id"), shards + 1).alias("grown_shard"))
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS))
-    numbered = chunked_running(rows, ["shard"], ["doc_id", "size", "text_crc32"], chunk, "slot")
-    return numbered.select("doc_id", "size", "text_crc32", "law", "shard",
+    numbered = chunked_running(rows, ["shard"], ["doc_id", "size", "text_crc32", "text"], chunk, "slot")
+    return numbered.select("doc_id", "text", "size", "text_crc32", "law", "shard",
                            (F.col("slot") - 1).cast("bigint").alias("slot"), "grown_shard")
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard(table(spark, sf_dir, "documents"), 8)
+    rows = shard(table(spark, sf_dir, "documents"), 8)
+    return rows.withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")))).drop("text")
