@@ -366,6 +366,19 @@ def test_toxicity_defined_results(spark, odd, none):
     assert toxicity.score(none.drop("score"), toxicity.fit(none, labels)).count() == 0
 
 
+def test_toxicity_learns_from_4000_clean_rows(spark):
+    d = spark.range(6600).selectExpr("id doc_id", "concat('word', id % 50, ' text') text").repartition(4)
+    labels = spark.range(6600).selectExpr("id doc_id", "cast(id % 100 = 0 as int) toxic")
+    ours = toxicity.sample(d.unionByName(d.limit(20)), labels)
+    allowed = [i for i in range(6600) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert (ours.toxic == 0).sum() == min(4000, sum(i % 100 != 0 for i in allowed))
+    assert toxicity.PER_CLASS[0] == 4000 and (ours.toxic == 1).sum() == sum(i % 100 == 0 for i in allowed)
+    few = toxicity.sample(d, labels.where("doc_id < 100"))
+    bags = [toxicity.bag(f"word{i % 50} text") for i in allowed if i < 100]
+    assert (few.buckets == np.concatenate([b for b, _ in bags])).all()
+    assert (few.counts == np.concatenate([c for _, c in bags])).all()
+
+
 def test_language(spark, odd, none):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     truth = {r["doc_id"]: r["lang"] for r in d.select("doc_id", "lang").collect()}

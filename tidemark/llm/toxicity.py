@@ -35,7 +35,7 @@ GRAMS = (4, 6)
 BUCKET_BITS = 18
 DIMENSIONS = 8
 #: Bound of the training sample: rows by label.
-PER_CLASS = {1: 1500, 0: 3000}
+PER_CLASS = {1: 1500, 0: 4000}
 EPOCHS = 6
 BATCH = 32
 LEARN, DECAY = 0.01, 1e-4
@@ -53,6 +53,14 @@ class Model(NamedTuple):
     bias: float
 
 
+class Sample(NamedTuple):
+    """Labelled bags, one after another in two flat arrays."""
+    toxic: np.ndarray       # label of each bag
+    bounds: np.ndarray      # bag i is bounds[i] .. bounds[i + 1]
+    buckets: np.ndarray
+    counts: np.ndarray
+
+
 def subwords(text: str) -> np.ndarray:
     """Buckets of the n-grams that stay inside one word and its borders."""
     data = np.frombuffer(b" " + b" ".join(text.lower().encode().translate(_KEEP).split()) + b" ", np.uint8)
@@ -77,8 +85,9 @@ def held_out(doc_id: Column, parts: int, rest: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == rest, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = PER_CLASS) -> list:
-    """[(toxic, buckets, counts)] of at most ``per_class`` labelled rows by label."""
+def sample(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = PER_CLASS) -> Sample:
+    """Bags of at most ``per_class`` labelled rows by label, by doc_id and buckets;
+    rows that repeat a doc_id and its buckets count once."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
                          & ~held_out(F.col("doc_id"), 3, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     pick = None
@@ -96,33 +105,58 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = PER_C
     # at most the sum of per_class rows of two numbers: a proven bound for the broadcast
     rows = (docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id").select("doc_id", "toxic", "text")
             .mapInArrow(run, "doc_id bigint, toxic int, buckets binary, counts binary").toLocalIterator())
-    kept: dict = {}
+    toxic: list = []
+    bounds, buckets, counts = [0], bytearray(), bytearray()
+    by_doc: dict[int, list[int]] = {}
+    own = lambda i: bytes(memoryview(buckets)[4 * bounds[i]:4 * bounds[i + 1]])
     for r in rows:
-        key = (r["doc_id"], bytes(r["buckets"]))
-        kept[key] = (r["toxic"], np.frombuffer(key[1], "<i4"), np.frombuffer(bytes(r["counts"]), np.uint8))
-    return [kept[k] for k in sorted(kept)]
-
-
-def train(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Joint training of embeddings and softmax on (label, buckets, counts);
-    empties ``rows``."""
-    y = np.array([r[0] for r in rows], np.int64)
+        b = bytes(r["buckets"])
+        if any(own(i) == b for i in by_doc.get(r["doc_id"], ())):
+            continue
+        by_doc.setdefault(r["doc_id"], []).append(len(toxic))
+        toxic.append(r["toxic"])
+        buckets += b
+        counts += r["counts"]
+        bounds.append(len(counts))
+    order = [i for d in sorted(by_doc) for i in sorted(by_doc[d], key=own)]
+    return _ordered(toxic, bounds, np.frombuffer(buckets, "<i4"), np.frombuffer(counts, np.uint8), order)
+
+
+def _ordered(toxic: list, bounds: list, buckets: np.ndarray, counts: np.ndarray, order: list) -> Sample:
+    size = np.diff(bounds)[order]
+    out = Sample(np.array(toxic, np.int64)[order], np.concatenate([[0], np.cumsum(size)]).astype(np.int64),
+                 np.empty(len(buckets), np.int32), np.empty(len(counts), np.uint8))
+    for k, i in enumerate(order):
+        to = slice(out.bounds[k], out.bounds[k + 1])
+        out.buckets[to], out.counts[to] = buckets[bounds[i]:bounds[i + 1]], counts[bounds[i]:bounds[i + 1]]
+    return out
+
+
+def train(rows: Sample, epochs: int = EPOCHS, seed: int = 7) -> Model:
+    """Joint training of embeddings and softmax on labelled bags."""
+    y, count = rows.toxic, len(rows.toxic)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(1 << BUCKET_BITS, np.float32),
                      float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     seen = np.zeros(1 << BUCKET_BITS, np.int64)
-    for _, b, _ in rows:
-        seen[b] += 1
+    for lo, hi in zip(rows.bounds, rows.bounds[1:]):
+        seen[rows.buckets[lo:hi]] += 1          # buckets of a bag are distinct
     vocabulary = np.flatnonzero(seen >= MIN_ROWS)
     place = np.full(1 << BUCKET_BITS, -1, np.int32)
     place[vocabulary] = np.arange(len(vocabulary))
-    rare = (SCALE * np.log(len(rows) / seen[vocabulary])).astype(np.float32)   # common n-grams say little
-    bags, count = [], len(rows)
-    while rows:                     # the driver holds each row once
-        _, b, c = rows.pop(0)
-        at, share = place[b], c / np.float32(max(PAD, float(c.sum(dtype=np.int64))))
-        bags.append((at[at >= 0], share[at >= 0] * rare[at[at >= 0]]))
+    rare = (SCALE * np.log(count / seen[vocabulary])).astype(np.float32)   # common n-grams say little
+    # what the vocabulary keeps of each bag, bag after bag: places and shares
+    places, shares = np.empty(len(rows.buckets), np.int32), np.empty(len(rows.buckets), np.float32)
+    ends, n = [0], 0
+    for lo, hi in zip(rows.bounds, rows.bounds[1:]):
+        at, c = place[rows.buckets[lo:hi]], rows.counts[lo:hi]
+        share = c / np.float32(max(PAD, float(c.sum(dtype=np.int64))))
+        known = at >= 0
+        at = at[known]
+        places[n:n + len(at)], shares[n:n + len(at)] = at, share[known] * rare[at]
+        n += len(at)
+        ends.append(n)
     weight = np.array([1.0, ((y == 0).sum() / (y == 1).sum()) ** 0.5])[y]
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.05, (len(vocabulary), DIMENSIONS)).astype(np.float32)
@@ -135,10 +169,11 @@ def train(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model:
         order = rng.permutation(count)
         for lo in range(0, len(order), BATCH):
             part = order[lo:lo + BATCH]
-            used, at = np.unique(np.concatenate([bags[i][0] for i in part]), return_inverse=True)
+            own = [slice(ends[i], ends[i + 1]) for i in part]
+            used, at = np.unique(np.concatenate([places[o] for o in own]), return_inverse=True)
             bag = np.zeros((len(part), len(used)), np.float32)      # rows of the batch by their n-grams
-            bag[np.repeat(np.arange(len(part)), [len(bags[i][0]) for i in part]), at] = np.concatenate(
-                [bags[i][1] for i in part])
+            bag[np.repeat(np.arange(len(part)), [o.stop - o.start for o in own]), at] = np.concatenate(
+                [shares[o] for o in own])
             x = bag @ e[used]
             z = x @ u + bias
             z = np.exp(z - z.max(1, keepdims=True))
