@@ -151,6 +151,33 @@ def test_secrets(spark, odd, none):
     assert secrets.redact(df).columns == df.columns and secrets.find_secrets(none).count() == 0
 
 
+KEY = "q7ZpX4kL9vB2nM8sR1tY6wJdFgHcA3"
+
+
+def test_secrets_behind_symbols_and_placeholders(spark):
+    """Planted by hand, without the allow-list."""
+    keys = [c + KEY for c in "-_/+="] + [f"--key={KEY}", f"/hooks/{KEY}", f"api/example/{KEY}", f"{KEY}/placeholder",
+            f"your-key={KEY}", f"example{KEY}", f"{KEY}EXAMPLE", f"/usr/share/{KEY}/", "/wJalrXUtnFEMIk7MDENGbPxRfiCYzzz9Qa8LmT"]
+    plain = ["/usr/local/share/dictionaries/words/Quixotic", "-----BEGIN-CERTIFICATE-REQUEST-----", "=" * 60,
+             "2024-01-15-why-vexing-jukebox-makes-quality", "/550e8400-e29b-41d4-a716-446655440000",
+             "550e8400-e29b-41d4-a716-446655440000", "your-api-key/CHANGEME123/placeholder/jukebox/vex", "1234567890" * 4,
+             "/".join(["example"] * 20_000)]
+    rows = [(i, f"see {t} .") for i, t in enumerate(keys + plain)]
+    found = by_id(secrets.find_secrets(frame(spark, rows)))
+    for i, t in rows:
+        at = [(s["start"], s["end"]) for s in found[i]["_spans"] if secrets.KINDS[s["kind"]] == "entropy_base64"]
+        if i < len(keys):
+            key = KEY if KEY in t else "wJalrXUtnFEMIk7MDENGbPxRfiCYzzz9Qa8LmT"
+            lo = t.index(key)
+            assert sum(max(0, min(b, lo + len(key)) - max(a, lo)) for a, b in at) == len(key), t
+        else:
+            assert not at, t
+    left = by_id(secrets.redact(frame(spark, rows)))
+    assert all(KEY not in left[i]["text"] for i in range(len(keys)))
+    odd_end = re.search(secrets.ALLOW, "/".join(["example"] * 2000) + "/xX9")     # no backtracking
+    assert odd_end is None
+
+
 # ------------------------------------------------------------------- packing
 
 def test_packing(odd, none):

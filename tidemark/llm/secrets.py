@@ -7,8 +7,11 @@ characters reaches the class's entropy threshold; overlapping windows merge
 into one span.  Entropy comes from incremental counts: one character enters,
 one leaves, and the sum of count * log2(count) changes by table differences,
 held as integers (scale 1e6) so that no rounding error accumulates.
-Candidates on the allow-list (words, dated or numbered slugs, UUIDs, known
-placeholders, digits only) are suppressed.  Base spans always stay.
+A candidate is suppressed if each of its parts between ``- _ / + =`` is on the
+allow-list (words, numbers, known placeholders), so words, dated or numbered
+slugs and paths of them are, or if it is a UUID; leading symbols do not count.
+One other part, a key behind a path or a placeholder say, and the candidate
+stays whole.  Base spans always stay.
 
 Spans cover the whole match (for ``assign``: keyword through value) in code
 points, end exclusive, ordered by start, then kind in the order of KINDS.
@@ -40,9 +43,12 @@ CLASSES = [
     ("entropy_hex", "0123456789abcdefABCDEF", 3.0),
 ]
 KINDS = [b[0] for b in BASE] + [c[0] for c in CLASSES]
-ALLOW = ("^(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[-_/+=]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[-_/+=]*$"
-         "|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
-         "|(?i:example|placeholder|changeme|redacted|your[-_]?(?:key|token|secret))|^[-_/+=]")
+# Each part between symbols is a word, a number or a placeholder with at most a
+# number behind; parts are atomic, so no run is tried in more than one way.
+_PART = ("(?>(?i:example|placeholder|changeme|redacted|your(?:key|token|secret))[0-9]*+(?![A-Za-z0-9])"
+         "|[A-Z]?[a-z]++|[A-Z]++|[0-9]++)")
+ALLOW = (f"^[-_/+=]*+(?:{_PART}(?:[-_/+=]++|$))++$"
+         "|^[-_/+=]*+[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
 SCALE = 1_000_000
 BLOCK = 256
 
