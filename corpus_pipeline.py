@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, packing, secrets, simhash, toxicity
-from tidemark.llm.common import table
+from tidemark.llm.common import free_name, table
 from tidemark.plans.joins import broadcast_if_small
 from tidemark.session import configure, scratch_path
 
@@ -27,7 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
     configure(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    name = free_name(docs, "score")         # documents may have a column of that name
+    return toxicity.score(docs, model, name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -481,3 +481,86 @@ def test_pipeline_ends_in_token_ids(spark):
     rows = p.pack(spark, d, SF).collect()
     assert collections.Counter((r["doc_id"], r["piece"], r["start"], bytes(r["ids"])) for r in rows) == token_pieces(
         [(r["doc_id"], r["text"]) for r in d.collect()])
+
+
+# ------------------------------------------------- registered queries and run()
+
+def scored(model, text):
+    b, c = toxicity.bag(text)
+    z = model.bias + float(model.weight[b] @ c.astype(np.float32)) / max(toxicity.PAD, int(c.sum(dtype=np.int64)))
+    return 1 / (1 + math.exp(-min(50, max(-50, z))))
+
+
+def redacted(text):
+    out, at = "", 0
+    for a, b, _ in secret_spans(text):
+        if a > at or not out:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_columns_that_clash_with_results(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    for df in (odd, odd.withColumnRenamed("score", "SCORE")):
+        rows = toxicity.score(df, toxicity.fit(df, labels)).collect()
+        assert len(rows) == len(TEXTS) + 5 and all(isinstance(r["score"], float) for r in rows)
+        kept = language.predict(df.withColumn("_letter", df["lang"]), None)
+        assert [r["_letter"] for r in kept.collect()] == ["xx"] * (len(TEXTS) + 5)
+
+
+@pytest.mark.parametrize("extra", ["score", "SCORE"])
+def test_run_in_full(spark, tmp_path, extra):
+    import corpus_pipeline as p
+    planted = [(10**6 + i, f"key{i} {k} " + prose(40, 700 + i)) for i, k in enumerate(["/" + KEY, f"token={KEY}", "a/b/" + KEY])]
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    more = spark.createDataFrame(planted, "doc_id bigint, text string")
+    d = d.unionByName(more, allowMissingColumns=True).selectExpr("*", f"'own' `{extra}`")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    d = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    first = p.drop_toxic(spark, d, str(tmp_path))
+    assert first.columns == d.columns and {r[extra] for r in first.collect()} == {"own"}
+    model = toxicity.fit(d, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in d.collect()}
+    texts = {i: t for i, t in texts.items() if scored(model, t) < toxicity.THRESHOLD}
+    low = classes({i: fingerprint(t) for i, t in texts.items()}, 4)
+    texts = {i: texts[i] for i in set(low.values())}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    texts = {i: redacted(texts[i]) for i, h in contaminated(texts, items).items() if not h[1]}
+    assert {i for i, _ in planted} <= set(texts) and not any(KEY in t for t in texts.values())
+    got = p.run(spark, str(tmp_path)).collect()
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], bytes(r["ids"])) for r in got) == token_pieces(texts.items())
+
+
+@pytest.mark.parametrize("name", ["op1_decontamination", "op4_suffix_dedup", "op6_substring_dedup"])
+def test_query_against_its_sql(spark, name):
+    import duckdb
+    from tidemark.llm import queries
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    df = queries.QUERIES[name](spark, SF)
+    assert sorted(df.columns) == sorted(columns)
+    assert collections.Counter(map(tuple, df.select(*columns).collect())) == collections.Counter(want.fetchall())
+
+
+def test_queries_against_brute_force(spark):
+    from tidemark.llm.queries import QUERIES
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    run = lambda name: QUERIES[name](spark, SF).collect()
+    assert {r["doc_id"]: r["spans"] for r in run("op2_secrets")} == {
+        i: ",".join(f"{k}:{a}:{b}" for a, b, k in secret_spans(t or "")) for i, t in texts.items()}
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in run("op3_packing")) == {
+        (i, k, at, len(ids) // 4, zlib.crc32(ids)): n for (i, k, at, ids), n in token_pieces(texts.items()).items()}
+    assert {(r["doc_id"], r["shard"], r["text_crc32"]) for r in run("op7_sharding")} == {
+        (i, jump(i, 8), zlib.crc32((t or "").encode())) for i, t in texts.items()}
+    model = toxicity.fit(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")))
+    rows = run("op5_toxicity")
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert abs(r["score"] - scored(model, texts[r["doc_id"]])) < 1e-9
+        assert (r["predicted"], r["held_out"]) == (r["score"] >= 0.7, zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)

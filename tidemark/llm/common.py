@@ -15,6 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without its columns of these names, in any case."""
+    gone = {n.lower() for n in names}
+    return df.drop(*[c for c in df.columns if c.lower() in gone])
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else (``lower`` is the same on ASCII text)."""
     return (F.when(F.octet_length(text) == F.length(text), F.lower(text))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import table
+from .common import free_name, table, without
 from .toxicity import held_out
 
 GRAMS = (2, 3, 4)
@@ -101,8 +101,11 @@ def train(rows: list[tuple[str, bytes]]) -> Model:
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` in [0, 1] from ``text`` alone."""
-    named = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    """``docs`` with ``lang_pred`` and ``score`` in [0, 1] from ``text`` alone;
+    they replace columns of these names in any case."""
+    docs = without(docs, "lang_pred", "score")
+    mark = free_name(docs, "_letter")
+    named = docs.withColumn(mark, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -110,7 +113,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, BATCH):
                 part = batch.slice(lo, BATCH)
-                letter = part.column("_letter").to_pylist()
+                letter = part.column(mark).to_pylist()
                 lang, score = ["und"] * len(letter), np.zeros(len(letter))
                 at = [i for i, ok in enumerate(letter) if ok] if m else []
                 if at:

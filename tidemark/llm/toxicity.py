@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import table
+from .common import table, without
 
 GRAMS = (4, 6)
 BUCKET_BITS = 18
@@ -196,8 +196,10 @@ def train(rows: Sample, epochs: int = EPOCHS, seed: int = 7) -> Model:
     return Model(out, float(bias[1] - bias[0]))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` double in [0, 1] from ``text`` alone."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a score, double in [0, 1], from ``text`` alone, as column
+    ``name``; it replaces a column of that name in any case."""
+    docs = without(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -209,8 +211,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 z = bias + float(weight[b] @ c.astype(np.float32)) / max(PAD, int(c.sum(dtype=np.int64)))
                 out.append(float(1 / (1 + np.exp(-np.clip(z, -50, 50)))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())],
-                                             names=[*batch.schema.names, "score"])
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", score double"
+                                             names=[*batch.schema.names, name])
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{name}` double"
     return docs.mapInArrow(run, ddl)
 
 
