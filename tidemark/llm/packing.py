@@ -98,7 +98,8 @@ class _Encoder:
 
 @functools.lru_cache(maxsize=1)
 def _encoder(path: str) -> _Encoder:
-    """One encoder for all tasks of a worker process, so strings are learnt once."""
+    """One tokenizer for all tasks of a worker process, read once; each task
+    starts with an empty store, so idle workers hold no strings."""
     return _Encoder(path)
 
 
@@ -118,6 +119,7 @@ def pieces(docs: DataFrame, tokenizer: str, context: int = CONTEXT, end_id: int
 
     def run(batches):
         encoder, end = _encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder.kept = {"": b""}
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
@@ -132,6 +134,7 @@ def pieces(docs: DataFrame, tokenizer: str, context: int = CONTEXT, end_id: int
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:5 + with_ids]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:5 + with_ids]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+        encoder.kept = {"": b""}
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
