@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op1_decontamination
 from .language import op8_language
+from .merkle import op11_merkle
 from .neighbours import op9_neighbours
 from .packing import op3_packing
 from .secrets import op2_secrets
@@ -15,7 +16,7 @@ from .toxicity import op5_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_secrets, op3_packing, op4_suffix_dedup, op5_toxicity, op6_substring_dedup,
-    op7_sharding, op8_language, op9_neighbours, op10_simhash)}
+    op7_sharding, op8_language, op9_neighbours, op10_simhash, op11_merkle)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -65,4 +66,32 @@ k AS (SELECT b.doc_id, string_agg(b.t, ' ' ORDER BY b.p) AS kept FROM (
   ANTI JOIN g ON b.doc_id = g.doc_id AND b.p = g.p GROUP BY b.doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)""",
+    # crc32 bit by bit; trees level by level, first per language, then over the subroots
+    "op11_merkle": """
+WITH RECURSIVE f AS (SELECT doc_id, coalesce('=' || lang, '') AS run,
+  list_transform([CAST(doc_id AS VARCHAR), source, lang], lambda x: coalesce(strlen(x) || ':' || x, '-')) AS a,
+  coalesce(strlen(text) || ':' || text, '-') AS z, CAST(n_chars AS VARCHAR) AS n0, CAST(n_chars + 1 AS VARCHAR) AS n1,
+  xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, o: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) AS crc FROM documents),
+l AS (SELECT run, doc_id, crc, sha256(array_to_string(a, '') || coalesce(strlen(n0) || ':' || n0, '-') || z) AS leaf,
+  sha256(array_to_string(a, '') || coalesce(strlen(n1) || ':' || n1, '-') || z) AS changed FROM f),
+d AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY run) AS n FROM l),
+t AS (SELECT run, 0 AS k, p, n, leaf AS h FROM d UNION ALL
+  SELECT run, k + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM t WHERE n > 1 GROUP BY run, k, p // 2, n),
+r AS (SELECT run, h, row_number() OVER (ORDER BY run) - 1 AS p, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS k, p, n, h FROM r UNION ALL
+  SELECT k + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM u WHERE n > 1 GROUP BY k, p // 2, n),
+g AS (SELECT a.run, a.p, list(CASE WHEN b.h IS NULL THEN '' WHEN b.p % 2 = 0 THEN 'L' || b.h ELSE 'R' || b.h END ORDER BY a.k) AS steps
+  FROM (SELECT d.run, d.p, x.k FROM d JOIN (SELECT DISTINCT run, k FROM t WHERE n > 1) x USING (run)) a
+  LEFT JOIN t b ON b.run = a.run AND b.k = a.k AND b.p = xor(a.p >> a.k, 1) GROUP BY a.run, a.p),
+v AS (SELECT a.run, list(CASE WHEN b.h IS NULL THEN '' WHEN b.p % 2 = 0 THEN 'L' || b.h ELSE 'R' || b.h END ORDER BY a.k) AS steps
+  FROM (SELECT r.run, r.p, x.k FROM r, (SELECT DISTINCT k FROM u WHERE n > 1) x) a
+  LEFT JOIN u b ON b.k = a.k AND b.p = xor(a.p >> a.k, 1) GROUP BY a.run),
+w AS (SELECT d.doc_id, d.leaf, CASE WHEN d.crc % 7 = 0 THEN d.changed ELSE d.leaf END AS claim, r.h AS subroot,
+  (SELECT h FROM u WHERE n = 1) AS root, list_concat(coalesce(g.steps, []), coalesce(v.steps, [])) AS steps
+  FROM d JOIN r USING (run) LEFT JOIN g ON g.run = d.run AND g.p = d.p LEFT JOIN v ON v.run = d.run)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM (SELECT *, list_reduce(list_concat([claim], steps), lambda h, s: sha256(
+  CASE WHEN s[1] = 'L' THEN s[2:] || h WHEN s[1] = 'R' THEN h || s[2:] ELSE h END)) AS folded_root FROM w)""",
 }
