@@ -13,10 +13,11 @@ from .simhash import op10_simhash
 from .substring_dedup import op6_substring_dedup
 from .suffix_dedup import op4_suffix_dedup
 from .toxicity import op5_toxicity
+from .whitening import op12_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_secrets, op3_packing, op4_suffix_dedup, op5_toxicity, op6_substring_dedup,
-    op7_sharding, op8_language, op9_neighbours, op10_simhash, op11_merkle)}
+    op7_sharding, op8_language, op9_neighbours, op10_simhash, op11_merkle, op12_whitening)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
