@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .byte_bpe import op13_byte_bpe
 from .decontaminate import op1_decontamination
 from .language import op8_language
 from .merkle import op11_merkle
@@ -17,7 +18,8 @@ from .whitening import op12_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_secrets, op3_packing, op4_suffix_dedup, op5_toxicity, op6_substring_dedup,
-    op7_sharding, op8_language, op9_neighbours, op10_simhash, op11_merkle, op12_whitening)}
+    op7_sharding, op8_language, op9_neighbours, op10_simhash, op11_merkle, op12_whitening,
+    op13_byte_bpe)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
