@@ -34,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,9 @@ from .common import table
 CHUNK, OVERLAP, MARGIN = 1 << 15, 1 << 9, 16
 #: Text bytes whose pieces are worked on together.
 BATCH_BYTES = 4 << 20
+GATHER = 1 << 17
+#: Ids decoded together.
+BATCH_IDS = 1 << 20
 
 #: Fixed value: the pattern whose matches ``_scan_classes`` finds.
 RUNS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -184,12 +188,15 @@ def stitch(chunks: list[tuple[int, str, np.ndarray]], scan: Scan, margin: int) -
 
 def _gather(codes: np.ndarray, values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenation of the runs ``codes`` of ``values`` (run i ends at ends[i])
-    and the running total of their lengths, from 0."""
+    and the running total of their lengths, from 0; index arrays are made for
+    ``GATHER`` runs at a time."""
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else np.zeros(0, np.int64)
-    sizes = (ends - begins)[codes]
-    total = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.repeat(begins[codes] - total[:-1], sizes) + np.arange(total[-1])
-    return values[at], total
+    total = np.concatenate([[0], np.cumsum((ends - begins)[codes])])
+    out = np.empty(total[-1], values.dtype)
+    for lo in range(0, len(codes), GATHER):
+        t, first = total[lo:lo + GATHER + 1], begins[codes[lo:lo + GATHER]]
+        out[t[0]:t[-1]] = values[np.repeat(first - t[:-1], np.diff(t)) + np.arange(t[0], t[-1])]
+    return out, total
 
 
 def encode_pieces(vocabulary: Vocabulary, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +227,7 @@ def _places(chars: np.ndarray) -> np.ndarray:
 
 def _encode_texts(vocabulary: Vocabulary, texts: pa.Array) -> pa.ListArray:
     """Ids of every text of a batch, pre-tokenised together."""
-    ends = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))]).astype(np.int64)
     data = b"".join(texts.cast(pa.binary()).to_pylist())
     if vocabulary.pattern == RUNS:
         chars = _chars(data)
@@ -236,16 +243,21 @@ def _encode_texts(vocabulary: Vocabulary, texts: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(total[np.searchsorted(starts, ends)].astype(np.int32), pa.array(ids))
 
 
-def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in runs of about ``BATCH_BYTES`` of text."""
-    size = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
-    group, at = np.cumsum(size) // BATCH_BYTES, 0
+def _slices(batch: pa.RecordBatch, size: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, of these sizes, in runs of about ``most`` together."""
+    group, at = np.cumsum(size) // most, 0
     for to in [*(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]:
         if to > at:
             yield batch.slice(at, to - at)
         at = to
 
 
+def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        yield from _slices(batch, size, BATCH_BYTES)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap: int = OVERLAP,
            margin: int = MARGIN) -> DataFrame:
     """doc_id, ids (array<int>) of every row's whole text."""
@@ -256,10 +268,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
     long = F.octet_length("text") > chunk
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), _encode_texts(sent.value, part.column("text"))], ["doc_id", "ids"])
+        for part in _by_text(batches):
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), _encode_texts(sent.value, part.column("text"))], ["doc_id", "ids"])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,13 +299,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
             "starts": pa.array([s.tolist() for _, s in parts], pa.list_(pa.int32()))})
 
     def part_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                text, starts = batch.column("text")[i].as_py(), batch.column("starts")[i].as_py()
-                ids, _ = encode_pieces(sent.value, text.encode(), _places(_chars(text))[starts])
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(i, 1) for c in ("row", "doc_id", "part")),
-                     pa.array([ids], pa.list_(pa.int32()))], ["row", "doc_id", "part", "ids"])
+        for part in _by_text(batches):
+            texts, count = part.column("text").to_pylist(), [0, *map(len, part.column("starts"))]
+            data = "".join(texts)
+            before = np.cumsum([0, *map(len, texts)])
+            own = np.repeat(before[:-1], count[1:])
+            places = _places(_chars(data))
+            starts = places[part.column("starts").flatten().to_numpy(zero_copy_only=False) + own]
+            ids, total = encode_pieces(sent.value, data.encode(), starts)
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("row", "doc_id", "part")),
+                 pa.ListArray.from_arrays(total[np.cumsum(count)].astype(np.int32), pa.array(ids))],
+                ["row", "doc_id", "part", "ids"])
 
     short = texts.where(~long).mapInArrow(whole, "doc_id bigint, ids array<int>")
     cuts = (texts.where(long).withColumn("row", F.monotonically_increasing_id())
@@ -313,22 +329,25 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``rows`` (doc_id, ids) with ``bytes``, the raw bytes of the ids."""
     sent = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
+    def sizes(ids: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_id = sorted(_ranks(sent.value.content).items(), key=lambda x: x[1])
         place = np.full(by_id[-1][1] + 1, -1, np.int64)
         place[[i for _, i in by_id]] = np.arange(len(by_id))
         values = np.frombuffer(b"".join(b for b, _ in by_id), np.uint8)
         ends = np.cumsum([len(b) for b, _ in by_id])
-        for batch in batches:
-            ids = batch.column("ids")
+        for part in (p for batch in batches for p in _slices(batch, sizes(batch.column("ids")), BATCH_IDS)):
+            ids = part.column("ids")
             flat = ids.flatten().to_numpy(zero_copy_only=False)
-            count = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            count = sizes(ids)
             if len(flat) and (flat.min() < 0 or flat.max() >= len(place) or (place[flat] < 0).any()):
                 raise ValueError("an id is outside the vocabulary")
             data, total = _gather(place[flat], values, ends)
             at = total[np.concatenate([[0], np.cumsum(count)])].astype(np.int32)
             raws = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, raws], ["doc_id", "ids", "bytes"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, raws], ["doc_id", "ids", "bytes"])
 
     return rows.select("doc_id", "ids").mapInArrow(raw, "doc_id bigint, ids array<int>, bytes binary")
 
