@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidemark import fixtures as fx
-from tidemark.operators import codec, commits
+from tidemark.operators import codec, commit_log
 from tidemark.session import checkpoint_root
 from tidemark.sources.batch_log import wire_log
 from tidemark.streaming import consume as streams
@@ -34,9 +34,9 @@ def test_commit_hook_replay_is_idempotent(spark):
     first, second = msgs.filter(F.col("partition").isin("0", "1") & (F.col("cursor_offset_long") < 10)), msgs
     hook(first, None, 0)
     hook(second, None, 1)
-    before = {(r.event_type, r.partition_id): r.lease_counter for r in commits.read_latest_version(spark, root).collect()}
+    before = {(r.event_type, r.partition_id): r.lease_counter for r in commit_log.read(spark, root).collect()}
     hook(second, None, 1)          # replay of batch 1 after a failure
-    after = {(r.event_type, r.partition_id): r.lease_counter for r in commits.read_latest_version(spark, root).collect()}
+    after = {(r.event_type, r.partition_id): r.lease_counter for r in commit_log.read(spark, root).collect()}
     assert before == after
     assert {v for (et, p), v in after.items() if p in ("0", "1")} == {2}
     assert {v for (et, p), v in after.items() if p in ("2", "3")} == {1}
@@ -66,7 +66,7 @@ def test_checkpoints_never_move_back_and_a_fresh_consumer_resumes(spark):
     src, a, b = _out(spark, "late-src"), _out(spark, "first"), _out(spark, "second")
     _land(spark, src, [("0", 99), ("0", 49), ("1", 9)])
     root = streams.stream_consume_with_commits(spark, src, a, max_files=1)
-    got = {r.partition_id: (r.checkpoint_id, r.lease_counter) for r in commits.read_latest_version(spark, root).collect()}
+    got = {r.partition_id: (r.checkpoint_id, r.lease_counter) for r in commit_log.read(spark, root).collect()}
     assert got == {"0": ("99", 1), "1": ("9", 1)}
     assert streams.read_events(spark, a).count() == 6
     # a new checkpoint for the same group: only what lies after its commits
@@ -74,13 +74,25 @@ def test_checkpoints_never_move_back_and_a_fresh_consumer_resumes(spark):
     streams.stream_consume_with_commits(spark, src, b, max_files=1, table_root=root)
     ev = sorted((r.partition, r.offset) for r in streams.read_events(spark, b).collect())
     assert ev == [("0", 100), ("0", 101), ("2", 0), ("2", 1)]
-    got = {r.partition_id: r.checkpoint_id for r in commits.read_latest_version(spark, root).collect()}
+    got = {r.partition_id: r.checkpoint_id for r in commit_log.read(spark, root).collect()}
     assert got == {"0": "101", "1": "9", "2": "1"}
     # restarted on its own checkpoint: nothing new, same start
     streams.stream_consume_with_commits(spark, src, b, max_files=1, table_root=root)
     assert streams.read_events(spark, b).count() == 4
 
 
+def test_two_groups_and_a_new_file(spark):
+    """g1 consumes, g2 consumes, g1 gets a new file: each moves its own line."""
+    src, a, b, root = (_out(spark, x) for x in ("groups-src", "groups-1", "groups-2", "groups-commits"))
+    _land(spark, src, [("0", 9), ("1", 4)])
+    streams.stream_consume_with_commits(spark, src, a, "g1", table_root=root)
+    streams.stream_consume_with_commits(spark, src, b, "g2", table_root=root)
+    _land(spark, src, [("0", 19)])
+    streams.stream_consume_with_commits(spark, src, a, "g1", table_root=root)
+    got = {(r.group_id, r.partition_id): (r.checkpoint_id, r.lease_counter) for r in commit_log.read(spark, root).collect()}
+    assert got == {("g1", "0"): ("19", 2), ("g1", "1"): ("4", 1), ("g2", "0"): ("9", 1), ("g2", "1"): ("4", 1)}
+
+
 def test_live_batches_and_stalls_do_not_depend_on_the_trigger(spark):
     from tidemark import catalog
     for query in (catalog.batch_by_count_or_time_stream, catalog.detect_stalled_partitions_stream):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import fixtures as fx
 from tidemark.functions.datetime import format_offset_datetime, parse_offset_datetime
 from tidemark.functions.offsets import offset_error, offset_to_long, partition_key_hash
-from tidemark.operators import codec, commits, consume, offsets, publish
+from tidemark.operators import codec, commit_log, commits, consume, offsets, publish
 from tidemark.plans import greedy
 from tidemark.session import checkpoint_root
 from tidemark.sources.batch_log import read_batch_log, stream_batch_log, wire_lines, wire_log
@@ -456,13 +456,12 @@ def commit_put(spark, sf):
         F.when(F.col("partition") == "1", F.lit(5)).cast("bigint").alias("lease_counter"),
         now.alias("lease_timestamp"), F.lit(None).cast("string").alias("lease_id"))
     puts = good.unionByName(g2).unionByName(g3)
-    # the stored table is version 1; the put batch writes version 2, which
-    # readers pick up once it is complete
+    # the stored rows are the first version of each (event type, group) line,
+    # the put batch the second of those it touches
     root = _scratch(spark, "commits-put")
-    commits.write_table_version(spark, fx.commits(spark, sf), root, 1)
-    current = commits.read_latest_version(spark, root)
-    commits.write_table_version(spark, commits.commit_put(current, puts), root, 2)
-    return _table_out(commits.read_latest_version(spark, root))
+    commit_log.load(spark, root, fx.commits(spark, sf))
+    commit_log.put(spark, root, puts)
+    return _table_out(commit_log.read(spark, root))
 
 
 def commit_put_twice(spark, sf):
@@ -506,11 +505,11 @@ def commit_fold(spark, sf):
 
 
 def commit_get(spark, sf):
-    """D7 against the stored table: the fixture rows are written as a table
-    version (partitioned by event_type, group_id) and read back."""
+    """D7 against the stored table: the fixture rows are loaded as the first
+    version of each (event type, group) and read back."""
     root = _scratch(spark, "commits-table")
-    commits.write_table_version(spark, fx.commits(spark, sf), root, 1)
-    g = commits.commit_get(commits.read_latest_version(spark, root), fx.lease_requests(spark, sf))
+    commit_log.load(spark, root, fx.commits(spark, sf))
+    g = commits.commit_get(commit_log.read(spark, root), fx.lease_requests(spark, sf))
     return g.select(*commits.TABLE_KEYS, "checkpoint_id", "lease_counter")
 
 
@@ -535,10 +534,31 @@ def stream_consume_with_commits(spark, sf):
     partition = high-water cursor of everything delivered."""
     out = _scratch(spark, "stream-commits")
     root = streams.stream_consume_with_commits(spark, wire_log(spark, sf), out)
-    t = commits.read_latest_version(spark, root)
+    t = commit_log.read(spark, root)
     return t.select(*commits.TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_id")
 
 
+def stream_consume_two_groups(spark, sf):
+    """S2 with two groups in turn on one commits table: both consume the
+    first part of the log, then the second part lands and only g1 goes on,
+    on its old checkpoint."""
+    src, stage = wire_log(spark, sf), _scratch(spark, "two-groups-src")
+    root, outs = _scratch(spark, "two-groups-commits"), {g: _scratch(spark, f"two-groups-{g}") for g in ("g1", "g2")}
+    lines = spark.read.text(src)
+    first = F.col("event_type").isin("click", "error")
+
+    def run(group: str) -> None:
+        streams.stream_consume_with_commits(spark, stage, outs[group], group, f"worker-{group}", f"lease-{group}",
+                                            table_root=root)
+
+    lines.filter(first).write.partitionBy("event_type").text(stage)
+    run("g1")
+    run("g2")
+    lines.filter(~first).write.mode("append").partitionBy("event_type").text(stage)
+    run("g1")
+    return commit_log.read(spark, root).select(*commits.TABLE_KEYS, "checkpoint_id", "lease_holder", "lease_id")
+
+
 def stream_high_water(spark, sf):
     out = _scratch(spark, "stream-high-water")
     streams.stream_high_water(spark, wire_log(spark, sf), out)
@@ -705,6 +725,7 @@ QUERIES: dict[str, Query] = {
     # S: streaming (checked against their batch twins)
     "stream_consume": stream_consume,
     "stream_consume_with_commits": stream_consume_with_commits,
+    "stream_consume_two_groups": stream_consume_two_groups,
     "stream_high_water": stream_high_water,
     "stream_republish": stream_republish,
     "stream_resume": stream_resume,

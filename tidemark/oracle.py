@@ -523,6 +523,10 @@ FROM per_part WHERE n_stalls > 0 OR stalled_at_end""")
 SELECT 's2' AS group_id, event_type, "partition" AS partition_id, CAST(max(cursor_offset) AS VARCHAR) AS checkpoint_id,
        'worker-s' AS lease_holder, 'lease-s' AS lease_id
 FROM wb WHERE fault IS NULL GROUP BY ALL""")
+    q["stream_consume_two_groups"] = _with("", """
+SELECT g AS group_id, event_type, "partition" AS partition_id, CAST(max(cursor_offset) AS VARCHAR) AS checkpoint_id,
+       'worker-' || g AS lease_holder, 'lease-' || g AS lease_id
+FROM wb, (VALUES ('g1'), ('g2')) AS t(g) WHERE fault IS NULL AND (g = 'g1' OR event_type IN ('click', 'error')) GROUP BY ALL""")
     q["stream_republish"] = _with("", """SELECT md5(eid || ':audit') AS new_eid, eid AS parent_eid
 FROM valid_events WHERE event_type = 'purchase'""")
     return q

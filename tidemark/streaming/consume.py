@@ -4,8 +4,8 @@ Every job reads the newline-JSON log with ``readStream.text`` (bounded per
 trigger by ``maxFilesPerTrigger``) and writes through ``foreachBatch``.
 Sinks are idempotent on ``batch_id``: a micro-batch replayed after a
 failure overwrites its own output directory instead of appending twice,
-and the commits table is versioned by batch id, so a replayed batch does
-not bump lease counters twice.  Spark's checkpoint gives exactly-once
+and the commits table records each consumer's last batch, so a replayed
+batch does not bump lease counters twice.  Spark's checkpoint gives exactly-once
 input progress; restarting with the same checkpoint resumes after the last
 committed micro-batch (S6).
 """
@@ -18,8 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.offsets import offset_to_long, require_offset
-from tidemark.operators import codec, commits, consume, offsets, publish
+from tidemark.operators import codec, commit_log, commits, consume, offsets, publish
 from tidemark.sources.batch_log import stream_batch_log
 from tidemark.sources.event_log import exists as _exists
 
@@ -27,7 +26,7 @@ EVENT_COLUMNS = ["event_type", "partition", "offset", "pos", "cursor_offset", "e
                  "occurred_at", "flow_id", "data_type", "data_op", "payload"]
 
 
-START_SCHEMA = "version bigint, event_type string, partition string, start_cursor string"
+START_SCHEMA = "event_type string, partition string, start_cursor string"
 
 
 def _batch_dir(root: str, batch_id: int) -> str:
@@ -110,19 +109,16 @@ def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- S2: commits
 
-def commits_hook(table_root: str, group_id: str, holder: str, lease_id: str, now: str,
-                 base_version: int = 0, writer: str | None = None, keep: int = 10):
+def commits_hook(table_root: str, group_id: str, holder: str, lease_id: str, now: str, writer: str | None = None):
     """After a micro-batch is processed, its high-water offsets become
     puts (D4/D5) - only those larger than the stored checkpoint, so files
     that land out of offset order never move a checkpoint back.
 
-    Version ``base_version + batch_id + 1`` is derived from the newest
-    version below it, so a replay rewrites the same version from the same
-    base and the counters are bumped once.  ``writer`` names this consumer:
-    a second one on the same table fails.  The ``keep`` newest versions stay."""
+    ``writer`` names this consumer; its batch id is recorded with the
+    versions of each (event type, group), so a replay bumps no counter
+    twice.  Any number of consumers share the table: those of other groups
+    or event types move other lines, those of the same pair retry."""
     def on_batch(msgs: DataFrame, events: DataFrame, batch_id: int) -> None:
-        spark = msgs.sparkSession
-        version = base_version + batch_id + 1
         hw = offsets.high_water_offsets(consume.drop_keep_alives(msgs), "cursor_offset_long")
         puts = hw.select(F.lit(group_id).alias("group_id"), "event_type",
                          F.col("partition").alias("partition_id"),
@@ -132,36 +128,21 @@ def commits_hook(table_root: str, group_id: str, holder: str, lease_id: str, now
                          (F.to_timestamp(F.lit(now)) + F.make_dt_interval(secs=F.lit(commits.STALE_LEASE_SECONDS)))
                          .alias("lease_timestamp"),
                          F.lit(lease_id).alias("lease_id"))
-        base = commits.read_version_at_or_below(spark, table_root, version - 1)
-        if base is None:
-            base = spark.createDataFrame([], puts.schema)
-        stored = base.select(*commits.TABLE_KEYS, F.col("checkpoint_id").alias("_stored"))
-        ahead = F.col("_stored").isNull() | (offset_to_long("checkpoint_id") > require_offset("_stored"))
-        puts = puts.join(stored, commits.TABLE_KEYS, "left").filter(ahead).drop("_stored")
-        nxt = commits.commit_put(base, puts)
-        commits.write_table_version(spark, nxt, table_root, version,
-                                    writer=writer or f"{holder}/{lease_id}", keep=keep)
+        commit_log.put(msgs.sparkSession, table_root, puts, writer=writer or f"{holder}/{lease_id}", batch=batch_id,
+                       forward=True)
     return on_batch
 
 
-def group_start(spark: SparkSession, out: str, table_root: str, group_id: str) -> tuple[int, DataFrame]:
-    """Where a consumer with checkpoint folder ``out`` began: the version of
-    the commits table at that time and the group's cursors in it.  Written
-    on the first start and read on every restart, so a restarted consumer
-    keeps its numbering and delivers nothing again."""
+def group_start(spark: SparkSession, out: str, table_root: str, group_id: str) -> DataFrame:
+    """Where a consumer with checkpoint folder ``out`` began: the group's
+    cursors in the commits table at that time.  Written on the first start
+    and read on every restart, so a restarted consumer delivers nothing again."""
     path = f"{out}/_start"
     if not _exists(spark, f"{path}/_SUCCESS"):
-        version = max(commits.versions(spark, table_root), default=0)
-        # the first row carries the version when the group has no commits
-        rows = spark.createDataFrame([(version, None, None, None)], START_SCHEMA)
-        table = commits.read_version_at_or_below(spark, table_root, version)
-        if table is not None:
-            rows = rows.unionByName(table.filter(F.col("group_id") == group_id).select(
-                F.lit(version).cast("bigint").alias("version"), "event_type",
-                F.col("partition_id").alias("partition"), F.col("checkpoint_id").alias("start_cursor")))
-        rows.write.mode("overwrite").parquet(path)
-    rows = spark.read.schema(START_SCHEMA).parquet(path)
-    return rows.first()["version"], rows.filter(F.col("partition").isNotNull()).drop("version")
+        table = commit_log.read(spark, table_root, group_id=group_id)
+        table.select("event_type", F.col("partition_id").alias("partition"), F.col("checkpoint_id").alias("start_cursor")) \
+            .write.mode("overwrite").parquet(path)
+    return spark.read.schema(START_SCHEMA).parquet(path)
 
 
 def stream_consume_with_commits(spark: SparkSession, src: str, out: str, group_id: str = "s2",
@@ -172,8 +153,8 @@ def stream_consume_with_commits(spark: SparkSession, src: str, out: str, group_i
     group's commits table (``out/commits`` by default): a consumer with a
     fresh ``out`` starts after the cursors the group has committed there."""
     table_root = table_root or f"{out}/commits"
-    base_version, cursors = group_start(spark, out, table_root, group_id)
-    hook = commits_hook(table_root, group_id, holder, lease_id, now, base_version, writer=out)
+    cursors = group_start(spark, out, table_root, group_id)
+    hook = commits_hook(table_root, group_id, holder, lease_id, now, writer=out)
     start(spark, src, f"{out}/_checkpoint", consume_sink(out, hook, cursors), max_files).awaitTermination()
     return table_root
 
