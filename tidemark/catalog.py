@@ -19,12 +19,15 @@ from tidemark.functions.offsets import offset_error, offset_to_long, partition_k
 from tidemark.operators import codec, commit_log, commits, consume, offsets, publish
 from tidemark.plans import greedy
 from tidemark.session import checkpoint_root
-from tidemark.sources.batch_log import read_batch_log, stream_batch_log, wire_lines, wire_log
+from tidemark.sources import segments
+from tidemark.sources.batch_log import read_batch_log, segment_log, wire_lines, wire_log
 from tidemark.sources.event_log import with_arrival_seq
 from tidemark.streaming import consume as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ["event_type", "partition"]
+#: Offsets per micro-batch of the registered live queries.
+STREAM_OFFSETS = 25_000
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -40,10 +43,9 @@ def scan_batch_log(spark, sf):
 
 
 def stream_batch_log_q(spark, sf):
-    """A2: the wire log as a stream (availableNow), counted per micro-batch
-    into a Parquet sink via foreachBatch, then summed."""
-    src = wire_log(spark, sf)
-    out = _scratch(spark, "stream-batch-log")
+    """A2: the segmented wire log as a stream of offsets, a few thousand per
+    micro-batch, counted into a Parquet sink via foreachBatch, then summed."""
+    src, out = segment_log(spark, sf), _scratch(spark, "stream-batch-log")
 
     def sink(df: DataFrame, batch_id: int) -> None:
         # one directory per micro-batch, overwritten on replay: idempotent
@@ -51,15 +53,22 @@ def stream_batch_log_q(spark, sf):
                                       F.sum(F.length("value")).alias("n_chars"))
          .write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id:012d}"))
 
-    q = (stream_batch_log(spark, src, max_files_per_trigger=2).writeStream
-         .foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    streams.run(spark, src, f"{out}/_checkpoint", sink, max_offsets=STREAM_OFFSETS)
     r = spark.read.parquet(f"{out}/data")
     return r.groupBy("event_type").agg(F.sum("n_lines").cast("bigint").alias("n_lines"),
                                        F.sum("n_chars").cast("bigint").alias("n_chars"))
 
 
+def consume_after_cursors(spark, sf):
+    """A4/A5 over the segmented wire log: the manifest picks the segments
+    that end after group g1's cursors, only their lines are read and parsed."""
+    cur = resolve_start_cursor(spark, sf).filter(F.col("group_id") == "g1")
+    lines = segments.read_after(spark, segment_log(spark, sf), cur)
+    msgs = codec.to_consumer_messages(codec.decode_batches(lines))
+    ev = codec.decode_event_fields(codec.explode_events(consume.drop_keep_alives(msgs)))
+    return consume.partition_summary(consume.read_from_cursor(ev, cur))
+
+
 def resolve_start_cursor(spark, sf):
     req = fx.lease_requests(spark, sf).withColumnRenamed("partition_id", "partition")
     p, g = F.col("partition"), F.col("group_id")
@@ -525,7 +534,7 @@ def lease_counters(spark, sf):
 def stream_consume(spark, sf):
     """The wire log as a stream -> decoded events (+ quarantine sink)."""
     out = _scratch(spark, "stream-consume")
-    streams.stream_consume(spark, wire_log(spark, sf), out)
+    streams.stream_consume(spark, segment_log(spark, sf), out, max_offsets=STREAM_OFFSETS)
     return consume.partition_summary(streams.read_events(spark, out))
 
 
@@ -667,6 +676,7 @@ QUERIES: dict[str, Query] = {
     "read_from_cursor": read_from_cursor,
     "read_from_mixed_cursors": read_from_mixed_cursors,
     "consume_all_partitions": consume_all_partitions,
+    "consume_after_cursors": consume_after_cursors,
     "batch_by_count": batch_by_count,
     "batch_by_count_or_time": batch_by_count_or_time,
     "limit_stream": limit_stream,

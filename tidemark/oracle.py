@@ -255,6 +255,7 @@ LEFT JOIN commits c ON c.group_id = r.group_id AND c.event_type = r.event_type A
   WHERE e."offset" >= CASE WHEN event_type < 'p' THEN xc.start_offset ELSE 0 END) m"""))
     q["consume_all_partitions"] = _with(_G1_START, _summary(
         'valid_events v JOIN g1start s USING (event_type, "partition") WHERE v."offset" >= s.start_offset'))
+    q["consume_after_cursors"] = q["consume_all_partitions"]
     q["batch_by_count"] = _with("", """
 SELECT event_type, "partition", max("offset") AS batch_cursor, min("offset") AS first_offset, count(*) AS n_events
 FROM after_cursor GROUP BY event_type, "partition", ("offset" - start_offset) // 10""")

@@ -8,15 +8,20 @@ line boundaries, so one large file is still read by many tasks.
 
 from __future__ import annotations
 
+import json
 import re
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.datetime import format_offset_datetime
 from tidemark.operators.codec import batch_line, cursor_json, encode_event, metadata_struct
+from tidemark.operators.consume import start_table
 from tidemark.session import session_key
+from tidemark.sources import offset_source, segments
 from tidemark.sources.event_log import event_log, log_root, materialise
+from tidemark.sources.version_log import VersionLog
 
 # Fixed values of the fixture's injected lines (FIXTURES F2).  A batch's
 # fault is picked by its first event_id; the first matching rule wins.
@@ -126,9 +131,10 @@ def read_batch_log(spark: SparkSession, path: str) -> DataFrame:
 def stream_batch_log(spark: SparkSession, path: str, max_files_per_trigger: int = 64,
                      event_type: str | None = None) -> DataFrame:
     """A2: the unbounded version; new files are picked up as they land, at
-    most ``max_files_per_trigger`` per micro-batch (backpressure).  Lines
-    arrive in the order of file times, not of offsets.  With ``event_type``
-    only that type's directory is listed."""
+    most ``max_files_per_trigger`` per micro-batch (backpressure).  For plain
+    folders: lines arrive in the order of file times; :func:`stream_offsets`
+    delivers a segmented log in offset order.  With ``event_type`` only that
+    type's directory is listed."""
     # always a glob: a plain directory would lose its partition value
     types = "*" if event_type is None else "{" + re.sub(r"([\\{}\[\]*?,])", r"\\\1", event_type) + "}"
     return (spark.readStream.format("text")
@@ -138,6 +144,50 @@ def stream_batch_log(spark: SparkSession, path: str, max_files_per_trigger: int
             .select("event_type", "value"))
 
 
+def cursor_map(cursors: DataFrame | None) -> dict:
+    """Cursors (event_type, partition, start_cursor) as event type ->
+    partition -> last offset consumed; ``BEGIN`` and null are left out."""
+    if cursors is None:
+        return {}
+    _, rows = start_table(cursors)
+    if rows is None:
+        raise ValueError("more cursors than a stream offset can hold")
+    out: dict = {}
+    for r in rows:
+        if r["_start"] > 0:
+            out.setdefault(r["event_type"], {})[r["partition"]] = r["_start"] - 1
+    return out
+
+
+def _last_offset(spark: SparkSession, checkpoint: str) -> str | None:
+    """The newest stream offset in a query's checkpoint."""
+    log = VersionLog(spark, f"{checkpoint}/offsets")
+    if not log.fs.exists(log._path("")):
+        return None
+    names = [int(n) for n in (s.getPath().getName() for s in log.fs.listStatus(log._path(""))) if n.isdigit()]
+    if not names:
+        return None
+    stream = log.fs.open(log._path(str(max(names))))
+    try:
+        return log.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip().split("\n")[-1]
+    finally:
+        stream.close()
+
+
+def stream_offsets(spark: SparkSession, root: str, checkpoint: str, max_offsets: int = 0,
+                   cursors: DataFrame | None = None, event_type: str | None = None) -> DataFrame:
+    """A2 over a segmented log: lines (event_type, partition, segment_offset,
+    line, value) in offset order per partition, at most about ``max_offsets``
+    offsets per micro-batch (0: all there are).  ``cursors`` start a fresh
+    ``checkpoint``; a used one goes on where it stopped."""
+    cloudpickle.register_pickle_by_value(offset_source)
+    spark.dataSource.register(offset_source.OffsetLog)
+    start = json.dumps(cursor_map(cursors))
+    reader = (spark.readStream.format(offset_source.NAME).option("path", root).option("maxOffsetsPerTrigger", max_offsets)
+              .option("start", start).option("resume", _last_offset(spark, checkpoint) or start))
+    return (reader if event_type is None else reader.option("eventTypes", json.dumps([event_type]))).load()
+
+
 def wire_log_path(spark: SparkSession, sf_dir: str, name: str = "wire") -> str:
     return f"{log_root(spark, sf_dir)}/{name}"
 
@@ -153,4 +203,19 @@ def wire_log(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+#: Offsets per segment of the fixture's segmented log.
+FIXTURE_SEGMENT = 1000
+
+
+def segment_log(spark: SparkSession, sf_dir: str) -> str:
+    """The fixture wire log in segments with a manifest, written once."""
+    path = wire_log_path(spark, sf_dir, "segments")
+    key = (session_key(spark), "done:" + path)
+    if key not in _DONE:
+        if not segments.is_segmented(spark, path):
+            segments.write_segments(wire_lines(event_log(spark, sf_dir)), path, FIXTURE_SEGMENT)
+        _DONE.add(key)
+    return path
+
+
 _DONE: set = set()

@@ -1,7 +1,8 @@
 """Structured Streaming jobs over the wire log.
 
-Every job reads the newline-JSON log with ``readStream.text`` (bounded per
-trigger by ``maxFilesPerTrigger``) and writes through ``foreachBatch``.
+Every job reads the newline-JSON log: a segmented log by offsets (bounded per
+trigger by ``maxOffsetsPerTrigger``), a plain folder with ``readStream.text``
+(by ``maxFilesPerTrigger``), and writes through ``foreachBatch``.
 Sinks are idempotent on ``batch_id``: a micro-batch replayed after a
 failure overwrites its own output directory instead of appending twice,
 and the commits table records each consumer's last batch, so a replayed
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import codec, commit_log, commits, consume, offsets, publish
-from tidemark.sources.batch_log import stream_batch_log
+from tidemark.sources import segments
+from tidemark.sources.batch_log import stream_batch_log, stream_offsets
 from tidemark.sources.event_log import exists as _exists
 
 EVENT_COLUMNS = ["event_type", "partition", "offset", "pos", "cursor_offset", "eid", "kind",
@@ -74,18 +76,41 @@ def consume_sink(out: str, on_batch: Callable[[DataFrame, DataFrame, int], None]
 
 
 def start(spark: SparkSession, src: str, checkpoint: str, sink, max_files: int = 16,
-          available_now: bool = True, event_type: str | None = None):
-    w = (stream_batch_log(spark, src, max_files_per_trigger=max_files, event_type=event_type).writeStream
-         .foreachBatch(sink).option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+          available_now: bool = True, event_type: str | None = None, max_offsets: int = 0,
+          cursors: DataFrame | None = None):
+    """Start a consumer of ``src``: a segmented log is read by offsets (at most
+    about ``max_offsets`` per micro-batch), a plain folder by files."""
+    if segments.is_segmented(spark, src):
+        lines = stream_offsets(spark, src, checkpoint, max_offsets, cursors, event_type)
+    else:
+        lines = stream_batch_log(spark, src, max_files_per_trigger=max_files, event_type=event_type)
+    w = lines.select("event_type", "value").writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    if available_now and not segments.is_segmented(spark, src):
+        w = w.trigger(availableNow=True)
+    elif not available_now:
+        w = w.trigger(processingTime="30 seconds")
     return w.start()
 
 
+def run(spark: SparkSession, src: str, checkpoint: str, sink, **options) -> None:
+    """Consume what ``src`` holds now, in as many micro-batches as the limits
+    ask for, and stop.  (Spark serves an available-now trigger of a Python
+    source in one micro-batch, so a segmented log is drained instead.)"""
+    q = start(spark, src, checkpoint, sink, **options)
+    if not segments.is_segmented(spark, src):
+        q.awaitTermination()
+        return
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
 def stream_consume(spark: SparkSession, src: str, out: str, max_files: int = 16,
-                   start_cursors: DataFrame | None = None) -> None:
+                   start_cursors: DataFrame | None = None, max_offsets: int = 0) -> None:
     """Log -> decode / quarantine -> drop keep-alives -> events."""
-    q = start(spark, src, f"{out}/_checkpoint", consume_sink(out, start_cursors=start_cursors), max_files)
-    q.awaitTermination()
+    run(spark, src, f"{out}/_checkpoint", consume_sink(out, start_cursors=start_cursors), max_files=max_files,
+        max_offsets=max_offsets, cursors=start_cursors)
 
 
 def consume_for(spark: SparkSession, src: str, out: str, timeout_seconds: float,
@@ -148,14 +173,15 @@ def group_start(spark: SparkSession, out: str, table_root: str, group_id: str) -
 def stream_consume_with_commits(spark: SparkSession, src: str, out: str, group_id: str = "s2",
                                 holder: str = "worker-s", lease_id: str = "lease-s",
                                 now: str = "2024-02-01 00:00:00", max_files: int = 16,
-                                table_root: str | None = None) -> str:
+                                table_root: str | None = None, max_offsets: int = 0) -> str:
     """Consume, committing after each micro-batch.  ``table_root`` is the
     group's commits table (``out/commits`` by default): a consumer with a
     fresh ``out`` starts after the cursors the group has committed there."""
     table_root = table_root or f"{out}/commits"
     cursors = group_start(spark, out, table_root, group_id)
     hook = commits_hook(table_root, group_id, holder, lease_id, now, writer=out)
-    start(spark, src, f"{out}/_checkpoint", consume_sink(out, hook, cursors), max_files).awaitTermination()
+    run(spark, src, f"{out}/_checkpoint", consume_sink(out, hook, cursors), max_files=max_files,
+        max_offsets=max_offsets, cursors=cursors)
     return table_root
 
 
@@ -193,7 +219,7 @@ def stream_republish(spark: SparkSession, src: str, out: str, source_type: str,
         bodies = publish.batch_bodies(transform(events), target_type).select("event_type", F.col("body").alias("value"))
         bodies.write.mode("overwrite").partitionBy("event_type").text(_batch_dir(f"{out}/published", batch_id))
 
-    start(spark, src, f"{out}/_checkpoint", sink, max_files, event_type=source_type).awaitTermination()
+    run(spark, src, f"{out}/_checkpoint", sink, max_files=max_files, event_type=source_type)
 
 
 def audit_transform(events: DataFrame) -> DataFrame:
