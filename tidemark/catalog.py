@@ -19,7 +19,7 @@ from tidemark.functions.offsets import offset_error, offset_to_long, partition_k
 from tidemark.operators import codec, commit_log, commits, consume, offsets, publish
 from tidemark.plans import greedy
 from tidemark.session import checkpoint_root
-from tidemark.sources import segments
+from tidemark.sources import landed_log, segments
 from tidemark.sources.batch_log import read_batch_log, segment_log, wire_lines, wire_log
 from tidemark.sources.event_log import with_arrival_seq
 from tidemark.streaming import consume as streams
@@ -91,14 +91,51 @@ def read_from_mixed_cursors(spark, sf):
     return consume.partition_summary(ev)
 
 
+def landed(spark, sf) -> str:
+    """The landed form of the segmented wire log: runs that are not yet
+    decoded are, others are left alone."""
+    src = segment_log(spark, sf)
+    root = f"{src}-landed"
+    landed_log.land(spark, src, root)
+    return root
+
+
 def consume_all_partitions(spark, sf):
-    """Flagship: wire log -> decode -> explode -> group g1's resolved start
-    cursors -> per-partition delivered count, first and last offset."""
+    """Flagship: wire log -> decoded once into the landed log -> group g1's
+    resolved start cursors -> per-partition delivered count, first and last
+    offset.  Consuming parses no text; the cursors filter the Parquet scan."""
     cur = resolve_start_cursor(spark, sf).filter(F.col("group_id") == "g1")
-    ev = consume.read_from_cursor(fx.events(spark, sf), cur)
+    ev = consume.read_from_cursor(landed_log.read(spark, landed(spark, sf)), cur, event_types=fx.event_types(spark, sf))
     return consume.partition_summary(ev)
 
 
+def consume_wire_log(spark, sf):
+    """A5 over plain folders of lines, without manifest or landed log: all
+    text is parsed, whatever the cursors."""
+    cur = resolve_start_cursor(spark, sf).filter(F.col("group_id") == "g1")
+    return consume.partition_summary(consume.read_from_cursor(fx.events(spark, sf), cur))
+
+
+def land_decoded_log(spark, sf):
+    """A5/B1: two runs of the wire log land one after the other, a repeated
+    landing adds nothing, compaction merges the parts."""
+    src, root = _scratch(spark, "land-src"), _scratch(spark, "land")
+    lines = wire_lines(fx.log(spark, sf))
+    first = F.col("event_type").isin("click", "error")
+    for part in (lines.filter(first), lines.filter(~first)):
+        segments.write_segments(part, src, 500)
+        landed_log.land(spark, src, root)
+    landed_log.land(spark, src, root)
+    landed_log.compact(spark, root, 2)
+    return consume.partition_summary(landed_log.read(spark, root))
+
+
+def quarantine_landed(spark, sf):
+    """B2 from the landed log: the lines that could not be decoded."""
+    bad = landed_log.read_quarantine(spark, landed(spark, sf))
+    return bad.groupBy("event_type", "reason").agg(F.count(F.lit(1)).alias("n_batches"))
+
+
 def batch_by_count(spark, sf):
     ev = consume.read_from_cursor(fx.log(spark, sf), fx.explicit_cursors(spark, sf),
                                   event_types=fx.event_types(spark, sf))
@@ -677,6 +714,8 @@ QUERIES: dict[str, Query] = {
     "read_from_mixed_cursors": read_from_mixed_cursors,
     "consume_all_partitions": consume_all_partitions,
     "consume_after_cursors": consume_after_cursors,
+    "consume_wire_log": consume_wire_log,
+    "land_decoded_log": land_decoded_log,
     "batch_by_count": batch_by_count,
     "batch_by_count_or_time": batch_by_count_or_time,
     "limit_stream": limit_stream,
@@ -694,6 +733,7 @@ QUERIES: dict[str, Query] = {
     # B: codec
     "decode_batches": decode_batches,
     "quarantine_batches": quarantine_batches,
+    "quarantine_landed": quarantine_landed,
     "validation_report": validation_report,
     "explode_events": explode_events,
     "classify_events": classify_events,

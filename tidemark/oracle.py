@@ -255,7 +255,7 @@ LEFT JOIN commits c ON c.group_id = r.group_id AND c.event_type = r.event_type A
   WHERE e."offset" >= CASE WHEN event_type < 'p' THEN xc.start_offset ELSE 0 END) m"""))
     q["consume_all_partitions"] = _with(_G1_START, _summary(
         'valid_events v JOIN g1start s USING (event_type, "partition") WHERE v."offset" >= s.start_offset'))
-    q["consume_after_cursors"] = q["consume_all_partitions"]
+    q["consume_after_cursors"] = q["consume_wire_log"] = q["consume_all_partitions"]
     q["batch_by_count"] = _with("", """
 SELECT event_type, "partition", max("offset") AS batch_cursor, min("offset") AS first_offset, count(*) AS n_events
 FROM after_cursor GROUP BY event_type, "partition", ("offset" - start_offset) // 10""")
@@ -328,6 +328,7 @@ SELECT event_type, "partition", count(*) AS n_batches, CAST(sum(n_events) AS BIG
 FROM wl WHERE fault IS NULL GROUP BY ALL""")
     q["quarantine_batches"] = _with("", f"""
 SELECT event_type, {_REASON} AS reason, count(*) AS n_batches FROM wb WHERE fault IS NOT NULL GROUP BY ALL""")
+    q["quarantine_landed"] = q["quarantine_batches"]
     q["validation_report"] = _with("", f"SELECT path, reason, count(*) AS n_errors FROM ({_ERRORS}) GROUP BY ALL")
     q["explode_events"] = _with("", 'SELECT event_type, "partition", "offset", "offset" % 5 AS pos, eid '
                                     'FROM valid_events')
@@ -518,7 +519,7 @@ per_part AS (
 FROM per_part WHERE n_stalls > 0 OR stalled_at_end""")
     # -- streaming: the batch twins
     q["stream_consume"] = _with("", _summary("valid_events"))
-    q["stream_resume"] = q["stream_consume"]
+    q["stream_resume"] = q["land_decoded_log"] = q["stream_consume"]
     q["stream_high_water"] = q["high_water_offsets"]
     q["stream_consume_with_commits"] = _with("", """
 SELECT 's2' AS group_id, event_type, "partition" AS partition_id, CAST(max(cursor_offset) AS VARCHAR) AS checkpoint_id,
