@@ -8,8 +8,9 @@ kernel ridge regression on it gives one score per language.  Tasks score by
 batched matrix products: presence rows times landmark rows, times coefficients.
 
 Only text and lang of rows whose crc32(doc_id as text) mod 4 is not 2 are
-learned from: about ``PER_LANGUAGE`` rows per language, chosen by hash, of
-which ``LANDMARKS`` per language are landmarks.  Predictions read the text.
+learned from: up to ``PER_LANGUAGE`` rows per language and ``MAX_ROWS`` in all,
+chosen by hash, at least one of every language; up to ``LANDMARKS`` of each
+language, ``MAX_LANDMARKS`` in all, are landmarks.  Predictions read the text.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; if nothing can be learned every text is ``und``; equal scores go to the
@@ -23,7 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rolling
@@ -33,6 +34,8 @@ from .toxicity import held_out
 GRAMS = (2, 3, 4)
 BUCKET_BITS = 15
 PER_LANGUAGE = 300
+#: Rows learned from in all, while there are fewer languages than this.
+MAX_ROWS = 2400
 LANDMARKS = 16
 MAX_LANDMARKS = 512
 RIDGE = 1e-3
@@ -62,15 +65,27 @@ def _normal(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True, dtype=np.float32), 1))
 
 
-def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """[(lang, packed presence row)], about ``per_language`` rows of each language."""
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = MAX_ROWS) -> list[tuple[str, bytes]]:
+    """[(lang, packed presence row)]: of each language the ``per_language``
+    rows that come first by a hash of text and doc_id (fewer if the languages
+    together would exceed ``most``), so every language has at least one.
+
+    Rows far behind in the hash are left out by a bound per language; the
+    language's first row is always within it, also where all its rows are
+    equal.  Of the rest Spark keeps the first ones in each task before they
+    meet."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"), 4, 2))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    if not counts:
+    known = known.select("lang", "text", F.xxhash64("text", "doc_id").alias("place"))
+    found = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).collect()
+    if not found:
         return []
-    share = F.create_map(*[F.lit(x) for k, v in counts.items() for x in (k, min(1.0, per_language / v))])
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    picked = known.where(place < share[F.col("lang")]).select("lang", "text")
+    each = max(1, min(per_language, most // len(found)))
+    # twice the share of the places, which are uniform, and at least the first one
+    bound = {r["lang"]: max(r["first"], -(1 << 63) + min((1 << 64) - 1, 2 * (each + 50) * (1 << 64) // r["n"])) for r in found}
+    bounds = F.create_map(*[x for k, v in bound.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+    first = Window.partitionBy("lang").orderBy("place")
+    picked = (known.where(F.col("place") <= bounds[F.col("lang")]).withColumn("at", F.row_number().over(first))
+              .where(F.col("at") <= each).select("lang", "text"))
 
     def run(batches):
         for batch in batches:
@@ -92,6 +107,7 @@ def train(rows: list[tuple[str, bytes]]) -> Model:
     for k in languages:
         own = np.array([i for i, r in enumerate(rows) if r[0] == k])
         marks += rng.permutation(own)[:each].tolist()
+    marks = sorted(rng.permutation(marks)[:MAX_LANDMARKS].tolist())
     land = x[marks]
     k_nm, k_mm = (x @ land.T).astype(np.float64), (land @ land.T).astype(np.float64)
     # every language weighs the same, however many rows it has
