@@ -69,6 +69,16 @@ def _spans(text: Column, pattern: str, kind: int, group: int, least: int) -> Col
     return F.when(F.size(found) > 0, _positions(lengths, kind, least)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, not at each of its uses
+    (a lambda's body is evaluated anew for every element)."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _block_numbers(items: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+
+
 def _positions(lengths: Column, kind: int, least: int) -> Column:
     """Spans from (gap, match, value) lengths; two levels keep appends short."""
     def place(acc: Column, x: Column) -> Column:
@@ -77,15 +87,15 @@ def _positions(lengths: Column, kind: int, least: int) -> Column:
         out = F.when(x["v"] >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct((start + x["m"]).alias("at"), out.alias("out"))
 
-    def block(acc: Column, i: Column) -> Column:
+    def block(acc: Column, i: Column, lengths: Column) -> Column:
         inner = F.aggregate(F.slice(lengths, i * BLOCK + 1, BLOCK),
                             F.struct(acc["at"].alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")), place)
         return F.transform(F.array(inner), lambda r: F.struct(
             r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))[0]
 
-    blocks = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("out"))
-    return F.aggregate(blocks, start, block, lambda a: F.flatten(a["out"]))
+    return _once(lengths, lambda x: F.aggregate(_block_numbers(x), start, lambda a, i: block(a, i, x),
+                                                lambda a: F.flatten(a["out"])))
 
 
 def _c_log_c(n: int) -> int:
@@ -157,47 +167,77 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     return df.withColumn("_spans", F.array_sort(F.concat(*names))).drop("_t", *names)
 
 
+def _in_blocks(items: Column, start: Column, step, out: str, text: bool = False) -> Column:
+    """State after folding ``items`` in blocks, its ``out`` the array of all
+    that the steps appended: appending within a block keeps the arrays short.
+
+    ``start`` is a struct of carried fields, ``step(state, item)`` returns the
+    next state, ``out`` last.  With ``text`` the carried ``rest`` of a text is
+    cut off block by block too, at the block's last ``end``."""
+    def block(acc: Column, i: Column, items: Column) -> Column:
+        own = F.slice(items, i * BLOCK + 1, BLOCK)
+        first = F.struct(acc["at"].alias("at"), acc["rest"].alias("rest"), F.array().cast(f"array<{out}>").alias("out"))
+        if not text:
+            return F.transform(F.array(F.aggregate(own, first, step)), lambda r: F.struct(
+                r["at"].alias("at"), r["rest"].alias("rest"), F.concat(acc["out"], F.array(r["out"])).alias("out")))[0]
+        size = F.element_at(own, -1)["end"] - acc["at"]
+        first = first.withField("rest", F.substring(acc["rest"], F.lit(1), size))
+        return F.transform(F.array(F.aggregate(own, first, step)), lambda r: F.struct(
+            r["at"].alias("at"), F.substr(acc["rest"], size + 1).alias("rest"),
+            F.concat(acc["out"], F.array(r["out"])).alias("out")))[0]
+
+    start = F.struct(start["at"].alias("at"), start["rest"].alias("rest"), F.array().cast(f"array<array<{out}>>").alias("out"))
+    return _once(items, lambda x: F.aggregate(_block_numbers(x), start, lambda a, i: block(a, i, x)))
+
+
+def _merged(spans: Column) -> Column:
+    """Maximal intervals covered by the spans, which are ordered by start."""
+    def merge(acc: Column, s: Column) -> Column:
+        a, b = acc["at"]["a"], acc["at"]["b"]
+        joins = b >= s["start"]
+        at = F.struct(F.when(joins, a).otherwise(s["start"]).alias("a"),
+                      F.when(joins, F.greatest(b, s["end"])).otherwise(s["end"]).alias("b"))
+        out = F.when(joins | (b < 0), acc["out"]).otherwise(
+            F.concat(acc["out"], F.array(F.struct(a.alias("start"), b.alias("end")))))
+        return F.struct(at.alias("at"), acc["rest"].alias("rest"), out.alias("out"))
+
+    none = F.struct(F.struct(F.lit(-1).alias("a"), F.lit(-1).alias("b")).alias("at"), F.lit("").alias("rest"))
+    return F.transform(F.array(_in_blocks(spans, none, merge, "struct<start:int,end:int>")), lambda r: F.concat(
+        F.flatten(r["out"]), F.array(F.struct(r["at"]["a"].alias("start"), r["at"]["b"].alias("end")))))[0]
+
+
+def _gaps(text: Column, intervals: Column) -> Column:
+    """The parts of ``text`` before, between and after the intervals; the text
+    is walked with a carried rest, never from its start."""
+    def cut(acc: Column, x: Column) -> Column:
+        return F.struct(x["end"].alias("at"), F.substr(acc["rest"], x["end"] - acc["at"] + 1).alias("rest"),
+                        F.concat(acc["out"], F.array(F.substring(acc["rest"], F.lit(1), x["start"] - acc["at"]))).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), text.alias("rest"))
+    return F.transform(F.array(_in_blocks(intervals, start, cut, "string", text=True)), lambda r: F.concat(
+        F.flatten(r["out"]), F.array(r["rest"])))[0]
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of ``text`` (overlaps merged) replaced by ``mark``.
 
     Columns stay as they are; ``n_chars``, if there, is set to the length of
     a changed text."""
     cols = docs.columns
-    found = find_secrets(docs)
-
-    def merge(acc: Column, s: Column) -> Column:
-        open_ = acc["b"] >= s["start"]
-        return F.struct(F.when(open_, acc["a"]).otherwise(s["start"]).alias("a"),
-                        F.when(open_, F.greatest(acc["b"], s["end"])).otherwise(s["end"]).alias("b"),
-                        F.when(open_ | (acc["b"] < 0), acc["out"]).otherwise(F.concat(acc["out"], F.array(
-                            F.struct(acc["a"].alias("start"), acc["b"].alias("end"))))).alias("out"))
-
-    start = F.struct(F.lit(-1).alias("a"), F.lit(-1).alias("b"),
-                     F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-    merged = F.aggregate("_spans", start, merge, lambda a: F.concat(
-        a["out"], F.array(F.struct(a["a"].alias("start"), a["b"].alias("end")))))
-    found = found.withColumn("_m", F.when(F.size("_spans") > 0, merged))
-    m = F.col("_m")
-    kept = F.transform(F.sequence(F.lit(0), F.size(m)), lambda i: _piece(m, i))
-    df = found.withColumn("_new", F.when(m.isNotNull(), F.array_join(kept, mark)).otherwise(F.col("text")))
+    some = F.size("_spans") > 0
+    found = find_secrets(docs).withColumn("_m", F.when(some, _merged(F.col("_spans"))))
+    df = found.withColumn("_new", F.when(some, F.array_join(_gaps(F.col("text"), F.col("_m")), mark)).otherwise(F.col("text")))
     out = []
     for c in cols:
         if c == "text":
             out.append(F.col("_new").alias("text"))
         elif c == "n_chars":
-            out.append(F.when(m.isNotNull(), F.length("_new").cast(dict(docs.dtypes)[c])).otherwise(F.col(c)).alias(c))
+            out.append(F.when(some, F.length("_new").cast(dict(docs.dtypes)[c])).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)
 
 
-def _piece(m: Column, i: Column) -> Column:
-    """Text between merged span i-1 and span i."""
-    start = F.when(i > 0, F.get(m, i - 1)["end"]).otherwise(F.lit(0))
-    end = F.when(i < F.size(m), F.get(m, i)["start"]).otherwise(F.length("text"))
-    return F.substring(F.col("text"), start + 1, end - start)
-
-
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
