@@ -254,7 +254,7 @@ def test_stitch(pattern):
 def test_gather_in_blocks(monkeypatch):
     monkeypatch.setattr(byte_bpe, "GATHER", 3)
     values, ends = np.arange(10), np.array([2, 2, 5, 10])
-    out, total = byte_bpe._gather(np.array([3, 1, 0, 2, 0, 3, 1]), values, ends)
+    out, total = byte_bpe.gather(np.array([3, 1, 0, 2, 0, 3, 1]), values, ends)
     assert out.tolist() == [5, 6, 7, 8, 9, 0, 1, 2, 3, 4, 0, 1, 5, 6, 7, 8, 9] and total.tolist() == [0, 5, 5, 7, 10, 12, 17, 17]
 
 

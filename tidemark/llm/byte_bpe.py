@@ -186,7 +186,7 @@ def stitch(chunks: list[tuple[int, str, np.ndarray]], scan: Scan, margin: int) -
 
 # --------------------------------------------------------------------- encoding
 
-def _gather(codes: np.ndarray, values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gather(codes: np.ndarray, values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenation of the runs ``codes`` of ``values`` (run i ends at ends[i])
     and the running total of their lengths, from 0; index arrays are made for
     ``GATHER`` runs at a time."""
@@ -214,7 +214,7 @@ def encode_pieces(vocabulary: Vocabulary, data: bytes, starts: np.ndarray) -> tu
         else:
             ids.append(whole)
         ends.append(len(ids))
-    return _gather(pieces.indices.to_numpy(), np.array(ids, np.int32), np.array(ends, np.int64))
+    return gather(pieces.indices.to_numpy(), np.array(ids, np.int32), np.array(ends, np.int64))
 
 
 def _places(chars: np.ndarray) -> np.ndarray:
@@ -243,7 +243,7 @@ def _encode_texts(vocabulary: Vocabulary, texts: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(total[np.searchsorted(starts, ends)].astype(np.int32), pa.array(ids))
 
 
-def _slices(batch: pa.RecordBatch, size: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, size: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
     """The rows of a batch, of these sizes, in runs of about ``most`` together."""
     group, at = np.cumsum(size) // most, 0
     for to in [*(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]:
@@ -255,7 +255,7 @@ def _slices(batch: pa.RecordBatch, size: np.ndarray, most: int) -> Iterator[pa.R
 def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-        yield from _slices(batch, size, BATCH_BYTES)
+        yield from slices(batch, size, BATCH_BYTES)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap: int = OVERLAP,
@@ -338,13 +338,13 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         place[[i for _, i in by_id]] = np.arange(len(by_id))
         values = np.frombuffer(b"".join(b for b, _ in by_id), np.uint8)
         ends = np.cumsum([len(b) for b, _ in by_id])
-        for part in (p for batch in batches for p in _slices(batch, sizes(batch.column("ids")), BATCH_IDS)):
+        for part in (p for batch in batches for p in slices(batch, sizes(batch.column("ids")), BATCH_IDS)):
             ids = part.column("ids")
             flat = ids.flatten().to_numpy(zero_copy_only=False)
             count = sizes(ids)
             if len(flat) and (flat.min() < 0 or flat.max() >= len(place) or (place[flat] < 0).any()):
                 raise ValueError("an id is outside the vocabulary")
-            data, total = _gather(place[flat], values, ends)
+            data, total = gather(place[flat], values, ends)
             at = total[np.concatenate([[0], np.cumsum(count)])].astype(np.int32)
             raws = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, raws], ["doc_id", "ids", "bytes"])

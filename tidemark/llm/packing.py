@@ -32,11 +32,13 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.numbering import chunked_running
 from ..session import scratch_path
+from .byte_bpe import gather, slices
 from .common import n_blocks, table
 
 CONTEXT = 4096
@@ -44,6 +46,8 @@ END_ID = 1
 #: Strings whose ids a task keeps; when full, the store starts anew.
 KEEP_STRINGS = 1_200_000
 ROWS_PER_CHUNK = 100_000
+#: Text bytes that a task tokenises together.
+BATCH_BYTES = 1 << 20
 #: Bound of the ids that one chunk of a length holds.
 CHUNK_BYTES = 8 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -61,15 +65,26 @@ class _Encoder:
         self.kept: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_lower(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
-        own = set().union(*split)
-        new = own.difference(self.kept)
+        """The texts are cut at white space together, equal strings coded as
+        one; each string is looked up once and the ids gathered by arrays."""
+        raw = [_lower(t).encode() + b" " for t in texts]
+        data = b"".join(raw)
+        marks = np.frombuffer(data, np.uint8)
+        cuts = np.flatnonzero((marks == 32) | (marks == 9) | (marks == 10) | (marks == 13)) + 1
+        offsets = np.concatenate([[0], cuts]).astype(np.int32)      # every string with the blank behind it
+        coded = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        coded = coded.dictionary_encode()
+        own = [s[:-1].decode() for s in coded.dictionary.to_pylist()]
+        new = set(own).difference(self.kept)
         if len(self.kept) + len(new) > KEEP_STRINGS:
             self.kept = {"": b""}
-            new = own
+            new = set(own).difference(self.kept)
         self._learn(new)
-        near = {s: self.kept[s] for s in own}       # a small table for the many look-ups
-        return [b"".join(map(near.__getitem__, s)) for s in split]
+        found = [self.kept[s] for s in own]
+        ids, total = gather(coded.indices.to_numpy(), np.frombuffer(b"".join(found), "<u4"),
+                            np.cumsum([len(f) // 4 for f in found], dtype=np.int64))
+        at = total[np.searchsorted(offsets, np.cumsum([0, *map(len, raw)], dtype=np.int64))]
+        return [ids[i:j].tobytes() for i, j in zip(at, at[1:])]
 
     def _learn(self, new: set[str]) -> None:
         """Ids of new strings.  Letters before a run of marks are encoded by
@@ -121,8 +136,8 @@ def pieces(docs: DataFrame, tokenizer: str, context: int = CONTEXT, end_id: int
         encoder, end = _encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         encoder.kept = {"": b""}
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
+            size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            for part in slices(batch, size, BATCH_BYTES):
                 rows = []
                 for doc, ids in zip(part.column("doc_id").to_pylist(),
                                     encoder.encode([t or "" for t in part.column("text").to_pylist()])):
