@@ -703,6 +703,28 @@ def detect_stalled_partitions_stream(spark, sf, max_files: int = 2):
         .alias("stalled_at_end"))
 
 
+def batch_by_count_or_time_live(spark, sf, max_offsets: int = STREAM_OFFSETS // 5):
+    """A7 live on the wire log in its own order: offsets after the A4 cursors,
+    several micro-batches, each partition by its own clock.  A batch still
+    open when the log ends is not emitted."""
+    from tidemark.streaming import flush_timer
+    src, out = segment_log(spark, sf), _scratch(spark, "live-batches")
+    ev = streams.stream_events(spark, src, f"{out}/_checkpoint", max_offsets, fx.explicit_cursors(spark, sf))
+    flush_timer.own_clock_batches(ev, out, 4, A7_STREAM_TIMEOUT_SECONDS)
+    b = spark.read.parquet(f"{out}/batches")
+    return b.select(*KEYS, F.col("last_offset").alias("batch_cursor"), "first_offset", "n_events")
+
+
+def detect_stalled_partitions_live(spark, sf, max_offsets: int = STREAM_OFFSETS // 5):
+    """A13 live on the wire log in its own order, each partition by its own clock."""
+    from tidemark.streaming import flush_timer
+    src, out = segment_log(spark, sf), _scratch(spark, "live-stalls")
+    flush_timer.own_clock_stalls(streams.stream_events(spark, src, f"{out}/_checkpoint", max_offsets), out, 3600)
+    st = spark.read.parquet(f"{out}/stalls")
+    return st.filter(F.col("kind") == "gap").groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("n_stalls"), F.floor(F.max("gap_us") / 1_000_000).cast("bigint").alias("max_gap_seconds"))
+
+
 # --------------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Query] = {
@@ -782,4 +804,6 @@ QUERIES: dict[str, Query] = {
     "stream_flush_timer": stream_flush_timer,
     "batch_by_count_or_time_stream": batch_by_count_or_time_stream,
     "detect_stalled_partitions_stream": detect_stalled_partitions_stream,
+    "batch_by_count_or_time_live": batch_by_count_or_time_live,
+    "detect_stalled_partitions_live": detect_stalled_partitions_live,
 }

@@ -506,6 +506,20 @@ HAVING min(wts) + {s5} < (SELECT max(arrived) FROM reg_acc WHERE accepted)""")
        count(*) AS n_events
 FROM sw GROUP BY event_type, "partition", wstart
 HAVING count(*) = 4 OR min(wts) + {a7} < (SELECT max(occurred_at) FROM after_cursor)""")
+    live = """live_src AS (
+  SELECT v.* FROM valid_events v JOIN after_cursor a USING (event_type, "partition", "offset")),
+"""
+    q["batch_by_count_or_time_live"] = _with(live + _greedy("live_src", '"offset"', "occurred_at", 4, 6, "lw", 1), """
+SELECT event_type, "partition", max("offset") AS batch_cursor, min("offset") AS first_offset, count(*) AS n_events
+FROM lw JOIN (SELECT event_type, "partition", max("offset") AS mx FROM live_src GROUP BY ALL) USING (event_type, "partition")
+GROUP BY event_type, "partition", wstart HAVING count(*) = 4 OR max("offset") < any_value(mx)""")
+    q["detect_stalled_partitions_live"] = _with("""vgaps AS (
+  SELECT event_type, "partition",
+         epoch_us(occurred_at) - lag(epoch_us(occurred_at)) OVER (PARTITION BY event_type, "partition"
+                                                                  ORDER BY "offset") AS gap_us
+  FROM valid_events)""", """
+SELECT event_type, "partition", count(*) AS n_stalls, max(gap_us) // 1000000 AS max_gap_seconds
+FROM vgaps WHERE gap_us > 5400000000 GROUP BY ALL""")
     q["detect_stalled_partitions_stream"] = _with("""gaps2 AS (
   SELECT event_type, "partition", epoch_us(occurred_at) AS t,
          epoch_us(occurred_at) - lag(epoch_us(occurred_at)) OVER (PARTITION BY event_type, "partition"

@@ -106,6 +106,15 @@ def run(spark: SparkSession, src: str, checkpoint: str, sink, **options) -> None
         q.stop()
 
 
+def stream_events(spark: SparkSession, src: str, checkpoint: str, max_offsets: int = 0,
+                  cursors: DataFrame | None = None) -> DataFrame:
+    """The decoded events of a segmented log as a stream, in offset order per
+    partition, after the cursors."""
+    lines = stream_offsets(spark, src, checkpoint, max_offsets, cursors).select("event_type", "value")
+    _, events, _ = decode_parsed(codec.parse_batches(lines).drop("_v"))
+    return events if cursors is None else consume.read_from_starts(events, consume.start_table(cursors)[0])
+
+
 def stream_consume(spark: SparkSession, src: str, out: str, max_files: int = 16,
                    start_cursors: DataFrame | None = None, max_offsets: int = 0) -> None:
     """Log -> decode / quarantine -> drop keep-alives -> events."""

@@ -99,6 +99,12 @@ class BatchWindow(StatefulProcessor):
     def __init__(self, max_rows: int, timeout_ms: int):
         self.max_rows, self.timeout_ms = max_rows, timeout_ms
 
+    def _arm(self, start: int, timerValues: TimerValues) -> None:
+        self.handle.registerTimer(start + self.timeout_ms)
+
+    def _disarm(self, start: int) -> None:
+        self.handle.deleteTimer(start + self.timeout_ms)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.batch = handle.getValueState("batch", BATCH_STATE_SCHEMA)
@@ -131,11 +137,11 @@ class BatchWindow(StatefulProcessor):
             if n >= self.max_rows or end < len(off):
                 out.append((first, last, n, "count" if n >= self.max_rows else "time"))
                 if armed:
-                    self.handle.deleteTimer(start + self.timeout_ms)
+                    self._disarm(start)
                 armed, n = False, 0
             i = end
         if n > 0 and not armed:
-            self.handle.registerTimer(start + self.timeout_ms)
+            self._arm(start, timerValues)
         if len(off):
             self.batch.update((start, n, first, last, int(ts[-1])))
         yield self._frame(key, out)
@@ -153,6 +159,51 @@ class BatchWindow(StatefulProcessor):
         pass
 
 
+class OwnClock:
+    """Timers of a partition that runs by its own clock: only its own rows
+    move event time, so the progress of another partition closes nothing.  If
+    ``idle_ms`` is set, a partition without new rows for that long (processing
+    time) is settled by a timer; it is set anew with every micro-batch."""
+
+    idle_ms: int | None = None
+
+    def idle_after(self, idle_ms: int | None):
+        self.idle_ms = idle_ms
+        return self
+
+    def _rearm(self, timerValues: TimerValues) -> None:
+        if self.idle_ms is not None:
+            self._stop_timers()
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+
+    def _stop_timers(self) -> None:
+        if self.idle_ms is not None:
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
+
+
+class OwnClockBatchWindow(OwnClock, BatchWindow):
+    """A7 live by the partition's own clock: a batch closes at ``max_rows``
+    events, or when an event of its partition comes ``timeout`` or more after
+    the batch's first.  An idle partition's open batch closes as ``idle``."""
+
+    def _arm(self, start: int, timerValues: TimerValues) -> None:
+        self._rearm(timerValues)
+
+    def _disarm(self, start: int) -> None:
+        self._stop_timers()
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        yield from BatchWindow.handleInputRows(self, key, rows, timerValues)
+        if self._state()[1] > 0:
+            self._rearm(timerValues)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for out in BatchWindow.handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            yield out.assign(closed_by="idle")
+
+
 STALL_SCHEMA = "event_type string, partition string, offset long, last_us long, gap_us long, kind string"
 STALL_STATE_SCHEMA = "offset long, last_us long"
 
@@ -171,6 +222,12 @@ class StallDetector(StatefulProcessor):
     def _timer_ms(self, last_us: int) -> int:
         return (last_us + self.limit_us) // 1000 + 1     # first ms past the limit
 
+    def _arm(self, last_us: int, timerValues: TimerValues) -> None:
+        self.handle.registerTimer(self._timer_ms(last_us))
+
+    def _disarm(self, last_us: int) -> None:
+        self.handle.deleteTimer(self._timer_ms(last_us))
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", STALL_STATE_SCHEMA)
@@ -194,11 +251,11 @@ class StallDetector(StatefulProcessor):
             return
         off, ts = pdf["offset"].to_numpy(), pdf["ts_us"].to_numpy()
         if known:
-            self.handle.deleteTimer(self._timer_ms(last))
+            self._disarm(last)
             off, ts = np.r_[seen, off], np.r_[last, ts]
         gap = np.diff(ts)
         at = np.flatnonzero(gap > self.limit_us)
-        self.handle.registerTimer(self._timer_ms(int(ts[-1])))
+        self._arm(int(ts[-1]), timerValues)
         self.last.update((int(off[-1]), int(ts[-1])))
         yield self._frame(key, off[at], ts[at], gap[at], "gap")
 
@@ -212,6 +269,75 @@ class StallDetector(StatefulProcessor):
         pass
 
 
+class OwnClockStallDetector(OwnClock, StallDetector):
+    """A13 live by the partition's own clock: ``gap`` rows come with the
+    partition's next message; ``open`` ones only from the idle rule."""
+
+    def _arm(self, last_us: int, timerValues: TimerValues) -> None:
+        self._rearm(timerValues)
+
+    def _disarm(self, last_us: int) -> None:
+        self._stop_timers()
+
+
+def run_by_offset(events: DataFrame, ts: Column, processor: OwnClock, output: str, is_late: Column, out: str,
+                  name: str, live_seconds: float | None = None) -> None:
+    """Run an own-clock processor over decoded events (event_type, partition,
+    offset, occurred_at) that a stream delivers in offset order: what is there
+    now, in as many micro-batches as the source makes, or for ``live_seconds``
+    (Spark starts micro-batches for processing-time timers without end, so the
+    idle rule needs a live run).  Without a watermark; results do not depend
+    on how the log is cut into files or micro-batches."""
+    if processor.idle_ms is not None and live_seconds is None:
+        raise ValueError("the idle rule needs live_seconds")
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    res = (events.select("event_type", "partition", "offset", ts).groupBy("event_type", "partition")
+           .transformWithStateInPandas(processor, output, "Append", "None" if processor.idle_ms is None else "ProcessingTime"))
+    q = (res.writeStream.foreachBatch(_results_sink(out, name, is_late))
+         .option("checkpointLocation", f"{out}/_checkpoint").start())
+    try:
+        if live_seconds is None:
+            q.processAllAvailable()
+        else:
+            q.awaitTermination(live_seconds)
+    finally:
+        q.stop()
+
+
+def own_clock_batches(events: DataFrame, out: str, max_rows: int, timeout_seconds: int, idle_seconds: int | None = None,
+                      live_seconds: float | None = None) -> None:
+    """A7 as a stream, each partition by its own clock: ``out/batches``, ``out/late``."""
+    run_by_offset(events, (F.unix_micros("occurred_at") / 1000).cast("long").alias("ts_ms"),
+                  OwnClockBatchWindow(max_rows, timeout_seconds * 1000).idle_after(_ms(idle_seconds)), BATCH_SCHEMA,
+                  F.col("closed_by") == "late", out, "batches", live_seconds)
+
+
+def own_clock_stalls(events: DataFrame, out: str, flush_timeout_seconds: int, stall_factor: float = 1.5,
+                     idle_seconds: int | None = None, live_seconds: float | None = None) -> None:
+    """A13 as a stream, each partition by its own clock: ``out/stalls``, ``out/late``."""
+    run_by_offset(events, F.unix_micros("occurred_at").alias("ts_us"),
+                  OwnClockStallDetector(int(flush_timeout_seconds * stall_factor * 1_000_000)).idle_after(_ms(idle_seconds)),
+                  STALL_SCHEMA, F.col("kind") == "late", out, "stalls", live_seconds)
+
+
+def _ms(seconds: int | None) -> int | None:
+    return None if seconds is None else seconds * 1000
+
+
+def _results_sink(out: str, name: str, is_late: Column):
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            for folder, rows in ((name, df.filter(~is_late)), ("late", df.filter(is_late))):
+                rows.write.mode("overwrite").parquet(f"{out}/{folder}/batch_id={batch_id:012d}")
+        finally:
+            df.unpersist()
+    return sink
+
+
 def _run(spark: SparkSession, events_path: str, schema: StructType | str, ts: Column, processor, output: str,
          is_late: Column, out: str, name: str, max_files: int, watermark_delay: str) -> None:
     """Run a keyed processor over landed events (event_type, partition,
@@ -232,15 +358,7 @@ def _run(spark: SparkSession, events_path: str, schema: StructType | str, ts: Co
            .select("event_type", "partition", "offset", ts))
     res = src.groupBy("event_type", "partition").transformWithStateInPandas(processor, output, "Append", "EventTime")
 
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            for folder, rows in ((name, df.filter(~is_late)), ("late", df.filter(is_late))):
-                rows.write.mode("overwrite").parquet(f"{out}/{folder}/batch_id={batch_id:012d}")
-        finally:
-            df.unpersist()
-
-    (res.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
+    (res.writeStream.foreachBatch(_results_sink(out, name, is_late)).option("checkpointLocation", f"{out}/_checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
 
 
