@@ -317,7 +317,35 @@ def test_simhash(docs, odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_simhash_links_every_pair_within_the_distance(spark):
+def signed(prints):
+    return [p - (1 << 64) if p >> 63 else p for p in prints]
+
+
+def linked_classes(spark, prints, distance=4):
+    """Classes by the operator's links; every link must hold."""
+    got = [tuple(x) for x in simhash.link(spark.createDataFrame([(p,) for p in signed(prints)], "fp bigint"), distance).collect()]
+    assert len(set(got)) == len(got)
+    assert all(a < b and ((a ^ b) % (1 << 64)).bit_count() <= distance for a, b in got)
+    root = {p: p for p in signed(prints)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in got:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return {p % (1 << 64): find(p) % (1 << 64) for p in root}, got
+
+
+def same_classes(one, other):
+    return len({(one[p], other[p]) for p in one}) == len(set(one.values())) == len(set(other.values()))
+
+
+@pytest.mark.parametrize("bucket, small", [(4096, 16), (8, 2), (50, 4)])
+def test_simhash_links_connect_every_pair_within_the_distance(spark, monkeypatch, bucket, small):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "SMALL", small)
     r = random.Random(3)
     prints = {r.getrandbits(64) for _ in range(150)}
     for f in list(prints):
@@ -326,9 +354,40 @@ def test_simhash_links_every_pair_within_the_distance(spark):
                 f ^= 1 << b
             prints.add(f)
     prints |= {0, (1 << 64) - 1, 15, 31}
-    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    got = {tuple(x) for x in simhash.link(spark.createDataFrame([(p,) for p in signed], "fp bigint"), 4).collect()}
-    assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) % (1 << 64)).bit_count() <= 4}
+    got, _ = linked_classes(spark, prints)
+    assert same_classes(got, classes({p: p for p in prints}, 4))
+
+
+def test_simhash_cluster_keeps_few_links(spark):
+    r = random.Random(4)
+    middle, near = r.getrandbits(64), set()
+    while len(near) < 2000:
+        near.add(middle ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 2))))
+    got, links = linked_classes(spark, near)
+    assert len(set(got.values())) == 1
+    assert len(links) < 30 * len(near)              # all pairs would be 2 million
+
+
+def test_simhash_forest_spans_sparse_and_dense_groups():
+    r = random.Random(6)
+    prints = {r.getrandbits(64) for _ in range(600)}
+    for f in list(prints)[:40]:                     # chains: each end is far from the other
+        for b in r.sample(range(64), 12):
+            f ^= 1 << b
+            prints.add(f)
+    want = classes({p: p for p in prints}, 1)
+    links = [(int(a), int(b)) for x, y in simhash._forest(np.array(sorted(prints), np.uint64), 1) for a, b in zip(x, y)]
+    assert all((a ^ b).bit_count() <= 1 for a, b in links)
+    assert len(links) == len(prints) - len(set(want.values()))
+    assert all(want[a] == want[b] for a, b in links)
+
+
+def test_op10_query(spark, tmp_path, odd):
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = sorted(((r["doc_id"], fingerprint(r["text"])) for r in odd.collect()), key=lambda r: (r[0] is None, r))
+    low = classes({k: f for k, (_, f) in enumerate(rows)}, 4)
+    want = collections.Counter((i, f"{f:016x}", rows[low[k]][0]) for k, (i, f) in enumerate(rows))
+    assert collections.Counter(map(tuple, simhash.op10_simhash(spark, str(tmp_path)).collect())) == want
 
 
 def test_components_of_a_long_chain(spark):

@@ -9,9 +9,10 @@ the t_i sum to ``distance`` - m + 1: two fingerprints within the distance must
 agree up to t_i bits in some partition i.  The number of partitions and the
 unequal thresholds (-1: never probed) come from dynamic programming on
 estimated candidate counts.  Probes enumerate the values within t_i of a
-partition, and every candidate is verified on all 64 bits inside the join, so
-the estimates steer cost only, never the result.  Connected components follow
-from alternating large-star and small-star steps.
+partition; whatever probes one value is verified on all 64 bits, so the
+estimates steer cost only, never the result.  A group keeps a spanning forest
+of its links, not every pair of a cluster.  Connected components follow from
+alternating large-star and small-star steps.
 
 Defined results: a text without words has fingerprint zero and links like any
 other; fewer words than a shingle make one shingle; repeated rows stay and
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
-from .common import table
+from .common import n_blocks, table
 
 BITS = 64
 SEED = 42
@@ -40,6 +41,12 @@ SAMPLE = 2048
 #: Cost of one probe row in units of one candidate comparison.
 PROBE_COST = 20
 MAX_PROBES = 4096
+#: Probes of one group, and of one block of a bucket with more.
+BUCKET = 4096
+#: Buckets of up to so many probes are compared pair by pair.
+SMALL = 16
+#: Fingerprints compared at once, and searches before those without any link are dropped.
+STRIP, FIRST_SEARCHES = 256, 8
 
 
 def _hashes(text: str, size: int) -> np.ndarray:
@@ -170,23 +177,93 @@ def _neighbours(part: int, group: list[int], t: int) -> Column:
         F.lit(part).alias("part"), own.bitwiseXOR(f).alias("value")))
 
 
+def _has_neighbour(fp: np.ndarray, distance: int) -> np.ndarray:
+    """True for fingerprints that have another one within ``distance``."""
+    has = np.zeros(len(fp), bool)
+    for k in range(0, len(fp), STRIP):
+        strip = np.bitwise_count(fp[k:k + STRIP, None] ^ fp[None, :]) <= distance
+        has[k:k + STRIP] = strip.sum(1) > 1         # itself is one
+    return has
+
+
+def _forest(fp: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links that span every component of distinct ``fp``: one less than its
+    members, each a pair within ``distance``.  A search from one member after
+    the other only looks at those not yet reached, so dense groups cost little."""
+    links, searches = [], 0
+    while len(fp) > 1:
+        if searches == FIRST_SEARCHES:
+            fp = fp[_has_neighbour(fp, distance)]
+            if not len(fp):
+                break
+        searches += 1
+        reached, fp = fp[:1], fp[1:]
+        while len(reached) and len(fp):
+            near = np.bitwise_count(reached[:STRIP, None] ^ fp[None, :]) <= distance
+            hit = near.any(0)
+            links.append((reached[:STRIP][near[:, hit].argmax(0)], fp[hit]))
+            reached, fp = np.concatenate([reached[STRIP:], fp[hit]]), fp[~hit]
+    return links
+
+
+def _links(part: np.ndarray, value: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the buckets (part, value) of one group of probes: all
+    pairs of a bucket of up to SMALL, a spanning forest of a larger one."""
+    order = np.lexsort((fp, value, part))
+    part, value, fp = part[order], value[order], fp[order].view(np.uint64)
+    head = np.r_[True, (part[1:] != part[:-1]) | (value[1:] != value[:-1])]
+    start = np.flatnonzero(head)
+    size = np.diff(np.r_[start, len(fp)])
+    bucket, few = np.repeat(np.arange(len(start)), size), np.repeat(size <= SMALL, size)
+    links = []
+    for lag in range(1, min(SMALL, len(fp))):
+        at = np.flatnonzero((bucket[lag:] == bucket[:-lag]) & few[lag:])
+        near = at[np.bitwise_count(fp[at] ^ fp[at + lag]) <= distance]
+        links.append((fp[near], fp[near + lag]))
+    for k in np.flatnonzero(size > SMALL):
+        links += _forest(np.unique(fp[start[k]:start[k] + size[k]]), distance)
+    if not links:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    x, y = (np.concatenate(side).view(np.int64) for side in zip(*links))
+    x, y = x[x != y], y[x != y]
+    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    return pairs[0], pairs[1]
+
+
 def link(fps: DataFrame, distance: int = 4) -> DataFrame:
-    """(a, b) with a < b: pairs of distinct fingerprints within ``distance``."""
+    """(a, b) with a < b: pairs of distinct fingerprints within ``distance``
+    that connect whatever is within it, directly or over others.
+
+    Every two fingerprints within the distance meet in a bucket (part, value).
+    Buckets of up to BUCKET probes share groups of about that size; a larger
+    one is dealt into blocks, and every two of its blocks make a group.  Each
+    group keeps a spanning forest of its verified pairs, so what is shuffled
+    grows with the fingerprints, not with the pairs of a cluster."""
     parts = plan(fps, distance)
-    index = fps.select(F.col("fp").alias("a"), F.posexplode(F.array(*[
-        F.col("fp").bitwiseAND(F.lit(_mask(g))) for g, _ in parts])).alias("part", "value"))
     near = F.concat(*[_neighbours(i, g, t) for i, (g, t) in enumerate(parts)])
-    probe = fps.select(F.col("fp").alias("b"), F.explode(near).alias("p")).select(
-        "b", F.col("p.part").alias("part_b"), F.col("p.value").alias("value_b"))
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return (index.join(probe, (F.col("part") == F.col("part_b")) & (F.col("value") == F.col("value_b"))
-                       & (F.col("a") < F.col("b")) & close)
-            .select("a", "b").distinct())
+    probes = fps.select("fp", F.explode(near).alias("p")).select("fp", "p.part", "p.value")
+    groups = n_blocks(fps.count() * sum(comb(len(g), j) for g, t in parts for j in range(t + 1)), BUCKET)
+    blocks = broadcast_if_small(probes.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
+                                .where(F.col("n") > BUCKET)
+                                .select("part", "value", F.ceil(F.col("n") / BUCKET).cast("int").alias("k")))
+    own = F.pmod(F.xxhash64("fp", F.lit(SEED)), F.col("k")).cast("int")
+    others = F.transform(F.array_remove(F.sequence(F.lit(0), F.col("k") - 1), own), lambda j: F.struct(
+        F.xxhash64("part", "value").alias("g"), F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
+    whole = F.array(F.struct(F.pmod(F.xxhash64("part", "value"), F.lit(groups)).alias("g"),
+                             F.lit(-1).alias("i"), F.lit(-1).alias("j")))
+    dealt = probes.join(blocks, ["part", "value"], "left").select(
+        "part", "value", "fp", F.explode(F.when(F.col("k").isNull(), whole).otherwise(others)).alias("to")).select(
+        "part", "value", "fp", "to.g", "to.i", "to.j")
+
+    def run(t: pa.Table) -> pa.Table:
+        a, b = _links(*(t.column(c).to_numpy() for c in ("part", "value", "fp")), distance)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return dealt.groupBy("g", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): root is the smallest node of the component.  Alternating
-    large-star and small-star steps; every round is cut by a checkpoint."""
+    """(node, root) of linked nodes of any ordered type: root is the smallest
+    node of the component, which is no row itself.  Alternating large-star and small-star steps; every round is cut by a checkpoint."""
     def low(e: DataFrame) -> DataFrame:
         return e.groupBy("u").agg(F.min("v").alias("low"))
 
@@ -213,16 +290,19 @@ def near_duplicates(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFr
     included.  ``stays`` marks each component's smallest doc_id (rows without
     doc_id come last, then by text hash)."""
     rows = fingerprints(docs, size).checkpoint()
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("low")
-    fps = rows.groupBy("fp").agg(first).checkpoint()
-    roots = components(link(fps, distance))
-    named = fps.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = named.groupBy("root").agg(F.min("low").alias("least"))
-    of = named.select("fp", "root").join(lowest, "root").select("fp", "least")
-    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("th") == F.col("least.th"))
-    return rows.join(of, "fp").select("doc_id", "th", "fp", F.col("least.doc_id").alias("component_id"),
-                                      stays.alias("stays"))
+    # nodes are ordered by document, so a component's root is its smallest document
+    none = F.col("doc_id").isNull()
+    first = F.min(F.struct(none.alias("none"), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("id"), "th", "fp"))
+    fps = rows.groupBy("fp").agg(first.alias("node")).checkpoint()
+    pairs = (link(fps.select("fp"), distance)
+             .join(fps.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a")
+             .join(fps.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b"))
+    roots = components(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    of = fps.join(roots.withColumn("fp", F.col("node.fp")).drop("node"), "fp", "left").select(
+        "fp", F.coalesce("root", "node").alias("least"))
+    least = F.when(~F.col("least.none"), F.col("least.id"))
+    stays = F.col("doc_id").eqNullSafe(least) & (F.col("th") == F.col("least.th"))
+    return rows.join(of, "fp").select("doc_id", "th", "fp", least.alias("component_id"), stays.alias("stays"))
 
 
 def one_of_each(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
