@@ -382,7 +382,9 @@ def test_simhash_forest_spans_sparse_and_dense_groups():
     assert all(want[a] == want[b] for a, b in links)
 
 
-def test_op10_query(spark, tmp_path, odd):
+@pytest.mark.parametrize("copies", [1000, 1])
+def test_op10_query(spark, tmp_path, odd, monkeypatch, copies):
+    monkeypatch.setattr(simhash, "COPIES", copies)
     odd.write.parquet(str(tmp_path / "documents.parquet"))
     rows = sorted(((r["doc_id"], fingerprint(r["text"])) for r in odd.collect()), key=lambda r: (r[0] is None, r))
     low = classes({k: f for k, (_, f) in enumerate(rows)}, 4)

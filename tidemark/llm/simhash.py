@@ -45,6 +45,8 @@ MAX_PROBES = 4096
 BUCKET = 4096
 #: Buckets of up to so many probes are compared pair by pair.
 SMALL = 16
+#: Rows of one fingerprint above which they are named by a size-checked broadcast.
+COPIES = 1000
 #: Fingerprints compared at once, and searches before those without any link are dropped.
 STRIP, FIRST_SEARCHES = 256, 8
 
@@ -293,16 +295,19 @@ def near_duplicates(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFr
     # nodes are ordered by document, so a component's root is its smallest document
     none = F.col("doc_id").isNull()
     first = F.min(F.struct(none.alias("none"), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("id"), "th", "fp"))
-    fps = rows.groupBy("fp").agg(first.alias("node")).checkpoint()
+    fps = rows.groupBy("fp").agg(first.alias("node"), F.count(F.lit(1)).alias("copies")).checkpoint()
     pairs = (link(fps.select("fp"), distance)
              .join(fps.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a")
              .join(fps.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b"))
     roots = components(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     of = fps.join(roots.withColumn("fp", F.col("node.fp")).drop("node"), "fp", "left").select(
-        "fp", F.coalesce("root", "node").alias("least"))
+        "fp", F.coalesce("root", "node").alias("least"), "copies")
+    many = broadcast_if_small(of.where(F.col("copies") > COPIES).drop("copies"))
+    few = of.where(F.col("copies") <= COPIES).drop("copies")
+    rows = rows.join(many, "fp").unionByName(rows.join(many.select("fp"), "fp", "left_anti").join(few, "fp"))
     least = F.when(~F.col("least.none"), F.col("least.id"))
     stays = F.col("doc_id").eqNullSafe(least) & (F.col("th") == F.col("least.th"))
-    return rows.join(of, "fp").select("doc_id", "th", "fp", least.alias("component_id"), stays.alias("stays"))
+    return rows.select("doc_id", "th", "fp", least.alias("component_id"), stays.alias("stays"))
 
 
 def one_of_each(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
