@@ -51,3 +51,11 @@ def test_publish_stores_one_body_per_message(spark, tmp_path):
     assert [(r.event_type, r.message_id) for r in again.collect()] == [("other", 2)]     # this call's messages only
     body = stored.orderBy("message_id").first().body
     assert len(_json.loads(body)) == 10
+
+
+def test_batches_of_two_source_types_stay_apart(spark):
+    from tidemark.operators.publish import batch_bodies
+    rows = [(t, "0", "7", o, f'"{t}{o}"') for t in ("a", "b") for o in (5, 4)]
+    ev = spark.createDataFrame(rows, "event_type string, partition string, cursor_offset string, offset long, event_json string")
+    got = sorted((r.event_type, r.partition, r.cursor_offset, r.n_events, r.body) for r in batch_bodies(ev, "out").collect())
+    assert got == [("out", "0", "7", 2, '["a4","a5"]'), ("out", "0", "7", 2, '["b4","b5"]')]

@@ -271,6 +271,22 @@ def decode_metadata(spark, sf):
                                        "flow_id", "meta_event_type")
 
 
+def decode_full_metadata(spark, sf):
+    """All six metadata fields of events that are written with them.
+    Every third event was received (its text in another zone), every second
+    has parents; the fields are left out of the others."""
+    lg = fx.log(spark, sf)
+    received = F.when(F.col("event_id") % 3 == 0, format_offset_datetime("occurred_at", F.lit("+01:00")))
+    parents = F.when(F.col("event_id") % 2 == 1, F.array(F.concat(F.lit("root-"), F.col("eid")), F.md5("eid")))
+    md = codec.metadata_struct(F.col("eid"), format_offset_datetime("occurred_at"), event_type=F.col("event_type"),
+                               received_at_text=received, parent_eids=parents, flow_id=F.col("flow_id"))
+    text = codec.encode_event(F.col("kind"), md, F.col("payload"), F.col("data_type"), F.col("data_op"))
+    dec = codec.decode_event_fields(lg.select(F.parse_json(text).alias("event")))
+    return dec.select("eid", "meta_event_type", format_offset_datetime("occurred_at").alias("occurred_at_text"),
+                      format_offset_datetime("received_at").alias("received_at_text"),
+                      F.to_json("parent_eids").alias("parent_eids"), "flow_id")
+
+
 def decode_data_change(spark, sf):
     return fx.events(spark, sf).filter(F.col("kind") == "data") \
         .select("eid", "data_type", "data_op", "payload")
@@ -760,6 +776,7 @@ QUERIES: dict[str, Query] = {
     "explode_events": explode_events,
     "classify_events": classify_events,
     "decode_metadata": decode_metadata,
+    "decode_full_metadata": decode_full_metadata,
     "decode_data_change": decode_data_change,
     "decode_business": decode_business,
     "normalise_data_op": normalise_data_op,

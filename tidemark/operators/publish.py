@@ -32,8 +32,9 @@ def publish_messages(events: DataFrame, target_event_type: str) -> DataFrame:
 
 def batch_bodies(events: DataFrame, target_event_type: str) -> DataFrame:
     """One body per source batch, its events in offset order.
-    ``events``: partition, cursor_offset, offset, event_json."""
-    return (events.groupBy("partition", "cursor_offset")
+    ``events``: event_type (the source's), partition, cursor_offset, offset,
+    event_json; batches of different source types stay apart."""
+    return (events.withColumnRenamed("event_type", "_source").groupBy("_source", "partition", "cursor_offset")
             .agg(F.sort_array(F.collect_list(F.struct("offset", "event_json"))).alias("_evs"))
             .select(F.lit(target_event_type).alias("event_type"), "partition", "cursor_offset",
                     F.size("_evs").cast("bigint").alias("n_events"),

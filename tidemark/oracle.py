@@ -335,6 +335,11 @@ SELECT event_type, {_REASON} AS reason, count(*) AS n_batches FROM wb WHERE faul
     q["classify_events"] = _with("", "SELECT event_type, kind, count(*) AS n_events FROM valid_events GROUP BY ALL")
     q["decode_metadata"] = _with("", f"SELECT eid, {iso('occurred_at')} AS occurred_at_text, flow_id, "
                                      "event_type AS meta_event_type FROM valid_events")
+    q["decode_full_metadata"] = _with("", f"""
+SELECT eid, event_type AS meta_event_type, {iso('occurred_at')} AS occurred_at_text,
+       CASE WHEN event_id % 3 = 0 THEN {iso('occurred_at')} END AS received_at_text,
+       CASE WHEN event_id % 2 = 1 THEN '["root-' || eid || '","' || md5(eid) || '"]' END AS parent_eids, flow_id
+FROM event_log""")
     q["decode_data_change"] = _with("", f"SELECT eid, data_type, {_NORM_OP} AS data_op, "
                                         "CAST(json(payload) AS VARCHAR) AS payload FROM valid_events "
                                         "WHERE kind = 'data'")

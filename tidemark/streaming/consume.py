@@ -237,7 +237,7 @@ def audit_transform(events: DataFrame) -> DataFrame:
     new_eid = F.md5(F.concat(F.col("eid"), F.lit(":audit")))
     md = codec.metadata_struct(new_eid, F.col("occurred_at_text"), event_type=F.lit("purchase-audit"),
                                parent_eids=F.array(F.col("eid")), flow_id=F.col("flow_id"))
-    return events.select("partition", "offset", "cursor_offset",
+    return events.select("event_type", "partition", "offset", "cursor_offset",
                          codec.encode_event(F.col("kind"), md, F.col("payload"), F.col("data_type"),
                                             F.col("data_op")).alias("event_json"))
 
