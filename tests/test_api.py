@@ -59,3 +59,44 @@ def test_batches_of_two_source_types_stay_apart(spark):
     ev = spark.createDataFrame(rows, "event_type string, partition string, cursor_offset string, offset long, event_json string")
     got = sorted((r.event_type, r.partition, r.cursor_offset, r.n_events, r.body) for r in batch_bodies(ev, "out").collect())
     assert got == [("out", "0", "7", 2, '["a4","a5"]'), ("out", "0", "7", 2, '["b4","b5"]')]
+
+
+BODIES = "event_type string, message_id long, flow_id string, body string"
+
+
+def test_failed_publish_run_leaves_nothing_and_a_repeat_replaces(spark, tmp_path):
+    import os
+    import pytest
+    from tidemark.operators import publish
+    path = str(tmp_path / "out")
+    good = spark.createDataFrame([("t", i, None, f'["{i}"]') for i in range(40)], BODIES).repartition(8)
+    markers = good.select("message_id", F.col("body").alias("marker"), F.col("message_id").alias("seq"))
+    bad = good.withColumn("body", F.when(F.col("message_id") == 33, F.raise_error(F.lit("lost"))).otherwise(F.col("body")))
+    with pytest.raises(Exception, match="lost"):
+        publish.publish_with_markers(spark, bad, markers, path, "r")     # dies when other tasks have stored rows
+    assert publish.read_messages(spark, path, "r").count() == 0
+    assert not [f for f in os.listdir(path) if f.startswith("attempt=")]
+    assert publish.publish_with_markers(spark, good, markers, path, "r").count() == 40
+    with pytest.raises(Exception, match="lost"):
+        publish.write_messages(bad, path, "r")
+    assert publish.read_messages(spark, path, "r").count() == 40         # what was published stays
+    publish.write_messages(good.filter("message_id < 3"), path, "r")
+    assert sorted(r.message_id for r in publish.read_messages(spark, path, "r").collect()) == [0, 1, 2]
+
+
+def test_publish_run_times_out_as_a_whole(spark, tmp_path):
+    import pytest
+    from tidemark.operators import publish
+    path = str(tmp_path / "out")
+
+    def slow(batches):
+        import time
+        for b in batches:
+            time.sleep(30)
+            yield b
+    rows = spark.createDataFrame([("t", 1, None, "[]")], BODIES).repartition(1).mapInArrow(slow, BODIES)
+    with pytest.raises(publish.PublishTimeout):
+        publish.write_messages(rows, path, "r", timeout_seconds=3)
+    assert publish.read_messages(spark, path, "r").count() == 0
+    publish.write_messages(spark.createDataFrame([("t", 1, None, "[]")], BODIES), path, "q", timeout_seconds=60)
+    assert publish.read_messages(spark, path, "q").count() == 1

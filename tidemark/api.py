@@ -59,5 +59,5 @@ def publish(spark: SparkSession, events: DataFrame, settings: ProducerSettings,
     event_json) into one JSON array body per message and store them under
     the target event type; returns the messages this call stored."""
     run = uuid.uuid4().hex
-    pub.write_messages(pub.publish_messages(events, settings.event_type), path, run)
+    pub.write_messages(pub.publish_messages(events, settings.event_type), path, run, settings.run_timeout_seconds)
     return pub.read_messages(spark, path, run, settings.event_type)

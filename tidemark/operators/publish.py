@@ -8,9 +8,14 @@ shuffle spreads over many keys.
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.version_log import VersionLog
+
 
 def publish_messages(events: DataFrame, target_event_type: str) -> DataFrame:
     """A14 + A15: one body per message.
@@ -42,23 +47,69 @@ def batch_bodies(events: DataFrame, target_event_type: str) -> DataFrame:
                              F.lit("]")).alias("body")))
 
 
-def run_path(path: str, run: str) -> str:
-    return f"{path}/run={run}"
-
-
-def write_messages(bodies: DataFrame, path: str, run: str) -> None:
-    """Sink: one JSON array per line under ``run=<run>/event_type=<target>/``,
-    behind a header of the other columns.  A run owns its directory, so a
-    repeated attempt replaces its own output."""
+class PublishTimeout(RuntimeError):
+    """A run did not store its messages in time; none of them is published."""
+
+
+def _runs(spark: SparkSession, path: str, run: str) -> VersionLog:
+    return VersionLog(spark, f"{path}/_runs/{run}")
+
+
+def _within(spark: SparkSession, seconds: float | None, job) -> None:
+    """``job()``; its Spark jobs are cancelled once ``seconds`` have passed."""
+    if seconds is None:
+        return job()
+    sc, tag, late = spark.sparkContext, f"publish-{uuid.uuid4().hex}", threading.Event()
+
+    def cancel():
+        late.set()
+        sc.cancelJobsWithTag(tag)
+    timer = threading.Timer(seconds, cancel)
+    sc.addJobTag(tag)
+    timer.start()
+    try:
+        job()
+    except Exception as e:
+        if late.is_set():
+            raise PublishTimeout(f"not stored within {seconds} s") from e
+        raise
+    finally:
+        timer.cancel()
+        sc.removeJobTag(tag)
+    if late.is_set():
+        raise PublishTimeout(f"not stored within {seconds} s")
+
+
+def write_messages(bodies: DataFrame, path: str, run: str, timeout_seconds: float | None = None) -> None:
+    """Sink: one JSON array per line under ``event_type=<target>/``, behind a
+    header of the other columns.
+
+    An attempt writes a folder of its own; the run's manifest then names it in
+    one step, and readers follow the manifest.  So a failed or timed-out
+    attempt publishes nothing and raises, and a repeated attempt replaces the
+    one before as a whole."""
+    spark, attempt = bodies.sparkSession, f"attempt={uuid.uuid4().hex}"
     head = F.to_json(F.struct(*[c for c in bodies.columns if c not in ("event_type", "body")]))
-    (bodies.select("event_type", F.concat_ws("\t", head, "body").alias("value"))
-     .write.mode("overwrite").partitionBy("event_type").text(run_path(path, run)))
+    rows = bodies.select("event_type", F.concat_ws("\t", head, "body").alias("value"))
+    folder = f"{path}/{attempt}"
+    try:
+        _within(spark, timeout_seconds, lambda: rows.write.partitionBy("event_type").text(folder))
+        runs = _runs(spark, path, run)
+        while not runs.append(runs.latest()[0] + 1, {"attempt": attempt}):
+            pass                                    # another attempt came in between: the last one stays
+    except BaseException:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        raise
 
 
 def read_messages(spark: SparkSession, path: str, run: str, event_type: str | None = None,
                   header: str = "message_id bigint, flow_id string") -> DataFrame:
-    """The messages one run stored (for one target event type)."""
-    t = spark.read.schema("value string, event_type string").text(run_path(path, run))
+    """The messages a run published (for one target event type); none before
+    its manifest is there."""
+    version, entry = _runs(spark, path, run).latest()
+    schema = "value string, event_type string"
+    t = spark.read.schema(schema).text(f"{path}/{entry['attempt']}") if version else spark.createDataFrame([], schema)
     if event_type is not None:
         t = t.filter(F.col("event_type") == event_type)
     parts = F.split(F.col("value"), "\t", 2)
@@ -68,8 +119,8 @@ def read_messages(spark: SparkSession, path: str, run: str, event_type: str | No
 
 def publish_with_markers(spark: SparkSession, bodies: DataFrame, markers: DataFrame,
                          path: str, run: str) -> DataFrame:
-    """A marker is emitted only once its message is stored by this run,
-    in input order.  Batch twin of the streaming sink: write, read back,
+    """A marker is emitted only once its message is published by this
+    run's manifest, in input order; a failed run raises and emits none.  Batch twin of the streaming sink: write, read back,
     semi-join, sort.
 
     ``markers``: message_id, marker, seq (the place in the input)."""

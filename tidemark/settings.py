@@ -57,4 +57,5 @@ class ConsumerSettings:
 class ProducerSettings:
     event_type: str
     parallelism: int = PUBLISH_PARALLELISM
-    timeout_seconds: int = PUBLISH_TIMEOUT_SECONDS
+    timeout_seconds: int = PUBLISH_TIMEOUT_SECONDS    # of one request: a batch run sends none
+    run_timeout_seconds: float | None = None          # a run that takes longer publishes nothing
