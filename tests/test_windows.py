@@ -71,3 +71,61 @@ def test_greedy_time_may_step_back(spark):
     for chunk in (2, 3, 100):
         w = greedy_windows(df, ["k"], "o", "ts", max_seconds=60, rows_per_chunk=chunk)
         assert sorted((r.first_offset, r.last_offset) for r in w.collect()) == [(0, 2), (3, 4), (5, 5)]
+
+
+def test_greedy_scan_over_many_levels(spark):
+    """Chunks of a few rows, composed two or three at a time over several
+    levels: windows that end within a chunk, span many, or see tied times."""
+    rnd = random.Random(11)
+    rows = []
+    for key, count in (("x", 150), ("y", 3), ("z", 61)):
+        ts = datetime(2024, 1, 1)
+        for o in range(count):
+            ts += timedelta(seconds=rnd.choice([0, 0, 1, 5, 40, 300]))
+            rows.append((key, o, ts))
+    df = spark.createDataFrame(rows, "k string, o long, ts timestamp").cache()
+    for n, secs, chunk, fan_in in [(25, 900, 4, 3), (None, 2000, 5, 2)]:
+        w = greedy_windows(df, ["k"], "o", "ts", max_rows=n, max_seconds=secs, rows_per_chunk=chunk, fan_in=fan_in)
+        got = {(r.k, r.first_offset, r.n_events) for r in w.collect()}
+        assert got == brute(rows, n, secs), (n, secs, chunk, fan_in)
+
+
+def test_maps_compose_associatively():
+    """Any bracketing of neighbouring maps has the exits of the rows themselves."""
+    from tidemark.plans import greedy
+    rnd = random.Random(4)
+    for _ in range(200):
+        n, t = rnd.choice([(None, 9), (5, None), (6, 12)])
+        ts, spans = 0, []
+        for _ in range(4):
+            times = []
+            for _ in range(rnd.randint(1, 4)):
+                ts += rnd.choice([0, 1, 3, 8])
+                times.append(ts)
+            spans.append(times)
+        maps, at = [], 0
+        for times in spans:
+            runs = []
+            for m in range(len(times) + 1):
+                rest = times[m:]
+                start = (-1, -1, -1)
+                if rest:
+                    start = (at + m, rest[0], 0)
+                    for j, x in enumerate(rest):
+                        if (n and start[2] >= n) or (t and x >= start[1] + t):
+                            start = (at + m + j, x, 0)
+                        start = (start[0], start[1], start[2] + 1)
+                runs.append(greedy.Run(m, m, times[m - 1] if m else greedy._NEG,
+                                       times[m] if rest else greedy._POS, *start))
+            maps.append(greedy.Span(len(times), times[0], greedy._coalesce(runs)))
+            at += len(times)
+        a, b, c, d = maps
+        two = lambda x, y: greedy._compose(x, y, n, t)
+        ways = [two(two(two(a, b), c), d), two(a, two(b, two(c, d))), two(two(a, b), two(c, d))]
+        first = spans[0][0]
+        entries = [None] + [(-9, first - back, cnt) for back in range(0, (t or 3) + 1) for cnt in range(1, (n or 5) + 1)]
+        for e in entries:
+            step = e
+            for m in maps:
+                step = greedy._leave(m, step, n, t)
+            assert {greedy._leave(w, e, n, t) for w in ways} == {step}, (n, t, e)

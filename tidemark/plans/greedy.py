@@ -18,21 +18,22 @@ It is computed exactly without giving a whole key to one task:
    rows so far) recorded; simulations share work through a memo of window
    starts already seen.  The map candidate -> exit is stored run-length
    encoded (paths merge quickly: a few rows per chunk).
-3. Per key, over that small table (about one row per chunk of the key): the
-   entry state of each chunk follows from the previous chunk's exit.
+3. These maps compose: up to ``FAN_IN`` neighbouring chunks become one map
+   of their span, level by level, until one span is left; the entry states
+   then travel back down.  A scan in log rounds: no task holds more than
+   ``FAN_IN`` maps, however many chunks a key has.
 4. Per (key, chunk), in parallel: rows are assigned to windows from the
    entry state and reduced to partial window aggregates, which a final
    grouped aggregate merges across chunk borders.
 
-When no key spans more than one chunk, steps 2 and 3 are skipped.
-
 Time must be non-decreasing in the row order within a key (true for the
 log's offsets, which follow event time, and for arrival order).
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from functools import reduce
+from typing import NamedTuple, Sequence
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,10 @@ _BIG = np.iinfo(np.int64).max // 4
 _NEG = -(1 << 62)
 _POS = 1 << 62
 
+#: Maps of neighbouring chunks that one task composes.
+FAN_IN = 64
+RUN_FIELDS = ("r_s", "r_e", "r_lo", "r_hi", "ex_start", "ex_t", "ex_cnt")
+
 
 def _next_starts(ts: np.ndarray, n: int | None, t_us: int | None) -> np.ndarray:
     """Local index of the next window start for a window opened at each row."""
@@ -71,9 +76,132 @@ def _schema_keys(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
     return [df.schema[k] for k in keys]
 
 
+class Run(NamedTuple):
+    """Entries of a span that absorb ``s`` .. ``e`` leading rows, by time those
+    whose window ends in (lo, hi]; they leave the state (start, t, cnt), or
+    with ``cnt`` below zero their own window still open."""
+    s: int
+    e: int
+    lo: int
+    hi: int
+    start: int
+    t: int
+    cnt: int
+
+
+class Span(NamedTuple):
+    """Entry state -> exit state over ``rows`` consecutive rows of a key."""
+    rows: int
+    first_t: int
+    runs: list[Run]
+
+
+State = tuple[int, int, int]        # first row, its time, rows so far of the open window
+
+
+def _leave(span: Span, state: State | None, n: int | None, t_us: int | None) -> State:
+    """The window open after the span, given the one open before it."""
+    if state is None:
+        run = span.runs[0]
+    else:
+        end = state[1] + t_us if t_us else _POS
+        run = next(r for r in span.runs if r.lo < end <= r.hi)
+        if n and n - state[2] < run.s:
+            run = next(r for r in span.runs if r.s <= n - state[2] <= r.e)
+    return (state[0], state[1], state[2] + span.rows) if run.cnt < 0 else (run.start, run.t, run.cnt)
+
+
+def _coalesce(runs: list[Run]) -> list[Run]:
+    """Neighbouring runs with one exit as one; the last one has no end in time."""
+    out: list[Run] = []
+    for r in runs:
+        if out and out[-1][4:] == r[4:]:
+            out[-1] = out[-1]._replace(e=r.e, hi=r.hi)
+        else:
+            out.append(r)
+    out[-1] = out[-1]._replace(hi=_POS)
+    return out
+
+
+def _compose(a: Span, b: Span, n: int | None, t_us: int | None) -> Span:
+    """``a`` and then ``b``.  An entry that ``a`` settles leaves ``b`` in a known
+    state; one whose window takes all of ``a`` goes on as a run of ``b``.  Runs
+    that no window reaches (``n`` rows, or ``t_us`` after ``a``'s first row) go."""
+    runs = []
+    for r in a.runs:
+        if r.cnt >= 0:
+            runs.append(Run(*r[:4], *_leave(b, (r.start, r.t, r.cnt), n, t_us)))
+            continue
+        for q in b.runs:
+            s, lo = a.rows + q.s, max(r.lo, q.lo)
+            if not (n and s >= n) and not (t_us and lo >= a.first_t + t_us):
+                runs.append(Run(s, a.rows + q.e, lo, q.hi, *q[4:]))
+    return Span(a.rows + b.rows, a.first_t, _coalesce(runs))
+
+
+def _spans(pdf: pd.DataFrame) -> list[Span]:
+    """The maps of a group, in the order of their chunks."""
+    pdf = pdf.sort_values("_c")
+    return [Span(int(r["L"]), int(r["t0"]), [Run(*map(int, q)) for q in zip(*(r[f] for f in RUN_FIELDS))])
+            for r in pdf.to_dict("records")]
+
+
+def _entry_states(maps: DataFrame, keys: list[str], key_fields: list[T.StructField], n: int | None,
+                  t_us: int | None, fan_in: int) -> DataFrame:
+    """(keys, _c, in_start, in_t, in_cnt): the window open before each chunk
+    (``in_start`` below zero: none), by an exclusive scan over the chunks' maps."""
+    entry_schema = T.StructType([*key_fields, *[T.StructField(f, T.LongType())
+                                                for f in ("_c", "in_start", "in_t", "in_cnt")]])
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        span = reduce(lambda a, b: _compose(a, b, n, t_us), _spans(pdf))
+        row = {k: pdf[k].iloc[0] for k in keys}
+        row.update(_c=int(pdf["_c"].iloc[0]) // fan_in, L=span.rows, t0=span.first_t,
+                   **{f: [r[j] for r in span.runs] for j, f in enumerate(RUN_FIELDS)})
+        return pd.DataFrame([row])
+
+    def descend(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_c")
+        first = pdf.iloc[0]
+        state = None if first["in_start"] < 0 else (int(first["in_start"]), int(first["in_t"]), int(first["in_cnt"]))
+        states = []
+        for span in _spans(pdf):
+            states.append(state or (-1, 0, 0))
+            state = _leave(span, state, n, t_us)
+        out = pdf[[*keys, "_c"]].copy()
+        out["in_start"], out["in_t"], out["in_cnt"] = (list(x) for x in zip(*states))
+        return out
+
+    span_no = F.floor(F.col("_c") / fan_in).cast("bigint")
+    levels, chunks = [maps], (maps.agg(F.max("_c")).first()[0] or 0) + 1
+    while chunks > fan_in:
+        up = levels[-1].groupBy(*keys, span_no.alias("_span")).applyInPandas(compose, maps.schema)
+        levels.append(up.checkpoint(eager=True))        # read on the way up and on the way down
+        chunks = -(-chunks // fan_in)
+    states = None
+    for level in reversed(levels):
+        level = level.withColumn("_span", span_no)
+        if states is None:
+            level = level.select("*", F.lit(-1).cast("bigint").alias("in_start"),
+                                 F.lit(0).cast("bigint").alias("in_t"), F.lit(0).cast("bigint").alias("in_cnt"))
+        else:
+            level = _with_states(level, states, keys, "_span")
+        states = level.groupBy(*keys, "_span").applyInPandas(descend, entry_schema)
+    return states
+
+
+def _with_states(df: DataFrame, states: DataFrame, keys: list[str], chunk: str) -> DataFrame:
+    """``df`` with the entry state of its ``chunk``; keys may be null."""
+    own = states.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_c").alias("_k"),
+                        "in_start", "in_t", "in_cnt")
+    same = [df[k].eqNullSafe(own[f"_k_{k}"]) for k in keys] + [df[chunk] == own["_k"]]
+    return df.join(own, reduce(lambda x, y: x & y, same), "inner").drop("_k", *[f"_k_{k}" for k in keys])
+
+
 def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: str,
                    max_rows: int | None = None, max_seconds: int | None = None,
-                   value_col: str | None = None, rows_per_chunk: int = 1_000_000) -> DataFrame:
+                   value_col: str | None = None, rows_per_chunk: int = 1_000_000,
+                   fan_in: int = FAN_IN) -> DataFrame:
     """Windows as rows: keys, window_start (row index), n_events,
     first_offset / last_offset (of ``order_col``), first_ts (micros) and
     max_value (max of ``value_col``, if given).  Time is the running maximum
@@ -98,9 +226,8 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
     # run-length encoded (paths from different entries merge quickly, so a
     # chunk contributes a handful of runs, not one row per candidate)
     cand_schema = T.StructType([*key_fields, T.StructField("_c", T.LongType()),
-                                T.StructField("L", T.LongType()),
-                                *[T.StructField(f, T.ArrayType(T.LongType()))
-                                  for f in ("r_s", "r_e", "r_lo", "r_hi", "ex_start", "ex_t", "ex_cnt")]])
+                                T.StructField("L", T.LongType()), T.StructField("t0", T.LongType()),
+                                *[T.StructField(f, T.ArrayType(T.LongType())) for f in RUN_FIELDS]])
 
     def candidates(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_i")
@@ -131,7 +258,7 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
             exits.append(res)
         if M == L - 1:
             exits.append(None)          # the whole chunk absorbed: the open window passes through
-        runs = {f: [] for f in ("r_s", "r_e", "r_lo", "r_hi", "ex_start", "ex_t", "ex_cnt")}
+        runs = {f: [] for f in RUN_FIELDS}
         m = 0
         while m < len(exits):
             e = m
@@ -148,7 +275,7 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
             runs["ex_cnt"].append(ex[2] if exits[m] is not None else -1)
             m = e + 1
         row = {k: pdf[k].iloc[0] for k in keys}
-        row.update(_c=int(pdf["_c"].iloc[0]), L=L, **runs)
+        row.update(_c=int(pdf["_c"].iloc[0]), L=L, t0=int(ts[0]), **runs)
         return pd.DataFrame([row])
 
     # -- 4. per chunk: assign rows to windows from the entry state, partial aggregates
@@ -184,48 +311,8 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order_col: str, ts_col: s
             agg[k] = pdf[k].iloc[0]
         return agg[[f.name for f in part_schema.fields]]
 
-    # Fast path: when no key spans more than one chunk every chunk starts
-    # fresh (no window is open at its start), so steps 2-3 are skipped.  The
-    # check reads one column of the checkpointed numbering.
-    if base.agg(F.max("_c")).first()[0] in (None, 0):
-        rows = (base.withColumn("in_start", F.lit(-1).cast("bigint"))
-                .withColumn("in_t", F.lit(0).cast("bigint")).withColumn("in_cnt", F.lit(0).cast("bigint")))
-    else:
-        cand = base.groupBy(*keys, "_c").applyInPandas(candidates, cand_schema)
-
-        # -- 3. per key: chain the chunks over the small run table; each
-        # chunk gets the state of the window open at its start
-        entry_schema = T.StructType([*key_fields, T.StructField("_c", T.LongType()),
-                                     T.StructField("in_start", T.LongType()),
-                                     T.StructField("in_t", T.LongType()),
-                                     T.StructField("in_cnt", T.LongType())])
-
-        def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("_c")
-            state = None  # (start_idx, start_ts, rows so far)
-            out = []
-            for r in pdf.to_dict("records"):
-                L = int(r["L"])
-                out.append({**{k: r[k] for k in keys}, "_c": r["_c"],
-                            "in_start": -1 if state is None else state[0],
-                            "in_t": 0 if state is None else state[1],
-                            "in_cnt": 0 if state is None else state[2]})
-                if state is None:
-                    k_run = 0
-                else:
-                    x = state[1] + t_us if t_us else _POS
-                    k_run = next(k for k in range(len(r["r_s"])) if r["r_lo"][k] < x <= r["r_hi"][k])
-                    if n and n - state[2] < r["r_s"][k_run]:
-                        m = n - state[2]
-                        k_run = next(k for k in range(len(r["r_s"])) if r["r_s"][k] <= m <= r["r_e"][k])
-                if r["ex_cnt"][k_run] < 0:      # pass-through
-                    state = (state[0], state[1], state[2] + L)
-                else:
-                    state = (int(r["ex_start"][k_run]), int(r["ex_t"][k_run]), int(r["ex_cnt"][k_run]))
-            return pd.DataFrame(out, columns=[f.name for f in entry_schema.fields])
-
-        entries = cand.groupBy(*keys).applyInPandas(chain, entry_schema)
-        rows = base.join(entries, [*keys, "_c"], "inner")
+    maps = base.groupBy(*keys, "_c").applyInPandas(candidates, cand_schema).checkpoint(eager=True)
+    rows = _with_states(base, _entry_states(maps, keys, key_fields, n, t_us, fan_in), keys, "_c")
     parts = rows.groupBy(*keys, "_c").applyInPandas(assign, part_schema)
     return (parts.groupBy(*keys, "window_start")
             .agg(F.sum("n_events").alias("n_events"), F.min("first_offset").alias("first_offset"),
