@@ -65,3 +65,32 @@ def test_an_idle_partition_is_settled(spark, tmp_path):
     flush_timer.own_clock_batches(events, out, 4, 3600, idle_seconds=1, live_seconds=25)
     got = [(r.first_offset, r.last_offset, r.closed_by) for r in spark.read.parquet(f"{out}/batches").collect()]
     assert got == [(0, 1, "idle")]
+
+
+def test_state_has_no_more_partitions_than_cores(spark, tmp_path):
+    """A state partition costs a task and a Python worker in every micro-batch, empty or not."""
+    import os
+    root, out = str(tmp_path / "log"), str(tmp_path / "out")
+    land(spark, root, "a", 0, A)
+    key = "spark.sql.shuffle.partitions"
+    before, cores = spark.conf.get(key), spark.sparkContext.defaultParallelism
+    spark.conf.set(key, str(4 * cores))
+    try:
+        events = streams.stream_events(spark, root, f"{out}/_checkpoint", 6)
+        flush_timer.own_clock_batches(events, out, 4, 3600)
+        assert spark.conf.get(key) == str(4 * cores)
+    finally:
+        spark.conf.set(key, before)
+    assert len([d for d in os.listdir(f"{out}/_checkpoint/state/0") if d.isdigit()]) <= cores
+    got = sorted((r.first_offset, r.last_offset) for r in spark.read.parquet(f"{out}/batches").collect())
+    assert got == expected(A, 4, 60)
+
+
+def test_micro_batches_of_a_live_query_follow_the_log(spark, tmp_path):
+    """A log of any size drains in a bounded number of micro-batches, up to what a task can hold."""
+    from tidemark import catalog
+    for held, most in ((40, 5_000), (2_000_000, 100_000), (10 ** 9, 1 << 20)):
+        root = str(tmp_path / f"log-{held}")
+        line = ("t", "a", held - 1, held, 0, "{}")
+        segments.write_segments(spark.createDataFrame([line], LINES), root, 4)
+        assert catalog._live_offsets(spark, root) == most

@@ -719,13 +719,25 @@ def detect_stalled_partitions_stream(spark, sf, max_files: int = 2):
         .alias("stalled_at_end"))
 
 
-def batch_by_count_or_time_live(spark, sf, max_offsets: int = STREAM_OFFSETS // 5):
+#: A live query takes a 20th of what its log holds in a micro-batch, whose
+#: cost besides its rows is fixed; never fewer offsets than at sf0.1, and never
+#: more than one task can hold if all are of one partition.
+LIVE_SHARE, LIVE_LEAST, LIVE_MOST = 20, STREAM_OFFSETS // 5, 1 << 20
+
+
+def _live_offsets(spark, src: str) -> int:
+    held = segments.manifest(spark, src).agg(F.sum(F.col("last_offset") - F.col("first_offset") + 1)).first()[0] or 0
+    return min(max(LIVE_LEAST, held // LIVE_SHARE), LIVE_MOST)
+
+
+def batch_by_count_or_time_live(spark, sf, max_offsets: int | None = None):
     """A7 live on the wire log in its own order: offsets after the A4 cursors,
     several micro-batches, each partition by its own clock.  A batch still
     open when the log ends is not emitted."""
     from tidemark.streaming import flush_timer
     src, out = segment_log(spark, sf), _scratch(spark, "live-batches")
-    ev = streams.stream_events(spark, src, f"{out}/_checkpoint", max_offsets, fx.explicit_cursors(spark, sf))
+    ev = streams.stream_events(spark, src, f"{out}/_checkpoint", max_offsets or _live_offsets(spark, src),
+                               fx.explicit_cursors(spark, sf))
     flush_timer.own_clock_batches(ev, out, 4, A7_STREAM_TIMEOUT_SECONDS)
     b = spark.read.parquet(f"{out}/batches")
     return b.select(*KEYS, F.col("last_offset").alias("batch_cursor"), "first_offset", "n_events")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -114,6 +115,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """Queries started inside keep their streaming state in one partition per
+    core (never more than ``spark.sql.shuffle.partitions``).  The state here is
+    one small row per log partition, while every state partition costs a task,
+    a state store and for keyed processors a Python worker's round trip in
+    every micro-batch, empty or not.  Spark fixes the number when a checkpoint
+    is made; a restarted query keeps its own."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), max(spark.sparkContext.defaultParallelism, 1))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), *parts])
 

@@ -28,6 +28,7 @@ from pyspark.sql.streaming.stateful_processor import (
 )
 
 from tidemark.functions.datetime import format_offset_datetime
+from tidemark.session import state_partitions
 
 OUTPUT_SCHEMA = "event_type string, partition string, flush_ms long, n_registrations long, flushed_offset long"
 STATE_SCHEMA = "start_ms long, n long, max_offset long"
@@ -296,8 +297,9 @@ def run_by_offset(events: DataFrame, ts: Column, processor: OwnClock, output: st
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     res = (events.select("event_type", "partition", "offset", ts).groupBy("event_type", "partition")
            .transformWithStateInPandas(processor, output, "Append", "None" if processor.idle_ms is None else "ProcessingTime"))
-    q = (res.writeStream.foreachBatch(_results_sink(out, name, is_late))
-         .option("checkpointLocation", f"{out}/_checkpoint").start())
+    with state_partitions(spark):
+        q = (res.writeStream.foreachBatch(_results_sink(out, name, is_late))
+             .option("checkpointLocation", f"{out}/_checkpoint").start())
     try:
         if live_seconds is None:
             q.processAllAvailable()
@@ -358,8 +360,10 @@ def _run(spark: SparkSession, events_path: str, schema: StructType | str, ts: Co
            .select("event_type", "partition", "offset", ts))
     res = src.groupBy("event_type", "partition").transformWithStateInPandas(processor, output, "Append", "EventTime")
 
-    (res.writeStream.foreachBatch(_results_sink(out, name, is_late)).option("checkpointLocation", f"{out}/_checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
+    with state_partitions(spark):
+        q = (res.writeStream.foreachBatch(_results_sink(out, name, is_late))
+             .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def stream_stalls(spark: SparkSession, events_path: str, schema: StructType | str, out: str,
@@ -401,8 +405,9 @@ def stream_flush_timer(spark: SparkSession, registrations_path: str, schema: Str
     def sink(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{out}/flushes/batch_id={batch_id:012d}")
 
-    q = (flushes.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
-         .trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (flushes.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_checkpoint")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
