@@ -743,11 +743,12 @@ def batch_by_count_or_time_live(spark, sf, max_offsets: int | None = None):
     return b.select(*KEYS, F.col("last_offset").alias("batch_cursor"), "first_offset", "n_events")
 
 
-def detect_stalled_partitions_live(spark, sf, max_offsets: int = STREAM_OFFSETS // 5):
+def detect_stalled_partitions_live(spark, sf, max_offsets: int | None = None):
     """A13 live on the wire log in its own order, each partition by its own clock."""
     from tidemark.streaming import flush_timer
     src, out = segment_log(spark, sf), _scratch(spark, "live-stalls")
-    flush_timer.own_clock_stalls(streams.stream_events(spark, src, f"{out}/_checkpoint", max_offsets), out, 3600)
+    ev = streams.stream_events(spark, src, f"{out}/_checkpoint", max_offsets or _live_offsets(spark, src))
+    flush_timer.own_clock_stalls(ev, out, 3600)
     st = spark.read.parquet(f"{out}/stalls")
     return st.filter(F.col("kind") == "gap").groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n_stalls"), F.floor(F.max("gap_us") / 1_000_000).cast("bigint").alias("max_gap_seconds"))
