@@ -269,6 +269,28 @@ def test_suffix_dedup(docs, odd, none, monkeypatch):
     assert suffix_dedup.remove_repeated_bytes(none).count() == 0
 
 
+def test_suffixes_of_a_bucket_need_no_word_per_byte():
+    """A bucket's bytes are held, its suffixes listed, but no eight bytes for every byte."""
+    import tracemalloc
+    import numpy as np
+    from tidemark.llm.blocks import pack, pack_sorted
+    r, rows = np.random.default_rng(3), 100_000
+    data = r.integers(97, 123, (rows, 60)).astype(np.uint8)
+    data[rows // 2:rows // 2 + 100, :55] = data[:100, :55]             # of other documents: six places each
+    data[rows // 2:rows // 2 + 100, 55] = 64
+    start = np.arange(rows) * 60
+    bucket = suffix_dedup._table(suffix_dedup.TEXT, [
+        (0, b, pack_sorted(start[own]), pack_sorted(np.arange(rows)[own]), pack(np.full(rows // 2, 60, np.uint32)), data[own].tobytes())
+        for b, own in ((0, slice(0, rows // 2)), (1, slice(rows // 2, rows)))])
+    tracemalloc.start()
+    got = suffix_dedup._suffixes(50)(bucket).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r["blk"] for r in got] == [1]
+    assert suffix_dedup.unpack_sorted(got[0]["places"]).tolist() == [60 * k + j for k in range(rows // 2, rows // 2 + 100) for j in range(6)]
+    assert peak < 18 * data.size
+
+
 def test_substring_dedup(docs, odd, none):
     seen, want = {}, {}
     for i in sorted(TEXTS):

@@ -49,6 +49,7 @@ GRAM = 24
 SEGMENT = 1 << 18          # window starts hashed at a time; places in a segment take PLACE_BITS
 PLACE_BITS = 20
 SORT_ROWS = 1 << 18         # suffixes sorted at a time
+SPREAD_ENTRIES = 1 << 14    # entries whose suffixes are listed at a time
 HOT_ENTRIES = 1024          # distinct phrases from which a trigger's suffixes are dealt out
 WHOLE, ASKED, BYTES, HOT = 0, 1, 2, 3
 
@@ -213,6 +214,11 @@ def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(n) else 0) + np.repeat(start - ends + n, n)
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place, high byte first: a view of ``data``."""
+    return np.ndarray(len(data) - 7, ">u8", data, strides=(1,))
+
+
 def _suffixes(size: int):
     def settle(rows: pa.Table) -> pa.Table:
         """Sort the entries' suffixes to depth ``size``; answer the repeats."""
@@ -222,25 +228,32 @@ def _suffixes(size: int):
         starts = [unpack_sorted(col("starts", i)) for i in order]
         docs = [unpack_sorted(col("docs", i)) for i in order]
         n = np.concatenate([unpack(col("lengths", i), np.uint32).astype(np.int64) for i in order])
-        data = np.frombuffer(b"".join(col("bytes", i) for i in order) + bytes(8), np.uint8)
+        data = np.frombuffer(b"".join([*(col("bytes", i) for i in order), bytes(8)]), np.uint8)
         blk = np.repeat(blks[order], [len(s) for s in starts]).astype(np.int64)
         start, doc = np.concatenate(starts), np.concatenate(docs)
-        m = n - size + 1
-        at = _spread(np.cumsum(n) - n, m)                       # suffixes with at least ``size`` bytes
-        entry = np.repeat(np.arange(len(n)), m)
-        word = np.zeros(len(data) - 7, np.uint64)               # eight bytes from each place, high byte first
-        for j in range(8):
-            word = (word << np.uint64(8)) | data[j:len(data) - 7 + j]
+        m = n - size + 1                                        # suffixes with at least ``size`` bytes
+        base, to = np.cumsum(n) - n, np.concatenate([[0], np.cumsum(m)])
+        word = _words(data)
         depths = [*range(0, size - 7, 8)] + [size - 8] * (size % 8 > 0)   # the last eight bytes complete the depth
         # suffixes that start alike stay together, so parts can be sorted one by one
-        part = (rolling.mix(word[at]) % np.uint64(len(at) // SORT_ROWS + 1)).astype(np.int32)
+        parts = int(to[-1]) // SORT_ROWS + 1
+        at = np.empty(to[-1], np.int32 if len(data) < 1 << 31 else np.int64)
+        entry, part = np.empty(len(at), np.int32), np.empty(len(at), np.int32)
+        for lo in range(0, len(n), SPREAD_ENTRIES):
+            hi = min(lo + SPREAD_ENTRIES, len(n))
+            own = slice(to[lo], to[hi])
+            at[own] = _spread(base[lo:hi], m[lo:hi])
+            entry[own] = np.repeat(np.arange(lo, hi), m[lo:hi])
+            part[own] = rolling.mix(word[at[own]].astype(np.uint64)) % np.uint64(parts)
         hits = []
-        for k in range(len(at) // SORT_ROWS + 1):
+        for k in range(parts):
             own = np.flatnonzero(part == k)
-            by = own[np.lexsort([word[at[own] + j] for j in depths[::-1]])]
+            words = [word[at[own] + j].astype(np.uint64) for j in depths]
+            order = np.lexsort(words[::-1])
+            by = own[order]
             same = np.ones(len(by), bool)
-            for j in depths:
-                w = word[at[by] + j]
+            for w in words:
+                w = w[order]
                 same[1:] &= w[1:] == w[:-1]
             same[:1] = False
             head = by[np.flatnonzero(~same)][np.cumsum(~same) - 1] if len(by) else by
@@ -248,7 +261,7 @@ def _suffixes(size: int):
             hits.append(by[(blk[e] != blk[f]) | (doc[e] != doc[f])])
         hit = np.concatenate(hits)
         e = entry[hit]
-        place = start[e] + at[hit] - (np.cumsum(n) - n)[e]
+        place = start[e] + at[hit] - base[e]
         out = [(int(k), BYTES, bucket, pack_sorted(np.unique(place[blk[e] == k]))) for k in np.unique(blk[e])]
         return _table(ANSWER, out)
     return settle
