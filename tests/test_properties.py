@@ -77,3 +77,17 @@ def test_greedy_windows_property(spark, gaps, n, secs, chunk):
     got = {(r.first_offset, r.n_events) for r in
            greedy_windows(df, ["k"], "o", "ts", max_rows=n, max_seconds=secs, rows_per_chunk=chunk).collect()}
     assert got == want, (gaps, n, secs, chunk)
+
+
+def test_numbering_the_log_shuffles_raw_columns_only(spark):
+    """What follows from an event alone is added after the last shuffle."""
+    import re
+    from conftest import SF_SMALL
+    from tidemark.sources import event_log as source
+    log = source.derive_event_log(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", log._jdf.queryExecution().explainString(mode))
+    names = {c.strip().split("#")[0] for cols in moved for c in cols.split(",")}
+    assert {"event_id", "payload"} <= names
+    assert not names & {"eid", "flow_id", "offset_text", "kind", "data_type", "data_op"}
+    assert log.columns == source.LOG_COLUMNS
