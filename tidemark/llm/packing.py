@@ -74,15 +74,15 @@ class _Encoder:
         offsets = np.concatenate([[0], cuts]).astype(np.int32)      # every string with the blank behind it
         coded = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
         coded = coded.dictionary_encode()
-        own = [s[:-1].decode() for s in coded.dictionary.to_pylist()]
+        own = pc.binary_slice(coded.dictionary, 0, -1).cast(pa.string()).to_numpy(zero_copy_only=False).tolist()
         new = set(own).difference(self.kept)
         if len(self.kept) + len(new) > KEEP_STRINGS:
             self.kept = {"": b""}
             new = set(own).difference(self.kept)
         self._learn(new)
-        found = [self.kept[s] for s in own]
+        found = list(map(self.kept.__getitem__, own))
         ids, total = gather(coded.indices.to_numpy(), np.frombuffer(b"".join(found), "<u4"),
-                            np.cumsum([len(f) // 4 for f in found], dtype=np.int64))
+                            np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))
         at = total[np.searchsorted(offsets, np.cumsum([0, *map(len, raw)], dtype=np.int64))]
         return [ids[i:j].tobytes() for i, j in zip(at, at[1:])]
 
