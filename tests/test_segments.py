@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from tidemark import catalog
 from tidemark.operators import codec, consume
 from tidemark.sources import landed_log, offset_source, segments
 from tidemark.sources.batch_log import cursor_map, stream_offsets
@@ -151,6 +152,48 @@ def test_offsets_taken_per_micro_batch(spark, root):
     assert cursor_map(cursors(spark, ("t", "0", "5"), ("t", "1", "BEGIN"))) == {"t": {"0": 5}}
 
 
+def test_small_segments_share_a_task(spark, root):
+    """100 segments of one micro-batch are dealt into few tasks of about equally many offsets, lines in their order."""
+    segments.write_segments(lines(spark, "t", "0", 0, 160).unionByName(lines(spark, "t", "1", 0, 40)), root, 2)
+    reader = offset_source.OffsetLogReader({"path": root, "resume": "{}", "tasks": "4"})
+    parts = reader.partitions({}, reader.latestOffset())
+    assert [len(p.pieces) for p in parts] == [25] * 4 and [(p.partition, p.first) for p in parts][:3] == [("0", 0), ("0", 50), ("0", 100)]
+    got = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert [(r["partition"], r["segment_offset"], r["line"]) for r in got] == \
+        [("0", k, 0) for k in range(0, 160, 2)] + [("1", k, 0) for k in range(0, 40, 2)]
+    assert all(json.loads(r["value"])["cursor"] == {"partition": r["partition"], "offset": str(r["segment_offset"] + 1)} for r in got)
+    whole = offset_source.OffsetLogReader({"path": root, "resume": "{}"})
+    assert len(whole.partitions({}, whole.latestOffset())) == 100
+
+
+def test_a_large_segment_keeps_its_own_task(spark, root, monkeypatch):
+    monkeypatch.setattr(offset_source, "TASK_OFFSETS", 20)
+    segments.write_segments(lines(spark, "t", "0", 0, 100).unionByName(lines(spark, "t", "1", 0, 30, 30)), root, 10)
+    reader = offset_source.OffsetLogReader({"path": root, "resume": "{}", "tasks": "2"})
+    parts = reader.partitions({}, reader.latestOffset())
+    assert [[(p, first) for _, p, first, _ in t.pieces] for t in parts] == \
+        [[("0", k), ("0", k + 10)] for k in range(0, 100, 20)] + [[("1", 0)]]
+    assert reader.partitions(reader.at, reader.at) == []
+
+
+def test_registered_stream_takes_micro_batches_that_follow_the_log(spark, root, monkeypatch):
+    """S1 over 2,000,000 offsets: 20 micro-batches, not 80 of 25,000."""
+    asked = []
+    monkeypatch.setattr(catalog, "segment_log", lambda *_: root)
+    monkeypatch.setattr(streams, "stream_consume", lambda *_, max_offsets: asked.append(max_offsets))
+    monkeypatch.setattr(streams, "read_events", lambda *_: spark.createDataFrame(
+        [], "event_type string, partition string, offset bigint"))
+    run = "run"
+    spark.createDataFrame([(run, "s", "t", "0", 0, 1_999_999, 1)], segments.MANIFEST).write.parquet(f"{root}/manifest/run={run}")
+    segments.VersionLog(spark, f"{root}/log").append(1, {"run": run})
+    catalog.stream_consume(spark, "-")
+    assert asked == [100_000]
+    segments.write_segments(lines(spark, "u", "0", 0, 10), f"{root}-small", 10)
+    monkeypatch.setattr(catalog, "segment_log", lambda *_: f"{root}-small")
+    catalog.stream_consume(spark, "-")
+    assert asked == [100_000, 25_000]
+
+
 def test_source_reads_long_and_odd_lines(spark, root, monkeypatch):
     monkeypatch.setattr(offset_source, "READ_BYTES", 7)
     values = ["é" * 50, "", "x", "tail 中文"]

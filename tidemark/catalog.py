@@ -585,9 +585,10 @@ def lease_counters(spark, sf):
 # --------------------------------------------------------------------------- S: streaming
 
 def stream_consume(spark, sf):
-    """The wire log as a stream -> decoded events (+ quarantine sink)."""
-    out = _scratch(spark, "stream-consume")
-    streams.stream_consume(spark, segment_log(spark, sf), out, max_offsets=STREAM_OFFSETS)
+    """The wire log as a stream -> decoded events (+ quarantine sink), in
+    micro-batches that follow the log."""
+    src, out = segment_log(spark, sf), _scratch(spark, "stream-consume")
+    streams.stream_consume(spark, src, out, max_offsets=max(STREAM_OFFSETS, _live_offsets(spark, src)))
     return consume.partition_summary(streams.read_events(spark, out))
 
 

@@ -178,12 +178,14 @@ def stream_offsets(spark: SparkSession, root: str, checkpoint: str, max_offsets:
                    cursors: DataFrame | None = None, event_type: str | None = None) -> DataFrame:
     """A2 over a segmented log: lines (event_type, partition, segment_offset,
     line, value) in offset order per partition, at most about ``max_offsets``
-    offsets per micro-batch (0: all there are).  ``cursors`` start a fresh
-    ``checkpoint``; a used one goes on where it stopped."""
+    offsets per micro-batch (0: all there are), dealt into two tasks a core.
+    ``cursors`` start a fresh ``checkpoint``; a used one goes on where it
+    stopped."""
     cloudpickle.register_pickle_by_value(offset_source)
     spark.dataSource.register(offset_source.OffsetLog)
     start = json.dumps(cursor_map(cursors))
     reader = (spark.readStream.format(offset_source.NAME).option("path", root).option("maxOffsetsPerTrigger", max_offsets)
+              .option("tasks", 2 * max(spark.sparkContext.defaultParallelism, 1))
               .option("start", start).option("resume", _last_offset(spark, checkpoint) or start))
     return (reader if event_type is None else reader.option("eventTypes", json.dumps([event_type]))).load()
 

@@ -7,7 +7,8 @@ runs landed, so every partition is delivered in the order of its offsets; a
 run that lands before its predecessor waits.  ``maxOffsetsPerTrigger`` bounds
 a micro-batch (at least one segment), the partitions that are furthest behind
 first.  ``start`` holds cursors: segments that end at or before them are never
-opened.  One task reads one segment, as Arrow batches.
+opened.  One task reads one segment or, so that small segments cost no task
+each, a run of segments that follow one another, as Arrow batches.
 
 The source reads files with Arrow's file systems (local, HDFS, S3, GCS ...) in
 Python workers.  It is shipped by value, so it imports nothing of the package.
@@ -26,11 +27,17 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 NAME = "tidemark_offsets"
 SCHEMA = "event_type string, partition string, segment_offset bigint, line bigint, value string"
 READ_BYTES = 8 << 20
+#: Offsets that one task reads at most, unless a single segment has more.
+TASK_OFFSETS = 1 << 17
 
 
-class Segment(InputPartition):
-    def __init__(self, event_type: str, partition: str, first: int, folder: str):
-        self.event_type, self.partition, self.first, self.folder = event_type, partition, first, folder
+class Segments(InputPartition):
+    """What one task reads: (event type, partition, first offset, folder) of
+    each segment, in order; the first one's place is the task's."""
+
+    def __init__(self, pieces: list[tuple[str, str, int, str]]):
+        self.pieces = pieces
+        self.event_type, self.partition, self.first, _ = pieces[0]
 
 
 class OffsetLog(DataSource):
@@ -50,7 +57,9 @@ class OffsetLogReader(DataSourceStreamReader):
     new stream (a partition without one begins at offset 0); ``resume``, the
     position at which this run of the query begins, since Spark asks for the
     latest offset before it tells the first (without it the first micro-batch
-    is not bounded); ``eventTypes``.  ``batch_log.stream_offsets`` sets them."""
+    is not bounded); ``eventTypes``; ``tasks``, into about how many tasks a
+    micro-batch is dealt (0: one per segment).  ``batch_log.stream_offsets``
+    sets them."""
 
     def __init__(self, options: dict):
         options = {k.lower(): v for k, v in options.items()}
@@ -59,6 +68,7 @@ class OffsetLogReader(DataSourceStreamReader):
         self.start = json.loads(options.get("start") or "{}")
         self.types = json.loads(options["eventtypes"]) if options.get("eventtypes") else None
         self.at = json.loads(options["resume"]) if options.get("resume") else None
+        self.tasks = int(options.get("tasks") or 0)
         self.seen: set[str] = set()
         self.segments: dict[tuple[str, str], list[tuple[int, int, str]]] = {}
 
@@ -124,38 +134,53 @@ class OffsetLogReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         self._refresh()
-        out = []
+        found = []
         for (event_type, partition), own in sorted(self.segments.items()):
             low = int(start.get(event_type, {}).get(partition, -1))
             high = int(end.get(event_type, {}).get(partition, -1))
-            out += [Segment(event_type, partition, first, folder) for first, last, folder in own if last > low and last <= high]
+            found += [(last - first + 1, (event_type, partition, first, folder))
+                      for first, last, folder in own if last > low and last <= high]
         self.at = end
-        return out
+        return self._dealt(found)
+
+    def _dealt(self, found: list) -> list[Segments]:
+        """Cut the segments into runs of about equally many offsets, one per
+        task: a segment belongs to the run in which its middle lies."""
+        if not self.tasks:
+            return [Segments([piece]) for _, piece in found]
+        share = min(max(sum(n for n, _ in found) / self.tasks, 1), TASK_OFFSETS)
+        runs: dict[int, list] = {}
+        before = 0
+        for n, piece in found:
+            runs.setdefault(int((before + n / 2) // share), []).append(piece)
+            before += n
+        return [Segments(pieces) for pieces in runs.values()]
 
     def commit(self, end: dict) -> None:
         self.at = end
 
-    def read(self, partition: Segment) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Segments) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
-        store, folder = fs.FileSystem.from_uri(partition.folder)
-        files = sorted(i.path for i in store.get_file_info(fs.FileSelector(folder)) if i.base_name.startswith("part-"))
-        n = 0
-        for path in files:
-            with store.open_input_stream(path) as f:
-                rest = b""
-                while True:
-                    block = f.read(READ_BYTES)
-                    lines = (rest + block).split(b"\n")
-                    rest = lines.pop()
-                    if not block and rest:
-                        lines, rest = [*lines, rest], b""
-                    if lines:
-                        k = len(lines)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([partition.event_type] * k, pa.string()), pa.array([partition.partition] * k, pa.string()),
-                            pa.array([partition.first] * k, pa.int64()), pa.array(range(n, n + k), pa.int64()),
-                            pa.array(lines, pa.binary()).cast(pa.string())],
-                            names=["event_type", "partition", "segment_offset", "line", "value"])
-                        n += k
-                    if not block:
-                        break
+        for event_type, number, first, uri in partition.pieces:
+            store, folder = fs.FileSystem.from_uri(uri)
+            files = sorted(i.path for i in store.get_file_info(fs.FileSelector(folder)) if i.base_name.startswith("part-"))
+            n = 0
+            for path in files:
+                with store.open_input_stream(path) as f:
+                    rest = b""
+                    while True:
+                        block = f.read(READ_BYTES)
+                        lines = (rest + block).split(b"\n")
+                        rest = lines.pop()
+                        if not block and rest:
+                            lines, rest = [*lines, rest], b""
+                        if lines:
+                            k = len(lines)
+                            yield pa.RecordBatch.from_arrays([
+                                pa.array([event_type] * k, pa.string()), pa.array([number] * k, pa.string()),
+                                pa.array([first] * k, pa.int64()), pa.array(range(n, n + k), pa.int64()),
+                                pa.array(lines, pa.binary()).cast(pa.string())],
+                                names=["event_type", "partition", "segment_offset", "line", "value"])
+                            n += k
+                        if not block:
+                            break
