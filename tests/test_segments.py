@@ -9,7 +9,7 @@ import pytest
 
 from tidemark import catalog
 from tidemark.operators import codec, consume
-from tidemark.sources import landed_log, offset_source, segments
+from tidemark.sources import batch_log, landed_log, offset_source, segments
 from tidemark.sources.batch_log import cursor_map, stream_offsets
 from tidemark.streaming import consume as streams
 
@@ -194,6 +194,31 @@ def test_registered_stream_takes_micro_batches_that_follow_the_log(spark, root,
     assert asked == [100_000, 25_000]
 
 
+def test_fixture_segments_follow_the_log(spark, monkeypatch):
+    def held(n):
+        monkeypatch.setattr(batch_log, "partition_catalog", lambda *_: spark.createDataFrame(
+            [("t", "0", n // 2), ("t", "1", n - n // 2)], "event_type string, partition string, n_events bigint"))
+        return batch_log.fixture_segment(spark, "-")
+    assert [held(n) for n in (0, 100_000, 6_000_000, 36_000_000)] == [1000, 1000, 3000, 5000]
+
+
+def test_only_quarantined_lines_keep_their_text(spark, root, monkeypatch):
+    cut = ("t", "0", 11, 2, 0, '{"cursor":{"partition":"0","offset":"11"},"events":[{"a"')
+    segments.write_segments(lines(spark, "t", "0", 0, 10).unionByName(spark.createDataFrame([cut], LINES)), root, 20)
+    held, decode = [], streams.decode_parsed
+
+    def spy(parsed):
+        held.extend((r.valid, r.value) for r in parsed.select("valid", "value").collect())
+        return decode(parsed)
+
+    monkeypatch.setattr(streams, "decode_parsed", spy)
+    streams.stream_consume(spark, root, f"{root}-out")
+    assert sorted(held, key=str) == [(False, cut[-1]), *[(True, None)] * 5]
+    assert [(r.event_type, r.value, r.reason) for r in streams.read_quarantine(spark, f"{root}-out").collect()] == \
+        [("t", cut[-1], codec.UNPARSEABLE)]
+    assert sorted(r.offset for r in streams.read_events(spark, f"{root}-out").collect()) == list(range(10))
+
+
 def test_source_reads_long_and_odd_lines(spark, root, monkeypatch):
     monkeypatch.setattr(offset_source, "READ_BYTES", 7)
     values = ["é" * 50, "", "x", "tail 中文"]

@@ -61,8 +61,9 @@ def consume_sink(out: str, on_batch: Callable[[DataFrame, DataFrame, int], None]
 
     def run(df: DataFrame, batch_id: int) -> None:
         # parse each micro-batch once; both outputs and the hook read the
-        # parsed lines
-        parsed = codec.parse_batches(df).drop("_v").persist(StorageLevel.MEMORY_AND_DISK)
+        # parsed lines, of which only the quarantined keep their text
+        parsed = codec.parse_batches(df).drop("_v").withColumn("value", F.when(~F.col("valid"), F.col("value")))
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             msgs, events, bad = decode_parsed(parsed)
             if starts is not None:
